@@ -246,3 +246,10 @@ def seconds_to_open(ts_ms: Column | str, tz: str = DEFAULT_TZ) -> Column:
 def seconds_since_close(ts_ms: Column | str, tz: str = DEFAULT_TZ) -> Column:
     ms = F.pmod(local_ms(ts_ms, tz), F.lit(DAY_MS)) - CLOSE_SEC * 1000
     return F.greatest(F.lit(0), F.floor(ms / 1000)).cast("bigint")
+
+
+def within_lookback(day: Column | str, today: Column, max_days: int) -> Column:
+    """A YYYYMMDD day that is neither in the future nor more than ``max_days`` back."""
+    as_date = lambda c: F.try_to_timestamp(c, F.lit("yyyyMMdd")).cast("date")
+    age = F.date_diff(as_date(today), as_date(calendar_day(day)))
+    return F.coalesce(age.between(0, max_days), F.lit(False))

@@ -284,3 +284,47 @@ def write_summary(batches: DataFrame, window_ms: int = 60_000) -> DataFrame:
 def with_local_times(df: DataFrame, tz: str = DEFAULT_TZ, **columns: str) -> DataFrame:
     """``with_local_times(df, latest_local="latest_ts_ms")`` adds rendered local times."""
     return df.withColumns({k: clock.local_text(v, tz) for k, v in columns.items()})
+
+
+def export_positions(
+    ticks: DataFrame,
+    ordinal: Sequence[str] = ("ingest_ordinal",),
+    slice_ms: int = 600_000,
+) -> DataFrame:
+    """Each tick with its ``position`` within day and symbol and its ``line`` in the whole export.
+
+    Export order is trading_day, symbol, ts_ms, seq (missing as -1), ordinal. Ticks are ranked only
+    within a time slice; the rows of earlier slices, symbols and days come from slice counts, so no
+    symbol or day is gathered in one task.
+    """
+    cell = ["trading_day", "symbol", "_slice"]
+    cut = ticks.withColumn("_slice", F.floor(F.col("ts_ms") / slice_ms))
+    counts = cut.groupBy(*cell).agg(F.count(F.lit(1)).alias("_n"))
+    by_day = counts.groupBy("trading_day").agg(F.sum("_n").alias("_day_n"))
+
+    def before(total: str, window) -> Column:
+        earlier = window.rowsBetween(Window.unboundedPreceding, -1)
+        return F.coalesce(F.sum(total).over(earlier), F.lit(0))
+
+    day_start = by_day.select(
+        "trading_day", before("_day_n", Window.orderBy("trading_day")).alias("_day_start")
+    )
+    in_day = Window.partitionBy("trading_day").orderBy("symbol", "_slice")
+    in_symbol = Window.partitionBy("trading_day", "symbol").orderBy("_slice")
+    starts = (
+        counts.withColumns(
+            {"_in_day": before("_n", in_day), "_in_symbol": before("_n", in_symbol)}
+        )
+        .join(day_start, "trading_day")
+        .select(*cell, "_in_symbol", (F.col("_day_start") + F.col("_in_day")).alias("_start"))
+    )
+    order = Window.partitionBy(*cell).orderBy("ts_ms", F.coalesce("seq", F.lit(-1)), *ordinal)
+    return (
+        cut.withColumn("_rn", F.row_number().over(order))
+        .join(starts, cell)
+        .select(
+            *ticks.columns,
+            (F.col("_in_symbol") + F.col("_rn")).alias("position"),
+            (F.col("_start") + F.col("_rn")).alias("line"),
+        )
+    )
