@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import clock
-from ..params import QualityParams, MicroParams
+from ..params import HealthParams, MicroParams, QualityParams
 from ..schema import TICK_COLUMNS
 from ..session import utc
 
@@ -35,6 +35,19 @@ SPARSE_MICRO = MicroParams(
     close_share=0.12,
     close_distance=0.05,
 )
+SPARSE_HEALTH = HealthParams(
+    drift_warn_sec=120,
+    trading_interval_sec=2 * 3600,
+    offhours_interval_sec=5 * 3600,
+    preopen_interval_sec=3600,
+    warn_cadence_sec=6 * 3600,
+    alert_cadence_sec=3 * 3600,
+    alert_cooldown_sec=4 * 3600,
+    escalation_steps=(0, 4 * 3600, 10 * 3600),
+    stall_sec=2 * 3600,
+    upstream_window_sec=1800,
+    queue_threshold_rows=40,
+)
 NOW_MS = 1_706_659_200_000  # a fixed 'now' just after the last event day
 
 
@@ -211,3 +224,112 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.format_string("debug idle tick %d", ident))
     )
     return ev.select(ident.alias("ord"), line.alias("line"))
+
+
+def health(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly snapshots of five instances, counted from ``events``."""
+    ev = table(spark, sf_dir, "events")
+    value = F.col("value")
+    rows = ev.withColumns(
+        {
+            "ts_ms": F.unix_millis(F.col("ts").cast("timestamp")),
+            "instance": F.concat(F.lit("node"), (F.col("user_id") % 5).cast("string")),
+            "symbol": F.concat(F.lit("HK."), "event_type"),
+        }
+    ).withColumn(
+        "created_at_ms",
+        (F.floor(F.col("ts_ms") / HOUR_MS) * HOUR_MS + HOUR_MS).cast("bigint"),
+    )
+    over = lambda limit: F.count_if(value > limit)
+    per_symbol = rows.groupBy("instance", "created_at_ms", "symbol").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.max("ts_ms").alias("last_ts"),
+        F.max("event_id").alias("last_seq"),
+        (F.sum("user_id") % 50 - 10).alias("lag"),
+        F.max("value").alias("top"),
+        over(60).alias("v60"),
+        over(80).alias("v80"),
+        over(100).alias("v100"),
+        over(120).alias("v120"),
+        over(150).alias("v150"),
+    )
+    age = (F.col("created_at_ms") - F.col("last_ts")) / 1000.0
+    item = F.struct(
+        "symbol",
+        F.when(F.col("symbol") != "HK.signup", age).alias("last_tick_age_sec"),
+        F.col("last_seq").alias("last_persisted_seq"),
+        F.col("lag").alias("max_seq_lag"),
+    )
+    hour = (F.col("created_at_ms") - 1_704_067_200_000) / HOUR_MS
+    return (
+        per_symbol.groupBy("instance", "created_at_ms")
+        .agg(
+            F.sort_array(F.collect_list(item)).alias("symbols"),
+            F.sum("n").alias("poll_fetched"),
+            (F.max("top") - 100).alias("drift_sec"),
+            (F.sum("v150") * 40).alias("queue_size"),
+            (F.sum("v60") * 10).alias("persisted_rows_per_min"),
+            F.sum("v80").alias("push_rows_per_min"),
+            F.sum("v100").alias("poll_accepted"),
+            F.sum("v120").alias("queue_out"),
+            F.sum(F.when(F.col("symbol") == "HK.error", F.col("n")).otherwise(0)).alias(
+                "dropped_duplicate"
+            ),
+            F.sum(F.when(F.col("symbol") == "HK.view", F.col("n")).otherwise(0)).alias("views"),
+        )
+        .withColumns(
+            {
+                "sid": F.concat_ws("-", "instance", F.col("created_at_ms").cast("string")),
+                "trading_day": clock.trading_day("created_at_ms"),
+                "queue_maxsize": F.lit(100).cast("bigint"),
+                "db_rows": F.floor(hour).cast("bigint") * 100 + F.col("poll_fetched"),
+            }
+        )
+    )
+
+
+def ingest_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pipeline counters of the same instances."""
+    at = F.col("created_at_ms")
+    return health(spark, sf_dir).select(
+        "instance",
+        at.alias("minute_ms"),
+        F.lit(1_704_067_200_000).cast("bigint").alias("started_at_ms"),
+        "queue_size",
+        F.col("persisted_rows_per_min").alias("persisted_rows"),
+        F.col("poll_accepted").alias("queue_in"),
+        "queue_out",
+        F.col("push_rows_per_min").alias("push_rows"),
+        F.col("poll_accepted").alias("poll_enqueued"),
+        "poll_fetched",
+        F.col("views").alias("poll_seq_advanced"),
+        F.when(F.col("push_rows_per_min") > 0, at - 30_000).alias("upstream_at_ms"),
+        F.when(F.col("persisted_rows_per_min") > 0, at - 5_000).alias("commit_at_ms"),
+        (F.col("dropped_duplicate") < 3).alias("worker_alive"),
+    )
+
+
+def alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alerts and recoveries told from ``events``: twenty fingerprints, severity by value."""
+    ev = table(spark, sf_dir, "events")
+    ts = F.unix_millis(F.col("ts").cast("timestamp"))
+    value = F.col("value")
+    kind = F.when(value.between(20, 25), "resolve").otherwise("alert")
+    severity = (
+        F.when(kind == "resolve", "OK")
+        .when(value > 100, "ALERT")
+        .when(value > 30, "WARN")
+        .otherwise("OK")
+    )
+    return ev.select(
+        ts.alias("created_at_ms"),
+        F.col("event_id").alias("ord"),
+        kind.alias("kind"),
+        F.col("event_type").alias("code"),
+        F.concat_ws(":", "event_type", (F.col("user_id") % 4).cast("string")).alias("key"),
+        F.lit("").alias("fingerprint"),
+        clock.trading_day(ts).alias("trading_day"),
+        severity.alias("severity"),
+        F.when(F.col("user_id") % 3 == 0, F.concat(F.lit("s"), "event_id")).alias("sid"),
+        F.when(kind == "alert", F.concat(F.lit("e"), "event_id")).alias("eid"),
+    )
