@@ -1 +1,198 @@
+"""Streams run to completion over the tables, so their results can be compared."""
+
+from __future__ import annotations
+
+
+from pyspark.sql import functions as F
+
+from ..operators import features, folds
+from ..session import shared_folder
+from ..sources import derived
+from ..sources.store import TickStore
+from ..streaming import decision_stream, gap_stream, ingest
+from . import sqltext as q
+from .catalog import query
+from .health_queries import DEDUPE_SQL, P as HEALTH_PARAMS
+from .micro_queries import COOLDOWN_SEC, COOLED_SQL, P as MICRO_PARAMS, _events
+
+GAP_PARAMS = derived.SPARSE_QUALITY
+
+
+def _landed(spark, df, name, order, parts=3):
+    """A landing folder filled in ``order``, a few files per arrival step, and a stream over it."""
+    path = shared_folder(spark, name)
+    lo, hi = df.agg(F.min(order), F.max(order)).first()
+    step = (hi - lo) // parts + 1
+    for i in range(parts):
+        rows = df.where(
+            (F.col(order) >= lo + i * step) & (F.col(order) < lo + (i + 1) * step)
+        )
+        rows.write.mode("append").parquet(f"{path}/step={i}")
+    reader = spark.readStream.schema(df.schema).option("recursiveFileLookup", "true")
+    return reader.option("maxFilesPerTrigger", 8).parquet(path)
+
+
+def _finish(writer_query):
+    writer_query.awaitTermination()
+
+
+def _collected(spark, stream, name, mode="append"):
+    """The stream's output as a table of files."""
+    out, check = shared_folder(spark, name), shared_folder(spark, "checkpoint")
+    _finish(
+        stream.writeStream.format("parquet")
+        .outputMode(mode)
+        .option("checkpointLocation", check)
+        .trigger(availableNow=True)
+        .start(out)
+    )
+    return spark.read.schema(stream.schema).parquet(out)
+
+
+@query(
+    "i2_stream_load",
+    q.w(q.RESENT, q.KEPT)
+    + """SELECT trading_day, count(*) AS rows, count(seq) AS with_seq, sum(volume)::BIGINT AS volume
+FROM kept GROUP BY 1""",
+)
+def i2_stream_load(spark, sf_dir):
+    """Ticks with re-sent copies streamed into the day table."""
+    ingest.streaming_session(spark)
+    ticks = derived.event_ticks(spark, sf_dir, resent=True)
+    stream = _landed(spark, ticks, "landing", "recv_ts_ms")
+    store = TickStore(spark, shared_folder(spark, "store"))
+    _finish(ingest.load_ticks(stream, store, shared_folder(spark, "checkpoint"), wait=None))
+    return store.ticks().groupBy("trading_day").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count("seq").alias("with_seq"),
+        F.sum("volume").alias("volume"),
+    )
+
+
+@query(
+    "i1_paced_load",
+    q.w(q.EV) + "SELECT push_type, count(*) AS rows FROM ev GROUP BY 1",
+)
+def i1_paced_load(spark, sf_dir):
+    """Micro-batches limited by files and paced by a processing-time trigger."""
+    ingest.streaming_session(spark)
+    stream = _landed(spark, derived.event_ticks(spark, sf_dir), "landing", "recv_ts_ms")
+    store = TickStore(spark, shared_folder(spark, "store"))
+    running = ingest.load_ticks(
+        stream, store, shared_folder(spark, "checkpoint"), wait="100 milliseconds"
+    )
+    running.processAllAvailable()
+    running.stop()
+    return store.ticks().groupBy("push_type").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query(
+    "i3_stream_gaps",
+    q.w(q.EV, q.POINTS, q.GAPS)
+    + """SELECT trading_day, symbol, gap_start_ts_ms, gap_end_ts_ms, gap_sec::DOUBLE AS gap_sec,
+  'hard_gap' AS reason FROM gaps""",
+)
+def i3_stream_gaps(spark, sf_dir):
+    """Live gap detection over ordered arrival equals the batch form."""
+    ingest.streaming_session(spark)
+    stream = _landed(spark, derived.event_ticks(spark, sf_dir), "landing", "ts_ms")
+    store = TickStore(spark, shared_folder(spark, "store"))
+    _finish(
+        ingest.load_gaps(stream, store, GAP_PARAMS, shared_folder(spark, "checkpoint"), wait=None)
+    )
+    return store.gaps().drop("detected_at_ms", "meta_json")
+
+
+@query("i5_late_ticks")
+def i5_late_ticks(spark, sf_dir):
+    """Arrival out of time order: late ticks are stored, but change no gap found before."""
+    ingest.streaming_session(spark)
+    ticks = derived.event_ticks(spark, sf_dir)
+    mixed = ticks.withColumn("arrival", F.pmod(F.xxhash64("ingest_ordinal"), F.lit(3)))
+    stream = _landed(spark, mixed, "landing", "arrival")
+    found = gap_stream.stream_gaps(stream, GAP_PARAMS)
+    return _collected(spark, found, "gaps").select("symbol", "gap_start_ts_ms", "gap_end_ts_ms")
+
+
+@query(
+    "i7_stream_features",
+    q.w(q.EV)
+    + """, wm AS (SELECT max(ts_ms) - 120000 AS wm FROM ev WHERE price IS NOT NULL),
+r AS (SELECT *, ts_ms // 3600000 * 3600000 AS b, row_number() OVER (PARTITION BY symbol,
+  ts_ms // 3600000 ORDER BY ts_ms, coalesce(seq, -1), price) AS rn FROM ev WHERE price IS NOT NULL)
+SELECT b AS ts_min_ms, symbol, count(*) AS ticks, sum(volume)::BIGINT AS volume,
+  arg_min(price, rn) AS open, max(price) AS high, min(price) AS low, arg_max(price, rn) AS close,
+  coalesce(sum(volume) FILTER (direction = 'BUY'), 0)::BIGINT AS buy_volume
+FROM r, wm GROUP BY 1, 2 HAVING b + 3600000 <= any_value(wm)""",
+)
+def i7_stream_features(spark, sf_dir):
+    """Buckets closed by the watermark."""
+    ingest.streaming_session(spark)
+    stream = _landed(spark, derived.event_ticks(spark, sf_dir), "landing", "ts_ms")
+    out = features.streaming_features(stream, MICRO_PARAMS)
+    return _collected(spark, out, "features").select(
+        "ts_min_ms", "symbol", "ticks", "volume", "open", "high", "low", "close", "buy_volume"
+    )
+
+
+@query(
+    "d4_stream_recent_keys",
+    q.w(q.RESENT)
+    + """SELECT symbol, ts_ms, price, volume, turnover, count(*) AS rows FROM (
+  SELECT DISTINCT symbol, ts_ms, price, volume, turnover FROM ev
+    WHERE seq IS NULL AND price IS NOT NULL
+  UNION ALL SELECT symbol, ts_ms, price, volume, turnover FROM ev WHERE seq IS NOT NULL OR price IS NULL)
+GROUP BY ALL""",
+)
+def d4_stream_recent_keys(spark, sf_dir):
+    """Re-sent seq-less ticks dropped within ten minutes of receive time."""
+    ingest.streaming_session(spark)
+    ticks = derived.event_ticks(spark, sf_dir, resent=True)
+    stream = _landed(spark, ticks, "landing", "recv_ts_ms")
+    kept = _collected(spark, ingest.drop_recent_repeats(stream), "kept")
+    keys = ["symbol", "ts_ms", "price", "volume", "turnover"]
+    return kept.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
+
+
+# one sequence per fingerprint instead of one per fingerprint and day
+STREAM_DEDUPE_SQL = (
+    DEDUPE_SQL.replace("PARTITION BY fingerprint, trading_day", "PARTITION BY fingerprint")
+    .replace("SELECT DISTINCT fingerprint, trading_day, 0", "SELECT DISTINCT fingerprint, '' AS trading_day, 0")
+    .replace("AND n.trading_day = f.trading_day", "")
+)
+
+
+@query(
+    "i8_stream_alerts",
+    STREAM_DEDUPE_SQL
+    + """SELECT fingerprint, ord, reason, reason <> 'cooldown_active' AS emitted FROM fold WHERE i > 0""",
+)
+def i8_stream_alerts(spark, sf_dir):
+    """Alert decisions on keyed state; incidents run on over days."""
+    ingest.streaming_session(spark)
+    stream = _landed(spark, derived.alerts(spark, sf_dir), "alerts", "created_at_ms")
+    decided = decision_stream.stream_alerts(stream, HEALTH_PARAMS)
+    return _collected(spark, decided, "decided").select("fingerprint", "ord", "reason", "emitted")
+
+
+@query(
+    "i8_alerts_over_days",
+    STREAM_DEDUPE_SQL
+    + """SELECT fingerprint, ord, reason, reason <> 'cooldown_active' AS emitted FROM fold WHERE i > 0""",
+)
+def i8_alerts_over_days(spark, sf_dir):
+    """The batch form with incidents running on over days."""
+    out = folds.alert_decisions(derived.alerts(spark, sf_dir), HEALTH_PARAMS, per_day=False)
+    return out.select("fingerprint", "ord", "reason", "emitted")
+
+
+@query("k22_stream_cooldown", COOLED_SQL)
+def k22_stream_cooldown(spark, sf_dir):
+    """Event cooldown on keyed state."""
+    ingest.streaming_session(spark)
+    found = _events(spark, sf_dir).withColumn("cooldown_sec", F.lit(COOLDOWN_SEC))
+    stream = _landed(spark, found, "events", "ts_ms")
+    kept = decision_stream.stream_cooldown(stream)
+    return _collected(spark, kept, "kept").select("dedup_key", "ts_ms", "suppressed_count")
+
 
