@@ -193,6 +193,9 @@ def k22_stream_cooldown(spark, sf_dir):
     found = _events(spark, sf_dir).withColumn("cooldown_sec", F.lit(COOLDOWN_SEC))
     stream = _landed(spark, found, "events", "ts_ms")
     kept = decision_stream.stream_cooldown(stream)
-    return _collected(spark, kept, "kept").select("dedup_key", "ts_ms", "suppressed_count")
+    out = _collected(spark, kept, "kept")
+    return out.select(
+        "dedup_key", "ts_ms", F.col("suppressed_count").cast("int").alias("suppressed_count")
+    )
 
 

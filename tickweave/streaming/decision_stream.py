@@ -17,7 +17,8 @@ from ..params import HealthParams
 class FoldProcessor(StatefulProcessor):
     """Orders a key's rows of the micro-batch by time and feeds them to the fold.
 
-    ``ttl_ms`` drops keys that have been idle, for keys that carry a day.
+    ``ttl_ms`` drops keys that have been idle, for keys that carry a day. It runs on processing time,
+    which keeps a query busy, so it is for continuous triggers only.
     """
 
     def __init__(self, fold, time: str, ties: Sequence[str], columns, ttl_ms: int | None = None):
@@ -59,7 +60,10 @@ def stream_fold(
     base = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
     processor = FoldProcessor(fold, time, ties, df.columns, ttl_ms)
     return df.groupBy(*keys).transformWithStateInPandas(
-        processor, f"{base}, {fold.result}", outputMode="Append", timeMode="ProcessingTime"
+        processor,
+        f"{base}, {fold.result}",
+        outputMode="Append",
+        timeMode="None" if ttl_ms is None else "ProcessingTime",
     )
 
 
@@ -94,8 +98,9 @@ def stream_admissions(
     return stream_fold(requests, AdmissionFold(limit, window_sec), keys, time, ties)
 
 
-def stream_cooldown(events: DataFrame, ttl_ms: int = 2 * 86_400_000) -> DataFrame:
-    """Events kept by their cooldown; keys name their day, so their state expires."""
+def stream_cooldown(events: DataFrame, ttl_ms: int | None = None) -> DataFrame:
+    """Events kept by their cooldown. Keys name their day: a continuous query should pass a
+    ``ttl_ms`` of two days, so that the state of past days goes."""
     decided = stream_fold(
         events, CooldownFold(), ["dedup_key"], "ts_ms", ["event_type"], ttl_ms
     )
