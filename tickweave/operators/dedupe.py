@@ -20,7 +20,6 @@ from ..schema import GAP_KEY, TICK_REQUIRED
 
 ARRIVAL = ("recv_ts_ms", "ingest_ordinal")
 _KEY = ("trading_day", "symbol", "_has_seq", "_seq", "_ts", "_price", "_volume", "_turnover")
-_ROW = (*_KEY, "_alone")
 
 
 def storable(ticks: DataFrame) -> Column:
@@ -39,27 +38,33 @@ def never_duplicate() -> Column:
 
 
 def with_key(ticks: DataFrame, arrival: Sequence[str] = ()) -> DataFrame:
-    """Key columns without NULLs. ``_alone`` is empty but for never-duplicate rows, which carry their
-    arrival there and so differ from every other row."""
-    alone = F.lit("")
-    if arrival:
-        alone = F.when(
-            never_duplicate(), F.concat_ws("|", *[F.col(c).cast("string") for c in arrival])
-        ).otherwise("")
+    """Adds the key columns, none of them NULL.
+
+    Prices and turnovers enter as text: as exact as the double, and without the normalising of
+    floating-point keys that would keep a window and a join from sharing their shuffle (adding zero
+    unites -0.0 and 0.0). With ``arrival``, a never-duplicate row carries its arrival in place of the
+    price and so differs from every other row.
+    """
     has_seq = F.col("seq").isNotNull()
 
     def part(name: str, zero) -> Column:
         return F.when(has_seq, F.lit(zero)).otherwise(F.coalesce(F.col(name), F.lit(zero)))
 
+    def number_text(name: str) -> Column:
+        return F.coalesce((F.col(name) + F.lit(0.0)).cast("string"), F.lit(""))
+
+    price = number_text("price")
+    if arrival:
+        own = F.concat_ws("|", F.lit("alone"), *[F.col(c).cast("string") for c in arrival])
+        price = F.when(never_duplicate(), own).otherwise(price)
     return ticks.select(
         "*",
         has_seq.alias("_has_seq"),
         F.coalesce("seq", F.lit(0)).cast("bigint").alias("_seq"),
         part("ts_ms", 0).cast("bigint").alias("_ts"),
-        part("price", 0.0).alias("_price"),
+        F.when(has_seq, "").otherwise(price).alias("_price"),
         part("volume", 0).cast("bigint").alias("_volume"),
-        part("turnover", 0.0).alias("_turnover"),
-        alone.alias("_alone"),
+        F.when(has_seq, "").otherwise(number_text("turnover")).alias("_turnover"),
     )
 
 
@@ -76,7 +81,7 @@ def dedupe_ticks(ticks: DataFrame, arrival: Sequence[str] = ARRIVAL) -> DataFram
 
 def _first_per_key(ticks: DataFrame, arrival: Sequence[str]) -> DataFrame:
     keyed = with_key(clean_numbers(ticks).where(storable(ticks)), arrival)
-    first = Window.partitionBy(*_ROW).orderBy(*arrival)
+    first = Window.partitionBy(*_KEY).orderBy(*arrival)
     return keyed.withColumn("_rn", F.row_number().over(first)).where("_rn = 1")
 
 
@@ -106,10 +111,10 @@ def new_ticks(
     ``stored`` should already be limited to the touched days. Dedupe and anti join share their key
     columns, hence one shuffle of the new rows; a never-duplicate row meets no stored key.
     """
-    known = with_key(stored.where(~never_duplicate())).select(*_ROW)
+    known = with_key(stored.where(~never_duplicate())).select(*_KEY)
     return (
         _first_per_key(ticks, arrival)
-        .join(known, list(_ROW), "left_anti")
+        .join(known, list(_KEY), "left_anti")
         .select(*ticks.columns)
     )
 

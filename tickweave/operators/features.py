@@ -49,10 +49,25 @@ def tick_sides(ticks: DataFrame, params: MicroParams) -> DataFrame:
         .withColumn("_move", F.nullif(F.signum("price_step"), F.lit(0.0)))
         .withColumn("_inside", F.last("_move", ignorenulls=True).over(upto))
     )
-    ends = moved.groupBy(*scope, "_slice").agg(
-        F.min_by("price", "_rn").alias("_first"),
-        F.max_by("price", "_rn").alias("_last"),
-        F.max_by("_inside", "_rn").alias("_end"),
+    # The slice ends need no ordered pass: the last move of a slice leads from the price that was
+    # last seen second latest to the one last seen. Prices are combined on the map side.
+    place = F.struct(*[c.alias(f"o{n}") for n, c in enumerate(tick_order())])
+    per_price = cut.groupBy(*scope, "_slice", "price").agg(
+        F.min(place).alias("_lo"), F.max(place).alias("_hi")
+    )
+    cell = Window.partitionBy(*scope, "_slice")
+    newest = cell.orderBy(F.col("_hi").desc())
+    ends = (
+        per_price.select(
+            *scope,
+            "_slice",
+            F.row_number().over(newest).alias("_n"),
+            F.col("price").alias("_last"),
+            F.lead("price").over(newest).alias("_other"),
+            F.min_by("price", "_lo").over(cell).alias("_first"),
+        )
+        .where("_n = 1")
+        .withColumn("_end", F.signum(F.col("_last") - F.col("_other")))
     )
     by_slice = Window.partitionBy(*scope).orderBy("_slice")
     edge = F.nullif(F.signum(F.col("_first") - F.lag("_last").over(by_slice)), F.lit(0.0))

@@ -67,28 +67,30 @@ def volume_profile(ticks: DataFrame, params: MicroParams) -> DataFrame:
     )
 
 
-def day_figures(profile: DataFrame) -> DataFrame:
-    """Bins rolled up to one row per day and symbol."""
-    figures = profile.groupBy(*DAY).agg(
-        F.sum("vol").alias("total_volume"),
-        F.sum("turnover").alias("total_turnover"),
-        F.max("high").alias("high"),
-        F.min("low").alias("low"),
-        F.max("last_at").alias("last_at"),
-        F.sum("open_vol").alias("open_vol"),
-        F.max("open_high").alias("open_high"),
-        F.min("open_low").alias("open_low"),
-        F.min("open_first").alias("open_first"),
-        F.max("open_last").alias("open_last"),
-        F.min("confirm_first").alias("confirm_first"),
-        F.max("confirm_last").alias("confirm_last"),
-        F.sum("close_vol").alias("close_vol"),
-        F.max("close_high").alias("close_high"),
-        F.min("close_low").alias("close_low"),
-    )
+def _figure_aggs() -> dict[str, Column]:
+    return {
+        "total_volume": F.sum("vol"),
+        "total_turnover": F.sum("turnover"),
+        "high": F.max("high"),
+        "low": F.min("low"),
+        "last_at": F.max("last_at"),
+        "open_vol": F.sum("open_vol"),
+        "open_high": F.max("open_high"),
+        "open_low": F.min("open_low"),
+        "open_first": F.min("open_first"),
+        "open_last": F.max("open_last"),
+        "confirm_first": F.min("confirm_first"),
+        "confirm_last": F.max("confirm_last"),
+        "close_vol": F.sum("close_vol"),
+        "close_high": F.max("close_high"),
+        "close_low": F.min("close_low"),
+    }
+
+
+def _with_figures(days: DataFrame) -> DataFrame:
     close = F.col("last_at.price")
     span = F.col("high") - F.col("low")
-    return figures.withColumns(
+    return days.withColumns(
         {
             "close": close,
             "open_auc_range": F.col("open_high") - F.col("open_low"),
@@ -98,57 +100,71 @@ def day_figures(profile: DataFrame) -> DataFrame:
     )
 
 
-def value_area(profile: DataFrame, params: MicroParams) -> DataFrame:
-    """POC, VAH and VAL: bins by volume (ties: lower price) until the value-area share is reached."""
-    ranked = Window.partitionBy(*DAY).orderBy(F.col("vol").desc(), "bin")
-    upto = ranked.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+def _ranked(profile: DataFrame, params: MicroParams) -> DataFrame:
+    """Bins with their volume rank, value-area membership and neighbour volumes. Both orderings
+    share one partitioning, and the day aggregation after them needs no further shuffle."""
     whole = Window.partitionBy(*DAY)
+    by_volume = whole.orderBy(F.col("vol").desc(), "bin")
+    by_price = whole.orderBy("bin")
+    upto = by_volume.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     marked = profile.withColumns(
         {
-            "_rank": F.row_number().over(ranked),
+            "_rank": F.row_number().over(by_volume),
             "_before": F.sum("vol").over(upto) - F.col("vol"),
             "_all": F.sum("vol").over(whole),
+            "_lo": F.lag("vol").over(by_price),
+            "_hi": F.lead("vol").over(by_price),
+            "_price": F.col("bin") * params.price_bin,
         }
     )
-    price = F.col("bin") * params.price_bin
     inside = (F.col("_rank") == 1) | (F.col("_before") < F.col("_all") * params.value_area)
-    return marked.groupBy(*DAY).agg(
-        F.max(F.when(F.col("_rank") == 1, price)).alias("poc"),
-        F.max(F.when(inside, price)).alias("vah"),
-        F.min(F.when(inside, price)).alias("val"),
-    )
+    return marked.withColumn("_inside", inside)
 
 
-def volume_nodes(profile: DataFrame, params: MicroParams) -> DataFrame:
-    """High and low volume nodes: strict local extremes against the neighbouring traded bins."""
-    by_price = Window.partitionBy(*DAY).orderBy("bin")
-    near = profile.withColumns(
-        {"_lo": F.lag("vol").over(by_price), "_hi": F.lead("vol").over(by_price)}
-    )
-    node = F.struct(
-        (F.col("bin") * params.price_bin).alias("price"), F.col("vol").alias("vol")
-    )
+def _area_aggs() -> dict[str, Column]:
+    inside = F.when(F.col("_inside"), F.col("_price"))
+    return {
+        "poc": F.max(F.when(F.col("_rank") == 1, F.col("_price"))),
+        "vah": F.max(inside),
+        "val": F.min(inside),
+    }
+
+
+def _node_aggs() -> dict[str, Column]:
+    node = F.struct(F.col("_price").alias("price"), F.col("vol").alias("vol"))
     high = (F.col("vol") > F.col("_lo")) & (F.col("vol") > F.col("_hi"))
     low = (F.col("vol") < F.col("_lo")) & (F.col("vol") < F.col("_hi"))
-    return near.groupBy(*DAY).agg(
-        F.sort_array(F.collect_list(F.when(high, node))).alias("hvn"),
-        F.sort_array(F.collect_list(F.when(low, node))).alias("lvn"),
-    )
+    return {
+        "hvn": F.sort_array(F.collect_list(F.when(high, node))),
+        "lvn": F.sort_array(F.collect_list(F.when(low, node))),
+    }
 
 
-def levels_daily(profile: DataFrame, params: MicroParams) -> DataFrame:
-    """One row per day and symbol; ``hvn`` and ``lvn`` are node arrays.
+def _per_day(rows: DataFrame, *aggs: dict[str, Column]) -> DataFrame:
+    merged = {k: v for part in aggs for k, v in part.items()}
+    return rows.groupBy(*DAY).agg(*[v.alias(k) for k, v in merged.items()])
 
-    The three reads of the profile partition by the same keys, so the joins add no shuffle of their
-    own beyond the profile's.
-    """
-    figures = day_figures(profile).select(
-        *DAY, "total_volume", "total_turnover", "open_auc_range", "close_auc_range",
-        "close_strength_score", "high", "low", "close", "open_vol", "close_vol",
+
+def day_figures(profile: DataFrame) -> DataFrame:
+    """Bins rolled up to one row per day and symbol."""
+    return _with_figures(_per_day(profile, _figure_aggs()))
+
+
+def value_area(profile: DataFrame, params: MicroParams) -> DataFrame:
+    """POC, VAH and VAL: bins by volume (ties: lower price) until the value-area share is reached."""
+    return _per_day(_ranked(profile, params), _area_aggs())
+
+
+def volume_nodes(profile: DataFrame, params: MicroParams) -> DataFrame:
+    """High and low volume nodes: strict local extremes against the neighbouring traded bins."""
+    return _per_day(_ranked(profile, params), _node_aggs())
+
+
+def levels_daily(profile: DataFrame, params: MicroParams) -> DataFrame:
+    """One row per day and symbol; ``hvn`` and ``lvn`` are node arrays. One pass over the profile."""
+    days = _per_day(_ranked(profile, params), _area_aggs(), _node_aggs(), _figure_aggs())
+    return _with_figures(days).select(
+        *DAY, "poc", "vah", "val", "hvn", "lvn", "total_volume", "total_turnover",
+        "open_auc_range", "close_auc_range", "close_strength_score", "high", "low", "close",
+        "open_vol", "close_vol", F.lit(params.calc_version).alias("calc_version"),
     )
-    return (
-        value_area(profile, params)
-        .join(volume_nodes(profile, params), DAY)
-        .join(figures, DAY)
-        .withColumn("calc_version", F.lit(params.calc_version))
-    )
