@@ -36,18 +36,24 @@ def export_vendor_csv(
     Rows are ranged by (day, symbol, time), so a busy symbol is cut over several tasks; its files
     read in name order give the total order ``ts_ms, seq (missing as -1), ordinal``.
     """
-    order = ["trading_day", "symbol", "ts_ms", "_seq_order", ordinal]
+    # folder columns lead the order and are never NULL: otherwise the writer would sort by them again
+    # and lose the order of the rows
+    order = ["trading_day", "file", "symbol", "ts_ms", "_seq_order", ordinal]
     ranged = (
         ticks.where(F.coalesce("symbol", F.lit("")) != "")
-        .withColumn("_seq_order", F.coalesce("seq", F.lit(-1)))
+        .withColumns(
+            {
+                "trading_day": F.coalesce("trading_day", F.lit("")),
+                "file": F.coalesce(text.file_stem("symbol"), F.lit("UNKNOWN")),
+                "_seq_order": F.coalesce("seq", F.lit(-1)),
+            }
+        )
         .repartitionByRange(*order)
         .sortWithinPartitions(*order)
     )
-    rows = ranged.select(
-        "trading_day", text.file_stem("symbol").alias("file"), *_vendor_exprs(tz)
-    )
     (
-        rows.write.mode("overwrite")
+        ranged.select("trading_day", "file", *_vendor_exprs(tz))
+        .write.mode("overwrite")
         .option("header", True)
         .option("emptyValue", "")
         .partitionBy("trading_day", "file")

@@ -6,17 +6,21 @@ replayed micro-batch adds nothing. One writer per table is assumed.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import dedupe
 from ..schema import DAILY_QUALITY, GAPS, MANIFEST, TICKS, TICK_COLUMNS, conform, empty
 
+# a missing table is a normal answer here, not worth a logged stack trace
+logging.getLogger("SQLQueryContextLogger").setLevel(logging.CRITICAL)
+
 MAX_LISTED_DAYS = 1000
 ROWS_PER_FILE = 20_000_000
 
@@ -56,7 +60,9 @@ def write_days(
 ) -> None:
     """Write by trading day. The rebalance lets AQE merge small days into few files and split a day
     that holds much of the data over many tasks; the sort gives readers tight min/max ranges."""
-    out = df.hint("rebalance", "trading_day")
+    # a partition column that may be NULL would make the writer sort again and lose this order
+    out = df.withColumn("trading_day", F.coalesce("trading_day", F.lit("")))
+    out = out.hint("rebalance", "trading_day")
     if sort:
         out = out.sortWithinPartitions("trading_day", *sort)
     (
@@ -111,27 +117,28 @@ class TickStore:
     def has_gaps(self) -> bool:
         return table_exists(self.spark, self.gaps_path, GAPS)
 
-    def _touched(self, batch: DataFrame, table: DataFrame) -> DataFrame:
-        """Only the partitions a batch can collide with. A batch over very many days skips the
-        listing and reads the whole key columns."""
+    def _touched(self, batch: DataFrame) -> Column:
+        """Condition for the partitions a batch can collide with. A batch over very many days is not
+        listed and reads the key columns of the whole table."""
         listed = batch.select("trading_day").distinct().limit(MAX_LISTED_DAYS + 1).collect()
         if len(listed) > MAX_LISTED_DAYS:
-            return table
-        return table.where(F.col("trading_day").isin([r[0] for r in listed if r[0] is not None]))
+            return F.lit(True)
+        return F.col("trading_day").isin([r[0] for r in listed if r[0] is not None])
 
     def append_ticks(
         self, batch: DataFrame, arrival: Sequence[str] = dedupe.ARRIVAL
     ) -> LoadResult:
-        """Insert-or-ignore. Counts come from observed metrics of the one write job."""
-        offered, added = Observation(), Observation()
-        seen = batch.observe(offered, F.count(F.lit(1)).alias("n"))
-        fresh = dedupe.new_ticks(seen, self._touched(batch, self.ticks()), arrival)
-        out = conform(fresh, TICKS).observe(added, F.count(F.lit(1)).alias("n"))
-        write_days(out, self.ticks_path, sort=("symbol", "ts_ms"))
-        return LoadResult(int(offered.get["n"] or 0), int(added.get["n"] or 0))
+        """Insert-or-ignore. The stored counts before and after come from file footers."""
+        touched = self._touched(batch)
+        stored = self.ticks().where(touched)
+        before = stored.count()
+        fresh = dedupe.new_ticks(batch, stored, arrival)
+        write_days(conform(fresh, TICKS), self.ticks_path, sort=("symbol", "ts_ms"))
+        added = self.ticks().where(touched).count() - before
+        return LoadResult(batch.count(), added)
 
     def append_gaps(self, gaps: DataFrame) -> None:
-        fresh = dedupe.new_gaps(gaps, self._touched(gaps, self.gaps()))
+        fresh = dedupe.new_gaps(gaps, self.gaps().where(self._touched(gaps)))
         write_days(conform(fresh, GAPS), self.gaps_path, sort=("symbol", "gap_start_ts_ms"))
 
     def upsert_daily_quality(self, rows: DataFrame) -> None:
