@@ -16,6 +16,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQue
 from ..operators import dedupe
 from ..params import QualityParams
 from ..session import ROCKSDB_PROVIDER, utc
+from ..sources.feed import with_ingest_ordinal
 from ..sources.store import LoadResult, TickStore
 from .gap_stream import stream_gaps
 
@@ -42,13 +43,15 @@ def load_ticks(
     poll_baseline_days: int | None = None,
     observer: Observer | None = None,
 ) -> StreamingQuery:
-    """Load a stream of ticks. ``ticks`` carries ``ingest_ordinal``.
+    """Load a stream of ticks. Without an ``ingest_ordinal`` rows are numbered in each batch.
 
     With ``poll_baseline_days`` polled rows at or below the highest stored seq of those newest days
     are dropped first. ``observer`` hears the counts of each committed batch.
     """
 
     def load(batch: DataFrame, epoch: int) -> None:
+        if "ingest_ordinal" not in batch.columns:
+            batch = with_ingest_ordinal(batch)
         batch.persist()
         try:
             rows = batch
