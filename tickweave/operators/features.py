@@ -186,14 +186,27 @@ def with_gates(features: DataFrame, params: MicroParams) -> DataFrame:
     """Trailing percentiles of each feature over the short and long lookback, without the current
     bucket; NULL with too little history.
 
-    All frames share one partitioning and ordering. A partition is one symbol's buckets, so its size
-    is bounded by time over bucket length whatever the tick count.
+    All frames share one partitioning and ordering. A symbol's time axis is cut into slices, and the
+    buckets a later slice looks back on are copied into it, so a partition holds a bounded number of
+    buckets however long the history is.
     """
-    order = Window.partitionBy("symbol").orderBy("ts_min_ms")
+    halo_ms = max(params.long_ms, params.short_ms) + params.compress_ms
+    slice_ms = max(86_400_000, halo_ms)
+    own = F.floor(F.col("ts_min_ms") / slice_ms)
+    near_end = F.col("ts_min_ms") >= (F.col("_own") + 1) * slice_ms - halo_ms
+    spread = features.withColumn("_own", own).withColumn(
+        "_slice",
+        F.explode(
+            F.when(near_end, F.array(F.col("_own"), F.col("_own") + 1)).otherwise(
+                F.array(F.col("_own"))
+            )
+        ),
+    )
+    order = Window.partitionBy("symbol", "_slice").orderBy("ts_min_ms")
     short = order.rangeBetween(-params.short_ms, -1)
     long = order.rangeBetween(-params.long_ms, -1)
     recent = order.rangeBetween(-(params.compress_ms - params.bucket_ms), 0)
-    ranged = features.withColumn(
+    ranged = spread.withColumn(
         "recent_range", F.max("high").over(recent) - F.min("low").over(recent)
     )
 
@@ -226,14 +239,15 @@ def with_gates(features: DataFrame, params: MicroParams) -> DataFrame:
         "range_compress": ("_rng", 0),
         "ticks_compress": ("_tck", 0),
     }
-    out = gated.withColumns({k: F.col(c)[i] for k, (c, i) in pick.items()})
+    mine = gated.where(F.col("_slice") == F.col("_own"))
+    out = mine.withColumns({k: F.col(c)[i] for k, (c, i) in pick.items()})
     ratio = lambda a, b: F.when(F.col(b) > 0, F.col(a) / F.col(b))
     return out.withColumns(
         {
             "compression_score": ratio("recent_range", "range_compress"),
             "release_score": ratio("impact", "impact_init"),
         }
-    ).drop("_ret", "_imp", "_vol", "_vac", "_rng", "_tck")
+    ).drop("_ret", "_imp", "_vol", "_vac", "_rng", "_tck", "_own", "_slice")
 
 
 def latest_features(features: DataFrame, symbol: str, n: int = 120) -> DataFrame:

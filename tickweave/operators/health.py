@@ -319,6 +319,20 @@ def daily_digest(health: DataFrame, alerts: DataFrame | None = None) -> DataFram
     )
 
 
+def digest_due(emissions: DataFrame, params: HealthParams) -> DataFrame:
+    """The snapshot that brings a day's digest: the first one shown as OK after the close."""
+    local = F.col("created_at_ms")
+    after_close = (clock.second_of_day(local, params.tz) >= clock.CLOSE_SEC) & (
+        clock.weekday(local, params.tz) < 5
+    )
+    shown = F.col("emitted") & (F.col("severity") == "OK")
+    return (
+        emissions.where(shown & (F.col("market_mode") == "after-hours") & after_close)
+        .groupBy("instance", "trading_day")
+        .agg(F.min("created_at_ms").alias("due_at_ms"))
+    )
+
+
 def alert_counts(alerts: DataFrame, n: int = 5) -> DataFrame:
     """Most frequent codes per day, leaving out OK; ties by code."""
     counted = (

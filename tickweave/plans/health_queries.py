@@ -270,8 +270,7 @@ def i9_alert_recoveries(spark, sf_dir):
     return digest.select("trading_day", "alert_count", "recovered_count").distinct()
 
 
-@query(
-    "i11_health_emission",
+EMISSION_SQL = (
     q.w(H, RUNS, ASSESS).replace("WITH ", "WITH RECURSIVE ", 1).rstrip()
     + """,
 num AS (SELECT instance, created_at_ms, trading_day, mode,
@@ -298,13 +297,31 @@ FROM (SELECT *, reason NOT IN ('preopen_once', 'lunch_once', 'after_hours_once',
         THEN lower(n.sev) || '_cadence'
       ELSE lower(n.sev) || '_cooldown' END AS reason
   FROM fold f JOIN num n ON n.instance = f.instance AND n.i = f.i + 1)))
-SELECT instance, tm AS created_at_ms, reason, emitted FROM fold WHERE i > 0""",
+"""
+)
+
+
+@query(
+    "i11_health_emission",
+    EMISSION_SQL
+    + """SELECT instance, tm AS created_at_ms, reason, emitted FROM fold WHERE i > 0""",
 )
 def i11_health_emission(spark, sf_dir):
     out = folds.health_emissions(_assessed(spark, sf_dir), P)
     return out.select("instance", "created_at_ms", "reason", "emitted")
 
 
+@query(
+    "e17_digest_due",
+    EMISSION_SQL
+    + f"""SELECT instance, {q.day("tm")} AS trading_day, min(tm) AS due_at_ms FROM fold
+WHERE i > 0 AND emitted AND sev = 'OK' AND mode = 'after-hours' AND isodow({q.local("tm")}) < 6
+  AND {q.msod("tm")} >= 57600000 GROUP BY 1, 2""",
+)
+def e17_digest_due(spark, sf_dir):
+    return health.digest_due(folds.health_emissions(_assessed(spark, sf_dir), P), P)
+
+
 @query(
     "i12_admission",
     """WITH RECURSIVE num AS (SELECT event_type, event_id, epoch_us(ts) // 1000 AS tm,

@@ -22,7 +22,7 @@ from ..schema import DAILY_QUALITY, GAPS, MANIFEST, TICKS, TICK_COLUMNS, conform
 logging.getLogger("SQLQueryContextLogger").setLevel(logging.CRITICAL)
 
 MAX_LISTED_DAYS = 1000
-ROWS_PER_FILE = 20_000_000
+ROWS_PER_FILE = 4_000_000  # keeps files near 100 MB, so a checksum task can hold one
 
 
 @dataclass(frozen=True)
