@@ -97,7 +97,7 @@ _ZONED = r":\d{2}(\.\d+)?(Z|[+-]\d{2}(:?\d{2})?)$"
 def _padded_day(day: Column) -> Column:
     """A compact day with optional one-digit month and day, as yyyyMMdd; NULL where it is none."""
     part = lambda i: F.regexp_extract(day, _DAY_PARTS, i)
-    return F.when(
+    return F.when(F.length(day) == 8, day).when(
         day.rlike(_DAY_PARTS),
         F.concat(part(1), F.lpad(part(2), 2, "0"), F.lpad(part(3), 2, "0")),
     )
@@ -126,18 +126,29 @@ def with_time(
             "_now": now_ms.cast("bigint"),
             "_text": F.trim(value),
             "_number_row": number_row,
-            "_day8": _padded_day(F.coalesce(normalize_day(day), trading_day(now_ms, tz))),
+            "_given": normalize_day(day),
         }
     )
     text = F.col("_text")
+    dated = (F.instr(text, "-") > 0) | (F.instr(text, "/") > 0) | (F.instr(text, " ") > 0)
     staged = staged.withColumns(
         {
             "_digits": text.rlike(r"^\d+$"),
             "_iso": F.when(
-                text.rlike("[-/ ]") & ~F.col("_number_row"),
-                F.replace(text, F.lit("T"), F.lit(" ")),
+                dated & ~F.col("_number_row"), F.replace(text, F.lit("T"), F.lit(" "))
             ),
-            "_num": F.when(text.rlike(r"^\d+$"), text.try_cast("bigint")),
+        }
+    )
+    short = F.col("_digits") & (F.length(text) <= 6)
+    bare_clock = ~F.col("_digits") & F.col("_iso").isNull() & ~F.col("_number_row")
+    staged = staged.withColumns(
+        {
+            "_num": F.when(F.col("_digits"), text.try_cast("bigint")),
+            "_day8": F.when(
+                short | bare_clock,
+                _padded_day(F.coalesce("_given", trading_day("_now", tz))),
+            ),
+            "_is_zoned": F.col("_iso").rlike(_ZONED),
         }
     )
     six = F.when(F.length(text) <= 6, F.lpad(text, 6, "0"))
@@ -157,14 +168,9 @@ def with_time(
                     F.col("_num") * 1000
                 ),
             ),
-            "_zoned": F.when(F.col("_iso").rlike(_ZONED), F.col("_iso")),
-            "_local": F.when(
-                ~F.col("_iso").rlike(_ZONED), F.replace("_iso", F.lit("/"), F.lit("-"))
-            ),
-            "_clock": F.when(
-                ~F.col("_digits") & F.col("_iso").isNull() & ~F.col("_number_row"),
-                F.concat_ws(" ", F.col("_day8"), text),
-            ),
+            "_zoned": F.when(F.col("_is_zoned"), F.col("_iso")),
+            "_local": F.when(~F.col("_is_zoned"), F.replace("_iso", F.lit("/"), F.lit("-"))),
+            "_clock": F.when(bare_clock, F.concat_ws(" ", F.col("_day8"), text)),
         }
     )
     wall = F.coalesce(
@@ -181,8 +187,8 @@ def with_time(
     # pushed below these steps and would repeat the whole parse inside one huge predicate
     staged = staged.select("*", F.inline(F.array(F.struct(parsed.alias("_parsed")))))
     return staged.withColumn(out, repair_zone_shift(F.col("_parsed"), F.col("_now"))).drop(
-        "_now", "_text", "_number_row", "_day8", "_digits", "_iso", "_num", "_compact", "_epoch",
-        "_zoned", "_local", "_clock", "_parsed",
+        "_now", "_text", "_number_row", "_given", "_day8", "_digits", "_iso", "_is_zoned", "_num",
+        "_compact", "_epoch", "_zoned", "_local", "_clock", "_parsed",
     )
 
 

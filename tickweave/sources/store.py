@@ -117,28 +117,32 @@ class TickStore:
     def has_gaps(self) -> bool:
         return table_exists(self.spark, self.gaps_path, GAPS)
 
-    def _touched(self, batch: DataFrame) -> Column:
-        """Condition for the partitions a batch can collide with. A batch over very many days is not
-        listed and reads the key columns of the whole table."""
-        listed = batch.select("trading_day").distinct().limit(MAX_LISTED_DAYS + 1).collect()
+    def _touched(self, batch: DataFrame) -> tuple[Column, int | None]:
+        """Condition for the partitions a batch can collide with, and the batch's row count. A batch
+        over very many days is not listed: it reads the key columns of the whole table."""
+        days = batch.groupBy("trading_day").agg(F.count(F.lit(1)).alias("n"))
+        listed = days.limit(MAX_LISTED_DAYS + 1).collect()
         if len(listed) > MAX_LISTED_DAYS:
-            return F.lit(True)
-        return F.col("trading_day").isin([r[0] for r in listed if r[0] is not None])
+            return F.lit(True), None
+        known = [r["trading_day"] for r in listed if r["trading_day"] is not None]
+        return F.col("trading_day").isin(known), sum(r["n"] for r in listed)
 
     def append_ticks(
         self, batch: DataFrame, arrival: Sequence[str] = dedupe.ARRIVAL
     ) -> LoadResult:
         """Insert-or-ignore. The stored counts before and after come from file footers."""
-        touched = self._touched(batch)
+        touched, offered = self._touched(batch)
         stored = self.ticks().where(touched)
         before = stored.count()
-        fresh = dedupe.new_ticks(batch, stored, arrival)
+        fresh = dedupe.new_ticks(batch, stored, arrival) if before else dedupe.dedupe_ticks(
+            batch, arrival
+        )
         write_days(conform(fresh, TICKS), self.ticks_path, sort=("symbol", "ts_ms"))
         added = self.ticks().where(touched).count() - before
-        return LoadResult(batch.count(), added)
+        return LoadResult(batch.count() if offered is None else offered, added)
 
     def append_gaps(self, gaps: DataFrame) -> None:
-        fresh = dedupe.new_gaps(gaps, self.gaps().where(self._touched(gaps)))
+        fresh = dedupe.new_gaps(gaps, self.gaps().where(self._touched(gaps)[0]))
         write_days(conform(fresh, GAPS), self.gaps_path, sort=("symbol", "gap_start_ts_ms"))
 
     def upsert_daily_quality(self, rows: DataFrame) -> None:
