@@ -169,22 +169,6 @@ def a6_daily_quality_upsert(spark, sf_dir):
     return store.daily_quality().drop("symbols_json")
 
 
-@query("a7_report_json")
-def a7_report_json(spark, sf_dir):
-    """The nested report written per day and read back."""
-    ticks = derived.event_ticks(spark, sf_dir)
-    path = shared_folder(spark, "reports")
-    report = quality.daily_report(
-        ticks, _gaps(spark, sf_dir), derived.SPARSE_QUALITY, derived.NOW_MS
-    )
-    schema = quality.nested_report(report).schema
-    quality.write_reports(report, path)
-    back = spark.read.schema(schema).json(path)
-    return back.select(
-        "trading_day", "volume.total_rows", "gaps.hard_gaps_total", "conclusion.quality_grade"
-    )
-
-
 @query(
     "a8_gaps_csv",
     q.w(q.EV, q.POINTS, q.GAPS)

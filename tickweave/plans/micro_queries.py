@@ -525,10 +525,22 @@ def k24_latest_features(spark, sf_dir):
     )
 
 
-@query("k24_event_payloads")
+@query(
+    "k24_event_payloads",
+    BASE
+    + """SELECT ts_min_ms AS ts_ms, symbol, round(impact, 6) AS impact, round(impact_init, 6) AS impact_gate,
+  round(abs_return, 6) AS abs_return, in_value_area, coalesce(n_cross, 0) > 0 AS crossed_lvn
+FROM ctx LEFT JOIN anycross USING (symbol, ts_min_ms) WHERE initiation""",
+)
 def k24_event_payloads(spark, sf_dir):
-    """Evidence texts of all events."""
-    return _events(spark, sf_dir).select("ts_ms", "event_type", "dedup_key", "payload_json")
+    """The evidence read back from the payload of initiations."""
+    found = _events(spark, sf_dir).where(F.col("event_type").startswith("INITIATION"))
+    schema = (
+        "impact double, impact_gate double, abs_return double, in_value_area int, "
+        "crossed_lvn boolean"
+    )
+    read = found.select("ts_ms", "symbol", F.from_json("payload_json", schema).alias("p"))
+    return _rounded(read.select("ts_ms", "symbol", "p.*"), 6, "impact", "impact_gate", "abs_return")
 
 
 @query(

@@ -7,6 +7,7 @@ import dataclasses
 from pyspark.sql import functions as F
 
 from ..operators import gaps, quality
+from ..session import shared_folder
 from ..sources import derived
 from . import sqltext as q
 from .catalog import query
@@ -205,10 +206,63 @@ def j1_daily_report(spark, sf_dir):
     )
 
 
-@query("j1_report_top_lists")
+@query(
+    "a7_report_json",
+    f"SELECT trading_day, total_rows, hard_gaps_total, quality_grade FROM ({REPORT_SQL})",
+)
+def a7_report_json(spark, sf_dir):
+    """The nested report written per day and read back."""
+    path = shared_folder(spark, "reports")
+    report = _report(spark, sf_dir)
+    quality.write_reports(report, path)
+    back = spark.read.schema(quality.nested_report(report).schema).json(path)
+    return back.select(
+        "trading_day", "volume.total_rows", "gaps.hard_gaps_total", "conclusion.quality_grade"
+    )
+
+
+@query(
+    "j1_report_top_lists",
+    q.w(q.EV, q.POINTS, q.GAPS, q.DAY_POINTS, q.STALLS)
+    + f""", s AS (SELECT trading_day, symbol, count(*) AS n, max(ts_ms) AS t FROM ev GROUP BY 1, 2),
+g AS (SELECT trading_day, symbol, count(*) AS n, sum(gap_ms)::BIGINT AS t FROM gaps GROUP BY 1, 2)
+SELECT trading_day, 'rows' AS list, symbol, n, {q.clock("t")} AS detail,
+  row_number() OVER (PARTITION BY trading_day ORDER BY n DESC, symbol)::INTEGER AS rank FROM s
+UNION ALL SELECT trading_day, 'gaps', symbol, n, (t / 1000.0)::DECIMAL(18, 3)::VARCHAR,
+  row_number() OVER (PARTITION BY trading_day ORDER BY n DESC, symbol)::INTEGER FROM g
+UNION ALL SELECT trading_day, 'stalls', symbol, delta_ms, {q.clock("stall_start_ts_ms")},
+  row_number() OVER (PARTITION BY trading_day ORDER BY delta_ms DESC, symbol, stall_start_ts_ms)::INTEGER
+  FROM stalls""",
+)
 def j1_report_top_lists(spark, sf_dir):
-    return _report(spark, sf_dir).select(
-        "trading_day", F.to_json(F.struct("rows_per_symbol", "gaps_by_symbol")).alias("lists")
+    """The three top lists of each day's report, flattened."""
+    report = _report(spark, sf_dir)
+
+    def flat(column, name, n, detail):
+        rows = report.select("trading_day", F.inline(column))
+        return rows.select(
+            "trading_day", F.lit(name).alias("list"), "symbol", n.cast("bigint").alias("n"),
+            detail.alias("detail"), "rank",
+        )
+
+    return (
+        flat("rows_per_symbol", "rows", F.col("rows"), F.col("latest_local"))
+        .unionByName(
+            flat(
+                "gaps_by_symbol",
+                "gaps",
+                F.col("gaps"),
+                F.col("total_gap_sec").cast("decimal(18,3)").cast("string"),
+            )
+        )
+        .unionByName(
+            flat(
+                "soft_stalls",
+                "stalls",
+                F.round(F.col("stall_sec") * 1000),
+                F.col("stall_start_local"),
+            )
+        )
     )
 
 

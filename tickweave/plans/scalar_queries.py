@@ -408,7 +408,10 @@ def b21_ratios(spark, sf_dir):
     )
 
 
-@query("a17_log_source")
+@query(
+    "a17_log_source",
+    q.w(LOG_SQL) + "SELECT split_part(line, ' ', 1) AS level, count(*) AS lines FROM logs GROUP BY 1",
+)
 def a17_log_source(spark, sf_dir):
     """Lines written as text files and read back by the log source."""
     from ..session import shared_folder
