@@ -158,6 +158,9 @@ def test_archive_and_retention(store, make_ticks, spark):
     assert archive.verify_checksums(spark, root).where("NOT checksum_ok").count() == 0
     none = archive.expired_days(store.ticks(), manifest.where("trading_day > '20260215'"), 0)
     assert [r[0] for r in none.collect()] == ["20260216"]  # the other day is not verified
+    assert archive.delete_expired(store, manifest, 1) == ["20260215"]
+    assert [r[0] for r in store.recent_trading_days(5).collect()] == ["20260216"]
+    assert archive.archived_ticks(spark, root).count() == 6
 
 
 def test_changed_archive_fails(store, make_ticks, spark):

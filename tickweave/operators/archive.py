@@ -122,6 +122,20 @@ def expired_days(ticks: DataFrame, manifest: DataFrame, keep_days: int) -> DataF
     return verified_days(older, manifest)
 
 
+def delete_expired(store, manifest: DataFrame, keep_days: int) -> list[str]:
+    """Delete the day folders chosen by ``expired_days`` and name them. Opt-in: nothing else deletes.
+
+    Only day names are brought to the driver; a day is one folder below the tick table.
+    """
+    days = sorted(r[0] for r in expired_days(store.ticks(), manifest, keep_days).collect())
+    jvm = store.spark._jvm
+    conf = store.spark._jsparkSession.sessionState().newHadoopConf()
+    for day in days:
+        path = jvm.org.apache.hadoop.fs.Path(f"{store.ticks_path}/trading_day={day}")
+        path.getFileSystem(conf).delete(path, True)
+    return days
+
+
 def pending_days(requested: DataFrame, done: DataFrame, *, force: bool = False) -> DataFrame:
     """Requested days without a completion mark; ``force`` takes them all."""
     if force:

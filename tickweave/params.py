@@ -62,7 +62,7 @@ class QualityParams:
     stall_warn_sec: float = 30.0
     tz: str = DEFAULT_TZ
     sessions: str = DEFAULT_SESSIONS
-    slice_ms: int = 600_000
+    slice_ms: int = 1_800_000
 
     @property
     def session_list(self) -> tuple[Session, ...]:

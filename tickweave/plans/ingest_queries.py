@@ -85,16 +85,16 @@ def a2_day_scan(spark, sf_dir):
 @query(
     "a3_append_ticks",
     q.w(q.RESENT, q.KEPT)
-    + """SELECT trading_day, count(*) AS rows, count(seq) AS with_seq, min(recv_ts_ms) AS first_recv,
-  max(recv_ts_ms) AS last_recv FROM kept GROUP BY 1""",
+    + f"""SELECT trading_day, count(*) AS rows, count(seq) AS with_seq, min(recv_ts_ms) AS first_recv,
+  max(recv_ts_ms) AS last_recv
+FROM (SELECT trading_day, seq, recv_ts_ms FROM kept
+  UNION ALL SELECT trading_day, seq, recv_ts_ms FROM ev0 WHERE {q.ALONE}) GROUP BY 1""",
 )
 def a3_append_ticks(spark, sf_dir):
-    """Two loads: the ticks, then all of them again with the re-sent copies. Rows that never count
-    as duplicates are kept out of the second load."""
+    """Two loads: the ticks, then all of them again with the re-sent copies. Only rows that never
+    count as duplicates come in a second time."""
     store = _loaded_store(spark, sf_dir)
-    again = derived.event_ticks(spark, sf_dir, resent=True)
-    stored_once = dedupe.never_duplicate() & (F.col("ingest_ordinal") % 2 == 0)
-    store.append_ticks(again.where(~stored_once))
+    store.append_ticks(derived.event_ticks(spark, sf_dir, resent=True))
     return store.ticks().groupBy("trading_day").agg(
         F.count(F.lit(1)).alias("rows"),
         F.count("seq").alias("with_seq"),

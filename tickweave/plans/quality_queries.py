@@ -278,7 +278,7 @@ SELECT trading_day, CASE WHEN n <= 0 THEN 'D' WHEN largest > 120 OR total > 900
   AS quality_grade FROM z""",
 )
 def j2_grade(spark, sf_dir):
-    """The grade over made-up gap figures of each lineitem day."""
+    """The grade over figures taken from the traded volumes of each lineitem day."""
     per_day = derived.lineitem_ticks(spark, sf_dir).groupBy("trading_day").agg(
         F.count(F.lit(1)).alias("n"),
         F.sum("volume").alias("s"),

@@ -21,6 +21,14 @@ GAP_PARAMS = derived.SPARSE_QUALITY
 FILES_PER_STEP = 4
 
 
+def _session(spark):
+    """On one machine a state store per core is enough; a cluster keeps its own setting."""
+    if spark.sparkContext.master.startswith("local"):
+        cores = spark.sparkContext.defaultParallelism
+        spark.conf.set("spark.sql.shuffle.partitions", str(cores))
+    return ingest.streaming_session(spark)
+
+
 def _landed(spark, df, name, order, parts=3):
     """A landing folder filled in ``order``, and a stream that takes one arrival step at a time."""
     path = shared_folder(spark, name)
@@ -60,7 +68,7 @@ FROM kept GROUP BY 1""",
 )
 def i2_stream_load(spark, sf_dir):
     """Ticks with re-sent copies streamed into the day table."""
-    ingest.streaming_session(spark)
+    _session(spark)
     ticks = derived.event_ticks(spark, sf_dir, resent=True)
     stream = _landed(spark, ticks, "landing", "recv_ts_ms")
     store = TickStore(spark, shared_folder(spark, "store"))
@@ -78,7 +86,7 @@ def i2_stream_load(spark, sf_dir):
 )
 def i1_paced_load(spark, sf_dir):
     """Micro-batches limited by files and paced by a processing-time trigger."""
-    ingest.streaming_session(spark)
+    _session(spark)
     stream = _landed(spark, derived.event_ticks(spark, sf_dir), "landing", "recv_ts_ms")
     store = TickStore(spark, shared_folder(spark, "store"))
     running = ingest.load_ticks(
@@ -97,7 +105,7 @@ def i1_paced_load(spark, sf_dir):
 )
 def i3_stream_gaps(spark, sf_dir):
     """Live gap detection over ordered arrival equals the batch form."""
-    ingest.streaming_session(spark)
+    _session(spark)
     stream = _landed(spark, derived.event_ticks(spark, sf_dir), "landing", "ts_ms")
     store = TickStore(spark, shared_folder(spark, "store"))
     _finish(
@@ -127,7 +135,7 @@ ev AS (SELECT third.* FROM third WHERE step = 0
 )
 def i5_late_ticks(spark, sf_dir):
     """Arrival out of time order, every third tick first: late ticks change no gap found before."""
-    ingest.streaming_session(spark)
+    _session(spark)
     ticks = derived.event_ticks(spark, sf_dir)
     mixed = ticks.withColumn("step", F.floor(F.col("ingest_ordinal") / 2) % 3)
     stream = _landed(spark, mixed, "landing", "step")
@@ -148,7 +156,7 @@ FROM r, wm GROUP BY 1, 2 HAVING b + 3600000 <= any_value(wm)""",
 )
 def i7_stream_features(spark, sf_dir):
     """Buckets closed by the watermark."""
-    ingest.streaming_session(spark)
+    _session(spark)
     stream = _landed(spark, derived.event_ticks(spark, sf_dir), "landing", "ts_ms")
     out = features.streaming_features(stream, MICRO_PARAMS)
     return _collected(spark, out, "features").select(
@@ -167,7 +175,7 @@ GROUP BY ALL""",
 )
 def d4_stream_recent_keys(spark, sf_dir):
     """Re-sent seq-less ticks dropped within ten minutes of receive time."""
-    ingest.streaming_session(spark)
+    _session(spark)
     ticks = derived.event_ticks(spark, sf_dir, resent=True)
     stream = _landed(spark, ticks, "landing", "recv_ts_ms")
     kept = _collected(spark, ingest.drop_recent_repeats(stream), "kept")
@@ -190,7 +198,7 @@ STREAM_DEDUPE_SQL = (
 )
 def i8_stream_alerts(spark, sf_dir):
     """Alert decisions on keyed state; incidents run on over days."""
-    ingest.streaming_session(spark)
+    _session(spark)
     stream = _landed(spark, derived.alerts(spark, sf_dir), "alerts", "created_at_ms")
     decided = decision_stream.stream_alerts(stream, HEALTH_PARAMS)
     return _collected(spark, decided, "decided").select("fingerprint", "ord", "reason", "emitted")
@@ -210,7 +218,7 @@ def i8_alerts_over_days(spark, sf_dir):
 @query("k22_stream_cooldown", COOLED_SQL)
 def k22_stream_cooldown(spark, sf_dir):
     """Event cooldown on keyed state."""
-    ingest.streaming_session(spark)
+    _session(spark)
     found = _events(spark, sf_dir).withColumn("cooldown_sec", F.lit(COOLDOWN_SEC))
     stream = _landed(spark, found, "events", "ts_ms")
     kept = decision_stream.stream_cooldown(stream)
