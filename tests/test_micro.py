@@ -121,3 +121,30 @@ def test_bad_levels_mode(make_ticks):
         features.with_levels(feats, lev, dataclasses.replace(P, levels_mode="x"))
     placed = features.with_levels(feats, lev, P)
     assert placed.where("in_value_area + above_vah + below_val <> 1").count() == 0
+
+
+def test_micro_tables_by_day(spark, make_ticks):
+    from tickweave.plans import commands
+    from tickweave.session import shared_folder
+    from tickweave.sources.store import TickStore
+
+    rnd = random.Random(8)
+    rows = []
+    for day in ("20260216", "20260217"):
+        price = 10.0
+        for i in range(1500):
+            price = round(max(5.0, price + rnd.choice([-0.05, 0, 0, 0.05])), 2)
+            ts = hk_ms(day, "09:30:00") + i * 6000
+            rows.append(tick("A", day, ts, i, price, rnd.randrange(1, 50), None, direction=None))
+    store = TickStore(spark, shared_folder(spark, "store"))
+    store.append_ticks(make_ticks(rows))
+    commands.build_micro_tables(store, P, 1)
+    read = lambda n: sorted(
+        map(str, commands.micro_table(store, n).drop("hvn", "lvn").collect())
+    )
+    first = {n: read(n) for n in ("features_1m", "levels_daily", "events")}
+    assert len(first["levels_daily"]) == 2 and len(first["events"]) > 0
+    commands.build_micro_tables(store, P, 1, ["20260217"], history=["20260216"])
+    assert {n: read(n) for n in first} == first
+    keys = commands.micro_table(store, "events").select("ts_ms", "symbol", "event_type", "dedup_key")
+    assert keys.count() == keys.distinct().count()

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..params import MicroParams
-from . import levels as level_ops
+from .features import with_gates, with_levels
 
 EVENT_COLUMNS = (
     "ts_ms", "symbol", "event_type", "severity", "score", "dedup_key", "cooldown_sec",
@@ -279,18 +279,9 @@ def bucket_events(ctx: DataFrame, params: MicroParams, created_at_ms: int) -> Da
     ).select(*EVENT_COLUMNS)
 
 
-def open_imbalance(profile: DataFrame, params: MicroParams, created_at_ms: int) -> DataFrame:
+def open_imbalance(days: DataFrame, params: MicroParams, created_at_ms: int) -> DataFrame:
     """Opening auction concentrated on few prices and confirmed by the first minutes after it."""
-    by_volume = Window.partitionBy(*level_ops.DAY).orderBy(F.col("open_vol").desc(), "bin")
-    top3 = (
-        profile.where("open_vol > 0")
-        .withColumn("_rank", F.row_number().over(by_volume))
-        .where("_rank <= 3")
-        .groupBy(*level_ops.DAY)
-        .agg(F.sum("open_vol").alias("_top3"))
-    )
-    days = level_ops.day_figures(profile).join(top3, level_ops.DAY)
-    share = F.col("_top3") / F.col("open_vol")
+    share = F.when(F.col("open_vol") > 0, F.col("open_top3") / F.col("open_vol"))
     opening = F.signum(F.col("open_last.price") - F.col("open_first.price"))
     after = F.signum(F.col("confirm_last.price") - F.col("confirm_first.price"))
     hits = days.withColumns({"_share": share, "_opening": opening, "_after": after}).where(
@@ -348,6 +339,19 @@ def _day_events(days: DataFrame, ts: Column, event: Column, created_at_ms: int)
     )
 
 
+def all_events(
+    features: DataFrame, days: DataFrame, params: MicroParams, created_at_ms: int
+) -> DataFrame:
+    """All ten event types from minute features and day levels."""
+    placed = with_levels(features, days, params)
+    ctx = with_context(with_gates(placed, params), params)
+    return (
+        bucket_events(ctx, params, created_at_ms)
+        .unionByName(open_imbalance(days, params, created_at_ms))
+        .unionByName(close_dominance(days, params, created_at_ms))
+    )
+
+
 def distinct_events(events: DataFrame) -> DataFrame:
     """One row per (time, symbol, type, dedup key)."""
     return events.dropDuplicates(["ts_ms", "symbol", "event_type", "dedup_key"])

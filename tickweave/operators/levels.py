@@ -101,8 +101,8 @@ def _with_figures(days: DataFrame) -> DataFrame:
 
 
 def _ranked(profile: DataFrame, params: MicroParams) -> DataFrame:
-    """Bins with their volume rank, value-area membership and neighbour volumes. Both orderings
-    share one partitioning, and the day aggregation after them needs no further shuffle."""
+    """Bins with their volume ranks, value-area membership and neighbour volumes. The orderings share
+    one partitioning, and the day aggregation after them needs no further shuffle."""
     whole = Window.partitionBy(*DAY)
     by_volume = whole.orderBy(F.col("vol").desc(), "bin")
     by_price = whole.orderBy("bin")
@@ -115,6 +115,7 @@ def _ranked(profile: DataFrame, params: MicroParams) -> DataFrame:
             "_lo": F.lag("vol").over(by_price),
             "_hi": F.lead("vol").over(by_price),
             "_price": F.col("bin") * params.price_bin,
+            "_open_rank": F.row_number().over(whole.orderBy(F.col("open_vol").desc(), "bin")),
         }
     )
     inside = (F.col("_rank") == 1) | (F.col("_before") < F.col("_all") * params.value_area)
@@ -160,11 +161,22 @@ def volume_nodes(profile: DataFrame, params: MicroParams) -> DataFrame:
     return _per_day(_ranked(profile, params), _node_aggs())
 
 
+def day_levels(profile: DataFrame, params: MicroParams) -> DataFrame:
+    """Everything known per day and symbol, in one pass over the profile."""
+    top3 = {"open_top3": F.sum(F.when(F.col("_open_rank") <= 3, F.col("open_vol")))}
+    days = _per_day(
+        _ranked(profile, params), _area_aggs(), _node_aggs(), _figure_aggs(), top3
+    )
+    return _with_figures(days).withColumn("calc_version", F.lit(params.calc_version))
+
+
+LEVEL_COLUMNS = (
+    "trading_day", "symbol", "poc", "vah", "val", "hvn", "lvn", "total_volume", "total_turnover",
+    "open_auc_range", "close_auc_range", "close_strength_score", "high", "low", "close",
+    "open_vol", "close_vol", "calc_version",
+)
+
+
 def levels_daily(profile: DataFrame, params: MicroParams) -> DataFrame:
-    """One row per day and symbol; ``hvn`` and ``lvn`` are node arrays. One pass over the profile."""
-    days = _per_day(_ranked(profile, params), _area_aggs(), _node_aggs(), _figure_aggs())
-    return _with_figures(days).select(
-        *DAY, "poc", "vah", "val", "hvn", "lvn", "total_volume", "total_turnover",
-        "open_auc_range", "close_auc_range", "close_strength_score", "high", "low", "close",
-        "open_vol", "close_vol", F.lit(params.calc_version).alias("calc_version"),
-    )
+    """One row per day and symbol; ``hvn`` and ``lvn`` are node arrays."""
+    return day_levels(profile, params).select(*LEVEL_COLUMNS)

@@ -6,12 +6,14 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from ..functions import clock
 from ..operators import archive as archive_ops
-from ..operators import export, quality, stats
-from ..params import DEFAULT_TZ, QualityParams
+from ..operators import events, export, features, levels, quality, stats
+from ..params import DEFAULT_TZ, MicroParams, QualityParams
 from ..sources import logs as log_source
-from ..sources.store import TickStore, footprint
+from ..sources.store import TickStore, footprint, write_days
 
 
 def status(
@@ -108,3 +110,55 @@ def db_top_symbols(
     day: str | None = None,
 ) -> DataFrame:
     return stats.top_symbols(ticks, minutes, metric, limit, day)
+
+
+def micro_table(store: TickStore, name: str) -> DataFrame:
+    """``features_1m``, ``levels_daily`` or ``events``."""
+    path = f"{store.root}/{name}"
+    found = store.spark.read.parquet(path).schema
+    fixed = T.StructType(
+        [
+            T.StructField(f.name, T.StringType() if f.name == "trading_day" else f.dataType)
+            for f in found.fields
+        ]
+    )
+    return store.spark.read.schema(fixed).parquet(path)
+
+
+def build_micro_tables(
+    store: TickStore,
+    params: MicroParams,
+    created_at_ms: int,
+    days: Sequence[str] | None = None,
+    history: Sequence[str] = (),
+) -> None:
+    """Build the three tables for ``days`` (all by default), replacing those days only.
+
+    Each step reads the table before it, so ticks are scanned for the profile and for the features
+    and not again, and a failed run restarts from tables. ``history`` names stored days whose
+    features the trailing percentiles of the first day may look back on.
+    """
+    ticks = store.ticks(days)
+    profile = levels.day_profile(ticks, params)
+    write_days(
+        levels.day_levels(profile, params),
+        f"{store.root}/levels_daily",
+        sort=("symbol",),
+        mode="overwrite",
+    )
+    write_days(
+        features.minute_features(ticks, params),
+        f"{store.root}/features_1m",
+        sort=("symbol", "ts_min_ms"),
+        mode="overwrite",
+    )
+    wanted = F.lit(True) if days is None else F.col("trading_day").isin([*history, *days])
+    feats = micro_table(store, "features_1m").where(wanted)
+    day_rows = micro_table(store, "levels_daily").where(wanted)
+    found = events.distinct_events(events.all_events(feats, day_rows, params, created_at_ms))
+    kept = events.apply_cooldown(found).withColumn(
+        "trading_day", clock.trading_day("ts_ms", params.tz)
+    )
+    if days is not None:
+        kept = kept.where(F.col("trading_day").isin(list(days)))
+    write_days(kept, f"{store.root}/events", sort=("symbol", "ts_ms"), mode="overwrite")

@@ -230,15 +230,8 @@ def _gated(spark, sf_dir):
 
 def _events(spark, sf_dir):
     """All ten event types."""
-    profile = _profile(spark, sf_dir)
-    lev = levels.levels_daily(profile, P)
-    feat = features.with_levels(_features(spark, sf_dir), lev, P)
-    ctx = events.with_context(features.with_gates(feat, P), P)
-    return (
-        events.bucket_events(ctx, P, NOW)
-        .unionByName(events.open_imbalance(profile, P, NOW))
-        .unionByName(events.close_dominance(lev, P, NOW))
-    )
+    days = levels.day_levels(_profile(spark, sf_dir), P)
+    return events.all_events(_features(spark, sf_dir), days, P, NOW)
 
 
 def _bucket_events(spark, sf_dir, prefix):
@@ -433,7 +426,8 @@ _event_query(19, "breakout_release", "BREAKOUT_RELEASE")
 
 @query("k16_open_imbalance", q.w(q.EV, PROFILE) + EVENT_SQL["OPEN_IMBALANCE"])
 def k16_open_imbalance(spark, sf_dir):
-    found = events.open_imbalance(_profile(spark, sf_dir), P, NOW)
+    days = levels.day_levels(_profile(spark, sf_dir), P)
+    found = events.open_imbalance(days, P, NOW)
     return found.drop("payload_json", "created_at_ms")
 
 
@@ -453,6 +447,18 @@ def k21_all_events(spark, sf_dir):
     return twice.drop("payload_json", "created_at_ms")
 
 
+@query("k21_event_tables", BASE + ALL_SQL + f"SELECT DISTINCT {COLUMNS} FROM all_events")
+def k21_event_tables(spark, sf_dir):
+    """Features, levels and events built as tables from a stored tick table; with hourly buckets no
+    event falls into a cooldown."""
+    from . import commands
+    from .ingest_queries import _loaded_store
+
+    store = _loaded_store(spark, sf_dir)
+    commands.build_micro_tables(store, P, NOW)
+    return commands.micro_table(store, "events").select(*COLUMNS.split(", "))
+
+
 COOLDOWN_SEC = 14_400  # hourly buckets need a cooldown of hours to have an effect
 
 COOLED_SQL = (
