@@ -192,3 +192,64 @@ def test_feed_stream_from_json(spark, tmp_path):
     )
     got = store.ticks().collect()
     assert [(r.symbol, r.seq, r.trading_day) for r in got] == [("HK.1", 3, DAY)]
+
+
+def test_health_stream_equals_batch(spark, landing):
+    import random
+
+    rnd = random.Random(6)
+    schema = (
+        "instance string, sid string, created_at_ms bigint, trading_day string, "
+        "market_mode string, severity string, muted boolean"
+    )
+    modes = ["pre-open", "open", "open", "lunch-break", "after-hours", "holiday-closed"]
+    rows = [
+        (
+            rnd.choice("ab"), f"s{i}", i * 400_000, f"d{i // 60}", rnd.choice(modes),
+            rnd.choice(["OK", "OK", "WARN", "ALERT"]), rnd.random() < 0.2,
+        )
+        for i in range(240)
+    ]
+    df = spark.createDataFrame(rows, schema)
+    landing.add(df.where("created_at_ms < 40000000"))
+    landing.add(df.where("created_at_ms >= 40000000"))
+    p = HealthParams()
+    once, read = collect_stream(
+        spark, lambda: decision_stream.stream_health_emissions(landing.stream(), p), landing
+    )
+    progress = ingest.LoadProgress()
+    spark.streams.addListener(progress)
+    once()
+    spark.streams.removeListener(progress)
+    shape = lambda d: sorted((r.sid, r.reason, r.emitted) for r in d.collect())
+    got = shape(read())
+    assert got == shape(folds.health_emissions(df, p))
+    assert {"muted", "bootstrap", "holiday_daily_once"} <= {r[1] for r in got}
+
+
+def test_log_stream_and_files(spark, tmp_path):
+    from tickweave.plans import commands
+    from tickweave.sources import logs
+
+    (tmp_path / "logs").mkdir()
+    (tmp_path / "logs" / "a.log").write_text(
+        "x health sid=1\n\nplain\nERROR token=abc\npoll_stats n=1\nz severity=WARN\n"
+    )
+    path = str(tmp_path / "logs")
+    assert commands.logs(spark, path).count() == 2
+    assert commands.logs(spark, path, ops=True).count() == 3
+    lines = logs.read_logs(spark, path)
+    last = logs.last_lines(lines).first()
+    assert (last.last_health, last.last_alert) == ("x health sid=1", "z severity=WARN")
+    assert [r.line for r in logs.shown_log(lines).orderBy("ord").collect()] == [
+        "ERROR token=[REDACTED]", "z severity=WARN",
+    ]
+    out, check = shared_folder(spark, "lines"), shared_folder(spark, "check")
+    run(
+        logs.service_log(logs.stream_logs(spark, path))
+        .writeStream.format("parquet")
+        .option("checkpointLocation", check)
+        .trigger(availableNow=True)
+        .start(out)
+    )
+    assert spark.read.parquet(out).count() == 2

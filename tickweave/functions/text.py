@@ -102,11 +102,6 @@ ALERT_LINE_PATTERN = r"severity=(WARN|ALERT)|WATCHDOG|alert_event code="
 HEALTH_LINE_TEXT = "health sid="
 
 
-def severity_name(value: Column | str) -> Column:
-    text = F.upper(F.trim(_c(value)))
-    return F.when(text.isin("WARN", "ALERT"), text).otherwise("OK")
-
-
 def severity_rank(value: Column | str) -> Column:
     """OK 0, WARN 1, ALERT 2; unknown text counts as OK."""
     text = F.upper(F.trim(_c(value)))

@@ -24,10 +24,6 @@ def vendor_rows(ticks: DataFrame, tz: str = DEFAULT_TZ) -> DataFrame:
     return ticks.select(*_vendor_exprs(tz))
 
 
-def with_stem(ticks: DataFrame) -> DataFrame:
-    return ticks.withColumn("stem", text.file_stem("symbol"))
-
-
 def export_vendor_csv(
     ticks: DataFrame, path: str, *, ordinal: str = "ingest_ordinal", tz: str = DEFAULT_TZ
 ) -> None:

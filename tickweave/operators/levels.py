@@ -146,11 +146,6 @@ def _per_day(rows: DataFrame, *aggs: dict[str, Column]) -> DataFrame:
     return rows.groupBy(*DAY).agg(*[v.alias(k) for k, v in merged.items()])
 
 
-def day_figures(profile: DataFrame) -> DataFrame:
-    """Bins rolled up to one row per day and symbol."""
-    return _with_figures(_per_day(profile, _figure_aggs()))
-
-
 def value_area(profile: DataFrame, params: MicroParams) -> DataFrame:
     """POC, VAH and VAL: bins by volume (ties: lower price) until the value-area share is reached."""
     return _per_day(_ranked(profile, params), _area_aggs())

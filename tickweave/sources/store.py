@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import dedupe
-from ..schema import DAILY_QUALITY, GAPS, MANIFEST, TICKS, TICK_COLUMNS, conform, empty
+from ..schema import DAILY_QUALITY, GAPS, MANIFEST, TICKS, conform, empty
 
 # a missing table is a normal answer here, not worth a logged stack trace
 logging.getLogger("SQLQueryContextLogger").setLevel(logging.CRITICAL)
@@ -185,7 +185,3 @@ def footprint(spark: SparkSession, path: str) -> DataFrame:
     return files.groupBy(day.alias("trading_day")).agg(
         F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes")
     )
-
-
-def tick_columns(df: DataFrame) -> DataFrame:
-    return df.select(*TICK_COLUMNS)
