@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import shared_folder
-from . import decontaminate, warc
+from . import decontaminate, packing, token_files, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,6 +30,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_file(name: str) -> str:
+    """A vocabulary file of the installed package, which every worker has."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 LOWERED = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 OP3_SQL = rf"""
@@ -67,6 +75,28 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op6_token_files")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_folder(spark, "token-files")
+    token_files.write(
+        table(spark, sf_dir, "documents"), f"{path}/corpus", f"{path}/work",
+        tokenizer_file("word_bpe_49k.json"), vocabulary=49_408, cut="word", end_id=2,
+    )
+    read = token_files.read(spark, f"{path}/corpus")
+    return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query("op8_packing")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(
+        table(spark, sf_dir, "documents"), shared_folder(spark, "packing"),
+        tokenizer_file("byte_bpe_50k.json"), vocabulary=50_257, cut="spaced", end_id=0, length=1024,
+    )
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
 OP10_SQL = """
 WITH p AS (
   SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha256(coalesce(html, '')) AS h FROM pages),
