@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import shared_folder
-from . import decontaminate, packing, token_files, warc
+from . import decontaminate, lm, packing, token_files, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -37,6 +37,17 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def id_remainder(modulus: int):
+    """The remainder of the crc32 of a document's id as text."""
+    return F.crc32(F.col("doc_id").cast("string")) % modulus
+
+
+@query("op2_lm_score")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return lm.score(documents, id_remainder(7) == 2, shared_folder(spark, "lm-score"), order=2)
+
+
 LOWERED = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 OP3_SQL = rf"""
