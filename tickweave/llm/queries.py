@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import shared_folder
-from . import decontaminate, lm, packing, token_files, warc
+from . import decontaminate, jaccard, line_dedup, lm, packing, secrets, token_files, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -37,6 +37,50 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+LOWERED = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP1_SQL = rf"""
+WITH x AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
+         unnest(range(len(string_split(text, chr(10))))) AS number
+  FROM documents WHERE text IS NOT NULL),
+l AS (
+  SELECT doc_id, number,
+         list_transform(regexp_extract_all({LOWERED.format("line")}, '[^\x20\x09-\x0D]+'),
+                        lambda w: CASE WHEN regexp_matches(w, '[0-9]') THEN '<*>' ELSE w END) AS w
+  FROM x),
+o AS (SELECT doc_id, number, w, len(w) || ' ' || array_to_string(w[1:3], ' ') AS leaf FROM l WHERE len(w) >= 3),
+s AS (SELECT leaf, w, count(DISTINCT doc_id) AS docs FROM o GROUP BY leaf, w),
+t AS (SELECT leaf, w, docs, unnest(w) AS token, unnest(range(len(w))) AS place FROM s),
+c AS (
+  SELECT leaf, place, token FROM t WHERE token <> '<*>'
+  GROUP BY leaf, place, token HAVING sum(docs) >= 3),
+m AS (
+  SELECT t.leaf, t.w, any_value(docs) AS docs, count(c.token) AS fixed,
+         list(CASE WHEN c.token IS NULL THEN '<*>' ELSE t.token END ORDER BY t.place) AS template
+  FROM t LEFT JOIN c ON t.leaf = c.leaf AND t.place = c.place AND t.token = c.token
+  GROUP BY t.leaf, t.w),
+r AS (SELECT template FROM m WHERE fixed >= 0.75 * len(w) GROUP BY template HAVING sum(docs) >= 3),
+f AS (
+  SELECT doc_id, number,
+         row_number() OVER (PARTITION BY template ORDER BY doc_id, number) AS nth
+  FROM o JOIN m USING (w) JOIN r USING (template) WHERE fixed >= 0.75 * len(w)),
+k AS (
+  SELECT doc_id, count(*) AS n_lines, count(f.number) AS n_dropped,
+         string_agg(line, chr(10) ORDER BY x.number) FILTER (WHERE f.number IS NULL) AS text
+  FROM x LEFT JOIN (SELECT * FROM f WHERE nth > 1) f USING (doc_id, number) GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_dropped, 0) AS n_dropped,
+       CASE WHEN d.text IS NOT NULL THEN coalesce(k.text, '') END AS text
+FROM documents d LEFT JOIN k USING (doc_id)
+"""
+
+
+@query("op1_line_dedup", OP1_SQL)
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.drop_recurring(documents, shared_folder(spark, "line-dedup"))
+
+
 def id_remainder(modulus: int):
     """The remainder of the crc32 of a document's id as text."""
     return F.crc32(F.col("doc_id").cast("string")) % modulus
@@ -48,7 +92,6 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(documents, id_remainder(7) == 2, shared_folder(spark, "lm-score"), order=2)
 
 
-LOWERED = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 OP3_SQL = rf"""
 WITH d AS (
@@ -86,6 +129,11 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op4_secrets")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.find_secrets(table(spark, sf_dir, "documents"))
+
+
 @query("op6_token_files")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_folder(spark, "token-files")
@@ -97,6 +145,13 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+@query("op7_jaccard_join")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(
+        table(spark, sf_dir, "documents"), shared_folder(spark, "jaccard"), shingle_words=3, percent=90
+    )
+
+
 @query("op8_packing")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(
