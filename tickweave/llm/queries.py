@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import shared_folder
-from . import decontaminate, jaccard, line_dedup, lm, packing, secrets, token_files, warc
+from . import ann, decontaminate, jaccard, line_dedup, lm, packing, secrets, token_files, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -163,6 +163,13 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op9_nearest_neighbours")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.neighbours(
+        table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, shared_folder(spark, "neighbours"), k=10
+    )
+
+
 OP10_SQL = """
 WITH p AS (
   SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha256(coalesce(html, '')) AS h FROM pages),
