@@ -3,8 +3,10 @@
 Most tokenizers never join characters across a gap of white space. For those, a batch is cut into
 pieces, each distinct piece is encoded once, and the ids are gathered: ``word`` for tokenizers that
 drop white space, ``spaced`` for byte-level ones that keep it with the word behind it, ``whole`` for any
-other. In ``spaced`` texts with other than ASCII white space are encoded whole. Strings of special
-tokens in a text are ordinary text.
+other. Both also part letters from other characters, so words are cut there too; left as they are: words
+with an apostrophe (contractions are one match) or with characters beyond ASCII and the Latin-1 letters.
+In ``spaced`` texts with other than ASCII white space are encoded whole. Strings of special tokens in a
+text are ordinary text.
 """
 
 from __future__ import annotations
@@ -27,9 +29,30 @@ _GAP = ~W.SPACED
 _OTHER_SPACE = re.compile(
     rb"[\x1c-\x1f]|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80"
 )
+_ASCII_LETTER = np.zeros(256, dtype=bool)
+_ASCII_LETTER[65:91] = _ASCII_LETTER[97:123] = True
 _coders: dict[tuple[str, str], Coder] = {}
 
 
+def _class_changes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Where letters and other characters meet inside words that may be cut there. Words are the runs
+    ``start`` to ``end``, maybe led by white space."""
+    letter = _ASCII_LETTER[data]
+    latin = data[:-1] == 0xC3
+    latin &= (data[1:] != 0x97) & (data[1:] != 0xB7)
+    letter[:-1] |= latin
+    letter[1:] |= latin
+    cut = np.zeros(len(data), dtype=bool)
+    cut[1:] = letter[1:] != letter[:-1]
+    cut[1:] &= ~_GAP[data[:-1]] & ~_GAP[data[1:]]
+    odd = (data == 0x27) | ((data >= 0x80) & ~letter)
+    if odd.any():
+        sums = np.concatenate([[0], np.cumsum(odd)])
+        for word in np.flatnonzero(sums[end] - sums[start]):
+            cut[start[word] : end[word]] = False
+    return cut
+
+
 def id_kind(vocabulary: int) -> str:
     """The little-endian integer type that holds every id."""
     return "<u2" if vocabulary <= 1 << 16 else "<u4"
@@ -88,7 +111,15 @@ class Coder:
     def _pieces(self, column: pa.Array) -> W.Words:
         data, offsets = W.buffers(column)
         if self.cut == "word":
-            return W.split(data, offsets, W.SPACED, lower=False)
+            found = W.split(data, offsets, W.SPACED, lower=False)
+            opening = np.zeros(len(data), dtype=bool)
+            opening[found.start] = True
+            start = np.flatnonzero(opening | _class_changes(data, found.start, found.end))
+            closing = np.append(start[1:], len(data))
+            word = np.searchsorted(found.start, start, side="right") - 1
+            return W.Words(
+                data, start, np.minimum(closing, found.end[word]), np.searchsorted(start, offsets)
+            )
         if self.cut == "whole":
             filled = np.flatnonzero(np.diff(offsets) > 0)
             start, end = offsets[filled], offsets[filled + 1]
@@ -104,6 +135,8 @@ class Coder:
         opening[begins[begins < len(data)]] = True
         start = np.flatnonzero(opening)
         end = np.append(start[1:], len(data))
+        start = np.flatnonzero(opening | _class_changes(data, start, end))
+        end = np.append(start[1:], len(data))
         return W.Words(data, start, end, np.searchsorted(start, offsets))
 
     def ids(self, column: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
