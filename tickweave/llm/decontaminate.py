@@ -18,20 +18,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import words as W
 
 #: Items are searched in blocks of at most this many bytes of text, one pass over the documents each.
 BLOCK_BYTES = 8 << 20
 LANE = 128
-_HITS = "doc_id long, text string, marks binary, items array<string>"
-_RESULT = (
-    "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"
-)
-
-
+FOUND = ("n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 def _pairs(hashes: np.ndarray, size: int) -> np.ndarray:
     """For each position the hash of the block that ends there."""
     if size == 1:
@@ -149,9 +145,9 @@ def _mark(batch: pa.RecordBatch, tables: list[Patterns]) -> pa.RecordBatch:
         for text, before in enumerate(batch.column("items").to_pylist())
     ]
     return pa.record_batch(
-        [batch.column("doc_id"), batch.column("text"), pa.array(marks, pa.binary()),
+        [batch.column("row"), batch.column("text"), pa.array(marks, pa.binary()),
          pa.array(items, pa.list_(pa.string()))],
-        names=["doc_id", "text", "marks", "items"],
+        names=["row", "text", "marks", "items"],
     )
 
 
@@ -164,7 +160,7 @@ def _summary(batch: pa.RecordBatch) -> pa.RecordBatch:
     items = batch.column("items").to_pylist()
     return pa.record_batch(
         {
-            "doc_id": batch.column("doc_id"),
+            "row": batch.column("row"),
             "n_words": pa.array(n_words, pa.int64()),
             "n_hit": pa.array(n_hit, pa.int64()),
             "n_items": pa.array([len(i) for i in items], pa.int64()),
@@ -188,40 +184,45 @@ def item_blocks(benchmark: DataFrame, limit: int = BLOCK_BYTES) -> Iterator[list
         yield block
 
 
-def contamination(
+def with_contamination(
     documents: DataFrame, benchmark: DataFrame, window: int = 10, block_bytes: int = BLOCK_BYTES
 ) -> DataFrame:
-    """Per document the words inside occurrences of benchmark windows, and the items they belong to.
+    """All columns of every document, and what ``contamination`` finds (columns of these names are
+    replaced).
 
     Documents are scanned where they lie, without a shuffle; only the tables of one block of items,
-    bounded by ``block_bytes``, are shipped per pass.
+    bounded by ``block_bytes``, are shipped per pass. A pass hands on a bit per word and the items' ids.
     """
-    return marked(documents, benchmark, window, block_bytes).mapInArrow(
-        lambda batches: (_summary(s) for b in batches for s in W.slices(b, "text")), _RESULT
-    )
-
-
-def marked(
-    documents: DataFrame, benchmark: DataFrame, window: int = 10, block_bytes: int = BLOCK_BYTES
-) -> DataFrame:
-    """Documents with a bit per word, set inside occurrences (null: none), and the items' ids."""
+    kept = documents.drop(*FOUND)
     found = documents.select(
-        F.col("doc_id").cast("long"),
+        F.struct(*[F.col(c) for c in kept.columns]).alias("row"),
         F.col("text").cast("string"),
         F.lit(None).cast("binary").alias("marks"),
         F.array().cast("array<string>").alias("items"),
     )
+    row = T.StructField("row", kept.schema)
+    handed = T.StructType([row]).add("text", "string").add("marks", "binary")
+    handed = handed.add("items", T.ArrayType(T.StringType()))
     for block in item_blocks(benchmark, block_bytes):
         tables = patterns(block, window)
         found = found.mapInArrow(
             lambda batches, tables=tables: (
                 _mark(s, tables) for b in batches for s in W.slices(b, "text")
             ),
-            _HITS,
+            handed,
         )
-    return found
+    kinds = ("long", "long", "long", "string", "boolean")
+    result = T.StructType([row])
+    for name, kind in zip(FOUND, kinds):
+        result = result.add(name, kind)
+    return found.mapInArrow(
+        lambda batches: (_summary(s) for b in batches for s in W.slices(b, "text")), result
+    ).select("row.*", *FOUND)
 
 
-def is_contaminated(share: float) -> Column:
-    """Whether at least a share of a document's words lies in benchmark windows."""
-    return (F.col("n_hit") > 0) & (F.col("n_hit") >= share * F.col("n_words"))
+def contamination(
+    documents: DataFrame, benchmark: DataFrame, window: int = 10, block_bytes: int = BLOCK_BYTES
+) -> DataFrame:
+    """Per document its words, those inside occurrences of benchmark windows, and the items they are of."""
+    found = with_contamination(documents.select("doc_id", "text"), benchmark, window, block_bytes)
+    return found.select(F.col("doc_id").cast("long"), *FOUND)

@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import words as W
 
@@ -118,12 +119,11 @@ def _cleaned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if out:
                 text = "\n".join(part for i, part in enumerate(parts) if i not in out)
             texts.append(text)
-        kept = [batch.column(i) for i in range(batch.num_columns - 2)]
-        names = batch.schema.names[:-2]
         yield pa.record_batch(
-            [*kept, pa.array(lines, pa.int64()), pa.array(dropped, pa.int64()), pa.array(texts, pa.string())],
-            names=[*names, "n_lines", "n_dropped", "text"],
-        )
+            [batch.column("row"), pa.array(lines, pa.int64()), pa.array(dropped, pa.int64()),
+             pa.array(texts, pa.string())],
+            names=["row", "n_lines", "n_dropped", "text"],
+        )
 
 
 def recurring_lines(
@@ -195,14 +195,19 @@ def recurring_lines(
 def drop_recurring(documents: DataFrame, work: str, **settings) -> DataFrame:
     """All columns of the documents, ``text`` without dropped lines, and ``n_lines`` and ``n_dropped``
     (columns of these names are replaced). ``work`` is an empty shared folder; see ``recurring_lines``."""
-    kept = [c for c in documents.columns if c not in ("text", "n_lines", "n_dropped")]
-    keyed = documents.withColumn("document", F.xxhash64("doc_id", "text"))
+    kept = documents.drop("text", "n_lines", "n_dropped")
+    keyed = documents.select(
+        F.struct(*[F.col(c) for c in kept.columns]).alias("row"),
+        F.xxhash64("doc_id", "text").alias("document"),
+        "doc_id",
+        F.col("text").cast("string"),
+    )
     drops = (
         recurring_lines(keyed.select("document", "doc_id", "text"), work, **settings)
         .groupBy("document")
         .agg(F.collect_list("number").alias("drops"))
     )
-    joined = keyed.select("document", *kept, F.col("text").cast("string")).join(drops, "document", "left")
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in documents.schema if f.name in kept)
-    schema = f"{fields}{', ' if fields else ''}n_lines long, n_dropped long, text string"
-    return joined.select(*kept, "text", "drops").mapInArrow(_cleaned, schema)
+    joined = keyed.drop("doc_id").join(drops, "document", "left").select("row", "text", "drops")
+    schema = T.StructType([T.StructField("row", kept.schema)])
+    schema = schema.add("n_lines", "long").add("n_dropped", "long").add("text", "string")
+    return joined.mapInArrow(_cleaned, schema).select("row.*", "n_lines", "n_dropped", "text")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import shared_folder
-from . import ann, decontaminate, jaccard, line_dedup, lm, packing, secrets, token_files, warc
+from . import ann, decontaminate, jaccard, language, line_dedup, lm, packing, secrets, token_files, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -134,6 +134,11 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.find_secrets(table(spark, sf_dir, "documents"))
 
 
+@query("op5_language")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"), id_remainder(4) == 2)
+
+
 @query("op6_token_files")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_folder(spark, "token-files")
