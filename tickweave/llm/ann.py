@@ -13,8 +13,8 @@ Of equal vectors only the ``k + 1`` with the smallest ids are candidates: no oth
 nearest, and a frequent vector cannot crowd a window.
 
 Defined cases: rows without id and vectors that are null, empty, zero, of other than the most frequent
-length, or hold null or non-finite components take no part; rows are told apart by vec_id, so a row with a
-query's id is that query; ties go to the smaller id; an empty table gives no rows; fewer candidates than
+length, or hold null or non-finite components take no part; rows are told apart by vec_id: of rows with
+one id the smallest vector counts, and none is its own neighbour; ties go to the smaller id; an empty table gives no rows; fewer candidates than
 ``k`` give all of them.
 """
 
@@ -167,7 +167,7 @@ def neighbours(
     (Euclidean distance). ``work`` is an empty shared folder."""
     rows = usable(vectors)
     same = Window.partitionBy("vector").orderBy("vec_id")
-    one_each = rows.dropDuplicates(["vec_id"])
+    one_each = rows.groupBy("vec_id").agg(F.min("vector").alias("vector"))
     kept = one_each.withColumn("copy", F.row_number().over(same)).filter(F.col("copy") <= k + 1)
     marked = (
         kept.select("vec_id", "vector", F.lit(True).alias("candidate"), queries.alias("query"))
