@@ -6,12 +6,14 @@ blocks never exceeds the size of the symmetric difference. Sets are compared wit
 ``j`` linked sets differ in at most ``D`` shingles, so of ``D + 1 + spare`` blocks at least ``1 + spare``
 agree. Texts meet on equal blocks (pigeonhole). Blocks of fewer than ``MIN_LOAD`` shingles are left out as
 join keys, unless a text has more than ``spare`` of them: then it joins on all of its blocks, which keeps
-the join exact. Candidates are verified on the whole sets.
+the join exact. Candidates pass a finer parity sketch, of one bit per hash, and are verified on the whole
+sets.
 
 Equal sets are one class, joined once through its smallest document. Within the group of an equal block
-only the most shared text is first compared with the others (twice, the second time around a text outside
-its component); what then still lies in different components is compared pair by pair. So the copies of a
-text never meet in pairs, and no link between different texts is lost.
+only the most shared text is first compared with the others, so the members of a group of near copies do
+not meet in pairs. What then still lies in different components of a group is compared through the finer
+sketches: bundles of bounded size meet in one task, which passes on only pairs whose Hamming distance
+allows a link. No link between different texts is lost.
 
 Defined cases: a text without words has an empty set, linked with nothing; a document without id has no
 component; rows with equal ids are one document, linked by any of its texts; equal sets are linked; an
@@ -25,13 +27,14 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words as W
 from .components import components
 
 BAND_GROWTH = 1.5
+BUNDLE = 256
 MIN_LOAD = 2
 
 
@@ -108,7 +111,35 @@ def _block_keys(value: np.ndarray, bounds: np.ndarray, band: np.ndarray, bands:
     return keys[chosen], text[chosen]
 
 
-def _sketches(shingle_words: int, percent: int):
+def _prints(shingle_words: int):
+    """Size, 128-bit print and bit sketch of each text's set."""
+
+    def prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in W.slices(batch, "text"):
+                value, bounds = shingle_sets(part, shingle_words)
+                bits = [parity_bits(value[a:b]).tobytes() for a, b in zip(bounds, bounds[1:])]
+                yield pa.record_batch(
+                    {
+                        "doc_id": part.column("doc_id"),
+                        **_identity(value, bounds),
+                        "bits": pa.array(bits, pa.binary()),
+                    }
+                )
+
+    return prints
+
+
+def _identity(value: np.ndarray, bounds: np.ndarray) -> dict[str, pa.Array]:
+    found = {"n_shingles": pa.array(np.diff(bounds), pa.int64())}
+    for salt, name in ((1, "print_a"), (2, "print_b")):
+        sums = np.concatenate([[W.U64(0)], np.cumsum(W.mix(value * W.U64(2) + W.U64(salt)))])
+        found[name] = pa.array((sums[bounds[1:]] - sums[bounds[:-1]]).view(np.int64))
+    return found
+
+
+def _block_sketches(shingle_words: int, percent: int):
+    """The join keys of each text, packed."""
     bands = bands_for(percent)
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -130,16 +161,10 @@ def _sketches(shingle_words: int, percent: int):
                 text = np.concatenate([t for _, t in found])
                 order = np.argsort(text, kind="stable")
                 edges = np.searchsorted(text[order], np.arange(len(size) + 1))
-                prints = []
-                for salt in (1, 2):
-                    sums = np.concatenate([[W.U64(0)], np.cumsum(W.mix(value * W.U64(2) + W.U64(salt)))])
-                    prints.append((sums[bounds[1:]] - sums[bounds[:-1]]).view(np.int64))
                 yield pa.record_batch(
                     {
                         "doc_id": part.column("doc_id"),
-                        "n_shingles": pa.array(size, pa.int64()),
-                        "print_a": pa.array(prints[0]),
-                        "print_b": pa.array(prints[1]),
+                        **_identity(value, bounds),
                         "keys": W.binary(keys[order], edges),
                     }
                 )
@@ -158,6 +183,14 @@ def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+def parity_bits(value: np.ndarray) -> np.ndarray:
+    """A set's bit sketch: each hash flips one of at least four bits per element, a power of two of them.
+    A sketch folds to half its length by XOR of its halves."""
+    width = 1 << max(int(4 * len(value) - 1).bit_length(), 6)
+    flips = np.bincount((W.mix(value) & W.U64(width - 1)).astype(np.int64), minlength=width)
+    return np.packbits((flips & 1).astype(np.uint8), bitorder="little")
+
+
 def _sets(shingle_words: int):
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -168,6 +201,74 @@ def _sets(shingle_words: int):
     return sets
 
 
+def _folded(bits: np.ndarray, size: int) -> np.ndarray:
+    while len(bits) > size:
+        bits = bits[: len(bits) // 2] ^ bits[len(bits) // 2 :]
+    return bits
+
+
+def _close_pairs(percent: int):
+    """Pairs of different components of two bundles whose sketches allow a link."""
+
+    def read(bundle: pa.StructArray):
+        n = bundle.field("n").to_numpy()
+        order = np.argsort(n, kind="stable")
+        bits = bundle.field("bits")
+        return (
+            bundle.field("id").to_numpy()[order], bundle.field("component").to_numpy()[order], n[order],
+            [np.frombuffer(bits[int(i)].as_buffer(), np.uint8) for i in order],
+        )
+
+    def one(left, right) -> tuple[np.ndarray, np.ndarray]:
+        ids, components_, sizes, sketches = left
+        ends = np.array([len(s) for s in sketches])
+        found: tuple[list, list] = ([], [])
+        for other, component, size, sketch in zip(*right):
+            low = np.searchsorted(sizes * 100, size * percent, side="left")
+            high = np.searchsorted(sizes * percent, size * 100, side="right")
+            for length in np.unique(ends[low:high]):
+                at = low + np.flatnonzero(ends[low:high] == length)
+                at = at[(components_[at] != component) & (ids[at] != other)]
+                if not len(at):
+                    continue
+                width = min(int(length), len(sketch))
+                many = np.stack([_folded(sketches[i], width) for i in at])
+                differ = np.bitwise_count(many ^ _folded(sketch, width)).sum(axis=1, dtype=np.int64)
+                both = sizes[at] + size
+                near = at[100 * (both - differ) >= percent * (both + differ)]
+                found[0].append(np.minimum(ids[near], other))
+                found[1].append(np.maximum(ids[near], other))
+        if not found[0]:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return np.concatenate(found[0]), np.concatenate(found[1])
+
+    def close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                left, right = (read(batch.column(c)[row].values) for c in ("members", "others"))
+                a, b = one(left, right)
+                yield pa.record_batch([pa.array(a), pa.array(b)], names=["a", "b"])
+
+    return close
+
+
+def _possible(percent: int):
+    """Pairs whose sketches allow a link."""
+
+    def possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept = []
+            sizes = batch.column("left_n").to_numpy() + batch.column("right_n").to_numpy()
+            for both, *sketches in zip(sizes, batch.column("left_bits"), batch.column("right_bits")):
+                left, right = (np.frombuffer(s.as_buffer(), np.uint8) for s in sketches)
+                width = min(len(left), len(right))
+                differ = int(np.bitwise_count(_folded(left, width) ^ _folded(right, width)).sum())
+                kept.append(100 * (both - differ) >= percent * (both + differ))
+            yield batch.select(["a", "b"]).filter(pa.array(kept, pa.bool_()))
+
+    return possible
+
+
 def _verified(percent: int):
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -197,95 +298,110 @@ def near_duplicates(
         frame.write.parquet(f"{work}/{name}")
         return spark.read.parquet(f"{work}/{name}")
 
-    sketches = kept(
-        rows.mapInArrow(
-            _sketches(shingle_words, percent),
-            "doc_id long, n_shingles long, print_a long, print_b long, keys binary",
-        ),
-        "sketches",
-    )
     same = ["n_shingles", "print_a", "print_b"]
+    identity = "doc_id long, n_shingles long, print_a long, print_b long"
+    prints = kept(rows.mapInArrow(_prints(shingle_words), f"{identity}, bits binary"), "prints")
     classes = (
-        sketches.filter("n_shingles > 0 AND doc_id IS NOT NULL")
+        prints.filter("n_shingles > 0 AND doc_id IS NOT NULL")
         .groupBy(*same)
         .agg(F.min("doc_id").alias("id"))
     )
-    chosen = sketches.join(
+    # the keys of one document per class; they move once here, and as rows below
+    chosen = rows.mapInArrow(_block_sketches(shingle_words, percent), f"{identity}, keys binary").join(
         classes.select(F.col("id").alias("doc_id"), *same), ["doc_id", *same]
-    ).dropDuplicates(["doc_id", *same])
-    keys = chosen.select(F.col("doc_id").alias("id"), "keys").mapInArrow(_unpacked, "key long, id long")
-    shared = keys.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high"))
-    groups = kept(
-        keys.join(shared.filter("low < high").select("key"), "key").distinct(), "groups"
     )
+    keys = chosen.select(F.col("doc_id").alias("id"), "keys").mapInArrow(_unpacked, "key long, id long")
+    shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("texts")).filter("texts > 1")
+    groups = kept(keys.join(shared.select("key"), "key").distinct(), "groups")
     sizes = classes.groupBy("id").agg(F.min("n_shingles").alias("fewest"), F.max("n_shingles").alias("most"))
-    popular = kept(groups.groupBy("id").agg(F.count(F.lit(1)).alias("fame")).join(sizes, "id"), "popular")
-    members = groups.join(popular, "id")
-    texts = rows.join(popular.select(F.col("id").alias("doc_id")), "doc_id", "left_semi")
-    sets = kept(
-        texts.mapInArrow(_sets(shingle_words), "id long, shingles binary"), "sets"
+    fame = groups.groupBy("id").agg(F.count(F.lit(1)).alias("fame"))
+    members = kept(groups.join(fame.join(sizes, "id"), "id"), "members")
+    bits = kept(
+        prints.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "bits").join(
+            members.select("id").distinct(), "id", "left_semi"
+        ),
+        "bits",
     )
 
     def linked(pairs: DataFrame) -> DataFrame:
-        """Those of the pairs ``a < b`` that link."""
-        with_left = pairs.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("left_set")), "a")
-        return (
-            with_left.join(
-                sets.select(F.col("id").alias("b"), F.col("shingles").alias("right_set")), "b"
-            )
-            .select("a", "b", "left_set", "right_set")
-            .mapInArrow(_verified(percent), "a long, b long")
-            .distinct()
+        """Those of the pairs ``a < b`` that link, by the whole sets of just these documents."""
+        ids = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id")))
+        sets = rows.join(ids.distinct(), "doc_id", "left_semi").mapInArrow(
+            _sets(shingle_words), "id long, shingles binary"
         )
-
-    def close(one: str, other: str) -> Column:
-        """Whether two texts' sizes allow a link."""
-        return (F.col(f"{one}.most") * 100 >= F.col(f"{other}.fewest") * percent) & (
-            F.col(f"{other}.most") * 100 >= F.col(f"{one}.fewest") * percent
-        )
-
-    def ordered(one: Column, other: Column) -> tuple[Column, Column]:
-        return F.least(one, other).alias("a"), F.greatest(one, other).alias("b")
-
-    member = sketches.select("doc_id", *same).join(classes, same).select("doc_id", "id").distinct()
+        sides = [
+            sets.select(F.col("id").alias(c), F.col("shingles").alias(f"{side}_set"))
+            for c, side in (("a", "left"), ("b", "right"))
+        ]
+        both = pairs.join(sides[0], "a").join(sides[1], "b")
+        return both.select("a", "b", "left_set", "right_set").mapInArrow(
+            _verified(percent), "a long, b long"
+        ).distinct()
+
+    # rows with one id join the classes of their texts
+    member = prints.select("doc_id", *same).join(classes, same).select("doc_id", "id").distinct()
     least = member.groupBy("doc_id").agg(F.min("id").alias("a"), F.max("id").alias("z")).filter("a < z")
-    links = kept(  # classes that rows with one id share
-        member.join(least, "doc_id").filter("a < id").select("a", F.col("id").alias("b")), "links-of-ids"
-    )
-    labels = popular.select(F.col("id").alias("node"), F.col("id").alias("component"))
-    for turn in range(3):
-        labelled = members.join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn(
-            "component", F.coalesce("component", "id")
-        )
-        heads = labelled.groupBy("key").agg(
-            F.max(F.struct("fame", "id", "component", "fewest", "most")).alias("head"),
-            F.min("component").alias("first"),
-            F.max("component").alias("last"),
-        ).filter("first < last")
-        mixed = labelled.join(heads.select("key", "head"), "key")
-        apart = mixed.filter("component <> head.component")
-        if turn == 0:
-            pairs = apart.alias("m").filter(close("m", "head"))
-            pairs = pairs.select(*ordered(F.col("id"), F.col("head.id")))
-        elif turn == 1:
-            again = apart.groupBy("key").agg(
-                F.max(F.struct("fame", "id", "component", "fewest", "most")).alias("head")
-            )
-            pairs = mixed.drop("head").alias("m").join(again, "key")
-            pairs = pairs.filter("m.component <> head.component").filter(close("m", "head"))
-            pairs = pairs.select(*ordered(F.col("id"), F.col("head.id")))
-        else:
-            pairs = mixed.alias("m").join(mixed.alias("o"), "key").filter(
-                "m.id < o.id AND m.component <> o.component"
-            ).filter(close("m", "o")).select(F.col("m.id").alias("a"), F.col("o.id").alias("b"))
-        links = links.unionByName(kept(linked(pairs.distinct()), f"links-{turn}"))
-        labels = components(links, f"{work}/components-{turn}")
-    found = (
-        sketches.select("doc_id", *same)
+    links = member.join(least, "doc_id").filter("a < id").select("a", F.col("id").alias("b"))
+    stars = kept(_star_pairs(members, bits, percent), "star-pairs")
+    links = kept(links.unionByName(linked(stars)), "star-links")
+    labels = components(links, f"{work}/star-components")
+    rest = kept(_rest_pairs(members, labels, bits, percent), "rest-pairs")
+    found = kept(linked(rest), "rest-links")
+    if not found.isEmpty():
+        labels = components(links.unionByName(found), f"{work}/components")
+    placed = (
+        prints.select("doc_id", *same)
         .join(classes, same, "left")
         .join(labels.withColumnRenamed("node", "id"), "id", "left")
     )
-    own = found.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(
+    own = placed.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(
         F.min(F.coalesce("component", "id", "doc_id")).alias("component_id")
     )
-    return sketches.select("doc_id", "n_shingles").join(own, "doc_id", "left")
+    return prints.select("doc_id", "n_shingles").join(own, "doc_id", "left")
+
+
+def _star_pairs(members: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
+    """Each member of a block's group with the group's most shared text, if sizes and sketches allow a
+    link: pairs ``a < b``."""
+    heads = members.groupBy("key").agg(
+        F.max(F.struct("fame", "id", "fewest", "most")).alias("head")
+    )
+    near = (F.col("most") * 100 >= F.col("head.fewest") * percent) & (
+        F.col("head.most") * 100 >= F.col("fewest") * percent
+    )
+    pairs = members.join(heads, "key").filter(near & (F.col("id") != F.col("head.id")))
+    pairs = pairs.select(
+        F.least("id", "head.id").alias("a"), F.greatest("id", "head.id").alias("b")
+    ).distinct()
+    sides = [
+        bits.select(F.col("id").alias(c), F.col("n").alias(f"{s}_n"), F.col("bits").alias(f"{s}_bits"))
+        for c, s in (("a", "left"), ("b", "right"))
+    ]
+    both = pairs.join(sides[0], "a").join(sides[1], "b")
+    return both.select("a", "b", "left_n", "left_bits", "right_n", "right_bits").mapInArrow(
+        _possible(percent), "a long, b long"
+    ).distinct()
+
+
+def _rest_pairs(members: DataFrame, labels: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``a < b`` of one block's group that lie in different components and whose sketches allow a
+    link. All members, in bundles, meet those outside the component of the most shared one."""
+    labelled = members.join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn(
+        "component", F.coalesce("component", "id")
+    )
+    mixed = labelled.groupBy("key").agg(
+        F.max(F.struct("fame", "id", "component")).alias("head"),
+        F.min("component").alias("first"),
+        F.max("component").alias("last"),
+        F.ceil(F.count(F.lit(1)) / BUNDLE).alias("bundles"),
+    ).filter("first < last").select("key", F.col("head.component").alias("main"), "bundles")
+    rows = labelled.select("key", "id", "component").join(mixed, "key").join(bits, "id")
+    item = F.struct("id", "component", "n", "bits")
+    bundle = F.pmod(F.xxhash64("id"), "bundles")
+    left = rows.groupBy("key", bundle.alias("bundle")).agg(F.collect_list(item).alias("members"))
+    right = rows.filter("component <> main").groupBy("key", bundle.alias("other_bundle")).agg(
+        F.collect_list(item).alias("others")
+    )
+    return left.join(right, "key").select("members", "others").mapInArrow(
+        _close_pairs(percent), "a long, b long"
+    ).distinct()

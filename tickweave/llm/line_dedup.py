@@ -180,10 +180,14 @@ def recurring_lines(
         .filter(F.col("docs") >= min_docs).select("template")
     )
     recurring = templates.filter("firm").select("line", "template").join(common, "template")
-    found = lines.join(recurring, "line").select("template", "doc_id", "document", "number")
-    first = found.groupBy("template").agg(
-        F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "document", "number")).alias("first")
+    recurring.write.parquet(f"{work}/recurring")  # tables on one side let the joins split hot keys
+    found = lines.join(spark.read.parquet(f"{work}/recurring"), "line").select(
+        "template", "doc_id", "document", "number"
     )
+    found.groupBy("template").agg(
+        F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "document", "number")).alias("first")
+    ).write.parquet(f"{work}/first")
+    first = spark.read.parquet(f"{work}/first")
     return (
         found.join(first, "template")
         .filter((F.col("first.document") != F.col("document")) | (F.col("first.number") != F.col("number")))

@@ -150,7 +150,29 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
-@query("op7_jaccard_join")
+OP7_SQL = rf"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all({LOWERED.format("coalesce(text, '')")},
+         '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + 2), ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+  FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+l AS (
+  SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+  WHERE 100 * c >= 90 * (x.n + y.n - c)),
+r AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents
+  UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a)
+SELECT r.a AS doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(r.b) AS component_id
+FROM r LEFT JOIN n ON n.doc_id = r.a GROUP BY r.a
+"""
+
+
+@query("op7_jaccard_join", OP7_SQL)
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(
         table(spark, sf_dir, "documents"), shared_folder(spark, "jaccard"), shingle_words=3, percent=90
