@@ -65,6 +65,7 @@ class AlertFold:
             state["sid"] = sid
         return (True, reason, state["eid"], state["sid"])
 
+    # fixed values: the reason words here and in step
     def _reason(self, state: dict, at: int, rank: int) -> str:
         steps = escalation_steps(rank, self.params)
         if not state:
@@ -141,6 +142,7 @@ class HealthEmissionFold:
             state["sent"] = at
         return (emit, reason)
 
+    # fixed values: the reason words
     def _decide(self, state: dict, at: int, day: str, mode: str, severity: str) -> tuple:
         p = self.params
         phase = f"{day}:{mode}"
@@ -187,6 +189,25 @@ class AdmissionFold:
         return (admitted, 0 if admitted else max(0, self.window_ms - (at - hits[0])))
 
 
+class RepeatFold:
+    """Keeps a row unless one of its key was kept within ``horizon_ms`` of its time, before or after."""
+
+    fields = ()
+    result = "kept boolean"
+
+    def __init__(self, horizon_ms: int):
+        self.horizon_ms = horizon_ms
+
+    def start(self) -> dict:
+        return {}
+
+    def step(self, state: dict, at: int, row: tuple) -> tuple:
+        if "kept" in state and abs(at - state["kept"]) <= self.horizon_ms:
+            return (False,)
+        state["kept"] = max(at, state.get("kept", at))
+        return (True,)
+
+
 class CooldownFold:
     """Drops events of a key until the cooldown of the last kept one has passed."""
 
@@ -241,25 +262,39 @@ def apply_fold(
     return ordered.mapInPandas(run, f"{base}, {fold.result}")
 
 
-def alert_decisions(
-    alerts: DataFrame, params: HealthParams, *, per_day: bool = True
-) -> DataFrame:
-    """Each alert or resolve row with its decision.
+ALERT_KEYS = ["instance", "fingerprint"]
+
+
+def named_alerts(alerts: DataFrame) -> DataFrame:
+    """Alerts with the fingerprint their incident goes by; without instances they are of one."""
+    if "instance" not in alerts.columns:
+        alerts = alerts.withColumn("instance", F.lit(""))
+    return alerts.withColumns(
+        {
+            "instance": F.coalesce("instance", F.lit("")),
+            "fingerprint": F.coalesce(
+                F.nullif(F.trim("fingerprint"), F.lit("")),
+                F.nullif(F.col("key"), F.lit("")),
+                F.nullif(F.col("code"), F.lit("")),
+                F.lit("unknown"),
+            ),
+        }
+    )
+
+
+def alert_decisions(alerts: DataFrame, params: HealthParams) -> DataFrame:
+    """Each alert or resolve row with its decision; incidents of an instance run on over days.
 
-    Batch groups are cut by trading day, which bounds them and starts incidents afresh each day;
-    ``per_day=False`` follows an incident over days, as the stream does.
+    A resolve empties the state, so it also ends a group: keys are cut behind resolves, and the parts
+    are decided in parallel.
     """
-    named = alerts.withColumn(
-        "fingerprint",
-        F.coalesce(
-            F.nullif(F.trim("fingerprint"), F.lit("")),
-            F.nullif(F.col("key"), F.lit("")),
-            F.nullif(F.col("code"), F.lit("")),
-            F.lit("unknown"),
-        ),
+    earlier = Window.partitionBy(*ALERT_KEYS).orderBy("created_at_ms", "ord").rowsBetween(
+        Window.unboundedPreceding, -1
     )
-    keys = ["fingerprint", "trading_day"] if per_day else ["fingerprint"]
-    return apply_fold(named, AlertFold(params), keys, "created_at_ms", ["ord"])
+    resolves = F.coalesce(F.sum(F.when(F.col("kind") == "resolve", 1)).over(earlier), F.lit(0))
+    cut = named_alerts(alerts).withColumn("_part", resolves)
+    decided = apply_fold(cut, AlertFold(params), [*ALERT_KEYS, "_part"], "created_at_ms", ["ord"])
+    return decided.drop("_part")
 
 
 def health_emissions(assessed: DataFrame, params: HealthParams) -> DataFrame:

@@ -293,7 +293,7 @@ def sequence_advance(fetches: DataFrame, slice_ms: int = SLICE_MS) -> DataFrame:
 
 
 def daily_digest(health: DataFrame, alerts: DataFrame | None = None) -> DataFrame:
-    """Per day: stored rows, peak minute, largest lag, table rows at start and end, growth, and the
+    """Per instance and day: stored rows, peak minute, largest lag, table rows at start and end, growth, and the
     alerts sent and recovered."""
     stored = F.greatest(F.lit(0), F.col("persisted_rows_per_min"))
     digest = health.groupBy("instance", "trading_day").agg(
@@ -308,13 +308,13 @@ def daily_digest(health: DataFrame, alerts: DataFrame | None = None) -> DataFram
     )
     if alerts is None:
         return digest
-    sent = alerts.where("emitted").groupBy("trading_day").agg(
+    sent = alerts.where("emitted").groupBy("instance", "trading_day").agg(
         F.count_if((F.col("kind") == "alert") & F.col("severity").isin("WARN", "ALERT")).alias(
             "alert_count"
         ),
         F.count_if(F.col("kind") == "resolve").alias("recovered_count"),
     )
-    return digest.join(sent, "trading_day", "left").fillna(
+    return digest.join(sent, ["instance", "trading_day"], "left").fillna(
         {"alert_count": 0, "recovered_count": 0}
     )
 

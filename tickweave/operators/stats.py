@@ -1,7 +1,7 @@
 """Per-day and per-symbol statistics, rankings, percentiles and top-k reads.
 
-Everything starts from partial aggregates, so a dominant symbol shrinks on the map side. Per-day
-facts joined back to ticks go through ``with_day_facts``, which checks their size first.
+Everything starts from partial aggregates, so a dominant symbol shrinks on the map side. Whether one
+side of a join is broadcast is left to the planner's own size check.
 """
 
 from __future__ import annotations
@@ -14,9 +14,6 @@ from pyspark.sql import functions as F
 from ..functions import clock
 from ..params import DEFAULT_TZ
 
-MAX_DAY_FACTS = 200_000  # rows; about 30 bytes each, far below any executor's memory
-
-
 def symbol_stats(ticks: DataFrame) -> DataFrame:
     """Rows and time span per day and symbol."""
     return ticks.groupBy("trading_day", "symbol").agg(
@@ -114,32 +111,22 @@ def recent_max_seq(
     if days:
         rows = ticks.where(F.col("trading_day").isin(usable_days(days)))
     else:
-        rows = ticks.join(F.broadcast(recent_days(ticks, min(recent, 1000))), "trading_day")
+        rows = ticks.join(recent_days(ticks, recent), "trading_day")
     return max_seq_by_symbol(rows, symbols)
 
 
-def with_day_facts(ticks: DataFrame, facts: DataFrame, how: str = "inner") -> DataFrame:
-    """Join one-row-per-day facts to ticks.
-
-    The fact rows are counted first: up to ``MAX_DAY_FACTS`` they are broadcast, so the ticks are
-    not shuffled; beyond that both sides are shuffled and AQE splits the skewed days.
-    """
-    few = facts.limit(MAX_DAY_FACTS + 1).count() <= MAX_DAY_FACTS
-    return ticks.join(F.broadcast(facts) if few else facts, "trading_day", how)
-
-
 def trailing_window(ticks: DataFrame, minutes: int, day: str | None = None) -> DataFrame:
     """Ticks of the last ``minutes`` before the data's own end, per day.
 
-    For one day the end is a scalar subquery, for all days a checked join of per-day facts.
+    For one day the end is a scalar subquery, for all days a join of one row per day.
     """
-    span = max(1, min(240, int(minutes))) * 60_000
+    span = int(minutes) * 60_000
     if day is not None:
         rows = ticks.where(F.col("trading_day") == day)
         end = rows.agg(F.max("ts_ms") - span).scalar()
         return rows.where(F.col("ts_ms") >= end)
     ends = ticks.groupBy("trading_day").agg((F.max("ts_ms") - span).alias("_cutoff"))
-    return with_day_facts(ticks, ends).where("ts_ms >= _cutoff").drop("_cutoff")
+    return ticks.join(ends, "trading_day").where("ts_ms >= _cutoff").drop("_cutoff")
 
 
 TOP_METRICS = ("rows", "turnover", "volume")
@@ -156,7 +143,6 @@ def top_symbols(
     metric = (metric or "rows").strip().lower()
     if metric not in TOP_METRICS:
         raise ValueError(f"metric must be one of {', '.join(TOP_METRICS)}")
-    limit = max(1, min(50, int(limit)))
     ranked = (
         trailing_window(ticks, minutes, day)
         .groupBy("trading_day", "symbol")
@@ -291,40 +277,24 @@ def export_positions(
     ordinal: Sequence[str] = ("ingest_ordinal",),
     slice_ms: int = 600_000,
 ) -> DataFrame:
-    """Each tick with its ``position`` within day and symbol and its ``line`` in the whole export.
+    """Each tick with its ``position`` within day and symbol, in export order: ts_ms, seq (missing as
+    -1), ordinal.
 
-    Export order is trading_day, symbol, ts_ms, seq (missing as -1), ordinal. Ticks are ranked only
-    within a time slice; the rows of earlier slices, symbols and days come from slice counts, so no
-    symbol or day is gathered in one task.
+    Ticks are ranked only within a time slice; the rows of earlier slices come from slice counts, so no
+    symbol is gathered in one task.
     """
     cell = ["trading_day", "symbol", "_slice"]
     cut = ticks.withColumn("_slice", F.floor(F.col("ts_ms") / slice_ms))
     counts = cut.groupBy(*cell).agg(F.count(F.lit(1)).alias("_n"))
-    by_day = counts.groupBy("trading_day").agg(F.sum("_n").alias("_day_n"))
-
-    def before(total: str, window) -> Column:
-        earlier = window.rowsBetween(Window.unboundedPreceding, -1)
-        return F.coalesce(F.sum(total).over(earlier), F.lit(0))
-
-    day_start = by_day.select(
-        "trading_day", before("_day_n", Window.orderBy("trading_day")).alias("_day_start")
-    )
-    in_day = Window.partitionBy("trading_day").orderBy("symbol", "_slice")
-    in_symbol = Window.partitionBy("trading_day", "symbol").orderBy("_slice")
-    starts = (
-        counts.withColumns(
-            {"_in_day": before("_n", in_day), "_in_symbol": before("_n", in_symbol)}
-        )
-        .join(day_start, "trading_day")
-        .select(*cell, "_in_symbol", (F.col("_day_start") + F.col("_in_day")).alias("_start"))
+    earlier = (
+        Window.partitionBy("trading_day", "symbol")
+        .orderBy("_slice")
+        .rowsBetween(Window.unboundedPreceding, -1)
     )
+    starts = counts.select(*cell, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"))
     order = Window.partitionBy(*cell).orderBy("ts_ms", F.coalesce("seq", F.lit(-1)), *ordinal)
     return (
         cut.withColumn("_rn", F.row_number().over(order))
         .join(starts, cell)
-        .select(
-            *ticks.columns,
-            (F.col("_in_symbol") + F.col("_rn")).alias("position"),
-            (F.col("_start") + F.col("_rn")).alias("line"),
-        )
+        .select(*ticks.columns, (F.col("_start") + F.col("_rn")).alias("position"))
     )

@@ -110,7 +110,7 @@ def e17_daily_digest(spark, sf_dir):
 ALERTS = f"""al AS (
 SELECT epoch_us(ts) // 1000 AS created_at_ms, event_id AS ord,
   CASE WHEN value BETWEEN 20 AND 25 THEN 'resolve' ELSE 'alert' END AS kind, event_type AS code,
-  event_type || ':' || user_id % 4 AS fingerprint, {q.day("(epoch_us(ts) // 1000)")} AS trading_day,
+  event_type || ':' || user_id % 4 AS fingerprint, 'node' || user_id % 5 AS instance, {q.day("(epoch_us(ts) // 1000)")} AS trading_day,
   CASE WHEN value BETWEEN 20 AND 25 THEN 'OK' WHEN value > 100 THEN 'ALERT' WHEN value > 30 THEN 'WARN'
     ELSE 'OK' END AS severity FROM events)"""
 
@@ -219,19 +219,19 @@ DEDUPE_SQL = (
     q.w(ALERTS).replace("WITH ", "WITH RECURSIVE ", 1).rstrip()
     + f""",
 num AS (SELECT *, CASE severity WHEN 'ALERT' THEN 2 WHEN 'WARN' THEN 1 ELSE 0 END AS rank,
-  row_number() OVER (PARTITION BY fingerprint, trading_day ORDER BY created_at_ms, ord) AS i FROM al),
-seed AS (SELECT DISTINCT fingerprint, trading_day, 0::BIGINT AS i, 0::BIGINT AS ord, FALSE AS open,
+  row_number() OVER (PARTITION BY instance, fingerprint ORDER BY created_at_ms, ord) AS i FROM al),
+seed AS (SELECT DISTINCT instance, fingerprint, 0::BIGINT AS i, 0::BIGINT AS ord, FALSE AS open,
   0::BIGINT AS first, 0::BIGINT AS sent, 0 AS rank, 0 AS step, '' AS reason FROM al),
 fold AS (
 SELECT * FROM seed
 UNION ALL
-SELECT fingerprint, trading_day, i, ord, kind <> 'resolve',
+SELECT instance, fingerprint, i, ord, kind <> 'resolve',
   CASE WHEN reason = 'new' THEN created_at_ms ELSE first END,
   CASE WHEN reason = 'cooldown_active' THEN sent ELSE created_at_ms END,
   CASE WHEN reason IN ('new', 'severity_upgraded') THEN rank ELSE prank END,
   CASE WHEN reason = 'new' THEN 1 WHEN starts_with(reason, 'esc') THEN step + 1 ELSE step END, reason
 FROM (
-  SELECT n.fingerprint, n.trading_day, n.i, n.ord, n.kind, n.created_at_ms, n.rank, f.first, f.sent,
+  SELECT n.instance, n.fingerprint, n.i, n.ord, n.kind, n.created_at_ms, n.rank, f.first, f.sent,
     f.rank AS prank, f.step,
     CASE WHEN n.kind = 'resolve' THEN 'state_recovered' WHEN NOT f.open THEN 'new'
       WHEN n.rank > f.rank THEN 'severity_upgraded'
@@ -239,7 +239,7 @@ FROM (
       WHEN f.step < len({STEPS}) AND n.created_at_ms - f.first >= ({STEPS})[f.step + 1] * 1000
         THEN 'escalation_step_' || ({STEPS})[f.step + 1] || 's'
       ELSE 'cooldown_elapsed' END AS reason
-  FROM fold f JOIN num n ON n.fingerprint = f.fingerprint AND n.trading_day = f.trading_day
+  FROM fold f JOIN num n ON n.instance = f.instance AND n.fingerprint = f.fingerprint
     AND n.i = f.i + 1))
 """
 )
@@ -258,16 +258,16 @@ def i8_alert_dedupe(spark, sf_dir):
 @query(
     "i9_alert_recoveries",
     DEDUPE_SQL
-    + """SELECT trading_day, count(*) FILTER (a.kind = 'alert' AND reason <> 'cooldown_active'
+    + """SELECT a.instance, trading_day, count(*) FILTER (a.kind = 'alert' AND reason <> 'cooldown_active'
     AND severity <> 'OK') AS alert_count,
   count(*) FILTER (a.kind = 'resolve') AS recovered_count
-FROM fold JOIN al a USING (fingerprint, trading_day, ord) WHERE i > 0 GROUP BY 1""",
+FROM fold JOIN al a USING (instance, fingerprint, ord) WHERE i > 0 GROUP BY 1, 2""",
 )
 def i9_alert_recoveries(spark, sf_dir):
-    """Digest counts of sent alerts and recoveries."""
+    """Digest counts of sent alerts and recoveries, of each instance."""
     decided = folds.alert_decisions(derived.alerts(spark, sf_dir), P)
     digest = health.daily_digest(derived.health(spark, sf_dir), decided)
-    return digest.select("trading_day", "alert_count", "recovered_count").distinct()
+    return digest.select("instance", "trading_day", "alert_count", "recovered_count")
 
 
 EMISSION_SQL = (

@@ -107,6 +107,16 @@ def e4_max_seq_recent_days(spark, sf_dir):
     return stats.recent_max_seq(_ticks(spark, sf_dir), None, recent=3)
 
 
+@query(
+    "e4_max_seq_all_days",
+    q.w(q.LI)
+    + """SELECT symbol, max(seq) AS max_seq FROM li WHERE seq IS NOT NULL GROUP BY 1""",
+)
+def e4_max_seq_all_days(spark, sf_dir):
+    """Over thousands of days, all of them asked for."""
+    return stats.recent_max_seq(_busy(spark, sf_dir), None, recent=100_000)
+
+
 @query(
     "e4_max_seq_given_days",
     q.w(q.EV)
@@ -134,7 +144,10 @@ def _top_sql(name: str, base: str, metric: str, limit: int) -> str:
 
 @query("e7_top_symbols_rows", _top_sql("ev", q.EV, "rows", 3))
 def e7_top_symbols_rows(spark, sf_dir):
-    return stats.top_symbols(_ticks(spark, sf_dir), minutes=999, metric="rows", limit=3)
+    """Through the command, which holds the minutes to 240."""
+    from . import commands
+
+    return commands.db_top_symbols(_ticks(spark, sf_dir), minutes=999, metric="rows", limit=3)
 
 
 @query("e7_top_symbols_volume", _top_sql("li", q.LI, "volume", 10))
@@ -264,6 +277,20 @@ def g1_latest_ticks(spark, sf_dir):
     )
 
 
+@query(
+    "g1_symbol_last_500",
+    q.w(q.EV)
+    + """SELECT symbol, ts_ms, price, volume, turnover, seq FROM ev WHERE symbol = 'HK.view'
+ORDER BY ts_ms DESC, seq DESC NULLS LAST, ingest_ordinal DESC LIMIT 500""",
+)
+def g1_symbol_last_500(spark, sf_dir):
+    """The command's newest ticks of a symbol, as many as asked for."""
+    from . import commands
+
+    rows = commands.db_symbol(_ticks(spark, sf_dir), "HK.view", last=500, with_time=True)
+    return rows.select("symbol", "ts_ms", "price", "volume", "turnover", "seq")
+
+
 @query(
     "g1_latest_ticks_all_symbols",
     q.w(q.LI)
@@ -279,14 +306,14 @@ def g1_latest_ticks_all_symbols(spark, sf_dir):
 @query(
     "g2_export_order",
     q.w(q.LI)
-    + """SELECT symbol, seq, ts_ms, row_number() OVER (ORDER BY trading_day, symbol, ts_ms,
-  coalesce(seq, -1), l_partkey, price, volume, turnover) AS line FROM li""",
+    + """SELECT trading_day, symbol, seq, ts_ms, row_number() OVER (PARTITION BY trading_day, symbol
+  ORDER BY ts_ms, coalesce(seq, -1), l_partkey, price, volume, turnover) AS position FROM li""",
 )
 def g2_export_order(spark, sf_dir):
-    """Line numbers of the total export order."""
+    """Each tick's place in its day and symbol; the files lie by day and symbol."""
     ordinal = ["l_partkey", "price", "volume", "turnover"]
     return stats.export_positions(_busy(spark, sf_dir), ordinal, slice_ms=3_600_000).select(
-        "symbol", "seq", "ts_ms", "line"
+        "trading_day", "symbol", "seq", "ts_ms", "position"
     )
 
 

@@ -50,9 +50,12 @@ MANIFEST = _fields(
     "trading_day string, created_at_ms bigint, archive_path string, compression string, "
     "ticks_count bigint, max_ts_ms bigint, content_hash string, verify_ok boolean, "
     "total_rows bigint, start_ts_ms bigint, end_ts_ms bigint, hard_gaps_total bigint, "
-    "hard_gaps_total_sec double, quality_grade string"
+    "hard_gaps_total_sec double, quality_grade string, archive_bytes bigint, archive_sha256 string, "
+    "host string, source_path string"
 )
 
+CHECKSUMS = _fields("file string, bytes bigint, sha256 string, trading_day string")
+
 HEALTH = _fields(
     "instance string, sid string, created_at_ms bigint, trading_day string, db_rows bigint, "
     "drift_sec double, queue_size bigint, queue_maxsize bigint, push_rows_per_min bigint, "
@@ -69,7 +72,7 @@ HEALTH = _fields(
 
 ALERTS = _fields(
     "created_at_ms bigint, ord bigint, kind string, code string, key string, fingerprint string, "
-    "trading_day string, severity string, sid string, eid string"
+    "trading_day string, severity string, sid string, eid string, instance string"
 )
 
 

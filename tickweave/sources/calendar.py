@@ -10,8 +10,6 @@ from pyspark.sql import functions as F
 from ..functions import clock
 from ..params import DEFAULT_TZ
 
-MAX_HOLIDAYS = 100_000
-
 
 def parse_holidays(lines: DataFrame, column: str = "value") -> DataFrame:
     """One day per line, ``#`` comments, first comma field; lines that are no day are dropped."""
@@ -43,14 +41,13 @@ def with_market_state(
 ) -> DataFrame:
     """Adds local ``market_day``, ``market_mode``, ``is_trading_day`` and ``is_trading_session``.
 
-    Holidays are a left join: broadcast after a count, else left to the planner.
+    Holidays are a left join; the planner picks its form.
     """
     out = df.withColumn("market_day", clock.trading_day(ts_ms, tz))
     holiday = None
     if holidays is not None:
         days = holidays.select(F.col("trading_day").alias("market_day"), F.lit(True).alias("_h"))
-        few = days.limit(MAX_HOLIDAYS + 1).count() <= MAX_HOLIDAYS
-        out = out.join(F.broadcast(days) if few else days, "market_day", "left")
+        out = out.join(days, "market_day", "left")
         holiday = F.col("_h")
     out = out.withColumns(
         {

@@ -328,6 +328,7 @@ def alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_type").alias("code"),
         F.concat_ws(":", "event_type", (F.col("user_id") % 4).cast("string")).alias("key"),
         F.lit("").alias("fingerprint"),
+        F.concat(F.lit("node"), (F.col("user_id") % 5).cast("string")).alias("instance"),
         clock.trading_day(ts).alias("trading_day"),
         severity.alias("severity"),
         F.when(F.col("user_id") % 3 == 0, F.concat(F.lit("s"), "event_id")).alias("sid"),

@@ -10,7 +10,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from ..operators.folds import AdmissionFold, AlertFold, CooldownFold, HealthEmissionFold, _none
+from ..operators.folds import (
+    ALERT_KEYS,
+    AdmissionFold,
+    AlertFold,
+    CooldownFold,
+    HealthEmissionFold,
+    _none,
+    named_alerts,
+)
 from ..params import HealthParams
 
 
@@ -68,16 +76,9 @@ def stream_fold(
 
 
 def stream_alerts(alerts: DataFrame, params: HealthParams) -> DataFrame:
-    named = alerts.withColumn(
-        "fingerprint",
-        F.coalesce(
-            F.nullif(F.trim("fingerprint"), F.lit("")),
-            F.nullif(F.col("key"), F.lit("")),
-            F.nullif(F.col("code"), F.lit("")),
-            F.lit("unknown"),
-        ),
+    return stream_fold(
+        named_alerts(alerts), AlertFold(params), ALERT_KEYS, "created_at_ms", ["ord"]
     )
-    return stream_fold(named, AlertFold(params), ["fingerprint"], "created_at_ms", ["ord"])
 
 
 def stream_health_emissions(assessed: DataFrame, params: HealthParams) -> DataFrame:
