@@ -158,7 +158,7 @@ def test_archive_and_retention(store, make_ticks, spark):
     assert archive.verify_checksums(spark, root).where("NOT checksum_ok").count() == 0
     none = archive.expired_days(store.ticks(), manifest.where("trading_day > '20260215'"), 0)
     assert [r[0] for r in none.collect()] == ["20260216"]  # the other day is not verified
-    assert archive.delete_expired(store, manifest, 1) == ["20260215"]
+    assert archive.delete_expired(store, manifest, 1, root) == ["20260215"]
     assert [r[0] for r in store.recent_trading_days(5).collect()] == ["20260216"]
     assert archive.archived_ticks(spark, root).count() == 6
 
@@ -170,10 +170,48 @@ def test_changed_archive_fails(store, make_ticks, spark):
     assert not archive.verify(store.ticks(), changed).first().verify_ok
     assert not archive.verify(store.ticks(), archived.where("seq > 0")).first().verify_ok
     extra = spark.createDataFrame([("trading_day=20260216/x.parquet", 1, "00")], "file string, bytes bigint, sha256 string")
-    extra.write.mode("append").parquet(f"{root}/checksums")
+    extra.write.mode("append").parquet(f"{root}/checksums/trading_day=20260216")
     assert archive.verify_checksums(spark, root).where("NOT checksum_ok").count() == 1
 
 
+def test_a_day_with_rows_since_its_archive_is_kept(store, make_ticks):
+    root, manifest, _ = _archive(store, make_ticks, ["20260214", "20260215", "20260216"])
+    store.append_ticks(make_ticks([tick("A", "20260214", hk_ms("20260214", "11:00:00"), 99)]))
+    chosen = lambda: [r[0] for r in archive.expired_days(store.ticks(), manifest, 1, root).collect()]
+    assert chosen() == ["20260215"]
+    assert archive.delete_expired(store, manifest, 1, root) == ["20260215"]
+    assert store.ticks(["20260214"]).count() == 4
+
+
+def test_a_changed_file_still_fails_after_another_day_is_archived(store, make_ticks, spark):
+    root, _, _ = _archive(store, make_ticks, ["20260215"])
+    file = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{root}/ticks").first()
+    path = file["path"].removeprefix("file:")
+    content = bytearray(file["content"])
+    content[len(content) // 2] ^= 1
+    with open(path, "wb") as out:
+        out.write(content)
+    store.append_ticks(make_ticks([tick("A", "20260216", hk_ms("20260216", "10:00:00"), 1)]))
+    manifest = archive.archive_days(store, root, QualityParams(), T0, ["20260216"])
+    bad = archive.verify_checksums(spark, root).where("NOT checksum_ok")
+    assert [r.trading_day for r in bad.collect()] == ["20260215"]
+    assert archive.verify_checksums(spark, root, ["20260216"]).where("NOT checksum_ok").count() == 0
+    assert archive.expired_days(store.ticks(), manifest, 0, root).collect()[0][0] == "20260216"
+    row = manifest.where("trading_day = '20260216'").first()
+    assert row.archive_bytes > 0 and len(row.archive_sha256) == 64 and row.source_path.endswith("=20260216")
+
+
+def test_a_repeated_batch_adds_nothing(store, make_ticks):
+    rows = [tick("A", D, T0, 1), tick("A", D, T0, None, price=None), tick("A", D, T0, None)]
+    assert store.append_ticks(make_ticks(rows), load="x", epoch=4).inserted == 3
+    again = store.append_ticks(make_ticks(rows), load="x", epoch=4)
+    assert (again.batch, again.inserted) == (3, 0)
+    store._mark("y", 0, done=False)  # begun, written, but not marked as done
+    assert store.append_ticks(make_ticks(rows), load="y", epoch=0).inserted == 0
+    assert store.append_ticks(make_ticks(rows), load="y", epoch=1).inserted == 1
+    assert store.ticks().count() == 4
+
+
 def test_vendor_export_order(store, make_ticks, spark):
     rows = [
         tick("HK.1", D, T0 + 5, 2),

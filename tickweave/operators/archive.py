@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..params import QualityParams
-from ..schema import MANIFEST, TICK_COLUMNS, TICKS, conform
+from ..schema import CHECKSUMS, MANIFEST, TICK_COLUMNS, TICKS, conform
+from ..session import delete_folder
 
 
 def _fingerprint(ticks: DataFrame) -> DataFrame:
@@ -26,26 +27,34 @@ def archived_ticks(spark: SparkSession, root: str) -> DataFrame:
     return read_table(spark, f"{root}/ticks", TICKS)
 
 
-def checksums(spark: SparkSession, root: str) -> DataFrame:
-    """sha256 and size of each archived file, one file per record."""
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.parquet")
-        .load(f"{root}/ticks")
-    )
-    name = F.regexp_extract("path", r"(trading_day=.*)$", 1)
+def checksums(spark: SparkSession, root: str, days: Sequence[str] | None = None) -> DataFrame:
+    """sha256 and size of each archived file, one file per record; only the files of ``days`` are read."""
+    from ..sources.store import day_files
+
+    files = day_files(spark, f"{root}/ticks", days)
     return files.select(
-        name.alias("file"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256")
+        F.regexp_extract("path", r"trading_day=([^/]+)", 1).alias("trading_day"),
+        F.regexp_extract("path", r"(trading_day=.*)$", 1).alias("file"),
+        F.col("length").alias("bytes"),
+        F.sha2("content", 256).alias("sha256"),
     )
 
 
-def verify_checksums(spark: SparkSession, root: str) -> DataFrame:
+def recorded_checksums(
+    spark: SparkSession, root: str, days: Sequence[str] | None = None
+) -> DataFrame:
+    from ..sources.store import read_table
+
+    recorded = read_table(spark, f"{root}/checksums", CHECKSUMS)
+    return recorded if days is None else recorded.where(F.col("trading_day").isin(list(days)))
+
+
+def verify_checksums(
+    spark: SparkSession, root: str, days: Sequence[str] | None = None
+) -> DataFrame:
     """Recorded checksums against the files as they are now; a lost or changed file fails."""
-    recorded = spark.read.schema("file string, bytes bigint, sha256 string").parquet(
-        f"{root}/checksums"
-    )
-    now = checksums(spark, root).select("file", F.col("sha256").alias("_now"))
+    recorded = recorded_checksums(spark, root, days)
+    now = checksums(spark, root, days).select("file", F.col("sha256").alias("_now"))
     return recorded.join(now, "file", "left").withColumn(
         "checksum_ok", F.coalesce(F.col("_now") == F.col("sha256"), F.lit(False))
     )
@@ -73,10 +82,12 @@ def archive_days(
     now_ms: int,
     days: Sequence[str] | None = None,
     compression: str = "zstd",
+    host: str | None = None,
 ) -> DataFrame:
     """Copy days, record file checksums, verify, and write one manifest row per day.
 
-    All days go in one job. A repeated run replaces the same days, so it can be restarted.
+    All days go in one job. A repeated run replaces the same days, so it can be restarted. Checksums
+    are taken of the files of these days only, and those of other days stay as recorded.
     """
     from ..sources.store import write_days
     from .quality import daily_report
@@ -87,7 +98,7 @@ def archive_days(
         raise ValueError(f"unsupported compression: {compression}")
     ticks = store.ticks(days)
     write_days(ticks, f"{root}/ticks", sort=("symbol", "ts_ms"), mode="overwrite", codec=codec)
-    checksums(spark, root).write.mode("overwrite").parquet(f"{root}/checksums")
+    write_days(checksums(spark, root, days), f"{root}/checksums", sort=("file",), mode="overwrite")
     copied = archived_ticks(spark, root)
     if days is not None:
         copied = copied.where(F.col("trading_day").isin(list(days)))
@@ -97,11 +108,24 @@ def archive_days(
         "trading_day", "total_rows", "start_ts_ms", "end_ts_ms", "hard_gaps_total",
         "hard_gaps_total_sec", "quality_grade",
     )
-    manifest = checked.join(summary, "trading_day", "left").withColumns(
+    # a day has few files, so their checksums are listed
+    each = F.sort_array(F.collect_list(F.struct("file", "sha256")))
+    files = (
+        recorded_checksums(spark, root, days)
+        .groupBy("trading_day")
+        .agg(
+            F.sum("bytes").alias("archive_bytes"),
+            F.sha2(F.to_json(each), 256).alias("archive_sha256"),
+        )
+    )
+    manifest = checked.join(summary, "trading_day", "left").join(files, "trading_day", "left")
+    manifest = manifest.withColumns(
         {
             "created_at_ms": F.lit(now_ms).cast("bigint"),
             "archive_path": F.concat(F.lit(f"{root}/ticks/trading_day="), "trading_day"),
             "compression": F.lit(codec),
+            "host": F.lit(host or spark.conf.get("spark.driver.host", "")),
+            "source_path": F.concat(F.lit(f"{store.ticks_path}/trading_day="), "trading_day"),
         }
     )
     write_days(conform(manifest, MANIFEST), store.manifest_path, mode="overwrite")
@@ -112,27 +136,49 @@ def verified_days(days: DataFrame, manifest: DataFrame) -> DataFrame:
     return days.join(manifest.where("verify_ok").select("trading_day"), "trading_day", "left_semi")
 
 
-def expired_days(ticks: DataFrame, manifest: DataFrame, keep_days: int) -> DataFrame:
-    """Verified days beyond the newest ``keep_days``. Selecting only; deleting is up to the caller."""
+def unchanged_days(ticks: DataFrame, manifest: DataFrame) -> DataFrame:
+    """Days whose stored rows are, now, those that were archived and verified: count, largest time and
+    row hashes."""
+    marks = ["ticks_count", "max_ts_ms", "content_hash"]
+    archived = manifest.where("verify_ok").select("trading_day", *[F.col(m).alias(f"_{m}") for m in marks])
+    same = F.lit(True)
+    for name in marks:
+        same = same & F.col(name).eqNullSafe(F.col(f"_{name}"))
+    return _fingerprint(ticks).join(archived, "trading_day").where(same).select("trading_day")
+
+
+def expired_days(
+    ticks: DataFrame, manifest: DataFrame, keep_days: int, root: str | None = None
+) -> DataFrame:
+    """Days beyond the newest ``keep_days`` that are archived as they are now. Selecting only; deleting
+    is up to the caller.
+
+    A day that got rows since its archive is not selected. With the archive's ``root``, every recorded
+    file of the day has to be there and to have its checksum.
+    """
     days = (
         ticks.select("trading_day").distinct().where(F.col("trading_day").rlike(r"^\d{8}$"))
     )
+    # one row per day
     rank = F.row_number().over(Window.orderBy(F.col("trading_day").desc()))
     older = days.withColumn("_rank", rank).where(F.col("_rank") > max(0, keep_days)).drop("_rank")
-    return verified_days(older, manifest)
+    older = older.join(unchanged_days(ticks, manifest), "trading_day", "left_semi")
+    if root is None:
+        return older
+    checked = verify_checksums(ticks.sparkSession, root).groupBy("trading_day")
+    intact = checked.agg(F.bool_and("checksum_ok").alias("_ok")).where("_ok")
+    return older.join(intact.select("trading_day"), "trading_day", "left_semi")
 
 
-def delete_expired(store, manifest: DataFrame, keep_days: int) -> list[str]:
+def delete_expired(store, manifest: DataFrame, keep_days: int, root: str) -> list[str]:
     """Delete the day folders chosen by ``expired_days`` and name them. Opt-in: nothing else deletes.
 
     Only day names are brought to the driver; a day is one folder below the tick table.
     """
-    days = sorted(r[0] for r in expired_days(store.ticks(), manifest, keep_days).collect())
-    jvm = store.spark._jvm
-    conf = store.spark._jsparkSession.sessionState().newHadoopConf()
+    chosen = expired_days(store.ticks(), manifest, keep_days, root)
+    days = sorted(r[0] for r in chosen.collect())
     for day in days:
-        path = jvm.org.apache.hadoop.fs.Path(f"{store.ticks_path}/trading_day={day}")
-        path.getFileSystem(conf).delete(path, True)
+        delete_folder(store.spark, f"{store.ticks_path}/trading_day={day}")
     return days
 
 

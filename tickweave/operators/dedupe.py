@@ -119,6 +119,20 @@ def new_ticks(
     )
 
 
+def without_copies(ticks: DataFrame, stored: DataFrame) -> DataFrame:
+    """Rows that equal no stored row in every column, NULLs included. Only rows without an identity of
+    their own are compared; the others have been by their key."""
+    alone = ticks.where(never_duplicate())
+    columns = [c for c in stored.columns if c in ticks.columns]
+    same = F.lit(True)
+    kept = stored.where(never_duplicate()).select(*[F.col(c).alias(f"_s_{c}") for c in columns])
+    for name in columns:
+        plain = name in ("trading_day", "symbol", "ts_ms", "recv_ts_ms")
+        value, other = F.col(name), F.col(f"_s_{name}")
+        same = same & ((value == other) if plain else value.eqNullSafe(other))
+    return ticks.where(~never_duplicate()).unionByName(alone.join(kept, same, "left_anti"))
+
+
 def dedupe_gaps(gaps: DataFrame) -> DataFrame:
     """One row per gap key, the earliest detection."""
     order = Window.partitionBy(*GAP_KEY).orderBy("detected_at_ms", "trading_day")
@@ -130,8 +144,12 @@ def new_gaps(gaps: DataFrame, stored: DataFrame) -> DataFrame:
 
 
 def missing_keys(wanted: DataFrame, known: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of ``wanted`` whose key does not occur in ``known``."""
-    return wanted.join(known.select(*keys), list(keys), "left_anti")
+    """Rows of ``wanted`` whose key does not occur in ``known``; missing parts equal each other."""
+    other = known.select(*[F.col(k).alias(f"_k_{k}") for k in keys])
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    return wanted.join(other, same, "left_anti")
 
 
 def max_seq_by_symbol(ticks: DataFrame, symbols: Sequence[str] | None = None) -> DataFrame:

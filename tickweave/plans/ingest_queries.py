@@ -141,34 +141,6 @@ def a5_gaps_sink(spark, sf_dir):
     )
 
 
-@query(
-    "a6_daily_quality_upsert",
-    q.w(q.EV)
-    + f"""SELECT trading_day, CASE WHEN bool_or(price > 300) THEN 2 ELSE 1 END::BIGINT AS created_at_ms,
-  CASE WHEN bool_or(price > 300) THEN 'second' ELSE 'first' END AS host,
-  '{{"rows":' || count(*) || '}}' AS summary_json FROM ev GROUP BY 1""",
-)
-def a6_daily_quality_upsert(spark, sf_dir):
-    """All days written once, then the days with a price above 300 written again."""
-    store = TickStore(spark, shared_folder(spark, "store"))
-    days = derived.event_ticks(spark, sf_dir).groupBy("trading_day").agg(
-        F.count(F.lit(1)).alias("rows"), F.bool_or(F.col("price") > 300).alias("again")
-    )
-
-    def rows(df, created, host):
-        return df.select(
-            "trading_day",
-            F.lit(created).cast("bigint").alias("created_at_ms"),
-            F.lit(host).alias("host"),
-            F.lit("[]").alias("symbols_json"),
-            F.to_json(F.struct("rows")).alias("summary_json"),
-        )
-
-    store.upsert_daily_quality(rows(days, 1, "first"))
-    store.upsert_daily_quality(rows(days.where("again"), 2, "second"))
-    return store.daily_quality().drop("symbols_json")
-
-
 @query(
     "a8_gaps_csv",
     q.w(q.EV, q.POINTS, q.GAPS)
@@ -248,10 +220,26 @@ def a12_verify_archive(spark, sf_dir):
     )
 
 
-@query("a13_file_checksums")
+@query(
+    "a13_file_checksums",
+    q.w(q.EV)
+    + """SELECT DISTINCT trading_day, TRUE AS has_files, TRUE AS has_bytes, TRUE AS checksum_ok,
+  TRUE AS in_manifest FROM ev""",
+)
 def a13_file_checksums(spark, sf_dir):
-    _, root = _archived(spark, sf_dir)
-    return archive.verify_checksums(spark, root).select("file", "bytes", "checksum_ok")
+    """Files of each archived day against their recorded checksums, and against the manifest."""
+    store, root = _archived(spark, sf_dir)
+    files = archive.verify_checksums(spark, root).groupBy("trading_day").agg(
+        (F.count(F.lit(1)) > 0).alias("has_files"),
+        (F.min("bytes") > 0).alias("has_bytes"),
+        F.bool_and("checksum_ok").alias("checksum_ok"),
+        F.sum("bytes").alias("_bytes"),
+    )
+    known = store.manifest().select("trading_day", "archive_bytes", "archive_sha256")
+    same = (F.col("archive_bytes") == F.col("_bytes")) & (F.length("archive_sha256") == 64)
+    return files.join(known, "trading_day", "left").select(
+        "trading_day", "has_files", "has_bytes", "checksum_ok", same.alias("in_manifest")
+    )
 
 
 @query(
@@ -266,6 +254,21 @@ def a14_retention_selection(spark, sf_dir):
     return archive.expired_days(store.ticks(), store.manifest(), keep_days=14)
 
 
+@query(
+    "a14_retention_after_late_rows",
+    q.w(q.EV)
+    + """SELECT trading_day FROM (SELECT trading_day, row_number() OVER (ORDER BY trading_day DESC) AS rn
+  FROM (SELECT DISTINCT trading_day FROM ev)) WHERE rn > 3 AND trading_day::INTEGER % 2 = 0""",
+)
+def a14_retention_after_late_rows(spark, sf_dir):
+    """Days of odd names get rows after they were archived, and are not retired any more."""
+    store, root = _archived(spark, sf_dir)
+    late = derived.event_ticks(spark, sf_dir).where("CAST(trading_day AS INT) % 2 = 1 AND seq IS NOT NULL")
+    late = late.withColumn("seq", F.col("seq") + 10_000_000)
+    store.append_ticks(late)
+    return archive.expired_days(store.ticks(), store.manifest(), keep_days=3, root=root)
+
+
 @query(
     "d8_verified_days",
     q.w(q.EV)
@@ -372,11 +375,18 @@ def h4_keys_not_stored(spark, sf_dir):
     return dedupe.missing_keys(ticks, stored, ["symbol", "seq"]).select("symbol", "seq")
 
 
-@query("a18_footprint")
+@query(
+    "a18_footprint",
+    q.w(q.EV)
+    + "SELECT DISTINCT trading_day, TRUE AS has_files, TRUE AS has_bytes FROM ev",
+)
 def a18_footprint(spark, sf_dir):
     from ..sources.store import footprint
 
-    return footprint(spark, _loaded_store(spark, sf_dir).ticks_path)
+    sizes = footprint(spark, _loaded_store(spark, sf_dir).ticks_path)
+    return sizes.select(
+        "trading_day", (F.col("files") > 0).alias("has_files"), (F.col("bytes") > 0).alias("has_bytes")
+    )
 
 
 @query(
@@ -481,11 +491,12 @@ def d3_poll_counts(spark, sf_dir):
     q.w(q.RESENT)
     + """SELECT symbol, ts_ms, price, volume, turnover, recv_ts_ms FROM ev e WHERE seq IS NULL
   AND push_type = 'poll' AND NOT EXISTS (SELECT 1 FROM ev s WHERE s.seq IS NULL
-    AND s.push_type <> 'poll' AND s.symbol = e.symbol AND s.ts_ms = e.ts_ms AND s.price = e.price
-    AND s.volume = e.volume AND s.turnover = e.turnover)""",
+    AND s.push_type <> 'poll' AND s.symbol = e.symbol AND s.ts_ms = e.ts_ms
+    AND s.price IS NOT DISTINCT FROM e.price AND s.volume IS NOT DISTINCT FROM e.volume
+    AND s.turnover IS NOT DISTINCT FROM e.turnover)""",
 )
 def d4_recent_keys(spark, sf_dir):
-    """Seq-less polled rows whose key no push or backfill has brought."""
+    """Seq-less polled rows whose key no push or backfill has brought; missing parts are equal."""
     seqless = derived.event_ticks(spark, sf_dir, resent=True).where("seq IS NULL")
     known = seqless.where("push_type <> 'poll'")
     keys = ["symbol", "ts_ms", "price", "volume", "turnover"]

@@ -42,6 +42,24 @@ def utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def _file_system(spark: SparkSession, path: str):
+    """Spark's own file system for a path; there is no public way to it from Python."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path, or anything a pattern stands for, exists in whatever store it names."""
+    place, files = _file_system(spark, path)
+    found = files.globStatus(place)
+    return found is not None and len(found) > 0
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    place, files = _file_system(spark, path)
+    files.delete(place, True)
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new folder below the cluster's ``spark.checkpoint.dir``.
 

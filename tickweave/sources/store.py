@@ -1,27 +1,24 @@
 """Day-partitioned Parquet tables: ticks, gaps, daily quality, manifest.
 
-Loads are idempotent on the row keys, so a load repeated after a lost executor, a failed job or a
-replayed micro-batch adds nothing. One writer per table is assumed.
+Loads are idempotent on the row keys, and a named load marks its batches, so a load repeated after a lost
+executor, a failed job or a replayed micro-batch adds nothing. One writer per table is assumed.
 """
 
 from __future__ import annotations
 
-import logging
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import dedupe
 from ..schema import DAILY_QUALITY, GAPS, MANIFEST, TICKS, conform, empty
+from ..session import path_exists
 
-# a missing table is a normal answer here, not worth a logged stack trace
-logging.getLogger("SQLQueryContextLogger").setLevel(logging.CRITICAL)
-
-MAX_LISTED_DAYS = 1000
+LOADS = "load string, epoch bigint, done boolean"
 ROWS_PER_FILE = 4_000_000  # keeps files near 100 MB, so a checksum task can hold one
 
 
@@ -35,24 +32,18 @@ class LoadResult:
         return max(0, self.batch - self.inserted)
 
 
+def _found(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame | None:
+    return spark.read.schema(schema).parquet(path) if path_exists(spark, path) else None
+
+
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """A Parquet table with a fixed schema; an absent path is an empty table."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as err:
-        if "PATH_NOT_FOUND" in (err.getCondition() or ""):
-            return empty(spark, schema)
-        raise
+    found = _found(spark, path, schema)
+    return empty(spark, schema) if found is None else found
 
 
 def table_exists(spark: SparkSession, path: str, schema: T.StructType) -> bool:
-    try:
-        spark.read.schema(schema).parquet(path)
-        return True
-    except AnalysisException as err:
-        if "PATH_NOT_FOUND" in (err.getCondition() or ""):
-            return False
-        raise
+    return _found(spark, path, schema) is not None
 
 
 def write_days(
@@ -117,32 +108,67 @@ class TickStore:
     def has_gaps(self) -> bool:
         return table_exists(self.spark, self.gaps_path, GAPS)
 
-    def _touched(self, batch: DataFrame) -> tuple[Column, int | None]:
-        """Condition for the partitions a batch can collide with, and the batch's row count. A batch
-        over very many days is not listed: it reads the key columns of the whole table."""
-        days = batch.groupBy("trading_day").agg(F.count(F.lit(1)).alias("n"))
-        listed = days.limit(MAX_LISTED_DAYS + 1).collect()
-        if len(listed) > MAX_LISTED_DAYS:
-            return F.lit(True), None
-        known = [r["trading_day"] for r in listed if r["trading_day"] is not None]
-        return F.col("trading_day").isin(known), sum(r["n"] for r in listed)
+    def _stored(self, table: DataFrame, batch: DataFrame) -> DataFrame:
+        """Rows of the days that a batch can collide with: a join on its distinct days, so no day is
+        listed anywhere and the planner may prune folders by them."""
+        days = batch.select("trading_day").distinct()
+        return table.join(days, "trading_day", "left_semi")
 
     def append_ticks(
-        self, batch: DataFrame, arrival: Sequence[str] = dedupe.ARRIVAL
+        self,
+        batch: DataFrame,
+        arrival: Sequence[str] = dedupe.ARRIVAL,
+        load: str | None = None,
+        epoch: int = 0,
     ) -> LoadResult:
-        """Insert-or-ignore. The stored counts before and after come from file footers."""
-        touched, offered = self._touched(batch)
-        stored = self.ticks().where(touched)
-        before = stored.count()
-        fresh = dedupe.new_ticks(batch, stored, arrival) if before else dedupe.dedupe_ticks(
-            batch, arrival
-        )
-        write_days(conform(fresh, TICKS), self.ticks_path, sort=("symbol", "ts_ms"))
-        added = self.ticks().where(touched).count() - before
-        return LoadResult(batch.count() if offered is None else offered, added)
+        """Insert-or-ignore. Rows inserted are counted by the write itself.
+
+        A ``load`` that names its batches by rising ``epoch`` numbers may repeat one: a batch that is
+        marked as done adds nothing, and one that was begun is compared row by row, so that rows which
+        equal no other are not added twice.
+        """
+        state = self._begin(load, epoch) if load is not None else "new"
+        if state == "done":
+            return LoadResult(batch.count(), 0)
+        if self.has_ticks():
+            stored = self._stored(self.ticks(), batch)
+            fresh = dedupe.new_ticks(batch, stored, arrival)
+            if state == "begun":
+                fresh = dedupe.without_copies(fresh, stored)
+        else:
+            fresh = dedupe.dedupe_ticks(batch, arrival)
+        written = Observation()
+        fresh = conform(fresh, TICKS).observe(written, F.count(F.lit(1)).alias("n"))
+        write_days(fresh, self.ticks_path, sort=("symbol", "ts_ms"))
+        if load is not None:
+            self._mark(load, epoch, done=True)
+        try:
+            inserted = written.get["n"]
+        except Py4JJavaError:  # a plan found to be empty while it ran was dropped, and its count too
+            inserted = 0
+        return LoadResult(batch.count(), inserted)
+
+    def _mark(self, load: str, epoch: int, done: bool) -> None:
+        """The newest batch of a load, one row that is replaced."""
+        row = self.spark.createDataFrame([(load, epoch, done)], LOADS).coalesce(1)
+        row.write.mode("overwrite").parquet(f"{self.root}/loads/{load}/{'done' if done else 'begun'}")
+
+    def _begin(self, load: str, epoch: int) -> str:
+        """``done``, ``begun`` or ``new``; marks the batch as begun."""
+        marks = {}
+        for kind in ("done", "begun"):
+            found = _found(self.spark, f"{self.root}/loads/{load}/{kind}", LOADS)
+            row = None if found is None else found.first()
+            marks[kind] = -1 if row is None else row["epoch"]
+        if epoch <= marks["done"]:
+            return "done"
+        if epoch == marks["begun"]:
+            return "begun"
+        self._mark(load, epoch, done=False)
+        return "new"
 
     def append_gaps(self, gaps: DataFrame) -> None:
-        fresh = dedupe.new_gaps(gaps, self.gaps().where(self._touched(gaps)[0]))
+        fresh = dedupe.new_gaps(gaps, self._stored(self.gaps(), gaps))
         write_days(conform(fresh, GAPS), self.gaps_path, sort=("symbol", "gap_start_ts_ms"))
 
     def upsert_daily_quality(self, rows: DataFrame) -> None:
@@ -172,15 +198,24 @@ class TickStore:
         )
 
 
-def footprint(spark: SparkSession, path: str) -> DataFrame:
-    """Files and bytes per trading day, from a file listing; no file content is read."""
-    files = (
+def day_files(spark: SparkSession, path: str, days: Sequence[str] | None = None) -> DataFrame:
+    """The Parquet files of a table with their content, of some days or of all; other days' folders
+    are not listed. Without any such folder there is no row."""
+    folder = path if days is None else f"{path}/trading_day={{{','.join(days)}}}"
+    reader = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "*.parquet")
-        .load(path)
-        .select("path", "length")
     )
+    if path_exists(spark, folder):
+        return reader.load(folder)
+    nothing = "path string, modificationTime timestamp, length bigint, content binary"
+    return spark.createDataFrame([], nothing)
+
+
+def footprint(spark: SparkSession, path: str, days: Sequence[str] | None = None) -> DataFrame:
+    """Files and bytes per trading day, from a file listing; no file content is read."""
+    files = day_files(spark, path, days).select("path", "length")
     day = F.regexp_extract("path", r"trading_day=([^/]+)", 1)
     return files.groupBy(day.alias("trading_day")).agg(
         F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes")
