@@ -132,7 +132,7 @@ def test_alert_stream_equals_batch(spark, landing):
         spark, lambda: decision_stream.stream_alerts(landing.stream(), p), landing
     )
     once()
-    batch = folds.alert_decisions(df, p, per_day=False)
+    batch = folds.alert_decisions(df, p)
     shape = lambda d: sorted((r.ord, r.reason, r.emitted, r.incident_eid) for r in d.collect())
     assert shape(read()) == shape(batch)
 
@@ -170,10 +170,43 @@ def test_recent_repeats(spark, make_ticks, landing):
     )
     once()
     assert read().where("symbol = 'A' AND seq IS NULL AND price IS NOT NULL").count() == 1
-    assert read().where("price IS NULL").count() == 2 and read().where("seq = 1").count() == 2
+    assert read().where("price IS NULL").count() == 1 and read().where("seq = 1").count() == 2
     assert read().where("symbol = 'B'").count() == 1
 
 
+def test_recent_repeats_out_of_order(spark, make_ticks, landing):
+    """Steps in falling receive order lose no row."""
+    t = hk_ms(DAY, "10:00:00")
+    rows = [tick("A", DAY, t + i * 60_000, None, recv_ts_ms=t + i * 60_000) for i in range(120)]
+    for part in (rows[80:], rows[40:80], rows[:40], rows[35:45]):
+        landing.add(make_ticks(part))
+    once, read = collect_stream(
+        spark, lambda: ingest.drop_recent_repeats(landing.stream()), landing
+    )
+    once()
+    assert read().count() == 120
+
+
+def test_log_lines_of_files_are_ordered_by_time(spark, tmp_path):
+    from tickweave.plans import commands
+    from tickweave.sources import logs
+
+    folder = tmp_path / "logs"
+    folder.mkdir()
+    old = "".join(f"2024-01-01 00:{i // 60:02d}:{i % 60:02d} x health sid={i}\n" for i in range(600))
+    (folder / "b-long-and-old.log").write_text(old)
+    (folder / "a-new.log").write_text(
+        "2024-01-02T00:00:01,250 y health sid=new\n2024-01-02 00:00:02 telegram_enqueue kind=HEALTH sid=1\n"
+        "2024-01-02 00:00:03 telegram_enqueue kind=ALERT severity=WARN\n  continued\n"
+    )
+    last = commands.last_log_lines(spark, str(folder)).first()
+    assert last.last_health.endswith("sid=new") and last.last_health_sent.endswith("sid=1")
+    assert last.last_warning_sent.endswith("severity=WARN") and last.last_schema is None
+    early = commands.last_log_lines(spark, str(folder), until="2024-01-01 00:05:00").first()
+    assert early.last_health.endswith("sid=299") and early.last_health_sent is None
+    assert logs.between(logs.read_logs(spark, str(folder)), "2024-01-02").count() == 3
+
+
 def test_feed_stream_from_json(spark, tmp_path):
     ingest.streaming_session(spark)
     (tmp_path / "in").mkdir()
@@ -253,3 +286,40 @@ def test_log_stream_and_files(spark, tmp_path):
         .start(out)
     )
     assert spark.read.parquet(out).count() == 2
+
+
+def test_feature_stream_equals_batch(spark, make_ticks, landing):
+    import random
+
+    from tickweave.operators import features
+    from tickweave.params import MicroParams
+    from tickweave.streaming import feature_stream
+
+    rnd, rows, price = random.Random(4), [], 10.0
+    for i in range(900):
+        price = round(price + rnd.choice([-0.05, 0, 0, 0.05]), 2)
+        side = rnd.choice(["BUY", "SELL", None, "NEUTRAL"])
+        seq = i if rnd.random() < 0.8 else None
+        rows.append(
+            tick(rnd.choice("AB"), DAY, hk_ms(DAY, "09:30:00") + i * 700, seq, price, rnd.randrange(50),
+                 None if rnd.random() < 0.3 else price * 7, direction=side)
+        )
+    for at in range(0, 900, 150):
+        landing.add(make_ticks(rows[at : at + 150]))
+    landing.add(make_ticks([tick("A", DAY, hk_ms(DAY, "09:30:00"), 0, 9.0)]))  # late
+    p = MicroParams()
+    once, read = collect_stream(
+        spark, lambda: feature_stream.stream_features(landing.stream(), p), landing
+    )
+    once()
+    newest = feature_stream.newest_revisions(read())
+    batch = features.minute_features(make_ticks(rows), p)
+
+    def shape(df):
+        return sorted(
+            tuple(round(v, 6) if isinstance(v, float) else v for v in r)
+            for r in df.select(*batch.columns).collect()
+        )
+
+    assert shape(newest) == shape(batch)
+    assert read().where("symbol = 'A'").agg(F.max("revision")).first()[0] == 6

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import clock
 from ..params import MicroParams
 
 def tick_order() -> list[Column]:
@@ -182,6 +181,19 @@ def with_levels(features: DataFrame, levels: DataFrame, params: MicroParams) ->
     )
 
 
+def _sorted_values(items: str, field: str) -> Column:
+    values = F.transform(items, lambda item: item[field].cast("double"))
+    return F.array_sort(F.filter(values, lambda v: v.isNotNull()))
+
+
+def _percentile(ordered: Column, prob: float) -> Column:
+    """The interpolated percentile of an ascending list."""
+    place = (F.size(ordered) - 1) * F.lit(float(prob))
+    low, high = F.floor(place).cast("int"), F.ceil(place).cast("int")
+    below, above = F.get(ordered, low), F.get(ordered, high)
+    return F.when(low == high, below).otherwise(below * (high - place) + above * (place - low))
+
+
 def with_gates(features: DataFrame, params: MicroParams) -> DataFrame:
     """Trailing percentiles of each feature over the short and long lookback, without the current
     bucket; NULL with too little history.
@@ -210,91 +222,48 @@ def with_gates(features: DataFrame, params: MicroParams) -> DataFrame:
         "recent_range", F.max("high").over(recent) - F.min("low").over(recent)
     )
 
-    def pct(name: str, probs: list[float], frame) -> Column:
-        enough = F.count(F.lit(1)).over(frame) >= params.min_history
-        return F.when(enough, F.percentile(name, F.array(*[F.lit(p) for p in probs])).over(frame))
-
-    gated = ranged.withColumns(
+    # each frame is collected once; every percentile reads a sorted list of its feature
+    framed = ranged.withColumns(
         {
-            "_ret": pct(
-                "abs_return",
-                [params.absorb_ret_pctl, params.reject_ret_pctl, params.init_ret_pctl],
-                short,
-            ),
-            "_imp": pct("impact", [0.5, params.init_impact_pctl], short),
-            "_vol": pct("volume", [params.absorb_vol_pctl], short),
-            "_vac": pct("impact", [params.vacuum_impact_pctl], long),
-            "_rng": pct("recent_range", [params.compress_range_pctl], long),
-            "_tck": pct("ticks", [params.compress_ticks_pctl], long),
+            "_short": F.collect_list(F.struct("abs_return", "impact", "volume")).over(short),
+            "_long": F.collect_list(F.struct("impact", "recent_range", "ticks")).over(long),
         }
     )
-    pick = {
-        "ret_absorb": ("_ret", 0),
-        "ret_reject": ("_ret", 1),
-        "ret_init": ("_ret", 2),
-        "impact_median": ("_imp", 0),
-        "impact_init": ("_imp", 1),
-        "volume_absorb": ("_vol", 0),
-        "impact_vacuum": ("_vac", 0),
-        "range_compress": ("_rng", 0),
-        "ticks_compress": ("_tck", 0),
+    mine = framed.where(F.col("_slice") == F.col("_own"))
+    lists = {
+        "_ret": ("_short", "abs_return"),
+        "_imp": ("_short", "impact"),
+        "_vol": ("_short", "volume"),
+        "_vac": ("_long", "impact"),
+        "_rng": ("_long", "recent_range"),
+        "_tck": ("_long", "ticks"),
     }
-    mine = gated.where(F.col("_slice") == F.col("_own"))
-    out = mine.withColumns({k: F.col(c)[i] for k, (c, i) in pick.items()})
+    listed = mine.withColumns({k: _sorted_values(c, f) for k, (c, f) in lists.items()})
+    wanted = {
+        "ret_absorb": ("_ret", params.absorb_ret_pctl),
+        "ret_reject": ("_ret", params.reject_ret_pctl),
+        "ret_init": ("_ret", params.init_ret_pctl),
+        "impact_median": ("_imp", 0.5),
+        "impact_init": ("_imp", params.init_impact_pctl),
+        "volume_absorb": ("_vol", params.absorb_vol_pctl),
+        "impact_vacuum": ("_vac", params.vacuum_impact_pctl),
+        "range_compress": ("_rng", params.compress_range_pctl),
+        "ticks_compress": ("_tck", params.compress_ticks_pctl),
+    }
+
+    def gate(name: str, prob: float) -> Column:
+        frame = lists[name][0]
+        return F.when(F.size(frame) >= params.min_history, _percentile(F.col(name), prob))
+
+    out = listed.withColumns({k: gate(c, p) for k, (c, p) in wanted.items()})
     ratio = lambda a, b: F.when(F.col(b) > 0, F.col(a) / F.col(b))
     return out.withColumns(
         {
             "compression_score": ratio("recent_range", "range_compress"),
             "release_score": ratio("impact", "impact_init"),
         }
-    ).drop("_ret", "_imp", "_vol", "_vac", "_rng", "_tck", "_own", "_slice")
+    ).drop(*lists, "_short", "_long", "_own", "_slice")
 
 
 def latest_features(features: DataFrame, symbol: str, n: int = 120) -> DataFrame:
     return features.where(F.col("symbol") == symbol).orderBy(F.col("ts_min_ms").desc()).limit(n)
-
-
-def streaming_features(
-    ticks: DataFrame, params: MicroParams, lateness: str = "2 minutes"
-) -> DataFrame:
-    """Event-time tumbling form for a tick stream with a direction, in append mode.
-
-    Only sums, extremes and first/last by (time, seq) are kept in state; no tick is buffered.
-    """
-    volume = F.coalesce(F.col("volume"), F.lit(0))
-    change = F.col("close") - F.col("open")
-    at = F.struct(F.col("ts_ms"), F.coalesce(F.col("seq"), F.lit(-1)), F.col("price"))
-    grouped = (
-        ticks.where(F.col("price").isNotNull())
-        .withColumn("event_time", F.timestamp_millis("ts_ms"))
-        .withWatermark("event_time", lateness)
-        .groupBy(F.window("event_time", f"{params.bucket_ms} milliseconds"), "symbol")
-        .agg(
-            F.count(F.lit(1)).alias("ticks"),
-            F.sum(volume).alias("volume"),
-            F.min_by("price", at).alias("open"),
-            F.max("price").alias("high"),
-            F.min("price").alias("low"),
-            F.max_by("price", at).alias("close"),
-            F.sum(F.when(F.col("direction") == "BUY", volume).otherwise(0)).alias("buy_volume"),
-            F.sum(F.when(F.col("direction") == "SELL", volume).otherwise(0)).alias("sell_volume"),
-        )
-    )
-    signed = F.col("buy_volume") - F.col("sell_volume")
-    both = F.col("buy_volume") + F.col("sell_volume")
-    return grouped.select(
-        F.unix_millis("window.start").alias("ts_min_ms"),
-        "symbol",
-        clock.trading_day(F.unix_millis("window.start"), params.tz).alias("trading_day"),
-        "ticks",
-        "volume",
-        "open",
-        "high",
-        "low",
-        "close",
-        "buy_volume",
-        "sell_volume",
-        (signed / (both + params.eps)).alias("imbalance"),
-        (F.abs(change) / F.col("open")).alias("abs_return"),
-        (F.abs(change) / (F.col("volume") + params.eps)).alias("impact"),
-    )

@@ -5,32 +5,31 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import features, folds
+from ..operators import folds
 from ..session import shared_folder
 from ..sources import derived
 from ..sources.store import TickStore
-from ..streaming import decision_stream, gap_stream, ingest
+from ..streaming import decision_stream, feature_stream, gap_stream, ingest
 from . import sqltext as q
 from .catalog import query
 from .health_queries import DEDUPE_SQL, P as HEALTH_PARAMS
-from .micro_queries import COOLDOWN_SEC, COOLED_SQL, P as MICRO_PARAMS, _events
+from .micro_queries import (
+    COOLDOWN_SEC,
+    COOLED_SQL,
+    FEAT,
+    FEATURE_ROWS,
+    P as MICRO_PARAMS,
+    TRADES,
+    _events,
+    _rounded,
+)
 
 GAP_PARAMS = derived.SPARSE_QUALITY
 
 
-FILES_PER_STEP = 4
-
-
-def _session(spark):
-    """On one machine a state store per core is enough; a cluster keeps its own setting."""
-    if spark.sparkContext.master.startswith("local"):
-        cores = spark.sparkContext.defaultParallelism
-        spark.conf.set("spark.sql.shuffle.partitions", str(cores))
-    return ingest.streaming_session(spark)
-
-
 def _landed(spark, df, name, order, parts=3):
-    """A landing folder filled in ``order``, and a stream that takes one arrival step at a time."""
+    """A landing folder per arrival step, filled by range of the arrival column, and a stream that takes
+    one step's files at a time."""
     path = shared_folder(spark, name)
     lo, hi = df.agg(F.min(order), F.max(order)).first()
     step = (hi - lo) // parts + 1
@@ -38,9 +37,13 @@ def _landed(spark, df, name, order, parts=3):
         rows = df.where(
             (F.col(order) >= lo + i * step) & (F.col(order) < lo + (i + 1) * step)
         )
-        rows.repartition(FILES_PER_STEP).write.mode("append").parquet(f"{path}/step={i}")
+        # no number of partitions: the planner's own width, merged by size
+        rows.repartitionByRange(order).write.mode("append").parquet(f"{path}/step={i}")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    files = files.option("pathGlobFilter", "*.parquet").load(path)
+    most = files.groupBy(F.regexp_extract("path", r"step=(\d+)", 1)).count().agg(F.max("count")).first()[0]
     reader = spark.readStream.schema(df.schema).option("recursiveFileLookup", "true")
-    return reader.option("maxFilesPerTrigger", FILES_PER_STEP).parquet(path)
+    return reader.option("maxFilesPerTrigger", most).parquet(path)
 
 
 def _finish(writer_query):
@@ -68,7 +71,7 @@ FROM kept GROUP BY 1""",
 )
 def i2_stream_load(spark, sf_dir):
     """Ticks with re-sent copies streamed into the day table."""
-    _session(spark)
+    ingest.streaming_session(spark)
     ticks = derived.event_ticks(spark, sf_dir, resent=True)
     stream = _landed(spark, ticks, "landing", "recv_ts_ms")
     store = TickStore(spark, shared_folder(spark, "store"))
@@ -80,13 +83,37 @@ def i2_stream_load(spark, sf_dir):
     )
 
 
+@query(
+    "i2_replayed_batch",
+    q.w(q.EV)
+    + """SELECT trading_day, count(*) AS rows, count(seq) AS with_seq, sum(volume)::BIGINT AS volume
+FROM ev GROUP BY 1""",
+)
+def i2_replayed_batch(spark, sf_dir):
+    """A micro-batch loaded again under its epoch, after it was done and after it was only begun, adds
+    nothing, rows without an identity of their own included."""
+    ticks = derived.event_ticks(spark, sf_dir)
+    store = TickStore(spark, shared_folder(spark, "store"))
+    store.append_ticks(ticks.where("ingest_ordinal % 4 < 2"), load="a", epoch=0)
+    store.append_ticks(ticks.where("ingest_ordinal % 4 >= 2"), load="a", epoch=1)
+    store.append_ticks(ticks.where("ingest_ordinal % 4 < 2"), load="a", epoch=0)
+    store.append_ticks(ticks.where("ingest_ordinal % 4 >= 2"), load="a", epoch=1)
+    store._mark("b", 0, done=False)
+    store.append_ticks(ticks, load="b", epoch=0)
+    return store.ticks().groupBy("trading_day").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count("seq").alias("with_seq"),
+        F.sum("volume").alias("volume"),
+    )
+
+
 @query(
     "i1_paced_load",
     q.w(q.EV) + "SELECT push_type, count(*) AS rows FROM ev GROUP BY 1",
 )
 def i1_paced_load(spark, sf_dir):
     """Micro-batches limited by files and paced by a processing-time trigger."""
-    _session(spark)
+    ingest.streaming_session(spark)
     stream = _landed(spark, derived.event_ticks(spark, sf_dir), "landing", "recv_ts_ms")
     store = TickStore(spark, shared_folder(spark, "store"))
     running = ingest.load_ticks(
@@ -105,7 +132,7 @@ def i1_paced_load(spark, sf_dir):
 )
 def i3_stream_gaps(spark, sf_dir):
     """Live gap detection over ordered arrival equals the batch form."""
-    _session(spark)
+    ingest.streaming_session(spark)
     stream = _landed(spark, derived.event_ticks(spark, sf_dir), "landing", "ts_ms")
     store = TickStore(spark, shared_folder(spark, "store"))
     _finish(
@@ -135,7 +162,7 @@ ev AS (SELECT third.* FROM third WHERE step = 0
 )
 def i5_late_ticks(spark, sf_dir):
     """Arrival out of time order, every third tick first: late ticks change no gap found before."""
-    _session(spark)
+    ingest.streaming_session(spark)
     ticks = derived.event_ticks(spark, sf_dir)
     mixed = ticks.withColumn("step", F.floor(F.col("ingest_ordinal") / 2) % 3)
     stream = _landed(spark, mixed, "landing", "step")
@@ -143,39 +170,28 @@ def i5_late_ticks(spark, sf_dir):
     return _collected(spark, found, "gaps").select("symbol", "gap_start_ts_ms", "gap_end_ts_ms")
 
 
-@query(
-    "i7_stream_features",
-    q.w(q.EV)
-    + """, wm AS (SELECT max(ts_ms) - 120000 AS wm FROM ev WHERE price IS NOT NULL),
-r AS (SELECT *, ts_ms // 3600000 * 3600000 AS b, row_number() OVER (PARTITION BY symbol,
-  ts_ms // 3600000 ORDER BY ts_ms, coalesce(seq, -1), price) AS rn FROM ev WHERE price IS NOT NULL)
-SELECT b AS ts_min_ms, symbol, count(*) AS ticks, sum(volume)::BIGINT AS volume,
-  arg_min(price, rn) AS open, max(price) AS high, min(price) AS low, arg_max(price, rn) AS close,
-  coalesce(sum(volume) FILTER (direction = 'BUY'), 0)::BIGINT AS buy_volume
-FROM r, wm GROUP BY 1, 2 HAVING b + 3600000 <= any_value(wm)""",
-)
+@query("i7_stream_features", q.w(q.EV, TRADES, FEAT) + FEATURE_ROWS)
 def i7_stream_features(spark, sf_dir):
-    """Buckets closed by the watermark."""
-    _session(spark)
+    """Minute features from a stream equal the batch form, the last buckets included."""
+    ingest.streaming_session(spark)
     stream = _landed(spark, derived.event_ticks(spark, sf_dir), "landing", "ts_ms")
-    out = features.streaming_features(stream, MICRO_PARAMS)
-    return _collected(spark, out, "features").select(
-        "ts_min_ms", "symbol", "ticks", "volume", "open", "high", "low", "close", "buy_volume"
-    )
+    rows = _collected(spark, feature_stream.stream_features(stream, MICRO_PARAMS), "features")
+    newest = feature_stream.newest_revisions(rows).drop("revision", "late_ticks", "jump_count")
+    out = _rounded(newest, 6, "imbalance", "abs_return", "price_change", "impact")
+    return _rounded(out, 2, "turnover")
 
 
 @query(
     "d4_stream_recent_keys",
     q.w(q.RESENT)
     + """SELECT symbol, ts_ms, price, volume, turnover, count(*) AS rows FROM (
-  SELECT DISTINCT symbol, ts_ms, price, volume, turnover FROM ev
-    WHERE seq IS NULL AND price IS NOT NULL
-  UNION ALL SELECT symbol, ts_ms, price, volume, turnover FROM ev WHERE seq IS NOT NULL OR price IS NULL)
+  SELECT DISTINCT symbol, ts_ms, price, volume, turnover FROM ev WHERE seq IS NULL
+  UNION ALL SELECT symbol, ts_ms, price, volume, turnover FROM ev WHERE seq IS NOT NULL)
 GROUP BY ALL""",
 )
 def d4_stream_recent_keys(spark, sf_dir):
     """Re-sent seq-less ticks dropped within ten minutes of receive time."""
-    _session(spark)
+    ingest.streaming_session(spark)
     ticks = derived.event_ticks(spark, sf_dir, resent=True)
     stream = _landed(spark, ticks, "landing", "recv_ts_ms")
     kept = _collected(spark, ingest.drop_recent_repeats(stream), "kept")
@@ -183,22 +199,14 @@ def d4_stream_recent_keys(spark, sf_dir):
     return kept.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
 
 
-# one sequence per fingerprint instead of one per fingerprint and day
-STREAM_DEDUPE_SQL = (
-    DEDUPE_SQL.replace("PARTITION BY fingerprint, trading_day", "PARTITION BY fingerprint")
-    .replace("SELECT DISTINCT fingerprint, trading_day, 0", "SELECT DISTINCT fingerprint, '' AS trading_day, 0")
-    .replace("AND n.trading_day = f.trading_day", "")
-)
-
-
 @query(
     "i8_stream_alerts",
-    STREAM_DEDUPE_SQL
+    DEDUPE_SQL
     + """SELECT fingerprint, ord, reason, reason <> 'cooldown_active' AS emitted FROM fold WHERE i > 0""",
 )
 def i8_stream_alerts(spark, sf_dir):
     """Alert decisions on keyed state; incidents run on over days."""
-    _session(spark)
+    ingest.streaming_session(spark)
     stream = _landed(spark, derived.alerts(spark, sf_dir), "alerts", "created_at_ms")
     decided = decision_stream.stream_alerts(stream, HEALTH_PARAMS)
     return _collected(spark, decided, "decided").select("fingerprint", "ord", "reason", "emitted")
@@ -206,19 +214,19 @@ def i8_stream_alerts(spark, sf_dir):
 
 @query(
     "i8_alerts_over_days",
-    STREAM_DEDUPE_SQL
+    DEDUPE_SQL
     + """SELECT fingerprint, ord, reason, reason <> 'cooldown_active' AS emitted FROM fold WHERE i > 0""",
 )
 def i8_alerts_over_days(spark, sf_dir):
     """The batch form with incidents running on over days."""
-    out = folds.alert_decisions(derived.alerts(spark, sf_dir), HEALTH_PARAMS, per_day=False)
+    out = folds.alert_decisions(derived.alerts(spark, sf_dir), HEALTH_PARAMS)
     return out.select("fingerprint", "ord", "reason", "emitted")
 
 
 @query("k22_stream_cooldown", COOLED_SQL)
 def k22_stream_cooldown(spark, sf_dir):
     """Event cooldown on keyed state."""
-    _session(spark)
+    ingest.streaming_session(spark)
     found = _events(spark, sf_dir).withColumn("cooldown_sec", F.lit(COOLDOWN_SEC))
     stream = _landed(spark, found, "events", "ts_ms")
     kept = decision_stream.stream_cooldown(stream)

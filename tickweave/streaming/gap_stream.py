@@ -9,7 +9,6 @@ withdraws a gap. State moves only with a committed micro-batch. The nightly batc
 from __future__ import annotations
 
 import json
-import time
 from collections.abc import Iterator
 
 import numpy as np
@@ -67,14 +66,16 @@ def detect(
     return found, times[times >= times[-1] - window]
 
 
-def _first_per_time(parts: Iterator[pd.DataFrame]) -> pd.DataFrame:
-    """One row per time of a micro-batch, the lowest seq; reduced part by part."""
-    kept = None
+def _first_per_time(parts: Iterator[pd.DataFrame]) -> tuple[pd.DataFrame, int]:
+    """One row per time of a micro-batch, the lowest seq, reduced part by part; and the largest receive
+    time."""
+    kept, received = None, 0
     for pdf in parts:
+        received = max(received, int(pdf["recv_ts_ms"].max()))
         kept = pdf if kept is None else pd.concat([kept, pdf])
         kept = kept.sort_values(["ts_ms", "seq"], na_position="first", kind="stable")
         kept = kept.drop_duplicates("ts_ms")
-    return kept
+    return kept, received
 
 
 class GapProcessor(StatefulProcessor):
@@ -88,7 +89,8 @@ class GapProcessor(StatefulProcessor):
         p = self.params
         known = self.window.get() if self.window.exists() else None
         recent = np.frombuffer(known[0], dtype=np.int64) if known else np.empty(0, np.int64)
-        found, window = detect(recent, _first_per_time(rows), p)
+        fresh, received = _first_per_time(rows)
+        found, window = detect(recent, fresh, p)
         if len(window):
             self.window.update((window.tobytes(),))
         if not len(found):
@@ -116,7 +118,7 @@ class GapProcessor(StatefulProcessor):
                 "gap_start_ts_ms": found["prev"].astype("int64"),
                 "gap_end_ts_ms": found["curr"].astype("int64"),
                 "gap_sec": ((found["curr"] - found["prev"]) / 1000.0).astype(float).round(3),
-                "detected_at_ms": int(time.time() * 1000),
+                "detected_at_ms": received,
                 "reason": "hard_gap",
                 "meta_json": meta,
             }
@@ -127,10 +129,11 @@ class GapProcessor(StatefulProcessor):
 
 
 def stream_gaps(ticks: DataFrame, params: QualityParams) -> DataFrame:
-    """A stream of GAPS rows. Only the three needed columns travel to the state operator."""
+    """A stream of GAPS rows. Only the needed columns travel to the state operator. A gap is detected at
+    the largest receive time of its symbol's rows in the micro-batch."""
     return (
         ticks.where(F.coalesce("symbol", F.lit("")) != "")
-        .select("symbol", "ts_ms", "trading_day", "seq")
+        .select("symbol", "ts_ms", "trading_day", "seq", F.coalesce("recv_ts_ms", F.lit(0)).alias("recv_ts_ms"))
         .groupBy("symbol")
         .transformWithStateInPandas(
             GapProcessor(params), GAPS, outputMode="Append", timeMode="None"

@@ -1,12 +1,13 @@
 """Streaming load of feed records into the day tables.
 
 Micro-batches are bounded by the source's file limit and paced by the trigger. Each batch is loaded
-insert-or-ignore, so a batch replayed after a failure adds nothing; the tick and gap tables need no
-common transaction for the same reason.
+insert-or-ignore and marked by its epoch, so a batch replayed after a failure adds nothing; the tick and
+gap tables need no common transaction for the same reason. A load is named by its checkpoint.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,10 +15,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQueryListener
 
 from ..operators import dedupe
+from ..operators.folds import RepeatFold
 from ..params import QualityParams
 from ..session import ROCKSDB_PROVIDER, utc
 from ..sources.feed import with_ingest_ordinal
 from ..sources.store import LoadResult, TickStore
+from .decision_stream import stream_fold
 from .gap_stream import stream_gaps
 
 Observer = Callable[[int, LoadResult], None]
@@ -49,6 +52,8 @@ def load_ticks(
     are dropped first. ``observer`` hears the counts of each committed batch.
     """
 
+    load_id = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
+
     def load(batch: DataFrame, epoch: int) -> None:
         if "ingest_ordinal" not in batch.columns:
             batch = with_ingest_ordinal(batch)
@@ -57,7 +62,7 @@ def load_ticks(
             rows = batch
             if poll_baseline_days is not None:
                 rows = drop_old_polled(batch, store, poll_baseline_days)
-            result = store.append_ticks(rows)
+            result = store.append_ticks(rows, load=load_id, epoch=epoch)
         finally:
             batch.unpersist()
         if observer is not None:
@@ -97,18 +102,21 @@ def load_gaps(
     return paced(writer.option("checkpointLocation", checkpoint), wait).start()
 
 
-def drop_recent_repeats(ticks: DataFrame, horizon: str = "10 minutes") -> DataFrame:
-    """Drop seq-less ticks seen within ``horizon`` of receive time; ticks with a seq and those that
-    equal no other pass. Receive time only grows, so late event times are not lost."""
-    seqless = F.col("seq").isNull() & ~dedupe.never_duplicate()
-    keyed = (
-        ticks.where(seqless)
-        .withColumn("_recv", F.timestamp_millis("recv_ts_ms"))
-        .withWatermark("_recv", horizon)
-        .dropDuplicatesWithinWatermark(["symbol", "ts_ms", "price", "volume", "turnover"])
-        .drop("_recv")
+def drop_recent_repeats(
+    ticks: DataFrame, horizon_ms: int = 600_000, ttl_ms: int | None = None
+) -> DataFrame:
+    """Drop seq-less ticks seen within ``horizon_ms`` of receive time; ticks with a seq pass. Missing
+    parts of a key equal each other.
+
+    A row that arrives out of order is compared like any other and never lost. A continuous query
+    should pass a ``ttl_ms`` above the horizon, so that the state of old keys goes.
+    """
+    seqless = F.col("seq").isNull()
+    keys = ["symbol", "ts_ms", "price", "volume", "turnover"]
+    decided = stream_fold(
+        ticks.where(seqless), RepeatFold(horizon_ms), keys, "recv_ts_ms", ttl_ms=ttl_ms
     )
-    return ticks.where(~seqless).unionByName(keyed)
+    return ticks.where(~seqless).unionByName(decided.where("kept").drop("kept"))
 
 
 class LoadProgress(StreamingQueryListener):
