@@ -144,7 +144,16 @@ def test_micro_tables_by_day(spark, make_ticks):
     )
     first = {n: read(n) for n in ("features_1m", "levels_daily", "events")}
     assert len(first["levels_daily"]) == 2 and len(first["events"]) > 0
-    commands.build_micro_tables(store, P, 1, ["20260217"], history=["20260216"])
+    wanted = {"dist_to_poc", "in_value_area", "above_vah", "below_val", "compression_score", "release_score"}
+    assert wanted <= set(commands.micro_table(store, "features_1m").columns)
+    commands.build_micro_tables(store, P, 1, ["20260217"])
     assert {n: read(n) for n in first} == first
+    earlier = dataclasses.replace(P, levels_mode="prev_day")
+    commands.build_micro_tables(store, earlier, 1)
+    whole = {n: read(n) for n in first}
+    assert whole["events"] != first["events"]
+    for day in ("20260216", "20260217"):
+        commands.build_micro_tables(store, earlier, 1, [day])
+    assert {n: read(n) for n in first} == whole
     keys = commands.micro_table(store, "events").select("ts_ms", "symbol", "event_type", "dedup_key")
     assert keys.count() == keys.distinct().count()

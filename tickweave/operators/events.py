@@ -15,7 +15,7 @@ from .features import with_gates, with_levels
 
 EVENT_COLUMNS = (
     "ts_ms", "symbol", "event_type", "severity", "score", "dedup_key", "cooldown_sec",
-    "payload_json", "created_at_ms",
+    "payload_json", "created_at_ms", "trading_day",
 )
 ONCE_A_DAY_SEC = 86_400
 
@@ -239,7 +239,7 @@ def bucket_events(ctx: DataFrame, params: MicroParams, created_at_ms: int) -> Da
     compress = when(
         c("compressed"),
         _event(
-            "RANGE_COMPRESSION", "INFO", F.lit(40.0), _key("COMP", c("comp_bucket")), 1800,
+            "RANGE_COMPRESSION", "INFO", F.lit(40.0), _key("COMP", F.concat(F.lit("15m_bucket="), c("comp_bucket"))), 1800,
             {
                 "range": c("recent_range"), "range_gate": c("range_compress"),
                 "ticks": c("ticks"), "ticks_gate": c("ticks_compress"),
@@ -273,9 +273,10 @@ def bucket_events(ctx: DataFrame, params: MicroParams, created_at_ms: int) -> Da
     )
     every = F.concat(single, F.coalesce(nodes, F.slice(single, 1, 0)))
     return ctx.select(
-        F.col("ts_min_ms").alias("ts_ms"), "symbol", F.explode(every).alias("_e")
+        F.col("ts_min_ms").alias("ts_ms"), "symbol", "trading_day", F.explode(every).alias("_e")
     ).select(
-        "ts_ms", "symbol", "_e.*", F.lit(created_at_ms).cast("bigint").alias("created_at_ms")
+        "ts_ms", "symbol", "trading_day", "_e.*",
+        F.lit(created_at_ms).cast("bigint").alias("created_at_ms"),
     ).select(*EVENT_COLUMNS)
 
 
@@ -331,9 +332,10 @@ def close_dominance(levels: DataFrame, params: MicroParams, created_at_ms: int)
 
 def _day_events(days: DataFrame, ts: Column, event: Column, created_at_ms: int) -> DataFrame:
     return (
-        days.select(ts.cast("bigint").alias("ts_ms"), "symbol", event.alias("_e"))
+        days.select(ts.cast("bigint").alias("ts_ms"), "symbol", "trading_day", event.alias("_e"))
         .select(
-            "ts_ms", "symbol", "_e.*", F.lit(created_at_ms).cast("bigint").alias("created_at_ms")
+            "ts_ms", "symbol", "trading_day", "_e.*",
+            F.lit(created_at_ms).cast("bigint").alias("created_at_ms"),
         )
         .select(*EVENT_COLUMNS)
     )
@@ -343,8 +345,15 @@ def all_events(
     features: DataFrame, days: DataFrame, params: MicroParams, created_at_ms: int
 ) -> DataFrame:
     """All ten event types from minute features and day levels."""
-    placed = with_levels(features, days, params)
-    ctx = with_context(with_gates(placed, params), params)
+    gated = with_gates(with_levels(features, days, params), params)
+    return gated_events(gated, days, params, created_at_ms)
+
+
+def gated_events(
+    gated: DataFrame, days: DataFrame, params: MicroParams, created_at_ms: int
+) -> DataFrame:
+    """As ``all_events``, from features that have their levels and gates already."""
+    ctx = with_context(gated, params)
     return (
         bucket_events(ctx, params, created_at_ms)
         .unionByName(open_imbalance(days, params, created_at_ms))
@@ -364,7 +373,8 @@ def apply_cooldown(events: DataFrame) -> DataFrame:
     fold runs over the time-ordered events of one key as an array expression. A key holds symbol and
     day and has at most one event per bucket, so its array is bounded by the buckets of a day.
     """
-    other = [c for c in EVENT_COLUMNS if c not in ("symbol", "dedup_key", "ts_ms")]
+    columns = [c for c in EVENT_COLUMNS if c in events.columns]
+    other = [c for c in columns if c not in ("symbol", "dedup_key", "ts_ms")]
     item = F.struct("ts_ms", *other)
     grouped = events.groupBy("symbol", "dedup_key").agg(
         F.sort_array(F.collect_list(item)).alias("_all")
@@ -403,7 +413,7 @@ def apply_cooldown(events: DataFrame) -> DataFrame:
     return picked.select(
         *[
             F.col(c) if c in ("symbol", "dedup_key") else F.col(f"_e.{c}").alias(c)
-            for c in EVENT_COLUMNS
+            for c in columns
         ],
         F.col("k.n").alias("suppressed_count"),
     )

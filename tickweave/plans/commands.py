@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import clock
 from ..operators import archive as archive_ops
 from ..operators import events, export, features, levels, quality, stats
 from ..params import DEFAULT_TZ, MicroParams, QualityParams
@@ -22,6 +21,18 @@ def status(
     return quality.status(store.ticks(days), store.gaps(days), now_ms, symbols)
 
 
+def service_status(
+    store: TickStore, now_ms: int, log_path: str, days: Sequence[str] | None = None,
+    since: str | None = None,
+) -> DataFrame:
+    """``status`` with the size of each day on disk and the newest health and alert lines."""
+    rows = status(store, now_ms, days)
+    sizes = footprint(store.spark, store.ticks_path, days)
+    lines = last_log_lines(store.spark, log_path, since=since)
+    newest = {c: lines.select(c).scalar() for c in ("last_health", "last_alert")}
+    return rows.join(sizes, "trading_day", "left").withColumns(newest)
+
+
 def validate(
     store: TickStore, days: Sequence[str], now_ms: int, *, strict: bool = False
 ) -> DataFrame:
@@ -71,11 +82,21 @@ def archive(
 ) -> tuple[DataFrame, DataFrame]:
     """The manifest, and the days that may be retired; nothing is deleted here."""
     manifest = archive_ops.archive_days(store, root, params, now_ms, days)
-    return manifest, archive_ops.expired_days(store.ticks(), manifest, keep_days)
+    return manifest, archive_ops.expired_days(store.ticks(), manifest, keep_days, root)
 
 
-def logs(spark, path: str, *, ops: bool = False) -> DataFrame:
-    return log_source.service_log(log_source.read_logs(spark, path), ops=ops)
+def logs(
+    spark, path: str, *, ops: bool = False, since: str | None = None, until: str | None = None
+) -> DataFrame:
+    lines = log_source.between(log_source.read_logs(spark, path), since, until)
+    return log_source.service_log(lines, ops=ops)
+
+
+def last_log_lines(
+    spark, path: str, *, since: str | None = None, until: str | None = None
+) -> DataFrame:
+    """The newest lines that status and diagnosis show."""
+    return log_source.last_lines(log_source.between(log_source.read_logs(spark, path), since, until))
 
 
 def db_stats(store: TickStore, days: Sequence[str] | None = None) -> DataFrame:
@@ -95,10 +116,13 @@ def db_symbols(ticks: DataFrame, now_ms: int, tz: str = DEFAULT_TZ) -> DataFrame
     )
 
 
-def db_symbol(ticks: DataFrame, symbol: str, last: int = 20, tz: str = DEFAULT_TZ) -> DataFrame:
-    rows = stats.latest_ticks(ticks, max(1, min(100, int(last))), symbol)
+def db_symbol(
+    ticks: DataFrame, symbol: str, last: int = 20, tz: str = DEFAULT_TZ, *, with_time: bool = False
+) -> DataFrame:
+    """The newest ``last`` ticks of a symbol; ``with_time`` adds their plain time."""
+    rows = stats.latest_ticks(ticks, max(1, int(last)), symbol)
     return stats.with_local_times(rows, tz, local_time="ts_ms").select(
-        "symbol", "local_time", "price", "volume", "turnover", "seq"
+        "symbol", "local_time", *(["ts_ms"] if with_time else []), "price", "volume", "turnover", "seq"
     )
 
 
@@ -109,11 +133,15 @@ def db_top_symbols(
     limit: int = 10,
     day: str | None = None,
 ) -> DataFrame:
-    return stats.top_symbols(ticks, minutes, metric, limit, day)
+    """The ranking; the command takes 1 to 240 minutes and 1 to 50 symbols."""
+    return stats.top_symbols(
+        ticks, max(1, min(240, int(minutes))), metric, max(1, min(50, int(limit))), day
+    )
 
 
 def micro_table(store: TickStore, name: str) -> DataFrame:
-    """``features_1m``, ``levels_daily`` or ``events``."""
+    """``features_1m`` (minute features with day levels and gates), ``features_base`` (the minute sums
+    alone), ``levels_daily`` or ``events``."""
     path = f"{store.root}/{name}"
     found = store.spark.read.parquet(path).schema
     fixed = T.StructType(
@@ -130,15 +158,17 @@ def build_micro_tables(
     params: MicroParams,
     created_at_ms: int,
     days: Sequence[str] | None = None,
-    history: Sequence[str] = (),
 ) -> None:
-    """Build the three tables for ``days`` (all by default), replacing those days only.
+    """Build ``levels_daily``, ``features_1m`` and ``events`` for ``days`` (all by default), replacing
+    those days only; a build by days gives what a build of all days gives.
 
-    Each step reads the table before it, so ticks are scanned for the profile and for the features
-    and not again, and a failed run restarts from tables. ``history`` names stored days whose
-    features the trailing percentiles of the first day may look back on.
+    Each step reads the tables before it, so ticks are scanned for the profile and for the minute sums
+    (``features_base``) and not again, and a failed run restarts from tables. What a day needs of
+    earlier ones follows from the parameters: the levels of the newest earlier day of each symbol, and
+    the minutes that trailing percentiles look back on.
     """
     ticks = store.ticks(days)
+    wanted = F.lit(True) if days is None else F.col("trading_day").isin(list(days))
     profile = levels.day_profile(ticks, params)
     write_days(
         levels.day_levels(profile, params),
@@ -148,17 +178,27 @@ def build_micro_tables(
     )
     write_days(
         features.minute_features(ticks, params),
+        f"{store.root}/features_base",
+        sort=("symbol", "ts_min_ms"),
+        mode="overwrite",
+    )
+    base = micro_table(store, "features_base")
+    day_rows = micro_table(store, "levels_daily")
+    if days is not None:
+        span = base.where(wanted).agg(F.min("ts_min_ms"), F.max("ts_min_ms")).first()
+        halo_ms = max(params.long_ms, params.short_ms) + params.compress_ms
+        if span[0] is not None:
+            base = base.where(F.col("ts_min_ms").between(span[0] - halo_ms, span[1]))
+        day_rows = day_rows.where(F.col("trading_day") <= max(days, default=""))
+    gated = features.with_gates(features.with_levels(base, day_rows, params), params)
+    write_days(
+        gated.where(wanted),
         f"{store.root}/features_1m",
         sort=("symbol", "ts_min_ms"),
         mode="overwrite",
     )
-    wanted = F.lit(True) if days is None else F.col("trading_day").isin([*history, *days])
-    feats = micro_table(store, "features_1m").where(wanted)
-    day_rows = micro_table(store, "levels_daily").where(wanted)
-    found = events.distinct_events(events.all_events(feats, day_rows, params, created_at_ms))
-    kept = events.apply_cooldown(found).withColumn(
-        "trading_day", clock.trading_day("ts_ms", params.tz)
+    found = events.gated_events(
+        micro_table(store, "features_1m").where(wanted), day_rows.where(wanted), params, created_at_ms
     )
-    if days is not None:
-        kept = kept.where(F.col("trading_day").isin(list(days)))
+    kept = events.apply_cooldown(events.distinct_events(found))
     write_days(kept, f"{store.root}/events", sort=("symbol", "ts_ms"), mode="overwrite")

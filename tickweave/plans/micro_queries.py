@@ -177,7 +177,7 @@ EVENT_SQL = {
   AND (jump_count >= 1 OR abs(price_change) >= 3.0::DOUBLE - 1e-9)""",
     ),
     "RANGE_COMPRESSION": _sql(
-        "'RANGE_COMPRESSION'", "INFO", "40.0", "'COMP|' || comp_bucket", 1800, "ctx WHERE compressed",
+        "'RANGE_COMPRESSION'", "INFO", "40.0", "'COMP|15m_bucket=' || comp_bucket", 1800, "ctx WHERE compressed",
     ),
     "BREAKOUT_RELEASE": _sql(
         f"CASE WHEN {_RUP} THEN 'BREAKOUT_RELEASE_UP' ELSE 'BREAKOUT_RELEASE_DOWN' END", "ALERT",
@@ -237,21 +237,20 @@ def _events(spark, sf_dir):
 def _bucket_events(spark, sf_dir, prefix):
     ctx = events.with_context(_gated(spark, sf_dir), P)
     found = events.bucket_events(ctx, P, NOW)
-    return found.where(F.col("event_type").startswith(prefix)).drop("payload_json", "created_at_ms")
+    return found.where(F.col("event_type").startswith(prefix)).drop("payload_json", "created_at_ms", "trading_day")
 
 
 def _rounded(df, places, *names):
     return df.withColumns({n: F.round(n, places) for n in names})
 
 
-@query(
-    "k1_minute_features",
-    q.w(q.EV, TRADES, FEAT)
-    + """SELECT ts_min_ms, symbol, trading_day, ticks, volume, round(turnover, 2) AS turnover, open, high,
-  low, close, buy_volume, sell_volume, round(imbalance, 6) AS imbalance,
+FEATURE_ROWS = """SELECT ts_min_ms, symbol, trading_day, ticks, volume, round(turnover, 2) AS turnover,
+  open, high, low, close, buy_volume, sell_volume, round(imbalance, 6) AS imbalance,
   round(abs_return, 6) AS abs_return, round(price_change, 6) AS price_change,
-  round(impact, 6) AS impact FROM feat""",
-)
+  round(impact, 6) AS impact FROM feat"""
+
+
+@query("k1_minute_features", q.w(q.EV, TRADES, FEAT) + FEATURE_ROWS)
 def k1_minute_features(spark, sf_dir):
     out = _rounded(
         _features(spark, sf_dir), 6, "imbalance", "abs_return", "price_change", "impact"
@@ -428,13 +427,13 @@ _event_query(19, "breakout_release", "BREAKOUT_RELEASE")
 def k16_open_imbalance(spark, sf_dir):
     days = levels.day_levels(_profile(spark, sf_dir), P)
     found = events.open_imbalance(days, P, NOW)
-    return found.drop("payload_json", "created_at_ms")
+    return found.drop("payload_json", "created_at_ms", "trading_day")
 
 
 @query("k17_close_dominance", q.w(q.EV, PROFILE) + EVENT_SQL["CLOSE_AUCTION_DOMINANCE"])
 def k17_close_dominance(spark, sf_dir):
     found = events.close_dominance(_levels(spark, sf_dir), P, NOW)
-    return found.drop("payload_json", "created_at_ms")
+    return found.drop("payload_json", "created_at_ms", "trading_day")
 
 
 ALL_SQL = ",\nall_events AS (\n" + "\nUNION ALL\n".join(EVENT_SQL.values()) + ")\n"
@@ -444,7 +443,7 @@ ALL_SQL = ",\nall_events AS (\n" + "\nUNION ALL\n".join(EVENT_SQL.values()) + ")
 def k21_all_events(spark, sf_dir):
     found = _events(spark, sf_dir)
     twice = events.distinct_events(found.unionByName(found))
-    return twice.drop("payload_json", "created_at_ms")
+    return twice.drop("payload_json", "created_at_ms", "trading_day")
 
 
 @query("k21_event_tables", BASE + ALL_SQL + f"SELECT DISTINCT {COLUMNS} FROM all_events")
@@ -459,6 +458,22 @@ def k21_event_tables(spark, sf_dir):
     return commands.micro_table(store, "events").select(*COLUMNS.split(", "))
 
 
+@query(
+    "k21_event_tables_by_day", BASE + ALL_SQL + f"SELECT DISTINCT {COLUMNS} FROM all_events"
+)
+def k21_event_tables_by_day(spark, sf_dir):
+    """The same tables built in three goes of neighbouring days, as a nightly run would."""
+    from . import commands
+    from .ingest_queries import _loaded_store
+
+    store = _loaded_store(spark, sf_dir)
+    days = sorted(r[0] for r in store.ticks().select("trading_day").distinct().collect())
+    third = -(-len(days) // 3)
+    for at in range(0, len(days), third):
+        commands.build_micro_tables(store, P, NOW, days[at : at + third])
+    return commands.micro_table(store, "events").select(*COLUMNS.split(", "))
+
+
 COOLDOWN_SEC = 14_400  # hourly buckets need a cooldown of hours to have an effect
 
 COOLED_SQL = (
@@ -493,7 +508,7 @@ def k22_cooldown(spark, sf_dir):
   OR event_type = 'OPEN_IMBALANCE'))""",
 )
 def k23_push_policy(spark, sf_dir):
-    return events.pushed(_events(spark, sf_dir)).drop("payload_json", "created_at_ms")
+    return events.pushed(_events(spark, sf_dir)).drop("payload_json", "created_at_ms", "trading_day")
 
 
 @query(
@@ -505,7 +520,7 @@ ORDER BY ts_ms DESC, event_type, dedup_key LIMIT 50""",
 )
 def k24_latest_events(spark, sf_dir):
     found = events.latest_events(_events(spark, sf_dir), "HK.click")
-    return found.drop("payload_json", "created_at_ms")
+    return found.drop("payload_json", "created_at_ms", "trading_day")
 
 
 @query(
