@@ -89,17 +89,17 @@ def redact(text: Column | str) -> Column:
 
 
 # fixed values: log line filters
-OPS_LOG_PATTERN = (
-    "health|health_symbols_rollup|persist_summary|WATCHDOG|ERROR|Traceback|telegram_|sqlite_busy|"
-    "poll_stats|persist_ticks"
-)
-CORE_LOG_PATTERN = (
-    "health|persist_summary|WATCHDOG|ERROR|Traceback|telegram_send_failed|"
-    "telegram_alert_suppressed"
-)
+OPS_LOG_PATTERN = "health|health_symbols_rollup|persist_summary|WATCHDOG|ERROR|Traceback|telegram_|sqlite_busy|poll_stats|persist_ticks"  # noqa: E501
+CORE_LOG_PATTERN = "health|persist_summary|WATCHDOG|ERROR|Traceback|telegram_send_failed|telegram_alert_suppressed"  # noqa: E501
 CHAT_LOG_PATTERN = "(ERROR|WARN|WATCHDOG|persist|sqlite_busy|alert_event)"
 ALERT_LINE_PATTERN = r"severity=(WARN|ALERT)|WATCHDOG|alert_event code="
 HEALTH_LINE_TEXT = "health sid="
+STARTED_LINE_TEXT = "telegram_notifier_started"
+SCHEMA_LINE_TEXT = "notify_schema="
+HEALTH_SENT_TEXT = "telegram_enqueue kind=HEALTH"
+WARNING_SENT_PATTERN = "telegram_enqueue kind=.* severity=(WARN|ALERT)"
+
+LOG_TIME_PATTERN = r"^\[?(\d{4}-\d{2}-\d{2}[ T]\d{2}:\d{2}:\d{2}(?:[.,]\d{1,6})?)"
 
 
 def severity_rank(value: Column | str) -> Column:

@@ -348,6 +348,7 @@ def b18_kpi_extraction(spark, sf_dir):
     )
 
 
+# fixed values: the patterns of functions/text.py, said again for the check
 REDACT_SQL = (
     r"regexp_replace(regexp_replace(%s, '\b\d{8,}:[A-Za-z0-9_-]{20,}\b', '[REDACTED_TOKEN]', 'g'), "
     r"'(?i)token\s*[=:]\s*\S+', 'token=[REDACTED]', 'g')"
@@ -408,21 +409,47 @@ def b21_ratios(spark, sf_dir):
     )
 
 
+def _read_back(spark, sf_dir):
+    """Stamped lines written to several files of different sizes and read by the log source."""
+    from ..session import shared_folder
+
+    path = shared_folder(spark, "logs")
+    lines = derived.log_lines(spark, sf_dir)
+    stamp = F.date_format(F.timestamp_millis(F.lit(1_700_000_000_000) + F.col("ord") * 1000), "yyyy-MM-dd HH:mm:ss")
+    stamped = lines.select("ord", F.concat(stamp, F.lit(" "), "line").alias("line"))
+    newest = F.col("ord") % 10
+    for part, rows in enumerate((stamped.where(newest < 7), stamped.where(newest >= 7))):
+        rows.select("line").repartition(2, "line").write.mode("append").text(f"{path}/{part}")
+    return logs.read_logs(spark, f"{path}/*")
+
+
+STAMPED_SQL = LOG_SQL.rstrip() + """,
+stamped AS (SELECT ord, strftime(make_timestamp((1700000000000 + ord * 1000) * 1000), '%Y-%m-%d %H:%M:%S')
+  || ' ' || line AS line FROM logs)"""
+
+
 @query(
     "a17_log_source",
-    q.w(LOG_SQL) + "SELECT split_part(line, ' ', 1) AS level, count(*) AS lines FROM logs GROUP BY 1",
+    q.w(STAMPED_SQL) + "SELECT line, substr(line, 1, 19) AS stamp FROM stamped",
 )
 def a17_log_source(spark, sf_dir):
-    """Lines written as text files and read back by the log source."""
-    from ..session import shared_folder
+    """Lines of several files with the time that orders them."""
+    stamp = F.date_format("time", "yyyy-MM-dd HH:mm:ss").alias("stamp")
+    return _read_back(spark, sf_dir).select("line", stamp)
 
-    path = shared_folder(spark, "logs")
-    derived.log_lines(spark, sf_dir).select("line").write.text(path)
-    return logs.read_logs(spark, path).groupBy(
-        F.substring_index("line", " ", 1).alias("level")
-    ).agg(F.count(F.lit(1)).alias("lines"))
+
+@query(
+    "a17_log_since",
+    q.w(STAMPED_SQL)
+    + """SELECT line FROM stamped WHERE substr(line, 1, 19) >= '2023-11-14 22:20:00'
+  AND substr(line, 1, 19) < '2023-11-14 22:28:20'""",
+)
+def a17_log_since(spark, sf_dir):
+    lines = _read_back(spark, sf_dir)
+    return logs.between(lines, "2023-11-14 22:20:00", "2023-11-14 22:28:20").select("line")
 
 
+# fixed values: the log filter
 OPS = "health|health_symbols_rollup|persist_summary|WATCHDOG|ERROR|Traceback|telegram_|sqlite_busy|poll_stats|persist_ticks"  # noqa: E501
 
 
@@ -446,10 +473,16 @@ def c7_chat_log_lines(spark, sf_dir):
 
 @query(
     "c7_last_lines",
-    q.w(LOG_SQL)
-    + """SELECT (SELECT max_by(line, ord) FROM logs WHERE contains(line, 'health sid=')) AS last_health,
-  (SELECT max_by(line, ord) FROM logs
-    WHERE regexp_matches(line, 'severity=(WARN|ALERT)|WATCHDOG|alert_event code=')) AS last_alert""",
+    q.w(STAMPED_SQL)
+    + """SELECT (SELECT max_by(line, ord) FROM stamped WHERE contains(line, 'health sid=')) AS last_health,
+  (SELECT max_by(line, ord) FROM stamped
+    WHERE regexp_matches(line, 'severity=(WARN|ALERT)|WATCHDOG|alert_event code=')) AS last_alert,
+  (SELECT max_by(line, ord) FROM stamped WHERE contains(line, 'telegram_notifier_started')
+    AND contains(line, 'notify_schema=')) AS last_schema,
+  (SELECT max_by(line, ord) FROM stamped WHERE contains(line, 'telegram_enqueue kind=HEALTH'))
+    AS last_health_sent,
+  (SELECT max_by(line, ord) FROM stamped
+    WHERE regexp_matches(line, 'telegram_enqueue kind=.* severity=(WARN|ALERT)')) AS last_warning_sent""",
 )
 def c7_last_lines(spark, sf_dir):
-    return logs.last_lines(derived.log_lines(spark, sf_dir))
+    return logs.last_lines(_read_back(spark, sf_dir))

@@ -2,21 +2,44 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text
 
 
+def line_time(line) -> Column:
+    """The time a line begins with, such as ``2024-01-02 03:04:05,678``, in UTC; NULL without one."""
+    stamp = F.regexp_extract(line, text.LOG_TIME_PATTERN, 1)
+    plain = F.regexp_replace(F.regexp_replace(stamp, ",", "."), "T", " ")
+    return F.when(stamp != "", F.try_to_timestamp(plain))
+
+
 def read_logs(spark: SparkSession, path: str) -> DataFrame:
-    """Non-empty lines with a position that orders lines within a file."""
+    """Non-empty lines with their ``time`` and an ``ord`` that orders them: by time, then by file name
+    and by position in the file. Lines without a time of their own come before all others."""
+    place = F.struct(
+        F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id()
+    )
+    time = line_time(F.col("value"))
     return (
         spark.read.text(path)
-        .select(F.monotonically_increasing_id().alias("ord"), F.col("value").alias("line"))
+        .select(F.struct(time, place).alias("ord"), time.alias("time"), F.col("value").alias("line"))
         .where(F.trim("line") != "")
     )
 
 
+def between(lines: DataFrame, since: str | None = None, until: str | None = None) -> DataFrame:
+    """Lines from ``since`` on and before ``until`` (UTC times as text); a limit drops lines without a
+    time."""
+    out = lines
+    if since is not None:
+        out = out.where(F.col("time") >= F.lit(since).cast("timestamp"))
+    if until is not None:
+        out = out.where(F.col("time") < F.lit(until).cast("timestamp"))
+    return out
+
+
 def stream_logs(spark: SparkSession, path: str, files_per_trigger: int = 100) -> DataFrame:
     lines = spark.readStream.option("maxFilesPerTrigger", files_per_trigger).text(path)
     return lines.select(F.col("value").alias("line")).where(F.trim("line") != "")
@@ -37,10 +60,15 @@ def shown_log(lines: DataFrame) -> DataFrame:
 
 
 def last_lines(lines: DataFrame) -> DataFrame:
-    """The newest health line and the newest alert line; a NULL where none matches."""
-    health = F.col("line").contains(text.HEALTH_LINE_TEXT)
-    alert = F.col("line").rlike(text.ALERT_LINE_PATTERN)
+    """The newest line of each kind; a NULL where none matches."""
+    line = F.col("line")
+    wanted = {
+        "last_health": line.contains(text.HEALTH_LINE_TEXT),
+        "last_alert": line.rlike(text.ALERT_LINE_PATTERN),
+        "last_schema": line.contains(text.STARTED_LINE_TEXT) & line.contains(text.SCHEMA_LINE_TEXT),
+        "last_health_sent": line.contains(text.HEALTH_SENT_TEXT),
+        "last_warning_sent": line.rlike(text.WARNING_SENT_PATTERN),
+    }
     return lines.agg(
-        F.max_by("line", F.when(health, F.col("ord"))).alias("last_health"),
-        F.max_by("line", F.when(alert, F.col("ord"))).alias("last_alert"),
+        *[F.max_by("line", F.when(cond, F.col("ord"))).alias(name) for name, cond in wanted.items()]
     )
