@@ -16,13 +16,13 @@ def normalized(spark, rows, schema, **options):
 
 
 def test_example_record(spark):
-    rows = [("HK.00700", "2024-01-02 09:30:00", 300.5, "100", 30050.0, "BUY", 123, "20240102")]
+    rows = [("HK.01211", "2024-01-02 09:30:00", 88.25, "400", 35300.0, "SELL", 9071, "20240102")]
     schema = (
         "code string, time string, price double, volume string, turnover double, "
         "ticker_direction string, sequence bigint, trading_day string"
     )
     got = normalized(spark, rows, schema).first()
-    assert (got.market, got.symbol, got.seq, got.ts_ms) == ("HK", "HK.00700", 123, OPEN)
+    assert (got.market, got.symbol, got.seq, got.ts_ms) == ("HK", "HK.01211", 9071, OPEN)
     assert (got.recv_ts_ms, got.inserted_at_ms, got.reject_reason) == (NOW, NOW, None)
 
 

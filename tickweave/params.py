@@ -5,10 +5,16 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 
+# fixed values: the defaults of this and the classes below
 DEFAULT_TZ = "Asia/Hong_Kong"
 DEFAULT_SESSIONS = "09:30-12:00,13:00-16:00"
 
-_CLOCK = re.compile(r"^\s*(\d{1,2}):(\d{1,2})\s*$")
+_HOUR, _MINUTE = r"(?:[01]?[0-9]|2[0-3])", r"[0-5]?[0-9]"
+_ITEM = re.compile(
+    rf"\s*(?P<h1>{_HOUR}):(?P<m1>{_MINUTE})\s*-\s*(?P<h2>{_HOUR}):(?P<m2>{_MINUTE})\s*"
+)
+_PLAIN = re.sub(r"\?P<\w+>", "?:", _ITEM.pattern)
+_SPEC = re.compile(rf"(?:{_PLAIN}|\s*)(?:,(?:{_PLAIN}|\s*))*")
 
 
 @dataclass(frozen=True)
@@ -20,32 +26,24 @@ class Session:
     label: str
 
 
-def _clock_seconds(text: str) -> int:
-    match = _CLOCK.match(text)
-    if not match:
-        raise ValueError(f"not a time of day: {text!r}")
-    hour, minute = int(match[1]), int(match[2])
-    if hour > 23 or minute > 59:
-        raise ValueError(f"time of day out of range: {text!r}")
-    return hour * 3600 + minute * 60
-
-
 def parse_sessions(spec: str) -> tuple[Session, ...]:
-    """``"09:30-12:00,13:00-16:00"`` to sessions; empty specs and inverted bounds are errors."""
-    found = []
-    for label in (part.strip() for part in spec.split(",")):
-        if not label:
-            continue
-        start, dash, end = label.partition("-")
-        if not dash:
-            raise ValueError(f"session without a dash: {label!r}")
-        session = Session(_clock_seconds(start), _clock_seconds(end), label)
-        if session.start_sec >= session.end_sec:
-            raise ValueError(f"session ends before it starts: {label!r}")
-        found.append(session)
-    if not found:
-        raise ValueError("no trading session given")
-    return tuple(found)
+    """``"09:30-12:00,13:00-16:00"`` to sessions; empty items are passed over.
+
+    The whole text has to follow the grammar, hold a session, and each has to end after it starts.
+    """
+    if not _SPEC.fullmatch(spec):
+        raise ValueError(f"not a list of sessions: {spec!r}")
+    sessions = tuple(
+        Session(_seconds(m["h1"], m["m1"]), _seconds(m["h2"], m["m2"]), m[0].strip())
+        for m in _ITEM.finditer(spec)
+    )
+    if not sessions or any(s.start_sec >= s.end_sec for s in sessions):
+        raise ValueError(f"no session, or one that ends before it starts: {spec!r}")
+    return sessions
+
+
+def _seconds(hour: str, minute: str) -> int:
+    return int(hour) * 3600 + int(minute) * 60
 
 
 @dataclass(frozen=True)

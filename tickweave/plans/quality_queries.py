@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ..operators import gaps, quality
 from ..session import shared_folder
 from ..sources import derived
+from ..sources.store import TickStore
 from . import sqltext as q
 from .catalog import query
 
@@ -206,9 +207,29 @@ def j1_daily_report(spark, sf_dir):
     )
 
 
+@query(
+    "a6_daily_quality_upsert",
+    f"""SELECT trading_day, (1 + second::INTEGER)::BIGINT AS created_at_ms,
+  CASE WHEN second THEN 'second' ELSE 'first' END AS host, total_rows, hard_gaps_total,
+  round(largest_gap_sec, 3)::DOUBLE AS largest_gap_sec, quality_grade
+FROM (SELECT *, hard_gaps_total > 0 AS second FROM ({REPORT_SQL}))""",
+)
+def a6_daily_quality_upsert(spark, sf_dir):
+    """Report rows of all days written, then those of the days with gaps written again."""
+    store = TickStore(spark, shared_folder(spark, "store"))
+    report = _report(spark, sf_dir)
+    store.upsert_daily_quality(quality.daily_quality_rows(report, 1, "first"))
+    again = report.where("hard_gaps_total > 0")
+    store.upsert_daily_quality(quality.daily_quality_rows(again, 2, "second"))
+    body = "total_rows bigint, hard_gaps_total bigint, largest_gap_sec double, quality_grade string"
+    rows = store.daily_quality().withColumn("_s", F.from_json("summary_json", body))
+    rows = rows.select("trading_day", "created_at_ms", "host", "_s.*")
+    return rows.withColumn("largest_gap_sec", F.round("largest_gap_sec", 3))
+
+
 @query(
     "a7_report_json",
-    f"SELECT trading_day, total_rows, hard_gaps_total, quality_grade FROM ({REPORT_SQL})",
+    REPORT_SQL,
 )
 def a7_report_json(spark, sf_dir):
     """The nested report written per day and read back."""
@@ -217,8 +238,12 @@ def a7_report_json(spark, sf_dir):
     quality.write_reports(report, path)
     back = spark.read.schema(quality.nested_report(report).schema).json(path)
     return back.select(
-        "trading_day", "volume.total_rows", "gaps.hard_gaps_total", "conclusion.quality_grade"
-    )
+        "trading_day", F.col("trading_day_dashed").alias("day_dashed"), "coverage.*",
+        "volume.total_rows", "gaps.hard_gaps_total", "gaps.hard_gaps_total_sec",
+        "gaps.largest_gap_sec", "observations.soft_stalls_total",
+        "observations.soft_stalls_total_sec", "observations.largest_stall_sec",
+        "conclusion.quality_grade",
+    )
 
 
 @query(
