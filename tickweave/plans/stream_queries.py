@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..operators import folds
 from ..session import shared_folder
 from ..sources import derived
-from ..sources.store import TickStore
+from ..sources.store import TickStore, footprint
 from ..streaming import decision_stream, feature_stream, gap_stream, ingest
 from . import sqltext as q
 from .catalog import query
@@ -107,6 +107,35 @@ def i2_replayed_batch(spark, sf_dir):
     )
 
 
+@query(
+    "i2_compacted_days",
+    q.w(q.EV)
+    + """SELECT trading_day, count(*) AS rows, count(seq) AS with_seq, sum(volume)::BIGINT AS volume,
+  TRUE AS fewer_files FROM ev GROUP BY 1""",
+)
+def i2_compacted_days(spark, sf_dir):
+    """Days loaded in many small goes, then rewritten: the same rows in fewer files."""
+    ticks = derived.event_ticks(spark, sf_dir)
+    store = TickStore(spark, shared_folder(spark, "store"))
+    for part in range(3):
+        store.append_ticks(ticks.where(F.col("ingest_ordinal") % 3 == part), load="a", epoch=part)
+    many = kept_sizes(spark, store)
+    days = [r[0] for r in store.ticks().select("trading_day").distinct().collect()]
+    store.compact_days(days)
+    fewer = footprint(spark, store.ticks_path).join(many, "trading_day")
+    rows = store.ticks().groupBy("trading_day").agg(
+        F.count(F.lit(1)).alias("rows"), F.count("seq").alias("with_seq"), F.sum("volume").alias("volume")
+    )
+    less = fewer.select("trading_day", ((F.col("files") == 1) | (F.col("files") < F.col("before"))).alias("fewer_files"))
+    return rows.join(less, "trading_day")
+
+
+def kept_sizes(spark, store):
+    """File counts as they are now, as a table of its own."""
+    rows = footprint(spark, store.ticks_path).select("trading_day", "files").collect()  # one per day
+    return spark.createDataFrame([tuple(r) for r in rows], "trading_day string, before bigint")
+
+
 @query(
     "i1_paced_load",
     q.w(q.EV) + "SELECT push_type, count(*) AS rows FROM ev GROUP BY 1",

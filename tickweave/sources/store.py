@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from ..operators import dedupe
 from ..schema import DAILY_QUALITY, GAPS, MANIFEST, TICKS, conform, empty
-from ..session import path_exists
+from ..session import delete_folder, path_exists
 
 LOADS = "load string, epoch bigint, done boolean"
 ROWS_PER_FILE = 4_000_000  # keeps files near 100 MB, so a checksum task can hold one
@@ -167,6 +167,16 @@ class TickStore:
         self._mark(load, epoch, done=False)
         return "new"
 
+    def compact_days(self, days: Sequence[str]) -> None:
+        """Rewrite the many small files of streamed days as few. Rows are copied aside first, so a run
+        that fails can be repeated; no load may write to these days meanwhile."""
+        aside = f"{self.root}/aside/ticks"
+        write_days(self.ticks(days), aside, mode="overwrite")
+        copied = self._days(read_table(self.spark, aside, TICKS), days)
+        write_days(copied, self.ticks_path, sort=("symbol", "ts_ms"), mode="overwrite")
+        for day in days:
+            delete_folder(self.spark, f"{aside}/trading_day={day}")
+
     def append_gaps(self, gaps: DataFrame) -> None:
         fresh = dedupe.new_gaps(gaps, self._stored(self.gaps(), gaps))
         write_days(conform(fresh, GAPS), self.gaps_path, sort=("symbol", "gap_start_ts_ms"))

@@ -69,13 +69,15 @@ def detect(
 def _first_per_time(parts: Iterator[pd.DataFrame]) -> tuple[pd.DataFrame, int]:
     """One row per time of a micro-batch, the lowest seq, reduced part by part; and the largest receive
     time."""
-    kept, received = None, 0
+    def first(pdf: pd.DataFrame) -> pd.DataFrame:
+        ordered = pdf.sort_values(["ts_ms", "seq"], na_position="first", kind="stable")
+        return ordered.drop_duplicates("ts_ms")
+
+    kept, received = [], 0
     for pdf in parts:
         received = max(received, int(pdf["recv_ts_ms"].max()))
-        kept = pdf if kept is None else pd.concat([kept, pdf])
-        kept = kept.sort_values(["ts_ms", "seq"], na_position="first", kind="stable")
-        kept = kept.drop_duplicates("ts_ms")
-    return kept, received
+        kept.append(first(pdf))
+    return first(pd.concat(kept)), received
 
 
 class GapProcessor(StatefulProcessor):
