@@ -301,16 +301,19 @@ def near_duplicates(
     same = ["n_shingles", "print_a", "print_b"]
     identity = "doc_id long, n_shingles long, print_a long, print_b long"
     prints = kept(rows.mapInArrow(_prints(shingle_words), f"{identity}, bits binary"), "prints")
-    classes = (
+    classes = kept(
         prints.filter("n_shingles > 0 AND doc_id IS NOT NULL")
         .groupBy(*same)
-        .agg(F.min("doc_id").alias("id"))
+        .agg(F.min("doc_id").alias("id")),
+        "classes",
     )
-    # the keys of one document per class; they move once here, and as rows below
+    # the keys of one document per class; they move once packed, and as rows below
     chosen = rows.mapInArrow(_block_sketches(shingle_words, percent), f"{identity}, keys binary").join(
         classes.select(F.col("id").alias("doc_id"), *same), ["doc_id", *same]
     )
-    keys = chosen.select(F.col("doc_id").alias("id"), "keys").mapInArrow(_unpacked, "key long, id long")
+    keys = kept(chosen.select(F.col("doc_id").alias("id"), "keys"), "keys").mapInArrow(
+        _unpacked, "key long, id long"
+    )
     shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("texts")).filter("texts > 1")
     groups = kept(keys.join(shared.select("key"), "key").distinct(), "groups")
     sizes = classes.groupBy("id").agg(F.min("n_shingles").alias("fewest"), F.max("n_shingles").alias("most"))
@@ -385,17 +388,29 @@ def _star_pairs(members: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
 
 def _rest_pairs(members: DataFrame, labels: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
     """Pairs ``a < b`` of one block's group that lie in different components and whose sketches allow a
-    link. All members, in bundles, meet those outside the component of the most shared one."""
+    link; pairs with the group's most shared text are decided already.
+
+    Groups of equal members, as near copies have by the dozen, are looked into once. All their members, in
+    bundles, meet those outside the component of the most shared one.
+    """
     labelled = members.join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn(
         "component", F.coalesce("component", "id")
     )
-    mixed = labelled.groupBy("key").agg(
-        F.max(F.struct("fame", "id", "component")).alias("head"),
+    heads = labelled.groupBy("key").agg(
+        F.count(F.lit(1)).alias("size"), F.max(F.struct("fame", "id", "component")).alias("head")
+    ).filter("size > 2")
+    others = labelled.select("key", "id", "component").join(heads, "key").filter("id <> head.id")
+    groups = others.groupBy("key").agg(
         F.min("component").alias("first"),
         F.max("component").alias("last"),
-        F.ceil(F.count(F.lit(1)) / BUNDLE).alias("bundles"),
-    ).filter("first < last").select("key", F.col("head.component").alias("main"), "bundles")
-    rows = labelled.select("key", "id", "component").join(mixed, "key").join(bits, "id")
+        F.first("head.component").alias("main"),
+        F.count(F.lit(1)).alias("size"),
+        *[F.sum(F.xxhash64(F.lit(salt), "id").cast("decimal(20,0)")).alias(f"s{salt}") for salt in (1, 2)],
+    ).filter("first < last")
+    once = groups.groupBy("size", "main", "s1", "s2").agg(F.min("key").alias("key")).select(
+        "key", "main", F.ceil(F.col("size") / BUNDLE).alias("bundles")
+    )
+    rows = others.select("key", "id", "component").join(once, "key").join(bits, "id")
     item = F.struct("id", "component", "n", "bits")
     bundle = F.pmod(F.xxhash64("id"), "bundles")
     left = rows.groupBy("key", bundle.alias("bundle")).agg(F.collect_list(item).alias("members"))
