@@ -30,6 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import delete_folder
 from . import words as W
 from .components import components
 
@@ -316,6 +317,7 @@ def near_duplicates(
     )
     shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("texts")).filter("texts > 1")
     groups = kept(keys.join(shared.select("key"), "key").distinct(), "groups")
+    delete_folder(spark, f"{work}/keys")  # the largest table, not needed any more
     sizes = classes.groupBy("id").agg(F.min("n_shingles").alias("fewest"), F.max("n_shingles").alias("most"))
     fame = groups.groupBy("id").agg(F.count(F.lit(1)).alias("fame"))
     members = kept(groups.join(fame.join(sizes, "id"), "id"), "members")
@@ -326,12 +328,12 @@ def near_duplicates(
         "bits",
     )
 
-    def linked(pairs: DataFrame) -> DataFrame:
+    def linked(pairs: DataFrame, name: str) -> DataFrame:
         """Those of the pairs ``a < b`` that link, by the whole sets of just these documents."""
         ids = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id")))
-        sets = rows.join(ids.distinct(), "doc_id", "left_semi").mapInArrow(
-            _sets(shingle_words), "id long, shingles binary"
-        )
+        ids = kept(ids.distinct(), f"{name}-ids")  # a table's size is known: few ids move no texts
+        texts = rows.join(ids, "doc_id", "left_semi")
+        sets = kept(texts.mapInArrow(_sets(shingle_words), "id long, shingles binary"), f"{name}-sets")
         sides = [
             sets.select(F.col("id").alias(c), F.col("shingles").alias(f"{side}_set"))
             for c, side in (("a", "left"), ("b", "right"))
@@ -346,10 +348,10 @@ def near_duplicates(
     least = member.groupBy("doc_id").agg(F.min("id").alias("a"), F.max("id").alias("z")).filter("a < z")
     links = member.join(least, "doc_id").filter("a < id").select("a", F.col("id").alias("b"))
     stars = kept(_star_pairs(members, bits, percent), "star-pairs")
-    links = kept(links.unionByName(linked(stars)), "star-links")
+    links = kept(links.unionByName(linked(stars, "star")), "star-links")
     labels = components(links, f"{work}/star-components")
     rest = kept(_rest_pairs(members, labels, bits, percent), "rest-pairs")
-    found = kept(linked(rest), "rest-links")
+    found = kept(linked(rest, "rest"), "rest-links")
     if not found.isEmpty():
         labels = components(links.unionByName(found), f"{work}/components")
     placed = (
