@@ -6,7 +6,8 @@ blocks never exceeds the size of the symmetric difference. Sets are compared wit
 ``j`` linked sets differ in at most ``D`` shingles, so of ``D + 1 + spare`` blocks at least ``1 + spare``
 agree. Texts meet on equal blocks (pigeonhole). Blocks of fewer than ``MIN_LOAD`` shingles are left out as
 join keys, unless a text has more than ``spare`` of them: then it joins on all of its blocks, which keeps
-the join exact. Candidates pass a finer parity sketch, of one bit per hash, and are verified on the whole
+the join exact. The same count says how many keys a text shares with any that it is linked to; a text that
+shares fewer, with all others together, goes. Candidates pass a finer parity sketch, of one bit per hash, and are verified on the whole
 sets.
 
 Equal sets are one class, joined once through its smallest document. Within the group of an equal block
@@ -87,8 +88,12 @@ def shingle_sets(batch: pa.RecordBatch, shingle_words: int) -> tuple[np.ndarray,
     return W.distinct(*W.sequences(found, found.hashes(), shingle_words), batch.num_rows)
 
 
-def _block_keys(value: np.ndarray, bounds: np.ndarray, band: np.ndarray, bands: Bands):
-    """Join keys of the sets whose ``band`` is not negative, and the text of each."""
+def _block_keys(
+    value: np.ndarray, bounds: np.ndarray, band: np.ndarray, differ: np.ndarray, bands: Bands
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Join keys of the sets whose ``band`` is not negative, where each text's begin, and the number of
+    keys that each text shares with any text linked to it in this band, at the least. ``differ``: the most
+    shingles in which a linked text can differ."""
     size = np.where(band >= 0, np.diff(bounds), 0)
     blocks = np.where(band >= 0, bands.blocks[band], 0)
     first = np.cumsum(blocks) - blocks
@@ -109,7 +114,10 @@ def _block_keys(value: np.ndarray, bounds: np.ndarray, band: np.ndarray, bands:
     place = np.arange(total) - first[text]
     keys = W.mix(sketch + W.mix((band[text].astype(np.uint64) << W.U64(40)) + place.astype(np.uint64)))
     chosen = ~light | hard[text]
-    return keys[chosen], text[chosen]
+    shared = blocks - differ - np.bincount(text, light, len(size)).astype(np.int64)
+    return (
+        keys[chosen], np.searchsorted(text[chosen], np.arange(len(size) + 1)), np.maximum(shared, 1)
+    )
 
 
 def _prints(shingle_words: int):
@@ -151,37 +159,33 @@ def _block_sketches(shingle_words: int, percent: int):
                 own = bands.of(size)
                 below = np.maximum(own - 1, 0)
                 lower = (own >= 1) & (size <= bands.partner[below]) & (bands.differ[below] > 0)
-                found = [
-                    _block_keys(value, bounds, band, bands)
-                    for band in (
-                        np.where((own >= 0) & (bands.differ[own] > 0), own, -1),
-                        np.where(lower, below, -1),
-                    )
-                ]
-                keys = np.concatenate([k for k, _ in found])
-                text = np.concatenate([t for _, t in found])
-                order = np.argsort(text, kind="stable")
-                edges = np.searchsorted(text[order], np.arange(len(size) + 1))
-                yield pa.record_batch(
-                    {
-                        "doc_id": part.column("doc_id"),
-                        **_identity(value, bounds),
-                        "keys": W.binary(keys[order], edges),
-                    }
-                )
+                own = np.where((own >= 0) & (bands.differ[own] > 0), own, -1)
+                most = np.minimum(bands.differ[own], size * (100 - percent) // percent)
+                columns = {"doc_id": part.column("doc_id"), **_identity(value, bounds)}
+                for side, band, differ in (
+                    (0, own, most),
+                    (1, np.where(lower, below, -1), bands.differ[below]),
+                ):
+                    keys, edges, least = _block_keys(value, bounds, band, differ, bands)
+                    columns[f"keys_{side}"] = W.binary(keys, edges)
+                    columns[f"least_{side}"] = pa.array(least, pa.int64())
+                yield pa.record_batch(columns)
 
     return sketch
 
 
 def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        data, offsets = W.buffers(batch.column("keys"))
-        ids = np.repeat(batch.column("id").to_numpy(), np.diff(offsets) // 8)
-        keys = data.view(np.int64)
-        for at in range(0, len(keys), 200_000):
-            yield pa.record_batch(
-                {"key": pa.array(keys[at : at + 200_000]), "id": pa.array(ids[at : at + 200_000])}
-            )
+        for side in (0, 1):
+            data, offsets = W.buffers(batch.column(f"keys_{side}"))
+            ids = np.repeat(batch.column("id").to_numpy(), np.diff(offsets) // 8)
+            keys = data.view(np.int64)
+            for at in range(0, len(keys), 200_000):
+                part = slice(at, at + 200_000)
+                sides = np.full(len(keys[part]), side, dtype=np.int32)
+                yield pa.record_batch(
+                    [pa.array(keys[part]), pa.array(ids[part]), pa.array(sides)], names=["key", "id", "side"]
+                )
 
 
 def parity_bits(value: np.ndarray) -> np.ndarray:
@@ -309,18 +313,23 @@ def near_duplicates(
         "classes",
     )
     # the keys of one document per class; they move once packed, and as rows below
-    chosen = rows.mapInArrow(_block_sketches(shingle_words, percent), f"{identity}, keys binary").join(
-        classes.select(F.col("id").alias("doc_id"), *same), ["doc_id", *same]
-    )
-    keys = kept(chosen.select(F.col("doc_id").alias("id"), "keys"), "keys").mapInArrow(
-        _unpacked, "key long, id long"
-    )
+    packed = ["keys_0", "least_0", "keys_1", "least_1"]
+    chosen = rows.mapInArrow(
+        _block_sketches(shingle_words, percent),
+        f"{identity}, keys_0 binary, least_0 long, keys_1 binary, least_1 long",
+    ).join(classes.select(F.col("id").alias("doc_id"), *same), ["doc_id", *same])
+    chosen = kept(chosen.select(F.col("doc_id").alias("id"), *packed), "keys")
+    keys = chosen.mapInArrow(_unpacked, "key long, id long, side int")
     shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("texts")).filter("texts > 1")
     groups = kept(keys.join(shared.select("key"), "key").distinct(), "groups")
-    delete_folder(spark, f"{work}/keys")  # the largest table, not needed any more
     sizes = classes.groupBy("id").agg(F.min("n_shingles").alias("fewest"), F.max("n_shingles").alias("most"))
-    fame = groups.groupBy("id").agg(F.count(F.lit(1)).alias("fame"))
-    members = kept(groups.join(fame.join(sizes, "id"), "id"), "members")
+    # who shares fewer keys, with all texts together, than a linked text would share has no link there
+    least = chosen.groupBy("id").agg(F.min("least_0").alias("least_0"), F.min("least_1").alias("least_1"))
+    enough = F.col("fame") >= F.when(F.col("side") == 0, F.col("least_0")).otherwise(F.col("least_1"))
+    fame = groups.groupBy("id", "side").agg(F.count(F.lit(1)).alias("fame"))
+    fame = fame.join(least, "id").filter(enough).select("id", "side", "fame").join(sizes, "id")
+    members = kept(groups.join(fame, ["id", "side"]).drop("side"), "members")
+    delete_folder(spark, f"{work}/keys")  # the largest table, not needed any more
     bits = kept(
         prints.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "bits").join(
             members.select("id").distinct(), "id", "left_semi"
@@ -345,8 +354,8 @@ def near_duplicates(
 
     # rows with one id join the classes of their texts
     member = prints.select("doc_id", *same).join(classes, same).select("doc_id", "id").distinct()
-    least = member.groupBy("doc_id").agg(F.min("id").alias("a"), F.max("id").alias("z")).filter("a < z")
-    links = member.join(least, "doc_id").filter("a < id").select("a", F.col("id").alias("b"))
+    first = member.groupBy("doc_id").agg(F.min("id").alias("a"), F.max("id").alias("z")).filter("a < z")
+    links = member.join(first, "doc_id").filter("a < id").select("a", F.col("id").alias("b"))
     stars = kept(_star_pairs(members, bits, percent), "star-pairs")
     links = kept(links.unionByName(linked(stars, "star")), "star-links")
     labels = components(links, f"{work}/star-components")
