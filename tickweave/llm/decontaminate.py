@@ -203,20 +203,23 @@ def with_contamination(
     row = T.StructField("row", kept.schema)
     handed = T.StructType([row]).add("text", "string").add("marks", "binary")
     handed = handed.add("items", T.ArrayType(T.StringType()))
-    for block in item_blocks(benchmark, block_bytes):
-        tables = patterns(block, window)
+    blocks = item_blocks(benchmark, block_bytes)
+    tables = patterns(next(blocks, []), window)
+    for block in blocks:
         found = found.mapInArrow(
             lambda batches, tables=tables: (
                 _mark(s, tables) for b in batches for s in W.slices(b, "text")
             ),
             handed,
         )
+        tables = patterns(block, window)
     kinds = ("long", "long", "long", "string", "boolean")
     result = T.StructType([row])
     for name, kind in zip(FOUND, kinds):
         result = result.add(name, kind)
-    return found.mapInArrow(
-        lambda batches: (_summary(s) for b in batches for s in W.slices(b, "text")), result
+    return found.mapInArrow(  # the last block's pass sums up as well
+        lambda batches: (_summary(_mark(s, tables)) for b in batches for s in W.slices(b, "text")),
+        result,
     ).select("row.*", *FOUND)
 
 

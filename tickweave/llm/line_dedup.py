@@ -109,7 +109,7 @@ def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _cleaned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in (part for whole in batches for part in W.slices(whole, "text")):
         lines, dropped, texts = [], [], []
         for text, drops in zip(batch.column("text").to_pylist(), batch.column("drops").to_pylist()):
             parts = [] if text is None else text.split("\n")

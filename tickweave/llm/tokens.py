@@ -24,7 +24,7 @@ from . import words as W
 KEPT_PIECES = 400_000
 #: Pieces encoded in one call.
 JOINED = 2_000
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 _GAP = ~W.SPACED
 _OTHER_SPACE = re.compile(
     rb"[\x1c-\x1f]|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80"

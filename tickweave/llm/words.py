@@ -12,8 +12,8 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 2 << 20
-HASH_BYTES = 1 << 20
+SLICE_BYTES = 512 << 10
+HASH_BYTES = 512 << 10
 U64 = np.uint64
 
 _generator = np.random.Generator(np.random.PCG64(20240607))
