@@ -35,7 +35,7 @@ def curve_keys(batch: pa.RecordBatch) -> np.ndarray:
     hashes = found.hashes()
     place = found.owner() * VECTOR + (hashes % W.U64(VECTOR)).astype(np.int64)
     sign = np.where(hashes >> W.U64(63), 1.0, -1.0)
-    vector = np.bincount(place, sign, batch.num_rows * VECTOR).reshape(-1, VECTOR)
+    vector = np.bincount(place, sign, batch.num_rows * VECTOR).astype(float).reshape(-1, VECTOR)
     norm = np.linalg.norm(vector, axis=1, keepdims=True)
     vector = np.divide(vector, norm, out=np.zeros_like(vector), where=norm > 0)
     return hilbert.keys(hilbert.even_cells(vector @ _PROJECTION, BITS), BITS)
