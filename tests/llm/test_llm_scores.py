@@ -38,7 +38,7 @@ def test_a_state_is_normalised(spark, folder):
     got = lm.score(frame, F.col("doc_id") >= 100, folder()).filter("doc_id >= 100").collect()
     by_id = {r["doc_id"]: r for r in got}
     end_after = {}
-    for word, seen, followed in (("a", 3, 2), ("b", 2, 1), ("c", 1, 1)):
+    for word, seen, followed in (("a", 3, 2), ("b", 2, 0), ("c", 1, 1)):
         root_end = (3 + 1) / (9 + 4 + 1)
         weight = 2.0 * seen**0.9
         end_after[word] = (followed + weight * root_end) / (seen + weight)
