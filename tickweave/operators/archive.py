@@ -165,7 +165,8 @@ def expired_days(
     older = older.join(unchanged_days(ticks, manifest), "trading_day", "left_semi")
     if root is None:
         return older
-    checked = verify_checksums(ticks.sparkSession, root).groupBy("trading_day")
+    names = [r[0] for r in older.collect()]  # one per day, so that only their files are read
+    checked = verify_checksums(ticks.sparkSession, root, names).groupBy("trading_day")
     intact = checked.agg(F.bool_and("checksum_ok").alias("_ok")).where("_ok")
     return older.join(intact.select("trading_day"), "trading_day", "left_semi")
 

@@ -217,7 +217,7 @@ def day_files(spark: SparkSession, path: str, days: Sequence[str] | None = None)
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "*.parquet")
     )
-    if path_exists(spark, folder):
+    if days != [] and path_exists(spark, folder):
         return reader.load(folder)
     nothing = "path string, modificationTime timestamp, length bigint, content binary"
     return spark.createDataFrame([], nothing)
