@@ -57,6 +57,7 @@ def tokenized(documents: DataFrame, tokenizer: str, cut: str, end_id: int, kind:
                         "ids": W.binary(ids.astype(kind), bounds),
                     }
                 )
+        Coder.get(tokenizer, cut).kept.clear()  # a worker may go on to other stages
 
     return documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
         encode, "doc_id long, key long, n_tokens long, ids binary"
