@@ -23,8 +23,9 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop recurring lines from the texts; every document stays."""
-    cleaned = line_dedup.drop_recurring(docs, shared_folder(spark, "line-dedup"))
+    """Drop recurring lines from the texts, also those that just two documents share; every document stays,
+    and copies of a whole document are left to the next stage."""
+    cleaned = line_dedup.drop_recurring(docs, shared_folder(spark, "line-dedup"), pairs=True)
     return cleaned.withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
 
 

@@ -46,3 +46,29 @@ def test_odd_documents(odd_documents, no_documents, folder):
     assert by_id[2]["text"] == "" and by_id[2]["n_lines"] == 1
     assert by_id[7]["n_dropped"] == 0  # ids 6 (one document) and 7: two documents are too few
     assert line_dedup.drop_recurring(no_documents, folder("b")).count() == 0
+
+
+SHARED = "a passage that exactly two documents share word for word"
+
+
+def test_whole_lines_of_two_documents_recur(spark, folder):
+    fields = "from 1 to 2 of 3"
+    rows = [(1, f"{SHARED}\nown words of the first"), (2, f"other words here\n{SHARED}")]
+    rows += [(3, f"{fields}\nthird one"), (4, f"{fields}\nfourth one")]
+    got = cleaned(spark, rows, folder(), pairs=True)
+    assert got[1] == (2, 0, rows[0][1]) and got[2] == (2, 1, "other words here")
+    assert got[3][1] == got[4][1] == 0  # mostly variable fields
+
+
+def test_copies_of_a_document_stay_copies(spark, folder):
+    copy = f"{SHARED}\nown words of the first"
+    rows = [(1, copy), (2, copy.upper()), (3, f"other words here\n{SHARED}")]
+    got = cleaned(spark, rows, folder("a"), min_docs=4, pairs=True)
+    assert [got[i][1] for i in (1, 2, 3)] == [0, 0, 1]
+    assert cleaned(spark, rows[:2], folder("b"), pairs=True)[2][1] == 0
+
+
+def test_pairs_leave_recurring_templates_as_they_are(spark, folder):
+    names = ["alice", "alice", "bob", "carol"]
+    rows = [(i, f"Posted by user {name} on day {i} of the week\nown {name}{i}") for i, name in enumerate(names, 1)]
+    assert [got[1] for _, got in sorted(cleaned(spark, rows, folder(), pairs=True).items())] == [0, 1, 1, 1]

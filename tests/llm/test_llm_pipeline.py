@@ -71,3 +71,11 @@ def test_odd_documents_pass_through(spark, odd_documents, tmp_path):
             assert result.columns == docs.columns
         docs = result
     assert {4, 6, 8, 10, None} <= ids(docs) and not ids(docs) & {1, 2, 3, 5, 7, 9}
+
+
+def test_lines_that_two_documents_share_go_and_copies_are_left_to_the_join(spark):
+    shared = "a passage that exactly two documents share word for word"
+    rows = [(1, shared, 0), (2, f"other words here\n{shared}", 0), (4, "", 0), (5, "a text of its own", 0), (6, "A text of its own", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars long")
+    got = {r["doc_id"]: r["text"] for r in pipeline.dedup_lines(spark, docs, SF).collect()}
+    assert got == {1: shared, 2: "other words here", 4: "", 5: rows[3][1], 6: rows[4][1]}

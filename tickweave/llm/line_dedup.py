@@ -7,6 +7,11 @@ positions are the line's template. A template recurs if at least ``min_docs`` do
 least ``constant_share`` of its tokens are constant. Its first line (smallest doc_id, then smallest line
 number) stays, all others are dropped, so a passage is never lost.
 
+With ``pairs`` a line that no recurring template covers recurs as it is, if two documents have it and at
+least ``constant_share`` of its tokens are no variable fields from the start. Documents of the same words on
+the same lines are copies, which count as one there and keep or lose such a line alike, so that a
+near-duplicate join still links them.
+
 Counting is done by aggregations over lines and over the tokens of one sample per distinct line, in leaves
 that enough documents reach; no leaf is ever gathered in one place. Texts move twice: to fetch samples and
 to drop lines.
@@ -47,7 +52,16 @@ def _tokens(batch: pa.RecordBatch) -> tuple[W.Words, np.ndarray, np.ndarray]:
     return found, hashes, line + found.owner()
 
 
-def _lines(depth: int, min_tokens: int):
+def _contents(found: W.Words, line: np.ndarray) -> np.ndarray:
+    """A hash of each text's words and the lines they are on."""
+    owner = found.owner()
+    turn = np.arange(len(found)) - found.first[owner]
+    place = W.mix(turn.astype(np.uint64)) + line.astype(np.uint64)
+    sums = np.concatenate([[W.U64(0)], np.cumsum(W.mix(found.hashes() + W.mix(place)))])
+    return sums[found.first[1:]] - sums[found.first[:-1]]
+
+
+def _lines(depth: int, min_tokens: int, pairs: bool):
     def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in W.slices(batch, "text"):
@@ -68,15 +82,18 @@ def _lines(depth: int, min_tokens: int):
                 _, offsets = W.buffers(part.column("text"))
                 feeds = np.concatenate([[0], np.cumsum(found.data == 10)])
                 number = line[first] - text - feeds[offsets[text]]
-                yield pa.record_batch(
-                    {
-                        "document": part.column("document").take(pa.array(text)),
-                        "doc_id": part.column("doc_id").take(pa.array(text)),
-                        "number": pa.array(number, pa.int32()),
-                        "leaf": pa.array(leaf.view(np.int64)),
-                        "line": pa.array(W.mix(sums + leaf).view(np.int64)),
-                    }
-                )
+                columns = {
+                    "document": part.column("document").take(pa.array(text)),
+                    "doc_id": part.column("doc_id").take(pa.array(text)),
+                    "number": pa.array(number, pa.int32()),
+                    "leaf": pa.array(leaf.view(np.int64)),
+                    "line": pa.array(W.mix(sums + leaf).view(np.int64)),
+                }
+                if pairs:
+                    owner = found.owner()
+                    contents = _contents(found, line - owner - feeds[offsets[owner]])
+                    columns["content"] = pa.array(contents[text].view(np.int64))
+                yield pa.record_batch(columns)
 
     return lines
 
@@ -128,24 +145,32 @@ def _cleaned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def recurring_lines(
     documents: DataFrame, work: str, min_docs: int = 3, min_tokens: int = 3, depth: int = 3,
-    constant_share: float = 0.75,
+    constant_share: float = 0.75, pairs: bool = False,
 ) -> DataFrame:
     """Lines to drop: ``document`` (a hash of id and text) and the line ``number`` from 0."""
     spark = documents.sparkSession
     keyed = documents.select("document", F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    schema = "document long, doc_id long, number int, leaf long, line long"
     keyed.mapInArrow(
-        _lines(depth, min_tokens), "document long, doc_id long, number int, leaf long, line long"
+        _lines(depth, min_tokens, pairs), schema + ", content long" if pairs else schema
     ).write.option("compression", "zstd").parquet(f"{work}/lines")
     lines = spark.read.parquet(f"{work}/lines")
+    numbers, counts = [F.min("number").alias("number")], [F.count(F.lit(1)).alias("docs")]
+    if pairs:
+        numbers.append(F.first("content").alias("content"))
+        counts.append((F.min("content") != F.max("content")).alias("paired"))
     support = (
         lines.groupBy("leaf", "line", "document")
-        .agg(F.min("number").alias("number"))
+        .agg(*numbers)
         .groupBy("leaf", "line")
-        .agg(F.count(F.lit(1)).alias("docs"), F.min(F.struct("document", "number")).alias("sample"))
+        .agg(*counts, F.min(F.struct("document", "number")).alias("sample"))
     )
     support.write.option("compression", "zstd").parquet(f"{work}/support")
     support = spark.read.parquet(f"{work}/support")
-    reached = support.groupBy("leaf").agg(F.sum("docs").alias("reach")).filter(F.col("reach") >= min_docs)
+    reach = F.sum("docs") >= min_docs
+    if pairs:
+        reach |= F.max("paired")
+    reached = support.groupBy("leaf").agg(reach.alias("enough")).filter("enough")
     candidates = support.join(reached.select("leaf"), "leaf")
     picks = candidates.groupBy(F.col("sample.document").alias("document")).agg(
         F.collect_list(F.struct("sample.number", "leaf", "line")).alias("picks")
@@ -158,10 +183,11 @@ def recurring_lines(
         .mapInArrow(_sampled, "leaf long, line long, position int, token long")
     )
     tokens.write.option("compression", "zstd").parquet(f"{work}/tokens")
-    weighed = spark.read.parquet(f"{work}/tokens").join(support.select("leaf", "line", "docs"), ["leaf", "line"])
+    weighed = spark.read.parquet(f"{work}/tokens").join(support.drop("sample"), ["leaf", "line"])
     place = ["leaf", "position", "token"]
+    worded = F.col("token") != F.lit(int(FIELD.view(np.int64)))
     constant = (
-        weighed.filter(F.col("token") != F.lit(int(FIELD.view(np.int64))))
+        weighed.filter(worded)
         .groupBy(*place)
         .agg(F.sum("docs").alias("seen"))
         .filter(F.col("seen") >= min_docs)
@@ -181,18 +207,31 @@ def recurring_lines(
     )
     recurring = templates.filter("firm").select("line", "template").join(common, "template")
     recurring.write.parquet(f"{work}/recurring")  # tables on one side let the joins split hot keys
-    found = lines.join(spark.read.parquet(f"{work}/recurring"), "line").select(
-        "template", "doc_id", "document", "number"
-    )
+    drops = _later(lines, f"{work}/recurring", f"{work}/first", "document")
+    if pairs:
+        whole = (
+            weighed.groupBy("leaf", "line")
+            .agg(F.count(F.lit(1)).alias("tokens"), F.count_if(worded).alias("words"), F.first("paired").alias("paired"))
+            .filter(F.col("paired") & (F.col("words") >= F.col("tokens") * constant_share))
+            .join(spark.read.parquet(f"{work}/recurring").select("line"), "line", "left_anti")
+        )
+        whole.select("line", F.col("line").alias("template")).write.parquet(f"{work}/paired")
+        drops = drops.unionByName(_later(lines, f"{work}/paired", f"{work}/first-paired", "content"))
+    return drops.distinct()
+
+
+def _later(lines: DataFrame, recurring: str, work: str, place: str) -> DataFrame:
+    """``document`` and ``number`` of all lines of the templates in ``recurring`` but the first of each and
+    those that agree with it in ``place`` and number."""
+    spark = lines.sparkSession
+    found = lines.join(spark.read.parquet(recurring), "line")
     found.groupBy("template").agg(
-        F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "document", "number")).alias("first")
-    ).write.parquet(f"{work}/first")
-    first = spark.read.parquet(f"{work}/first")
+        F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "document", "number", F.col(place).alias("place"))).alias("first")
+    ).write.parquet(work)
     return (
-        found.join(first, "template")
-        .filter((F.col("first.document") != F.col("document")) | (F.col("first.number") != F.col("number")))
+        found.join(spark.read.parquet(work), "template")
+        .filter((F.col("first.place") != F.col(place)) | (F.col("first.number") != F.col("number")))
         .select("document", "number")
-        .distinct()
     )
 
 
