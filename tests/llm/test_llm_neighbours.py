@@ -57,3 +57,33 @@ def test_odd_vectors_take_no_part(spark, folder):
     assert {i: [j for j, _ in v] for i, v in got.items()} == {0: [9, 1]}
     assert searched(spark, [], folder("b")) == {}
     assert searched(spark, [(0, [1.0, 0.0])], folder("c")) == {}
+
+
+def test_equal_queries_are_searched_once_in_bounded_bundles(spark, folder, monkeypatch):
+    source = np.random.default_rng(9)
+    rows = [(i, source.normal(size=4).astype(np.float32).tolist()) for i in range(300)]
+    rows += [(100 * i, [1.0, 0.0, 0.0, 0.0]) for i in range(3, 3000)]
+    rows += [(100 * i, [float(i % 90 + 2), 0.0, 0.0, 0.0]) for i in range(3000, 4500)]  # one direction, one key
+    monkeypatch.setattr(ann, "BUNDLE_ROWS", 16)
+    sizes, bundled = [], ann.bundled
+
+    def watched(placed, most):
+        found = bundled(placed, most)
+        sizes.extend(r["n"] for r in found.select(F.size("bundle").alias("n")).collect())
+        return found
+
+    monkeypatch.setattr(ann, "bundled", watched)
+    got = searched(spark, rows, folder(), window=2.0, k=3)
+    assert max(sizes) <= 16 and sum(sizes) == ann.CURVES * (3 + 1 + 90)
+    numbers, vectors = np.array([i for i, _ in rows]), np.array([v for _, v in rows], np.float64)
+    assert got.keys() == {i for i, _ in rows if i % 100 == 0}
+    for i, vector in rows[::50]:
+        if i in got:
+            far = np.sqrt(((vectors - vector) ** 2).sum(axis=1))
+            near = [j for j in numbers[np.lexsort((numbers, far))].tolist() if j != i]
+            assert [j for j, _ in got[i]] == near[:3]
+    many = spark.createDataFrame(  # queries of one rank
+        [(0, i, True, 0, 0, i, [1.0]) for i in range(1000)],
+        "curve int, vec_id long, query boolean, rank long, part int, asked long, vector array<double>",
+    )
+    assert bundled(many, 16).select(F.max(F.size("bundle"))).first()[0] == 16

@@ -6,11 +6,12 @@ own that holds ``window`` of all vectors; windows of all curves merge, and exact
 them. Vectors without structure need wide windows (a third of them for a recall of 0.9 at 64 dimensions);
 clustered ones do with narrow ones. The window is a share, so recall does not fall as a corpus grows.
 
-Ranks are cut into blocks, neighbouring queries of a curve are bundled, and a task compares one bundle with
-one block, so its memory does not depend on the corpus.
+Ranks are cut into blocks, neighbouring queries of a curve are bundled up to a fixed number, and a task
+compares one bundle with one block, so its memory does not depend on the corpus.
 
 Of equal vectors only the ``k + 1`` with the smallest ids are candidates: no others can be among the
-nearest, and a frequent vector cannot crowd a window.
+nearest, and a frequent vector cannot crowd a window. Of equal queries one is searched, for ``k + 1``
+neighbours, itself among them; each copy takes the first ``k`` of these that are not its own row.
 
 Defined cases: rows without id and vectors that are null, empty, zero, of other than the most frequent
 length, or hold null or non-finite components take no part; rows are told apart by vec_id: of rows with
@@ -32,7 +33,7 @@ from . import hilbert
 CURVES, DIMENSIONS, BITS = 4, 8, 7
 WINDOW = 0.38
 BLOCK_ROWS = 2048
-BUNDLE_ROWS = 4096  # ranks whose queries are bundled
+BUNDLE_ROWS = 4096  # ranks whose queries are bundled, and most queries of a bundle
 
 
 def usable(vectors: DataFrame) -> DataFrame:
@@ -84,17 +85,21 @@ def _matrix(column: pa.Array, length: int) -> np.ndarray:
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    before = 0
+    """Candidates and queries of the partition before each row."""
+    past = {"candidate": 0, "query": 0}
     for batch in batches:
-        flags = batch.column("candidate").to_numpy(zero_copy_only=False).astype(np.int64)
-        ends = before + np.cumsum(flags)
         columns = {c: batch.column(c) for c in ("part", "curve", "vec_id", "candidate", "query")}
-        yield pa.record_batch({**columns, "before": pa.array(ends - flags, pa.int64())})
-        before = int(ends[-1]) if len(ends) else before
+        for flag, name in (("candidate", "before"), ("query", "asked")):
+            flags = batch.column(flag).to_numpy(zero_copy_only=False).astype(np.int64)
+            ends = past[flag] + np.cumsum(flags)
+            columns[name] = pa.array(ends - flags, pa.int64())
+            past[flag] = int(ends[-1]) if len(ends) else past[flag]
+        yield pa.record_batch(columns)
 
 
 def ranks(rows: DataFrame, work: str, length: int, curves: int) -> tuple[DataFrame, int]:
-    """The rank of each row among the candidates of each curve, and the number of candidates."""
+    """The rank of each row among the candidates of each curve, its part of the order and the queries before
+    it there, and the number of candidates."""
     spark = rows.sparkSession
     by = ["curve", "key", "vec_id"]
     (
@@ -105,7 +110,8 @@ def ranks(rows: DataFrame, work: str, length: int, curves: int) -> tuple[DataFra
         .sortWithinPartitions(*by)
         .withColumn("part", F.spark_partition_id())
         .mapInArrow(
-            _counted, "part int, curve int, vec_id long, candidate boolean, query boolean, before long"
+            _counted,
+            "part int, curve int, vec_id long, candidate boolean, query boolean, before long, asked long",
         )
         .write.parquet(f"{work}/ranks")
     )
@@ -119,7 +125,20 @@ def ranks(rows: DataFrame, work: str, length: int, curves: int) -> tuple[DataFra
     bases = spark.createDataFrame(base, "part int, base long")
     rank = F.col("before") + F.col("base") - F.col("curve") * F.lit(each)
     placed = found.join(F.broadcast(bases), "part").withColumn("rank", rank)
-    return placed.select("curve", "vec_id", "candidate", "query", "rank"), each
+    return placed.select("curve", "vec_id", "candidate", "query", "rank", "part", "asked"), each
+
+
+def bundled(placed: DataFrame, rows: int) -> DataFrame:
+    """Neighbouring queries of a curve, at most ``rows`` together: ``bundle`` and its ``low`` and ``high``."""
+    return (
+        placed.filter("query")
+        .groupBy("curve", F.floor(F.col("rank") / rows).alias("at"), "part", F.floor(F.col("asked") / rows).alias("lot"))
+        .agg(
+            F.collect_list(F.struct("vec_id", "rank", "vector")).alias("bundle"),
+            F.min("rank").alias("low"), F.max("rank").alias("high"),
+        )
+        .select("curve", "bundle", "low", "high")
+    )
 
 
 def _nearest(length: int, k: int, reach: int, total: int):
@@ -137,8 +156,7 @@ def _nearest(length: int, k: int, reach: int, total: int):
                 low = np.clip(at - reach, 0, max(total - 2 * reach - 1, 0))
                 found: tuple[list, list, list] = ([], [], [])
                 for query, start, vector in zip(queries, low, wanted):
-                    inside = (places >= start) & (places <= start + 2 * reach) & (ids != query)
-                    inside = np.flatnonzero(inside)
+                    inside = np.flatnonzero((places >= start) & (places <= start + 2 * reach))
                     if not len(inside):
                         continue
                     score = np.sqrt(((vectors[inside] - vector) ** 2).sum(axis=1))
@@ -169,12 +187,14 @@ def neighbours(
     same = Window.partitionBy("vector").orderBy("vec_id")
     one_each = rows.groupBy("vec_id").agg(F.min("vector").alias("vector"))
     kept = one_each.withColumn("copy", F.row_number().over(same)).filter(F.col("copy") <= k + 1)
+    asking = one_each.filter(queries)
+    asked = asking.groupBy("vector").agg(F.min("vec_id").alias("vec_id"))
     marked = (
-        kept.select("vec_id", "vector", F.lit(True).alias("candidate"), queries.alias("query"))
-        .unionByName(
-            one_each.filter(queries).join(kept.select("vec_id"), "vec_id", "left_anti").select(
-                "vec_id", "vector", F.lit(False).alias("candidate"), F.lit(True).alias("query")
-            )
+        kept.select("vec_id", F.col("vector").alias("own"), F.lit(True).alias("candidate"))
+        .join(asked.withColumn("query", F.lit(True)), "vec_id", "full")
+        .select(
+            "vec_id", F.coalesce("own", "vector").alias("vector"),
+            F.coalesce("candidate", F.lit(False)).alias("candidate"), F.coalesce("query", F.lit(False)).alias("query"),
         )
     )
     marked.write.parquet(f"{work}/vectors")
@@ -192,24 +212,31 @@ def neighbours(
     )
     low = F.least(F.greatest(F.col("low") - reach, F.lit(0)), F.lit(max(total - 2 * reach - 1, 0)))
     high = F.greatest(F.col("high") + reach, F.lit(2 * reach))
-    bundles = (
-        placed.filter("query")
-        .groupBy("curve", F.floor(F.col("rank") / BUNDLE_ROWS).alias("bundle_place"))
-        .agg(F.collect_list(item).alias("bundle"), F.min("rank").alias("low"), F.max("rank").alias("high"))
-        .withColumn("place", F.explode(F.sequence(
-            F.floor(low / BLOCK_ROWS), F.floor(F.least(high, F.lit(max(total - 1, 0))) / BLOCK_ROWS)
-        )))
-    )
+    bundles = bundled(placed, BUNDLE_ROWS).withColumn("place", F.explode(F.sequence(
+        F.floor(low / BLOCK_ROWS), F.floor(F.least(high, F.lit(max(total - 1, 0))) / BLOCK_ROWS)
+    )))
     found = (
         bundles.join(blocks, ["curve", "place"])
         .select("block", "bundle")
-        .mapInArrow(_nearest(length, k, reach, total), "query_id long, vec_id long, score double")
+        .mapInArrow(_nearest(length, k + 1, reach, total), "query_id long, vec_id long, score double")
     )
     best = Window.partitionBy("query_id").orderBy("score", "vec_id")
-    return (
+    answers = (
         found.groupBy("query_id", "vec_id")
         .agg(F.min("score").alias("score"))
         .withColumn("rank", F.row_number().over(best))
-        .filter(F.col("rank") <= k)
-        .select("query_id", "rank", "vec_id", "score")
+        .filter(F.col("rank") <= k + 1)
+        .groupBy(F.col("query_id").alias("vec_id"))
+        .agg(F.sort_array(F.collect_list(F.struct("score", F.col("vec_id").alias("id")))).alias("answers"))
+        .join(marked.filter("query").select("vec_id", "vector"), "vec_id")
+        .select("vector", "answers")
+    )
+    answers.write.parquet(f"{work}/answers")  # tables on one side let the join split frequent vectors
+    answers = vectors.sparkSession.read.parquet(f"{work}/answers")
+    others = F.slice(F.filter("answers", lambda x: x["id"] != F.col("query_id")), 1, k)
+    return (
+        asking.withColumnRenamed("vec_id", "query_id")
+        .join(answers, "vector")
+        .select("query_id", F.posexplode(others).alias("at", "found"))
+        .select("query_id", (F.col("at") + 1).alias("rank"), F.col("found.id").alias("vec_id"), "found.score")
     )
