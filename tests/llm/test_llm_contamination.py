@@ -59,3 +59,34 @@ def test_shift_tables_never_skip_a_pattern():
     tables = d.patterns([("1", "a b c d e"), ("2", "c d e f g")], 5)
     assert len(tables) == 1 and tables[0].shift.min() == 0 and tables[0].shift.max() == 4
     assert np.all(np.diff(tables[0].bucket) >= 0)
+
+
+def test_large_benchmarks_stay_in_the_tasks(spark, odd_documents, no_documents, monkeypatch):
+    def no_tables(*_):
+        raise AssertionError("tables of a large benchmark")
+
+    monkeypatch.setattr(d, "patterns", no_tables)
+    items = [(1, "twice over and over again. and a second line of it"), (2, None), (None, "few words"), (3, "")]
+    items += [(4, "few words"), (10, "words"), (11, "word1x1 word2x2 word3x3 " * 4), (1, "same text here")]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    got = d.contamination(odd_documents, benchmark, block_bytes=1).collect()
+    want = brute.contamination([(r["doc_id"], r["text"]) for r in odd_documents.collect()], items)
+    assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
+    assert sum(r["contaminated"] for r in got) == 4
+    assert d.contamination(no_documents, benchmark, block_bytes=1).count() == 0
+
+
+def test_join_finds_what_a_plain_scan_finds(spark):
+    draw = np.random.default_rng(4)
+    texts = [" ".join(draw.choice(list("abc"), draw.integers(0, 60))) for _ in range(60)]
+    rows, items = list(enumerate(texts[:40])), [(i, t) for i, t in enumerate(texts[40:])]
+    frames = [spark.createDataFrame(x, f"{c} long, text string") for x, c in ((rows, "doc_id"), (items, "item_id"))]
+    for window in (3, 10):
+        got = d.contamination(*frames, window=window, block_bytes=1).collect()
+        assert sorted(map(tuple, got)) == sorted(brute.contamination(rows, items, window))
+
+
+def test_tables_are_sized_by_distinct_blocks():
+    text = " ".join(f"w{i}" for i in range(20_000))
+    (table,) = d.patterns([("1", text)], 10)
+    assert len(table.windows) == 19_991 and table.shift.nbytes + table.bucket.nbytes < 2 << 20

@@ -4,6 +4,10 @@ Symbols are words. A block is two neighbouring words; a shift table says how far
 after seeing a block, so most positions are never looked at. Where the shift is zero, the bucket of
 that block holds the patterns ending with it, and a comparison of all words confirms an occurrence.
 
+The tables of a small benchmark are shipped to the documents. A larger one never leaves the tasks: its
+windows are cut into rows, a bit filter of fixed size picks the document windows that may be among them, and
+a join by hash finds those that are.
+
 Defined cases: a null or empty text has no words and no hit; an item without words has no window; an
 item of fewer words than a window is one window; an item without id marks words, but is not listed;
 an empty item table marks nothing. Repeated documents and items give repeated rows and one listed id.
@@ -22,12 +26,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import shared_folder
 from . import words as W
 
-#: Items are searched in blocks of at most this many bytes of text, one pass over the documents each.
-BLOCK_BYTES = 8 << 20
+#: Benchmarks of at most this many bytes of ids and texts are searched by tables, others by a join.
+BLOCK_BYTES = 1 << 20
+FILTER_BITS = 26  # of a place in the filter of the join: 8 MB
+PAGE_BITS = 15  # of a place in a row of the filter
 LANE = 128
 FOUND = ("n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
 def _pairs(hashes: np.ndarray, size: int) -> np.ndarray:
     """For each position the hash of the block that ends there."""
     if size == 1:
@@ -43,16 +52,17 @@ class Patterns:
     def __init__(self, windows: np.ndarray, items: list[tuple[str, ...]]):
         count, self.length = windows.shape
         self.block = min(2, self.length)
-        self.bits = max(12, int(np.ceil(np.log2(max(count * self.length * 8, 2)))))
+        blocks = _pairs(windows.reshape(-1), self.block).reshape(count, -1)[:, self.block - 1 :]
+        self.bits = max(12, int(np.ceil(np.log2(max(len(np.unique(blocks)) * 8, 2)))))
         widest = self.length - self.block + 1
-        self.shift = np.full(1 << self.bits, widest, dtype=np.int64)
+        self.shift = np.full(1 << self.bits, widest, dtype=np.min_scalar_type(widest))
         for end in range(self.block - 1, self.length):
             place = self.place(_pairs(windows[:, : end + 1].reshape(-1), self.block)[end :: end + 1])
             np.minimum.at(self.shift, place, self.length - 1 - end)
         tail = self.place(_pairs(windows.reshape(-1), self.block)[self.length - 1 :: self.length])
         order = np.lexsort([*windows.T[::-1], tail])
         self.windows, self.items = windows[order], [items[i] for i in order]
-        self.bucket = np.searchsorted(tail[order], np.arange((1 << self.bits) + 1))
+        self.bucket = np.searchsorted(tail[order], np.arange((1 << self.bits) + 1)).astype(np.int32)
 
     def place(self, blocks: np.ndarray) -> np.ndarray:
         return (blocks >> W.U64(64 - self.bits)).astype(np.int64)
@@ -170,18 +180,126 @@ def _summary(batch: pa.RecordBatch) -> pa.RecordBatch:
     )
 
 
-def item_blocks(benchmark: DataFrame, limit: int = BLOCK_BYTES) -> Iterator[list[tuple]]:
-    """The items, a block of bounded bytes at a time."""
-    rows = benchmark.select(F.col("item_id").cast("string"), F.col("text").cast("string"))
-    block, size = [], 0
-    for item, text in rows.toLocalIterator():
-        size += len(text or "") + 8
-        block.append((item, text))
-        if size >= limit:
-            yield block
-            block, size = [], 0
-    if block:
-        yield block
+def _runs(found: W.Words, hashes: np.ndarray, sizes: list[int]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """For each size the positions where that many words of one text begin, and hashes of these words."""
+    owner = found.owner()
+    value = np.zeros(len(hashes), dtype=np.uint64)
+    for step in range(min(max(sizes, default=0), len(hashes))):
+        value = W.mix(value[: len(hashes) - step] + hashes[step:] * W.U64(2 * step + 3))
+        if step + 1 in sizes:
+            at = np.flatnonzero(owner[: len(value)] == owner[step:])
+            yield step + 1, at, value[at]
+
+
+def _proof(hashes: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
+    """A second hash of the ``size`` words from each position."""
+    value = np.zeros(len(at), dtype=np.uint64)
+    for step in range(size):
+        value = W.mix((value ^ hashes[at + step]) * W.U64(4 * step + 5) + W.U64(size))
+    return value
+
+
+def _item_windows(window: int):
+    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (part for whole in batches for part in W.slices(whole, "text")):
+            found = W.batch_words(batch, "text", W.ALPHANUMERIC)
+            hashes, owner, counts = found.hashes(), found.owner(), found.counts()
+            for size, at, key in _runs(found, hashes, list(range(1, window + 1))):
+                own = (counts[owner[at]] == size) | (size == window)
+                at, key = at[own], key[own]
+                yield pa.record_batch(
+                    {
+                        "item": batch.column("item").take(pa.array(owner[at])),
+                        "size": pa.array(np.full(len(at), size, np.int32)),
+                        "key": pa.array(key.view(np.int64)),
+                        "proof": pa.array(_proof(hashes, at, size).view(np.int64)),
+                    }
+                )
+
+    return windows
+
+
+def _met(sizes: list[int], bits):
+    """Windows of documents that pass the filter, a broadcast of its bytes."""
+
+    def met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = np.frombuffer(bits.value, np.uint8)
+        for batch in (part for whole in batches for part in W.slices(whole, "text")):
+            found = W.batch_words(batch, "text", W.ALPHANUMERIC)
+            hashes, owner = found.hashes(), found.owner()
+            for size, at, key in _runs(found, hashes, sizes):
+                for turn in range(2):
+                    place = (key >> W.U64(turn * FILTER_BITS)) & W.U64((1 << FILTER_BITS) - 1)
+                    on = (table[place >> W.U64(3)] >> (place & W.U64(7)).astype(np.uint8)) & 1 > 0
+                    at, key = at[on], key[on]
+                yield pa.record_batch(
+                    {
+                        "document": batch.column("document").take(pa.array(owner[at])),
+                        "at": pa.array((at - found.first[owner[at]]).astype(np.int32)),
+                        "size": pa.array(np.full(len(at), size, np.int32)),
+                        "key": pa.array(key.view(np.int64)),
+                        "proof": pa.array(_proof(hashes, at, size).view(np.int64)),
+                    }
+                )
+
+    return met
+
+
+def _filter(windows: DataFrame) -> bytes:
+    """Two bits for each window, in as many bytes for any number of windows."""
+    places = [F.shiftrightunsigned("key", turn * FILTER_BITS).bitwiseAND((1 << FILTER_BITS) - 1) for turn in range(2)]
+    pages = (
+        windows.select(F.explode(F.array(*places)).alias("place"))
+        .groupBy(F.shiftright("place", PAGE_BITS).alias("page"))
+        .agg(F.bitmap_construct_agg(F.col("place").bitwiseAND((1 << PAGE_BITS) - 1)).alias("bits"))
+    )
+    size = 1 << PAGE_BITS - 3
+    table = bytearray(1 << FILTER_BITS - 3)
+    for page, bits in pages.toLocalIterator():
+        table[page * size : (page + 1) * size] = bits
+    return bytes(table)
+
+
+def _joined(texts: DataFrame, items: DataFrame, window: int, work: str) -> DataFrame:
+    """``document``, ``n_hit``, ``n_items`` and ``items_sha256`` of the texts that hold a window of an item."""
+    spark = texts.sparkSession
+    schema = "size int, key long, proof long"
+    items.mapInArrow(_item_windows(window), f"item string, {schema}").write.parquet(f"{work}/windows")
+    windows = spark.read.parquet(f"{work}/windows")
+    sizes = [r["size"] for r in windows.select("size").distinct().collect()]  # at most one per window length
+    bits = spark.sparkContext.broadcast(_filter(windows))
+    texts.mapInArrow(_met(sizes, bits), f"document long, at int, {schema}").write.option(
+        "compression", "zstd"
+    ).parquet(f"{work}/met")
+    bits.unpersist()
+    met = spark.read.parquet(f"{work}/met")
+    by = ["size", "key", "proof"]
+    windows.join(met.select(*by).distinct(), by, "left_semi").groupBy(*by).agg(
+        F.sort_array(F.collect_set("item")).alias("items")
+    ).write.parquet(f"{work}/owners")  # a table on one side lets the join split frequent windows
+    owners = spark.read.parquet(f"{work}/owners").withColumn("owners", F.xxhash64("items"))
+    hits = (
+        met.join(owners, by)
+        .groupBy("document", "owners")  # the items of a passage once, not for each of its windows
+        .agg(F.first("items").alias("items"), F.collect_set(F.struct("at", "size")).alias("places"))
+        .groupBy("document")
+        .agg(F.flatten(F.collect_list("items")).alias("items"), F.flatten(F.collect_list("places")).alias("places"))
+    )
+    marked = F.transform("places", lambda p: F.sequence(p["at"], p["at"] + p["size"] - 1))
+    listed = F.sort_array(F.array_distinct("items"))
+    return hits.select(
+        "document",
+        F.size(F.array_distinct(F.flatten(marked))).cast("long").alias("n_hit"),
+        F.size(listed).cast("long").alias("n_items"),
+        F.sha2(F.array_join(listed, ","), 256).alias("items_sha256"),
+    )
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in (part for whole in batches for part in W.slices(whole, "text")):
+        n_words = W.batch_words(batch, "text", W.ALPHANUMERIC).counts()
+        columns = {c: batch.column(c) for c in ("row", "n_hit", "n_items", "items_sha256", "contaminated")}
+        yield pa.record_batch({"row": columns.pop("row"), "n_words": pa.array(n_words, pa.int64()), **columns})
 
 
 def with_contamination(
@@ -190,37 +308,38 @@ def with_contamination(
     """All columns of every document, and what ``contamination`` finds (columns of these names are
     replaced).
 
-    Documents are scanned where they lie, without a shuffle; only the tables of one block of items,
-    bounded by ``block_bytes``, are shipped per pass. A pass hands on a bit per word and the items' ids.
+    With a benchmark of at most ``block_bytes`` documents are scanned where they lie, without a shuffle.
+    With a larger one only hashes of windows that pass a filter are shuffled, and what is found of a text is
+    joined to all documents of that text.
     """
     kept = documents.drop(*FOUND)
-    found = documents.select(
-        F.struct(*[F.col(c) for c in kept.columns]).alias("row"),
-        F.col("text").cast("string"),
-        F.lit(None).cast("binary").alias("marks"),
-        F.array().cast("array<string>").alias("items"),
+    texts = documents.select(
+        F.struct(*[F.col(c) for c in kept.columns]).alias("row"), F.col("text").cast("string")
     )
-    row = T.StructField("row", kept.schema)
-    handed = T.StructType([row]).add("text", "string").add("marks", "binary")
-    handed = handed.add("items", T.ArrayType(T.StringType()))
-    blocks = item_blocks(benchmark, block_bytes)
-    tables = patterns(next(blocks, []), window)
-    for block in blocks:
-        found = found.mapInArrow(
-            lambda batches, tables=tables: (
-                _mark(s, tables) for b in batches for s in W.slices(b, "text")
-            ),
-            handed,
-        )
-        tables = patterns(block, window)
-    kinds = ("long", "long", "long", "string", "boolean")
-    result = T.StructType([row])
-    for name, kind in zip(FOUND, kinds):
+    items = benchmark.select(F.col("item_id").cast("string").alias("item"), F.col("text").cast("string"))
+    result = T.StructType([T.StructField("row", kept.schema)])
+    for name, kind in zip(FOUND, ("long", "long", "long", "string", "boolean")):
         result = result.add(name, kind)
-    return found.mapInArrow(  # the last block's pass sums up as well
-        lambda batches: (_summary(_mark(s, tables)) for b in batches for s in W.slices(b, "text")),
-        result,
-    ).select("row.*", *FOUND)
+    weight = sum(F.coalesce(F.octet_length(c), F.lit(0)) for c in ("item", "text")) + 8
+    if (items.agg(F.sum(weight)).first()[0] or 0) <= block_bytes:
+        tables = patterns([tuple(r) for r in items.collect()], window)
+        found = texts.withColumns(
+            {"marks": F.lit(None).cast("binary"), "items": F.array().cast("array<string>")}
+        ).mapInArrow(
+            lambda batches: (_summary(_mark(s, tables)) for b in batches for s in W.slices(b, "text")), result
+        )
+        return found.select("row.*", *FOUND)
+    spark = documents.sparkSession
+    work = shared_folder(spark, "decontamination")
+    keyed = texts.withColumn("document", F.xxhash64("text"))
+    _joined(keyed.select("document", "text"), items, window, work).write.parquet(f"{work}/found")
+    found = keyed.join(spark.read.parquet(f"{work}/found"), "document", "left").select(
+        "row", "text",
+        *[F.coalesce(c, F.lit(0)).alias(c) for c in ("n_hit", "n_items")],
+        F.coalesce("items_sha256", F.sha2(F.lit(""), 256)).alias("items_sha256"),
+        F.col("n_hit").isNotNull().alias("contaminated"),
+    )
+    return found.mapInArrow(_counted, result).select("row.*", *FOUND)
 
 
 def contamination(
