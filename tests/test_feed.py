@@ -1,5 +1,5 @@
 import pytest
-from conftest import hk_ms
+from tick_rows import hk_ms
 from pyspark.sql import functions as F
 
 from tickweave.functions import clock, text

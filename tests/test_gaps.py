@@ -2,7 +2,7 @@ import dataclasses
 import random
 
 import pytest
-from conftest import hk_ms, tick
+from tick_rows import hk_ms, tick
 
 from tickweave.operators import gaps
 from tickweave.params import QualityParams, parse_sessions

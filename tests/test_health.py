@@ -2,7 +2,7 @@ import dataclasses
 import random
 
 import pytest
-from conftest import hk_ms
+from tick_rows import hk_ms
 from pyspark.sql import functions as F
 
 from tickweave.operators import folds, health

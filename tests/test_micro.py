@@ -1,7 +1,7 @@
 import dataclasses
 import random
 
-from conftest import hk_ms, tick
+from tick_rows import hk_ms, tick
 
 from tickweave.operators import events, features, levels
 from tickweave.params import MicroParams

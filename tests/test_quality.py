@@ -2,7 +2,7 @@ import dataclasses
 import json
 
 import pytest
-from conftest import hk_ms, tick
+from tick_rows import hk_ms, tick
 from pyspark.sql import functions as F
 
 from tickweave.operators import quality, stats

@@ -1,7 +1,7 @@
 import os
 
 import pytest
-from conftest import hk_ms, tick
+from tick_rows import hk_ms, tick
 from pyspark.sql import functions as F
 
 from tickweave.operators import archive, dedupe, export, stats
