@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import shared_folder
-from . import ann, decontaminate, jaccard, language, line_dedup, lm, packing, secrets, token_files, warc
+from . import ann, decontaminate, jaccard, language, line_dedup, lm, middle, packing, secrets, token_files, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -215,3 +215,40 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archive(spark, path).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
     )
+
+
+OP11_SQL = """
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h,
+         regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS t FROM documents),
+u AS (
+  SELECT doc_id, text, t, CAST(len(t) AS BIGINT) AS n,
+         CAST('0x' || h[1:8] AS BIGINT) AS h1, CAST('0x' || h[9:16] AS BIGINT) AS h2,
+         CAST('0x' || h[17:24] AS BIGINT) AS h3, CAST('0x' || h[25:32] AS BIGINT) AS h4 FROM d),
+c AS (
+  SELECT doc_id, text, t, n, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+                   OR h3 % 100 >= 90 THEN 'plain'
+              WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM u),
+p AS (
+  SELECT doc_id, text, n, form, array_to_string(list_slice(t, 1, a), '') AS prefix,
+         array_to_string(list_slice(t, a + 1, b), '') AS middle,
+         array_to_string(list_slice(t, b + 1, n), '') AS suffix FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text
+                        WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM p
+"""
+
+
+@query("op11_fill_in_middle", OP11_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    changed = middle.rearranged(table(spark, sf_dir, "documents"), seed="1", changed_percent=90, spm_percent=20)
+    return middle.restored(changed).select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("restored_sha256"),
+    )
