@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import shared_folder
-from . import ann, decontaminate, jaccard, language, line_dedup, lm, middle, packing, secrets, token_files, warc
+from . import ann, decontaminate, jaccard, language, line_dedup, lm, middle, packing, secrets, simhash, token_files, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -252,3 +252,11 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
         F.sha2(F.col("text").cast("binary"), 256).alias("restored_sha256"),
     )
+
+
+@query("op13_simhash")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(
+        table(spark, sf_dir, "documents"), shared_folder(spark, "simhash"), shingle_words=4, bits=4
+    )
+    return found.withColumn("fingerprint", F.lpad(F.lower(F.hex("fingerprint")), 16, "0"))
