@@ -8,7 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import shared_folder
-from . import ann, decontaminate, jaccard, language, line_dedup, lm, middle, packing, secrets, simhash, token_files, warc
+from . import (
+    ann, decontaminate, divergence, jaccard, language, line_dedup, lm, middle, packing, secrets, simhash,
+    token_files, warc,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -254,6 +257,50 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+OP12_SQL = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS i, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all({LOWERED.format("coalesce(text, '')")}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+o AS (SELECT i, lang, source, unnest(w) AS t FROM d),
+k AS (SELECT lang, t FROM o GROUP BY lang, t HAVING count(DISTINCT i) >= 30),
+v AS (SELECT lang, count(*) AS v FROM k GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT lang, source, t, count(*) AS c FROM o JOIN k USING (lang, t) GROUP BY lang, source, t),
+a AS (
+  SELECT g.lang, g.source, k.t, coalesce(c.c, 0) AS c,
+         sum(coalesce(c.c, 0)) OVER (PARTITION BY g.lang, g.source) AS n,
+         sum(coalesce(c.c, 0)) OVER (PARTITION BY g.lang, k.t) AS lc,
+         sum(coalesce(c.c, 0)) OVER (PARTITION BY g.lang) AS ln, v.v
+  FROM g JOIN k USING (lang) JOIN v USING (lang)
+  LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.t = k.t),
+p AS (
+  SELECT lang, source, t, c,
+         CAST(1 + CAST(1000000000 AS HUGEINT) * (c + 5) // (n + 5 * v) AS BIGINT) AS p,
+         CAST(1 + CAST(1000000000 AS HUGEINT) * (lc + 5) // (ln + 5 * v) AS BIGINT) AS q FROM a),
+s AS (
+  SELECT x.lang, x.source, y.source AS item, CAST(sum(abs(x.p - y.p)) AS BIGINT) AS value
+  FROM p x JOIN p y ON x.lang = y.lang AND x.t = y.t AND x.source <> y.source GROUP BY 1, 2, 3),
+r AS (
+  SELECT g.lang, g.source, 'pair' AS part, h.source AS item, coalesce(s.value, 0) AS value
+  FROM g JOIN g h ON g.lang = h.lang AND g.source <> h.source
+  LEFT JOIN s ON s.lang = g.lang AND s.source = g.source AND s.item = h.source
+  UNION ALL
+  SELECT lang, source, 'term', t, p - q FROM p WHERE c > 0 AND p > q),
+z AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+  FROM r)
+SELECT * FROM z WHERE part = 'pair' OR rank <= 50
+"""
+
+
+@query("op12_source_divergence", OP12_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence(
+        table(spark, sf_dir, "documents"), shared_folder(spark, "divergence"), min_docs=30, terms=50
+    )
+
+
 @query("op13_simhash")
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(
