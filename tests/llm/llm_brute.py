@@ -21,27 +21,38 @@ def remainder(doc_id, modulus):
     return None if doc_id is None else zlib.crc32(str(doc_id).encode()) % modulus
 
 
-def lm_scores(rows, strength=2.0, growth=0.9):
-    """op2, bigrams, for (doc_id, text) rows; ``"\\n"`` is the end and ``"\\t"`` the start."""
+def lm_scores(rows, order=2, strength=2.0, growth=0.9):
+    """op2 for (doc_id, text) rows, each chance by recursion; ``"\\n"`` is the end and ``"\\t"`` the start."""
     tokens = [[*words(text), "\n"] for _, text in rows]
     held = [remainder(doc_id, 7) == 2 for doc_id, _ in rows]
-    single, pair, history = Counter(), Counter(), Counter()
+    seen, followed, single = Counter(), Counter(), Counter()
     for own, out in zip(tokens, held):
-        if not out:
-            single.update(own)
-            pair.update(zip(["\t", *own], own))
-            history.update(["\t", *own[:-1]])
+        if out:
+            continue
+        single.update(own)
+        marked = ["\t", *own]
+        for i in range(1, len(marked)):
+            for n in range(1, min(order - 1, i) + 1):
+                seen[tuple(marked[i - n : i + 1])] += 1
+                followed[tuple(marked[i - n : i])] += 1
     n, v = sum(single.values()), len(single)
+
+    def chance(history, word):
+        if not history:
+            return (single[word] + 1) / (n + v + 1)
+        count = followed[history]
+        if not count:
+            return chance(history[1:], word)
+        weight = strength * count**growth
+        return (seen[(*history, word)] + weight * chance(history[1:], word)) / (count + weight)
+
     result = []
     for (doc_id, _), own, out in zip(rows, tokens, held):
-        base = score = 0.0
-        for before, word in zip(["\t", *own], own):
-            root = (single[word] + 1) / (n + v + 1)
-            base += math.log10(root)
-            seen = history[before]
-            weight = strength * seen**growth
-            arc = (pair[before, word] + weight * root) / (seen + weight) if seen else root
-            score += math.log10(arc)
+        marked = ["\t", *own]
+        base = sum(math.log10((single[w] + 1) / (n + v + 1)) for w in own)
+        score = sum(
+            math.log10(chance(tuple(marked[max(0, i - order + 1) : i]), marked[i])) for i in range(1, len(marked))
+        )
         known = sum(single[w] > 0 for w in own)
         result.append((doc_id, out, len(own), known, n, base, score))
     return result

@@ -1,19 +1,23 @@
 """N-gram language model as a weighted backoff automaton, trained and applied over a whole corpus.
 
-A state is a seen history of up to ``order - 1`` words. Its arc for a seen word carries the smoothed
-probability
+A state is a seen history of up to ``order - 1`` words (the root is the empty one); a text begins with a mark
+of its own. A state's arc for a seen word carries the smoothed probability
 
     p(w | h) = (c(h w) + T(h) * p(w | shorter h)) / (c(h) + T(h)),   T(h) = strength * c(h) ** growth
 
-and its failure arc to the next shorter history carries ``T(h) / (c(h) + T(h))``; the root holds
-``(c(w) + 1) / (N + V + 1)``, where 1 / (N + V + 1) is left for unknown words. So each state's
-probabilities sum to one. A text is walked from left to right: the state is the longest seen history,
-and failure arcs are followed until a seen arc is found.
+and leads to the state of the longest seen end of ``h w``. Its failure arc leads to the next shorter history
+and carries ``T(h) / (c(h) + T(h))``; the root holds ``(c(w) + 1) / (N + V + 1)`` for every word, where
+1 / (N + V + 1) is left for unknown ones. So each state's probabilities sum to one. A text is walked once
+from left to right: the walk carries its state, follows failure arcs until the state has an arc for the next
+word, takes that arc, and adds up the logarithms on the way.
 
-No table of n-grams is ever gathered in one place. Documents lie in chunks; each chunk sends the distinct
-n-grams of its texts, as packed 64-bit hashes with their training counts, to shards by hash. A shard adds
-them up and answers each chunk with the totals in the order of its request. A frequent n-gram is one
-entry per chunk, so no shard is hot.
+No table of n-grams is ever gathered in one place. Texts are dealt to chunks of bounded size. Each chunk
+sends the distinct n-grams of its texts, as packed 56-bit hashes with their training counts, to shards by
+hash; a shard adds them up and answers each chunk with the totals, in the order of its request. The chunk
+builds the part of the automaton that its texts can reach, and walks them. A frequent n-gram is one entry per
+chunk, so no shard is hot. All steps are rows of bounded size through ``mapInArrow``; Spark sorts, joins and
+regroups them. Requests and answers travel as differences in byte planes, compressed, since their size is
+what limits the order.
 
 Defined cases: a null or empty text is its end alone; a document without id is trained on; repeated rows
 count and are scored each; an empty table gives no rows; with no training rows every word is unknown.
@@ -21,33 +25,70 @@ count and are scored each; an empty table gives no rows; with no training rows e
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import words as W
 
 CHUNK_BYTES = 8 << 20
+KEY_BITS = 56
 _START, _END = W.U64(0x5BD1E995A3C59AC3), W.U64(0x1F83D9ABFB41BD6B)
+_REQUEST = "chunk long, level int, shard int, keys binary, counts binary"
+_ANSWER = "chunk long, level int, shard int, extra binary"
 _SCORES = (
     "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
     "base_score double, score double"
 )
 
 
+def squeezed(values: np.ndarray) -> bytes:
+    """Whole numbers by byte planes, compressed: small ones take little."""
+    planes = values.astype("<u8").view(np.uint8).reshape(-1, 8).T
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(planes).tobytes())
+
+
+def unsqueezed(packed: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), np.uint8)
+    return np.ascontiguousarray(planes.reshape(8, -1).T).view("<u8").ravel()
+
+
+def _texts_packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each text compressed, for the one shuffle that texts take."""
+    squeeze = zstandard.ZstdCompressor(level=1).compress
+    for batch in batches:
+        for part in W.slices(batch, "text"):
+            data, offsets = W.buffers(part.column("text"))
+            raw, ends = data.tobytes(), offsets.tolist()
+            packed = pa.array([squeeze(raw[a:b]) for a, b in zip(ends, ends[1:])], pa.binary())
+            yield pa.record_batch(
+                [*(part.column(c) for c in ("chunk", "doc_id", "held_out")), packed],
+                names=["chunk", "doc_id", "held_out", "packed"],
+            )
+
+
+def _row_texts(documents: pa.StructArray) -> pa.RecordBatch:
+    """The documents of a chunk with their texts."""
+    expand = zstandard.ZstdDecompressor().decompress
+    texts = [expand(packed) for packed in documents.field("packed").to_pylist()]
+    columns = [documents.field("doc_id"), documents.field("held_out"), pa.array(texts, pa.large_binary())]
+    return pa.record_batch(columns, names=["doc_id", "held_out", "text"])
+
+
 class Grams:
-    """The tokens of some texts: words, then one end; and the n-grams that end at each token."""
+    """The tokens of some texts: words, then one end; and the distinct n-grams that end at each token."""
 
-    def __init__(self, table: pa.Table, order: int):
-        batch = table.select(["text"]).combine_chunks().to_batches()
+    def __init__(self, batch: pa.RecordBatch, order: int):
         hashes, counts = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
-        for whole in batch:
-            for part in W.slices(whole, "text"):
-                found = W.batch_words(part, "text", W.SPACED)
-                hashes.append(found.hashes())
-                counts.append(found.counts())
+        for part in W.slices(batch, "text"):
+            found = W.batch_words(part, "text", W.SPACED)
+            hashes.append(found.hashes())
+            counts.append(found.counts())
         words, size = np.concatenate(hashes), np.concatenate(counts) + 1
         self.ends = np.cumsum(size)
         self.begins = self.ends - size
@@ -57,110 +98,226 @@ class Grams:
         token[is_word] = words
         self.owner = np.repeat(np.arange(len(size)), size)
         self.at = np.arange(len(token)) - self.begins[self.owner]  # before it in its text
-        self.keys = [W.mix(token)]
-        for n in range(2, order + 1):
-            before = np.roll(self.keys[-1], 1)
-            before[self.at == 0] = _START
-            self.keys.append(W.mix(before * W.U64(2 * n + 1) + token))
+        held = batch.column("held_out").to_numpy(zero_copy_only=False).astype(bool)
+        train = ~held[self.owner]
+        self.keys, self.counts, self.first, self.which = [], [], [], []
+        key = W.mix(token)
+        for n in range(1, order + 1):
+            if n > 1:
+                before = np.roll(key, 1)
+                before[self.at == 0] = _START
+                key = W.mix(before * W.U64(2 * n + 1) + token)
+            whole = np.flatnonzero(self.at >= n - 2)  # the mark before a text stands for a word
+            short = key[whole] >> W.U64(64 - KEY_BITS)
+            keys, first, which = np.unique(short, return_index=True, return_inverse=True)
+            self.keys.append(keys)
+            self.counts.append(np.bincount(which, train[whole], len(keys)).astype(np.int64))
+            self.first.append(whole[first])
+            placed = np.full(len(token), -1)
+            placed[whole] = which
+            self.which.append(placed)
 
-    def distinct(self, level: int) -> tuple[np.ndarray, np.ndarray]:
-        """Distinct n-grams of one length, ascending, and which of them ends at each token."""
-        return np.unique(self.keys[level], return_inverse=True)
+    def cut(self, level: int, shards: int) -> tuple[np.ndarray, np.ndarray]:
+        """The shards that a level's keys lie in, and where each one's begin and the last ends."""
+        lead = self.keys[level] >> W.U64(KEY_BITS - 32)
+        shard = (lead * W.U64(shards) >> W.U64(32)).astype(np.int64)
+        edges = np.searchsorted(shard, np.arange(shards + 1))
+        used = np.flatnonzero(np.diff(edges))
+        return used, np.append(edges[used], len(shard))
 
 
-def _shard(keys: np.ndarray, shards: int) -> np.ndarray:
-    """Ascending with the keys, and even."""
-    return ((keys >> W.U64(32)) * W.U64(shards) >> W.U64(32)).astype(np.int64)
+class Automaton:
+    """The part of the automaton that some texts reach.
 
+    Level ``n`` holds the n-grams of ``n + 1`` words. Seen ones of a level below the last are states; each
+    seen one is the arc that leads from the state of its words but the last. ``target`` is the length of the
+    history that a taken arc leads to.
+    """
 
-def _request(order: int, shards: int):
-    def request(key: tuple, table: pa.Table) -> pa.Table:
-        grams = Grams(table, order)
-        train = ~np.array(table.column("held_out").to_pylist(), dtype=bool)[grams.owner]
-        out = []
-        for level in range(order):
-            keys, which = grams.distinct(level)
-            counts = np.bincount(which, train, len(keys)).astype("<u4")
-            edges = np.searchsorted(_shard(keys, shards), np.arange(shards + 1))
-            used = np.flatnonzero(np.diff(edges))
-            bounds = np.append(edges[used], len(keys))
-            out.append(pa.table({
-                "chunk": pa.array(np.full(len(used), key[0].as_py()), pa.int64()),
+    def __init__(self, grams: Grams, totals: list[np.ndarray], tokens: int, types: int, strength, growth):
+        self.grams, self.order = grams, len(totals)
+        starts = totals[0][grams.which[0][grams.ends[0] - 1]] if len(grams.ends) else 0  # as many as ends
+        self.starts = int(starts)
+        root = (totals[0] + 1) / (tokens + types + 1)
+        chance, self.arcs, self.failures = root, [np.log10(root)], []
+        for level in range(1, self.order):
+            count, at = totals[level], grams.first[level]
+            history = totals[level - 1][grams.which[level - 1][at - 1]]
+            if level == 1:
+                history = np.where(grams.at[at] == 0, starts, history)
+            seen = count > 0
+            history = np.where(seen, history, 1).astype(np.float64)
+            weight = strength * history**growth
+            shorter = chance[grams.which[level - 1][at]]
+            chance = (count + weight * shorter) / (history + weight)
+            self.arcs.append(np.where(seen, np.log10(chance), 1.0))  # 1: there is no such arc
+            self.failures.append(self._failure(totals[level - 1], strength, growth))
+        self.start_failure = float(self._failure(np.array([starts]), strength, growth)[0])
+        self.known = totals[0] > 0
+
+    @staticmethod
+    def _failure(count: np.ndarray, strength: float, growth: float) -> np.ndarray:
+        history = np.where(count > 0, count, 1).astype(np.float64)
+        weight = strength * history**growth
+        return np.log10(weight / (history + weight))
+
+    def walk(self) -> np.ndarray:
+        """The log-probability of each text, by one walk from its first word to its end."""
+        which, at = self.grams.which, self.grams.at
+        arcs = [np.append(a, 1.0)[w].tolist() for a, w in zip(self.arcs, which)]  # -1: no such n-gram
+        failures = [None]
+        for level, weights in enumerate(self.failures):
+            before = np.roll(np.append(weights, 0.0)[which[level]], 1)
+            if level == 0:
+                before[at == 0] = self.start_failure
+            failures.append(before.tolist())
+        known, last = self.known[which[0]].tolist(), self.order - 1
+        begin_state = 1 if self.starts and last else 0
+        scores = np.zeros(len(self.grams.ends))
+        for text, (begin, end) in enumerate(zip(self.grams.begins.tolist(), self.grams.ends.tolist())):
+            state, score = begin_state, 0.0
+            for place in range(begin, end):
+                arc = arcs[state][place]
+                while arc > 0:
+                    score += failures[state][place]
+                    state -= 1
+                    arc = arcs[state][place]
+                score += arc
+                if state or known[place]:
+                    state = min(state + 1, last)
+            scores[text] = score
+        return scores
+
+
+def _types(shards: int):
+    """The distinct words of training texts with their counts, to shards."""
+
+    def types(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            batch = batch.filter(pc.invert(batch.column("held_out")))
+            for part in W.slices(batch, "text", CHUNK_BYTES):
+                yield from _requests(Grams(part, 1), 0, shards)
+
+    return types
+
+
+def _requests(grams: Grams, chunk: int, shards: int) -> Iterator[pa.RecordBatch]:
+    for level in range(len(grams.keys)):
+        used, edges = grams.cut(level, shards)
+        parts = [slice(a, b) for a, b in zip(edges, edges[1:])]
+        keys = [squeezed(np.diff(grams.keys[level][p], prepend=W.U64(0))) for p in parts]
+        counts = [squeezed(grams.counts[level][p]) for p in parts]
+        yield pa.record_batch(
+            {
+                "chunk": pa.array(np.full(len(used), chunk), pa.int64()),
                 "level": pa.array(np.full(len(used), level), pa.int32()),
-                "shard": pa.array(used, pa.int64()),
-                "keys": W.binary(keys, bounds),
-                "counts": W.binary(counts, bounds),
-            }))
-        return pa.concat_tables(out)
+                "shard": pa.array(used, pa.int32()),
+                "keys": pa.array(keys, pa.binary()),
+                "counts": pa.array(counts, pa.binary()),
+            }
+        )
+
+
+def _request(order: int, shards: int):
+    def request(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                grams = Grams(_row_texts(batch.column("documents")[row].values), order)
+                yield from _requests(grams, batch.column("chunk")[row].as_py(), shards)
 
     return request
 
 
-def _answer(key: tuple, table: pa.Table) -> pa.Table:
-    """The totals of a shard, to each chunk in the order of its request."""
-    table = table.combine_chunks()
-    (keys, offsets), (counts, _) = (W.buffers(table.column(c).combine_chunks()) for c in ("keys", "counts"))
-    seen, which = np.unique(keys.view(np.uint64), return_inverse=True)
-    totals = np.bincount(which, counts.view("<u4"), len(seen)).astype(np.int64)
-    rows = table.num_rows
-    own = np.zeros((2, rows), dtype=np.int64)
-    own[:, 0] = np.count_nonzero(totals), totals.sum()
-    return pa.table({
-        "chunk": table.column("chunk"), "level": table.column("level"), "shard": table.column("shard"),
-        "totals": W.binary(totals[which], offsets // 8),
-        "n_types": pa.array(own[0]), "n_tokens": pa.array(own[1]),
-    })
+def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, list]]:
+    """The requests of each level and shard in turn, from rows sorted by both."""
+    own, rows = None, []
+    for batch in batches:
+        for chunk, level, shard, keys, counts in zip(*(c.to_pylist() for c in batch.columns)):
+            if own is not None and own != (level, shard):
+                yield *own, rows
+                rows = []
+            own = level, shard
+            rows.append((chunk, np.cumsum(unsqueezed(keys)), unsqueezed(counts).view(np.int64)))
+    if rows:
+        yield *own, rows
+
+
+def _totals(rows: list) -> tuple[np.ndarray, np.ndarray]:
+    """The training counts of a shard's n-grams, and which n-gram each requested key is."""
+    seen, which = np.unique(np.concatenate([keys for _, keys, _ in rows]), return_inverse=True)
+    counts = np.concatenate([counts for *_, counts in rows])
+    return np.bincount(which, counts, len(seen)).astype(np.int64), which
+
+
+def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """To each chunk what the others add to its own counts, in the order of its request."""
+    for level, shard, rows in _shards(batches):
+        totals, which = _totals(rows)
+        at, extra = 0, []
+        for _, keys, counts in rows:
+            extra.append(squeezed(totals[which[at : at + len(keys)]] - counts))
+            at += len(keys)
+        yield pa.record_batch(
+            {
+                "chunk": pa.array([chunk for chunk, *_ in rows], pa.int64()),
+                "level": pa.array([level] * len(rows), pa.int32()),
+                "shard": pa.array([shard] * len(rows), pa.int32()),
+                "extra": pa.array(extra, pa.binary()),
+            }
+        )
+
+
+def _sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for _, _, rows in _shards(batches):
+        totals, _ = _totals(rows)
+        yield pa.record_batch(
+            {"n_types": pa.array([np.count_nonzero(totals)], pa.int64()), "n_tokens": pa.array([totals.sum()], pa.int64())}
+        )
 
 
 def _scorer(order: int, tokens: int, types: int, strength: float, growth: float):
-    def score(documents: pa.Table, answers: pa.Table) -> pa.Table:
-        grams = Grams(documents, order)
-        answers = answers.sort_by([("level", "ascending"), ("shard", "ascending")])
-        below = log_below = None
-        for level in range(order):
-            _, which = grams.distinct(level)
-            part = answers.filter(pc.equal(answers.column("level"), level))
-            totals = np.frombuffer(b"".join(part.column("totals").to_pylist()), np.int64)
-            count = totals[which].astype(np.float64)
-            if level == 0:
-                known = count > 0
-                chance = (count + 1) / (tokens + types + 1)
-                logs = base = np.log10(chance)
-                ends = count[grams.ends[0] - 1] if len(grams.ends) else 0.0  # as many starts as ends
-            else:
-                history = np.roll(below, 1)
-                if level == 1:
-                    history[grams.at == 0] = ends
-                walks = (grams.at >= level - 1) & (history > 0)
-                history = np.where(walks, history, 1.0)
-                weight = strength * history**growth
-                failure = np.log10(weight / (history + weight)) + log_below
-                arc = np.log10((count + weight * chance) / (history + weight))
-                logs = np.where(walks, np.where(count > 0, arc, failure), log_below)
-                chance = 10.0**logs
-            below, log_below = count, logs
-        texts = documents.num_rows
-        sums = [np.bincount(grams.owner, x, texts) for x in (known, base, logs)]
-        return pa.table({
-            "doc_id": documents.column("doc_id"),
-            "held_out": documents.column("held_out"),
-            "n_tokens": pa.array(grams.ends - grams.begins, pa.int64()),
-            "n_known": pa.array(sums[0].astype(np.int64)),
-            "train_tokens": pa.array(np.full(texts, tokens), pa.int64()),
-            "base_score": pa.array(sums[1]), "score": pa.array(sums[2]),
-        })
+    def scored(documents: pa.StructArray, answers: pa.StructArray) -> pa.RecordBatch:
+        batch = _row_texts(documents)
+        grams = Grams(batch, order)
+        parts = sorted(
+            zip(*(answers.field(c).to_pylist() for c in ("level", "shard", "extra"))), key=lambda part: part[:2]
+        )
+        totals = []
+        for level, counts in enumerate(grams.counts):
+            extra = [unsqueezed(packed).view(np.int64) for own, _, packed in parts if own == level]
+            totals.append(counts + np.concatenate([np.zeros(0, np.int64), *extra]))
+        automaton = Automaton(grams, totals, tokens, types, strength, growth)
+        texts, first = batch.num_rows, grams.which[0]
+        return pa.record_batch(
+            {
+                "doc_id": batch.column("doc_id"),
+                "held_out": batch.column("held_out"),
+                "n_tokens": pa.array(grams.ends - grams.begins, pa.int64()),
+                "n_known": pa.array(np.bincount(grams.owner, automaton.known[first], texts).astype(np.int64)),
+                "train_tokens": pa.array(np.full(texts, tokens), pa.int64()),
+                "base_score": pa.array(np.bincount(grams.owner, automaton.arcs[0][first], texts)),
+                "score": pa.array(automaton.walk()),
+            }
+        )
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                yield scored(batch.column("documents")[row].values, batch.column("answers")[row].values)
 
     return score
 
 
 def score(
-    documents: DataFrame, held_out: Column, work: str, order: int = 2, strength: float = 2.0,
-    growth: float = 0.9, chunk_bytes: int = CHUNK_BYTES,
+    documents: DataFrame, held_out: Column, order: int = 3, strength: float = 2.0, growth: float = 0.9,
+    chunk_bytes: int = CHUNK_BYTES,
 ) -> DataFrame:
     """Score all documents with a model of those that are not held out; logarithms to base 10.
 
-    ``base_score`` is the root's alone. ``work`` is an empty shared folder for the answers of the shards.
+    ``base_score`` is the root's alone.
     """
+    if order < 1:
+        raise ValueError("the order is at least 1")
     spark = documents.sparkSession
     rows = documents.select(
         F.col("doc_id").cast("long"),
@@ -169,16 +326,24 @@ def score(
     )
     size = rows.agg(F.sum(F.octet_length("text") + 8)).first()[0] or 0
     chunks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-int(size) // chunk_bytes))
-    rows = rows.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)))
-    requests = rows.groupBy("chunk").applyInArrow(
-        _request(order, chunks), "chunk long, level int, shard long, keys binary, counts binary"
+
+    def dealt(requests: DataFrame) -> DataFrame:
+        return requests.repartition(chunks, "shard").sortWithinPartitions("level", "shard")
+
+    words = rows.select("held_out", "text").mapInArrow(_types(chunks), _REQUEST)
+    root = dealt(words).mapInArrow(_sizes, "n_types long, n_tokens long")
+    root = root.agg(F.sum("n_tokens"), F.sum("n_types")).first()
+    chunk = F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).alias("chunk")
+    packed = rows.select(chunk, "doc_id", "held_out", "text").mapInArrow(
+        _texts_packed, "chunk long, doc_id long, held_out boolean, packed binary"
     )
-    requests.groupBy("level", "shard").applyInArrow(
-        _answer, "chunk long, level int, shard long, totals binary, n_types long, n_tokens long"
-    ).write.option("compression", "zstd").parquet(f"{work}/answers")
-    answers = spark.read.parquet(f"{work}/answers")
-    root = answers.filter("level = 0").agg(F.sum("n_tokens"), F.sum("n_types")).first()
-    answers = answers.select("chunk", "level", "shard", "totals")
-    return rows.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(
+    bundles = packed.repartition(chunks, "chunk").groupBy("chunk").agg(
+        F.collect_list(F.struct("doc_id", "held_out", "packed")).alias("documents")
+    )
+    requests = bundles.mapInArrow(_request(order, chunks), _REQUEST)
+    answers = dealt(requests).mapInArrow(_answer, _ANSWER).repartition(chunks, "chunk").groupBy("chunk").agg(
+        F.collect_list(F.struct("level", "shard", "extra")).alias("answers")
+    )
+    return bundles.join(answers, "chunk").select("documents", "answers").mapInArrow(
         _scorer(order, root[0] or 0, root[1] or 0, strength, growth), _SCORES
     )

@@ -92,9 +92,7 @@ def id_remainder(modulus: int):
 @query("op2_lm_score")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
-    return lm.score(documents, id_remainder(7) == 2, shared_folder(spark, "lm-score"), order=2)
-
-
+    return lm.score(documents, id_remainder(7) == 2, order=3)
 
 OP3_SQL = rf"""
 WITH d AS (
