@@ -265,3 +265,77 @@ def k22_stream_cooldown(spark, sf_dir):
     )
 
 
+
+
+# a day of slack: what lies a day and more behind the largest time seen is late
+LATE_MS = 86_400_000
+CLOSE_SQL = f"({{}} + {q.HK_MS}) // 86400000 * 86400000 + 86400000 - {q.HK_MS}"
+
+
+def _closing_features(spark, stream):
+    """Output of the minute features on event time, and the checkpoint with the state that is left."""
+    out, check = shared_folder(spark, "features"), shared_folder(spark, "checkpoint")
+    rows = feature_stream.stream_features(stream, MICRO_PARAMS, late_ms=LATE_MS)
+    writer = rows.writeStream.format("parquet").outputMode("append").option("checkpointLocation", check)
+    _finish(writer.trigger(availableNow=True).start(out))
+    return spark.read.schema(rows.schema).parquet(out), check
+
+
+@query(
+    "i6_watermark_features",
+    q.w(q.EV, TRADES, FEAT) + FEATURE_ROWS.replace(" FROM feat", ", jump_count FROM feat"),
+)
+def i6_watermark_features(spark, sf_dir):
+    """Minute features whose state goes with the day: equal to the batch form while rows come in order."""
+    ingest.streaming_session(spark)
+    stream = _landed(spark, derived.event_ticks(spark, sf_dir), "landing", "ts_ms", parts=6)
+    rows, _ = _closing_features(spark, stream)
+    newest = feature_stream.newest_revisions(feature_stream.added(rows)).drop("revision", "late_ticks")
+    out = _rounded(newest, 6, "imbalance", "abs_return", "price_change", "impact")
+    return _rounded(out, 2, "turnover")
+
+
+@query(
+    "i6_open_state",
+    q.w(q.EV)
+    + f""", seen AS (SELECT *, max(ts_ms) OVER () - {LATE_MS} AS mark FROM ev WHERE price IS NOT NULL)
+SELECT symbol, trading_day, count(*) AS ticks FROM seen
+GROUP BY symbol, trading_day, mark HAVING {CLOSE_SQL.format("max(ts_ms)")} > mark""",
+)
+def i6_open_state(spark, sf_dir):
+    """What the state store still holds at the end: the days that the watermark has not passed, no more."""
+    ingest.streaming_session(spark)
+    ticks = derived.event_ticks(spark, sf_dir).where("price IS NOT NULL")
+    _, check = _closing_features(spark, _landed(spark, ticks, "landing", "ts_ms", parts=6))
+    state = spark.read.format("statestore").option("path", check).option("stateVarName", "features").load()
+    held = state.select("key.symbol", "key.trading_day").distinct()
+    return ticks.join(held, ["symbol", "trading_day"]).groupBy("symbol", "trading_day").agg(
+        F.count(F.lit(1)).alias("ticks")
+    )
+
+
+# every third tick of each day comes first; the watermark of a later step is that of the steps before
+LATE_TICKS_SQL = f""", step AS (SELECT *, (ingest_ordinal // 2) % 3 AS step FROM ev WHERE price IS NOT NULL),
+mark AS (SELECT step, max(ts_ms) - {LATE_MS} AS mark FROM step GROUP BY 1),
+place AS (
+  SELECT *, (ts_ms, coalesce(seq, -1), price, volume) AS place,
+    {CLOSE_SQL.format("ts_ms")} AS ends FROM step),
+days AS (SELECT symbol, trading_day, step, max(place) AS last, max(ends) AS ends FROM place GROUP BY ALL),
+late AS (
+  SELECT p.symbol, p.trading_day, p.ts_ms, p.seq,
+    max(m.mark) AS mark, max(d.last) AS last, max(d.ends) AS day_ends, max(p.ends) AS ends, max(p.place) AS place
+  FROM place p LEFT JOIN mark m ON m.step < p.step
+  LEFT JOIN days d ON d.symbol = p.symbol AND d.trading_day = p.trading_day AND d.step < p.step
+  GROUP BY p.symbol, p.trading_day, p.ts_ms, p.seq, p.ingest_ordinal)
+SELECT symbol, trading_day, ts_ms, seq FROM late WHERE ends <= mark OR place < last"""
+
+
+@query("i6_late_rows", q.w(q.EV) + LATE_TICKS_SQL)
+def i6_late_rows(spark, sf_dir):
+    """Arrival in three passes over all days: what comes behind a closed day, or behind a later tick of an
+    open one, lands in the table of late ticks, and nothing else does."""
+    ingest.streaming_session(spark)
+    ticks = derived.event_ticks(spark, sf_dir).where("price IS NOT NULL")
+    mixed = ticks.withColumn("step", F.floor(F.col("ingest_ordinal") / 2) % 3)
+    rows, _ = _closing_features(spark, _landed(spark, mixed, "landing", "step"))
+    return feature_stream.late_ticks(rows).select("symbol", "trading_day", "ts_ms", "seq")
