@@ -188,9 +188,15 @@ class AdmissionFold:
         state["hits"] = hits
         return (admitted, 0 if admitted else max(0, self.window_ms - (at - hits[0])))
 
+    def until(self, state: dict) -> int | None:
+        return state["hits"][-1] + self.window_ms if state["hits"] else None
+
 
 class RepeatFold:
-    """Keeps a row unless one of its key was kept within ``horizon_ms`` of its time, before or after."""
+    """Keeps a row unless one of its key was kept within ``horizon_ms`` of its time, before or after.
+
+    Kept times of a key lie more than a horizon apart, so few are held; ``until`` lets a stream forget them.
+    """
 
     fields = ()
     result = "kept boolean"
@@ -199,12 +205,43 @@ class RepeatFold:
         self.horizon_ms = horizon_ms
 
     def start(self) -> dict:
-        return {}
+        return {"kept": []}
 
     def step(self, state: dict, at: int, row: tuple) -> tuple:
-        if "kept" in state and abs(at - state["kept"]) <= self.horizon_ms:
+        if any(abs(at - kept) <= self.horizon_ms for kept in state["kept"]):
             return (False,)
-        state["kept"] = max(at, state.get("kept", at))
+        state["kept"].append(at)
+        return (True,)
+
+    def until(self, state: dict) -> int:
+        return max(state["kept"]) + self.horizon_ms + 1
+
+
+class RecentKeysFold:
+    """Drops polled rows whose key is among the newest ``limit`` that were remembered, first in first out.
+
+    Rows of other origins are always kept. A kept row's key is remembered unless it is already; that moves
+    it no further back.
+    """
+
+    fields = ("push_type", "ts_ms", "price", "volume", "turnover")
+    result = "kept boolean"
+
+    def __init__(self, limit: int = 500):
+        self.limit = max(1, int(limit))
+
+    def start(self) -> dict:
+        return {"keys": {}}  # a dict keeps the order of arrival, and is a set as well
+
+    def step(self, state: dict, at: int, row: tuple) -> tuple:
+        keys = state["keys"]
+        origin, *parts = row
+        key = "|".join("" if part is None else repr(float(part)) for part in parts)
+        if key in keys:
+            return (origin != "poll",)
+        keys[key] = 1
+        if len(keys) > self.limit:
+            del keys[next(iter(keys))]
         return (True,)
 
 

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from ..operators import folds
-from ..session import shared_folder
+from ..session import path_exists, shared_folder
 from ..sources import derived
+from ..sources.rows_source import stream_rows
 from ..sources.store import TickStore, footprint
 from ..streaming import decision_stream, feature_stream, gap_stream, ingest
 from . import sqltext as q
@@ -339,3 +341,77 @@ def i6_late_rows(spark, sf_dir):
     mixed = ticks.withColumn("step", F.floor(F.col("ingest_ordinal") / 2) % 3)
     rows, _ = _closing_features(spark, _landed(spark, mixed, "landing", "step"))
     return feature_stream.late_ticks(rows).select("symbol", "trading_day", "ts_ms", "seq")
+
+
+# all rows without a seq, so that memory is by key alone; sent again seven seconds and ten days later
+FIFO_TICKS = """
+t AS (
+  SELECT symbol, push_type, ts_ms, price, volume, turnover, recv_ts_ms, ingest_ordinal FROM ev
+  UNION ALL
+  SELECT symbol, 'poll', ts_ms, price, volume, turnover, recv_ts_ms + 864000000, ingest_ordinal + 100000000
+  FROM ev WHERE (ingest_ordinal // 2) % 9 = 0),
+n AS (
+  SELECT symbol, push_type, concat_ws('|', ts_ms, coalesce(price::VARCHAR, '?'), volume, coalesce(turnover::VARCHAR, '?')) AS key,
+    recv_ts_ms, ingest_ordinal, row_number() OVER (PARTITION BY symbol ORDER BY recv_ts_ms, ingest_ordinal) AS i FROM t)"""
+FIFO_SQL = """, memory AS (
+SELECT symbol, 0::BIGINT AS i, []::VARCHAR[] AS keys, FALSE AS kept, 0::BIGINT AS ingest_ordinal FROM n GROUP BY symbol
+UNION ALL
+SELECT n.symbol, n.i,
+  CASE WHEN list_contains(m.keys, n.key) THEN m.keys
+    ELSE list_append(CASE WHEN len(m.keys) >= 500 THEN m.keys[2:] ELSE m.keys END, n.key) END,
+  n.push_type <> 'poll' OR NOT list_contains(m.keys, n.key), n.ingest_ordinal
+FROM memory m JOIN n ON n.symbol = m.symbol AND n.i = m.i + 1)
+SELECT symbol, ingest_ordinal, kept FROM memory WHERE i > 0"""
+
+
+@query("d4_newest_500_keys", q.w(q.RESENT, FIFO_TICKS).replace("WITH ", "WITH RECURSIVE ", 1) + FIFO_SQL)
+def d4_newest_500_keys(spark, sf_dir):
+    """Polled ticks against the newest 500 keys of their symbol, first in first out: copies that come soon
+    are dropped, and those that come after 500 other keys are not."""
+    ingest.streaming_session(spark)
+    ticks = derived.event_ticks(spark, sf_dir, resent=True).withColumn("seq", F.lit(None).cast("long"))
+    later = {
+        "push_type": F.lit("poll"),
+        "recv_ts_ms": F.col("recv_ts_ms") + 864_000_000,
+        "ingest_ordinal": F.col("ingest_ordinal") + 100_000_000,
+    }
+    ticks = ticks.unionByName(ticks.where("(ingest_ordinal div 2) % 9 = 0").withColumns(later))
+    stream = _landed(spark, ticks, "landing", "recv_ts_ms", parts=4)
+    kept = _collected(spark, ingest.drop_remembered(stream), "kept").select("ingest_ordinal", F.lit(True).alias("kept"))
+    return ticks.join(kept, "ingest_ordinal", "left").select(
+        "symbol", "ingest_ordinal", F.coalesce("kept", F.lit(False)).alias("kept")
+    )
+
+
+@query(
+    "i1_rows_per_batch",
+    q.w(q.EV) + """SELECT least(500, n - 500 * i)::BIGINT AS rows, count(*) AS batches
+FROM (SELECT count(*) AS n FROM ev), range(1000) r(i) WHERE 500 * i < n GROUP BY 1""",
+)
+def i1_rows_per_batch(spark, sf_dir):
+    """Batches of a load that is bounded by 500 rows, broken off once and taken up again."""
+    ingest.streaming_session(spark)
+    landing, check = shared_folder(spark, "landing"), shared_folder(spark, "checkpoint")
+    ticks = derived.event_ticks(spark, sf_dir)
+    ticks.repartitionByRange("recv_ts_ms").sortWithinPartitions("recv_ts_ms").write.parquet(landing)
+    out = shared_folder(spark, "rows")
+
+    def loaded(batch, epoch):
+        if epoch == 3 and not path_exists(spark, f"{out}/epoch=3"):
+            batch.limit(7).select("ingest_ordinal").write.parquet(f"{out}/epoch=3")
+            raise RuntimeError("lost after a part was written")
+        batch.select("ingest_ordinal").write.mode("overwrite").parquet(f"{out}/epoch={epoch}")
+
+    for run in range(2):
+        rows = stream_rows(spark, landing, ticks.schema, f"{check}/ledger", max_rows=500)
+        running = rows.writeStream.foreachBatch(loaded).option("checkpointLocation", f"{check}/query").start()
+        try:
+            running.processAllAvailable()
+        except StreamingQueryException:
+            if run:
+                raise
+        finally:
+            running.stop()
+    found = spark.read.parquet(out)
+    sizes = found.groupBy("epoch").agg(F.countDistinct("ingest_ordinal").alias("rows"))
+    return sizes.groupBy("rows").agg(F.count(F.lit(1)).alias("batches"))

@@ -20,23 +20,37 @@ from ..operators.folds import (
     named_alerts,
 )
 from ..params import HealthParams
+from .closing import Closing, on_event_time
 
 
 class FoldProcessor(StatefulProcessor):
     """Orders a key's rows of the micro-batch by time and feeds them to the fold.
 
     ``ttl_ms`` drops keys that have been idle, for keys that carry a day. It runs on processing time,
-    which keeps a query busy, so it is for continuous triggers only.
+    which keeps a query busy, so it is for continuous triggers only. With ``closing`` the state of a key
+    goes once the watermark has passed the time from which the fold says that it is as good as new
+    (``until``), or, where the fold says nothing, ``keep_ms`` after its last row.
     """
 
-    def __init__(self, fold, time: str, ties: Sequence[str], columns, ttl_ms: int | None = None):
+    def __init__(
+        self, fold, time: str, ties: Sequence[str], columns, ttl_ms: int | None = None,
+        closing: bool = False, keep_ms: int | None = None,
+    ):
         self.fold = fold
         self.order = [time, *ties]
         self.columns = list(columns)
         self.ttl_ms = ttl_ms
+        self.closing = closing
+        self.keep_ms = keep_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("fold", "body string", ttlDurationMs=self.ttl_ms)
+        self.state = handle.getValueState("fold", "body string, until long", ttlDurationMs=self.ttl_ms)
+        self.timer = Closing(handle)
+
+    def _until(self, state: dict, last: int) -> int | None:
+        if hasattr(self.fold, "until"):
+            return self.fold.until(state)
+        return None if self.keep_ms is None else last + self.keep_ms
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         stored = self.state.get() if self.state.exists() else None
@@ -48,10 +62,19 @@ class FoldProcessor(StatefulProcessor):
             self.fold.step(state, int(at), tuple(_none(v) for v in row))
             for at, row in zip(pdf[self.order[0]], args)
         ]
-        self.state.update((json.dumps(state),))
+        until = self._until(state, int(pdf[self.order[0]].iloc[-1])) if self.closing else None
+        if self.closing:
+            self.timer.move(stored[1] if stored else None, until)
+        self.state.update((json.dumps(state), until))
+        yield pd.concat([pdf[self.columns], self._results(outs, pdf.index)], axis=1)
+
+    def _results(self, outs: list, index) -> pd.DataFrame:
         names = [part.split()[0] for part in self.fold.result.split(",")]
-        extra = pd.DataFrame(outs, columns=names, index=pdf.index)
-        yield pd.concat([pdf[self.columns], extra], axis=1)
+        return pd.DataFrame(outs, columns=names, index=index)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.state.clear()
+        yield pd.DataFrame(columns=[*self.columns, *self._results([], None).columns])
 
     def close(self) -> None:
         pass
@@ -64,14 +87,19 @@ def stream_fold(
     time: str,
     ties: Sequence[str] = (),
     ttl_ms: int | None = None,
+    late_ms: int | None = None,
+    keep_ms: int | None = None,
 ) -> DataFrame:
+    """Run a fold over a stream. With ``late_ms`` the state of keys ends by a watermark on ``time`` that
+    trails it by so much; rows that are later than that are decided like any other."""
     base = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
-    processor = FoldProcessor(fold, time, ties, df.columns, ttl_ms)
+    closing = late_ms is not None
+    if closing:
+        df = on_event_time(df, time, late_ms)
+    processor = FoldProcessor(fold, time, ties, df.columns, ttl_ms, closing, keep_ms)
+    mode = "EventTime" if closing else "None" if ttl_ms is None else "ProcessingTime"
     return df.groupBy(*keys).transformWithStateInPandas(
-        processor,
-        f"{base}, {fold.result}",
-        outputMode="Append",
-        timeMode="None" if ttl_ms is None else "ProcessingTime",
+        processor, f"{base}, {fold.result}", outputMode="Append", timeMode=mode
     )
 
 
@@ -95,14 +123,21 @@ def stream_admissions(
     limit: int,
     window_sec: float = 60.0,
     ties: Sequence[str] = (),
+    late_ms: int | None = None,
 ) -> DataFrame:
-    return stream_fold(requests, AdmissionFold(limit, window_sec), keys, time, ties)
+    return stream_fold(requests, AdmissionFold(limit, window_sec), keys, time, ties, late_ms=late_ms)
 
 
-def stream_cooldown(events: DataFrame, ttl_ms: int | None = None) -> DataFrame:
-    """Events kept by their cooldown. Keys name their day: a continuous query should pass a
-    ``ttl_ms`` of two days, so that the state of past days goes."""
+#: Two days: keys of events name their day.
+EVENT_KEY_MS = 172_800_000
+
+
+def stream_cooldown(
+    events: DataFrame, ttl_ms: int | None = None, late_ms: int | None = None
+) -> DataFrame:
+    """Events kept by their cooldown. Keys name their day: a continuous query should pass ``late_ms``, so
+    that the state of past days goes by event time, or a ``ttl_ms`` of two days."""
     decided = stream_fold(
-        events, CooldownFold(), ["dedup_key"], "ts_ms", ["event_type"], ttl_ms
+        events, CooldownFold(), ["dedup_key"], "ts_ms", ["event_type"], ttl_ms, late_ms, EVENT_KEY_MS
     )
     return decided.where("kept").drop("kept")

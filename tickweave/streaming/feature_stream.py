@@ -118,6 +118,8 @@ class FeatureProcessor(StatefulProcessor):
                 state["late"] += int(closed.sum())
                 ticks = ticks[~closed]
         if not len(ticks):
+            if stored:
+                self.state.update((json.dumps(state),))
             return
         ticks = ticks.assign(_seq=ticks["seq"].fillna(-1), _volume=ticks["volume"].fillna(-1))
         ticks = ticks.sort_values(["ts_ms", "_seq", "price", "_volume"], kind="stable")

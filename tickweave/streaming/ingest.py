@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQueryListener
 
 from ..operators import dedupe
-from ..operators.folds import RepeatFold
+from ..operators.folds import RecentKeysFold, RepeatFold
 from ..params import QualityParams
 from ..session import ROCKSDB_PROVIDER, utc
 from ..sources.feed import with_ingest_ordinal
@@ -103,18 +103,30 @@ def load_gaps(
 
 
 def drop_recent_repeats(
-    ticks: DataFrame, horizon_ms: int = 600_000, ttl_ms: int | None = None
+    ticks: DataFrame, horizon_ms: int = 600_000, ttl_ms: int | None = None, late_ms: int | None = None
 ) -> DataFrame:
     """Drop seq-less ticks seen within ``horizon_ms`` of receive time; ticks with a seq pass. Missing
     parts of a key equal each other.
 
     A row that arrives out of order is compared like any other and never lost. A continuous query
-    should pass a ``ttl_ms`` above the horizon, so that the state of old keys goes.
+    should pass ``late_ms``, how far rows may trail the newest receive time: a key's state goes once no row
+    within the horizon can come.
     """
     seqless = F.col("seq").isNull()
     keys = ["symbol", "ts_ms", "price", "volume", "turnover"]
     decided = stream_fold(
-        ticks.where(seqless), RepeatFold(horizon_ms), keys, "recv_ts_ms", ttl_ms=ttl_ms
+        ticks.where(seqless), RepeatFold(horizon_ms), keys, "recv_ts_ms", ttl_ms=ttl_ms, late_ms=late_ms
+    )
+    return ticks.where(~seqless).unionByName(decided.where("kept").drop("kept"))
+
+
+def drop_remembered(ticks: DataFrame, limit: int = 500) -> DataFrame:
+    """Drop polled seq-less ticks whose key is among the newest ``limit`` of their symbol, in order of
+    receive time and ordinal within a micro-batch; all others pass. State is ``limit`` keys per symbol.
+    Missing parts of a key equal each other."""
+    seqless = F.col("seq").isNull()
+    decided = stream_fold(
+        ticks.where(seqless), RecentKeysFold(limit), ["symbol"], "recv_ts_ms", ["ingest_ordinal"]
     )
     return ticks.where(~seqless).unionByName(decided.where("kept").drop("kept"))
 
