@@ -36,7 +36,8 @@ from pyspark.sql import functions as F
 
 from . import words as W
 
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 12 << 20
+WALK_TOKENS = 1 << 16
 KEY_BITS = 56
 _START, _END = W.U64(0x5BD1E995A3C59AC3), W.U64(0x1F83D9ABFB41BD6B)
 _REQUEST = "chunk long, level int, shard int, keys binary, counts binary"
@@ -58,26 +59,10 @@ def unsqueezed(packed: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.reshape(8, -1).T).view("<u8").ravel()
 
 
-def _texts_packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each text compressed, for the one shuffle that texts take."""
-    squeeze = zstandard.ZstdCompressor(level=1).compress
-    for batch in batches:
-        for part in W.slices(batch, "text"):
-            data, offsets = W.buffers(part.column("text"))
-            raw, ends = data.tobytes(), offsets.tolist()
-            packed = pa.array([squeeze(raw[a:b]) for a, b in zip(ends, ends[1:])], pa.binary())
-            yield pa.record_batch(
-                [*(part.column(c) for c in ("chunk", "doc_id", "held_out")), packed],
-                names=["chunk", "doc_id", "held_out", "packed"],
-            )
-
-
 def _row_texts(documents: pa.StructArray) -> pa.RecordBatch:
-    """The documents of a chunk with their texts."""
-    expand = zstandard.ZstdDecompressor().decompress
-    texts = [expand(packed) for packed in documents.field("packed").to_pylist()]
-    columns = [documents.field("doc_id"), documents.field("held_out"), pa.array(texts, pa.large_binary())]
-    return pa.record_batch(columns, names=["doc_id", "held_out", "text"])
+    """The documents of a chunk."""
+    names = ["doc_id", "held_out", "text"]
+    return pa.record_batch([documents.field(name) for name in names], names=names)
 
 
 class Grams:
@@ -112,19 +97,11 @@ class Grams:
             keys, first, which = np.unique(short, return_index=True, return_inverse=True)
             self.keys.append(keys)
             self.counts.append(np.bincount(which, train[whole], len(keys)).astype(np.int64))
-            self.first.append(whole[first])
-            placed = np.full(len(token), -1)
+            self.first.append(whole[first].astype(np.int32))
+            placed = np.full(len(token), -1, dtype=np.int32)
             placed[whole] = which
             self.which.append(placed)
 
-    def cut(self, level: int, shards: int) -> tuple[np.ndarray, np.ndarray]:
-        """The shards that a level's keys lie in, and where each one's begin and the last ends."""
-        lead = self.keys[level] >> W.U64(KEY_BITS - 32)
-        shard = (lead * W.U64(shards) >> W.U64(32)).astype(np.int64)
-        edges = np.searchsorted(shard, np.arange(shards + 1))
-        used = np.flatnonzero(np.diff(edges))
-        return used, np.append(edges[used], len(shard))
-
 
 class Automaton:
     """The part of the automaton that some texts reach.
@@ -162,21 +139,21 @@ class Automaton:
         return np.log10(weight / (history + weight))
 
     def walk(self) -> np.ndarray:
-        """The log-probability of each text, by one walk from its first word to its end."""
-        which, at = self.grams.which, self.grams.at
-        arcs = [np.append(a, 1.0)[w].tolist() for a, w in zip(self.arcs, which)]  # -1: no such n-gram
-        failures = [None]
-        for level, weights in enumerate(self.failures):
-            before = np.roll(np.append(weights, 0.0)[which[level]], 1)
-            if level == 0:
-                before[at == 0] = self.start_failure
-            failures.append(before.tolist())
-        known, last = self.known[which[0]].tolist(), self.order - 1
+        """The log-probability of each text, by one walk from its first word to its end.
+
+        The walk takes some thousand words at a time, so that only they are held as Python numbers.
+        """
+        which, last = self.grams.which, self.order - 1
         begin_state = 1 if self.starts and last else 0
-        scores = np.zeros(len(self.grams.ends))
-        for text, (begin, end) in enumerate(zip(self.grams.begins.tolist(), self.grams.ends.tolist())):
-            state, score = begin_state, 0.0
-            for place in range(begin, end):
+        scores, ends = np.zeros(len(self.grams.ends)), self.grams.ends.tolist()
+        text, state, score = 0, begin_state, 0.0
+        for low in range(0, len(self.grams.at), WALK_TOKENS):
+            part = slice(low, low + WALK_TOKENS)
+            # -1: there is no such n-gram
+            arcs = [np.append(arc, 1.0)[own[part]].tolist() for arc, own in zip(self.arcs, which)]
+            failures = [[], *(self._failures(level, part).tolist() for level in range(last))]
+            known = self.known[which[0][part]].tolist()
+            for place in range(len(known)):
                 arc = arcs[state][place]
                 while arc > 0:
                     score += failures[state][place]
@@ -185,35 +162,75 @@ class Automaton:
                 score += arc
                 if state or known[place]:
                     state = min(state + 1, last)
-            scores[text] = score
+                if low + place + 1 == ends[text]:
+                    scores[text] = score
+                    text, state, score = text + 1, begin_state, 0.0
         return scores
 
+    def _failures(self, level: int, part: slice) -> np.ndarray:
+        """Weights of the failure arcs of the states that the words of a part are read in."""
+        low = part.start
+        before = self.grams.which[level][max(low - 1, 0) : part.stop - 1]
+        found = np.append(self.failures[level], 0.0)[before]
+        if low == 0:
+            found = np.concatenate([[0.0], found])
+        found = found[: len(self.grams.at[part])]
+        if level == 0:
+            found[self.grams.at[part] == 0] = self.start_failure
+        return found
+
 
 def _types(shards: int):
     """The distinct words of training texts with their counts, to shards."""
 
     def types(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pool, size = [], 0
         for batch in batches:
             batch = batch.filter(pc.invert(batch.column("held_out")))
             for part in W.slices(batch, "text", CHUNK_BYTES):
-                yield from _requests(Grams(part, 1), 0, shards)
+                grams = Grams(part, 1)
+                pool.append((grams.keys[0], grams.counts[0]))
+                size += len(pool[-1][0])
+                if size > 1 << 21:
+                    pool = [_summed(pool)]
+                    if len(pool[0][0]) > 1 << 20:
+                        yield from _requests(0, [pool[0][0]], [pool[0][1]], shards)
+                        pool = []
+                    size = sum(len(keys) for keys, _ in pool)
+        if pool:
+            keys, counts = _summed(pool)
+            yield from _requests(0, [keys], [counts], shards)
 
     return types
 
 
-def _requests(grams: Grams, chunk: int, shards: int) -> Iterator[pa.RecordBatch]:
-    for level in range(len(grams.keys)):
-        used, edges = grams.cut(level, shards)
+def _summed(pool: list) -> tuple[np.ndarray, np.ndarray]:
+    keys, which = np.unique(np.concatenate([keys for keys, _ in pool]), return_inverse=True)
+    counts = np.concatenate([counts for _, counts in pool])
+    return keys, np.bincount(which, counts, len(keys)).astype(np.int64)
+
+
+def cut(keys: np.ndarray, shards: int) -> tuple[np.ndarray, np.ndarray]:
+    """The shards that ascending keys lie in, and where each one's begin and the last ends."""
+    lead = keys >> W.U64(KEY_BITS - 32)
+    shard = (lead * W.U64(shards) >> W.U64(32)).astype(np.int64)
+    edges = np.searchsorted(shard, np.arange(shards + 1))
+    used = np.flatnonzero(np.diff(edges))
+    return used, np.append(edges[used], len(shard))
+
+
+def _requests(chunk: int, keys: list, counts: list, shards: int) -> Iterator[pa.RecordBatch]:
+    """A row per level and shard of some n-grams with their counts."""
+    for level, (own, numbers) in enumerate(zip(keys, counts)):
+        used, edges = cut(own, shards)
         parts = [slice(a, b) for a, b in zip(edges, edges[1:])]
-        keys = [squeezed(np.diff(grams.keys[level][p], prepend=W.U64(0))) for p in parts]
-        counts = [squeezed(grams.counts[level][p]) for p in parts]
         yield pa.record_batch(
             {
                 "chunk": pa.array(np.full(len(used), chunk), pa.int64()),
                 "level": pa.array(np.full(len(used), level), pa.int32()),
                 "shard": pa.array(used, pa.int32()),
-                "keys": pa.array(keys, pa.binary()),
-                "counts": pa.array(counts, pa.binary()),
+                "keys": pa.array([squeezed(np.diff(own[p], prepend=W.U64(0))) for p in parts], pa.binary()),
+                "counts": pa.array([squeezed(numbers[p]) for p in parts], pa.binary()),
             }
         )
 
@@ -223,7 +240,7 @@ def _request(order: int, shards: int):
         for batch in batches:
             for row in range(batch.num_rows):
                 grams = Grams(_row_texts(batch.column("documents")[row].values), order)
-                yield from _requests(grams, batch.column("chunk")[row].as_py(), shards)
+                yield from _requests(batch.column("chunk")[row].as_py(), grams.keys, grams.counts, shards)
 
     return request
 
@@ -333,12 +350,11 @@ def score(
     words = rows.select("held_out", "text").mapInArrow(_types(chunks), _REQUEST)
     root = dealt(words).mapInArrow(_sizes, "n_types long, n_tokens long")
     root = root.agg(F.sum("n_tokens"), F.sum("n_types")).first()
-    chunk = F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).alias("chunk")
-    packed = rows.select(chunk, "doc_id", "held_out", "text").mapInArrow(
-        _texts_packed, "chunk long, doc_id long, held_out boolean, packed binary"
-    )
-    bundles = packed.repartition(chunks, "chunk").groupBy("chunk").agg(
-        F.collect_list(F.struct("doc_id", "held_out", "packed")).alias("documents")
+    # never null, so that the join below filters neither use of the bundles
+    chunk = F.coalesce(F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)), F.lit(0)).alias("chunk")
+    # texts are shuffled once: both uses of the bundles read the same exchange
+    bundles = rows.select(chunk, "doc_id", "held_out", "text").repartition(chunks, "chunk").groupBy("chunk").agg(
+        F.collect_list(F.struct("doc_id", "held_out", "text")).alias("documents")
     )
     requests = bundles.mapInArrow(_request(order, chunks), _REQUEST)
     answers = dealt(requests).mapInArrow(_answer, _ANSWER).repartition(chunks, "chunk").groupBy("chunk").agg(
