@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from . import words as W
 
-CHUNK_BYTES = 12 << 20
+CHUNK_BYTES = 10 << 20
 WALK_TOKENS = 1 << 16
 KEY_BITS = 56
 _START, _END = W.U64(0x5BD1E995A3C59AC3), W.U64(0x1F83D9ABFB41BD6B)
@@ -81,8 +81,9 @@ class Grams:
         is_word = np.ones(len(token), dtype=bool)
         is_word[self.ends - 1] = False
         token[is_word] = words
-        self.owner = np.repeat(np.arange(len(size)), size)
-        self.at = np.arange(len(token)) - self.begins[self.owner]  # before it in its text
+        del hashes, words, is_word
+        self.owner = np.repeat(np.arange(len(size), dtype=np.int32), size)
+        self.at = (np.arange(len(token)) - self.begins[self.owner]).astype(np.int32)  # before it in its text
         held = batch.column("held_out").to_numpy(zero_copy_only=False).astype(bool)
         train = ~held[self.owner]
         self.keys, self.counts, self.first, self.which = [], [], [], []
@@ -96,7 +97,7 @@ class Grams:
             short = key[whole] >> W.U64(64 - KEY_BITS)
             keys, first, which = np.unique(short, return_index=True, return_inverse=True)
             self.keys.append(keys)
-            self.counts.append(np.bincount(which, train[whole], len(keys)).astype(np.int64))
+            self.counts.append(np.bincount(which, train[whole], len(keys)).astype(np.int32))
             self.first.append(whole[first].astype(np.int32))
             placed = np.full(len(token), -1, dtype=np.int32)
             placed[whole] = which
@@ -129,6 +130,7 @@ class Automaton:
             chance = (count + weight * shorter) / (history + weight)
             self.arcs.append(np.where(seen, np.log10(chance), 1.0))  # 1: there is no such arc
             self.failures.append(self._failure(totals[level - 1], strength, growth))
+            grams.first[level] = None
         self.start_failure = float(self._failure(np.array([starts]), strength, growth)[0])
         self.known = totals[0] > 0
 
@@ -300,9 +302,13 @@ def _scorer(order: int, tokens: int, types: int, strength: float, growth: float)
             zip(*(answers.field(c).to_pylist() for c in ("level", "shard", "extra"))), key=lambda part: part[:2]
         )
         totals = []
-        for level, counts in enumerate(grams.counts):
+        grams.keys.clear()
+        for level in range(order):
             extra = [unsqueezed(packed).view(np.int64) for own, _, packed in parts if own == level]
-            totals.append(counts + np.concatenate([np.zeros(0, np.int64), *extra]))
+            totals.append(np.concatenate([np.zeros(0, np.int64), *extra]))
+            totals[level] += grams.counts[level]
+            grams.counts[level] = None
+        del parts
         automaton = Automaton(grams, totals, tokens, types, strength, growth)
         texts, first = batch.num_rows, grams.which[0]
         return pa.record_batch(
