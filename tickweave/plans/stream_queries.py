@@ -92,16 +92,18 @@ def i2_stream_load(spark, sf_dir):
 FROM ev GROUP BY 1""",
 )
 def i2_replayed_batch(spark, sf_dir):
-    """A micro-batch loaded again under its epoch, after it was done and after it was only begun, adds
-    nothing, rows without an identity of their own included."""
+    """A micro-batch loaded again under its epoch, after it was done and after it was lost behind its write,
+    adds nothing, rows without an identity of their own included."""
     ticks = derived.event_ticks(spark, sf_dir)
-    store = TickStore(spark, shared_folder(spark, "store"))
+    root = shared_folder(spark, "store")
+    store = TickStore(spark, root)
     store.append_ticks(ticks.where("ingest_ordinal % 4 < 2"), load="a", epoch=0)
-    store.append_ticks(ticks.where("ingest_ordinal % 4 >= 2"), load="a", epoch=1)
+    try:
+        LostOnce(spark, root).append_ticks(ticks.where("ingest_ordinal % 4 >= 2"), load="a", epoch=1)
+    except Lost:
+        store.append_ticks(ticks.where("ingest_ordinal % 4 >= 2"), load="a", epoch=1)
     store.append_ticks(ticks.where("ingest_ordinal % 4 < 2"), load="a", epoch=0)
     store.append_ticks(ticks.where("ingest_ordinal % 4 >= 2"), load="a", epoch=1)
-    store._mark("b", 0, done=False)
-    store.append_ticks(ticks, load="b", epoch=0)
     return store.ticks().groupBy("trading_day").agg(
         F.count(F.lit(1)).alias("rows"),
         F.count("seq").alias("with_seq"),
@@ -109,6 +111,22 @@ def i2_replayed_batch(spark, sf_dir):
     )
 
 
+class Lost(RuntimeError):
+    """The driver's end between a write and its commit."""
+
+
+class LostOnce(TickStore):
+    """A store whose first batch ends behind the write of its ticks, before anything else is written."""
+
+    lost = False
+
+    def _raise_baseline(self, batch):
+        if not self.lost:
+            self.lost = True
+            raise Lost
+        super()._raise_baseline(batch)
+
+
 @query(
     "i2_compacted_days",
     q.w(q.EV)
@@ -415,3 +433,80 @@ def i1_rows_per_batch(spark, sf_dir):
     found = spark.read.parquet(out)
     sizes = found.groupBy("epoch").agg(F.countDistinct("ingest_ordinal").alias("rows"))
     return sizes.groupBy("rows").agg(F.count(F.lit(1)).alias("batches"))
+
+
+@query(
+    "i4_lost_between_write_and_commit",
+    q.w(q.EV)
+    + """SELECT trading_day, symbol, count(*) AS rows, count(seq) AS with_seq, sum(volume)::BIGINT AS volume,
+  max(seq) AS max_seq FROM ev GROUP BY 1, 2""",
+)
+def i4_lost_between_write_and_commit(spark, sf_dir):
+    """A stream whose driver is lost after a batch's ticks were written and before the batch was marked, and
+    again after it was marked and before Spark committed it: taken up from the checkpoint, the table and the
+    highest seqs hold every row once."""
+    ingest.streaming_session(spark)
+    ticks = derived.event_ticks(spark, sf_dir)
+    stream = _landed(spark, ticks, "landing", "recv_ts_ms")
+    store, check = LostOnce(spark, shared_folder(spark, "store")), shared_folder(spark, "checkpoint")
+    heard = []
+
+    def lost_after_commit(epoch, result):
+        heard.append(epoch)
+        if heard.count(1) == 1 and epoch == 1:
+            raise Lost
+
+    for _ in range(3):
+        running = ingest.load_ticks(stream, store, check, wait=None, observer=lost_after_commit)
+        try:
+            running.awaitTermination()
+        except StreamingQueryException:
+            pass
+    rows = store.ticks().groupBy("trading_day", "symbol").agg(
+        F.count(F.lit(1)).alias("rows"), F.count("seq").alias("with_seq"), F.sum("volume").alias("volume")
+    )
+    return rows.join(store.highest_seqs(), ["trading_day", "symbol"])
+
+
+@query(
+    "i15_persisted_seqs",
+    q.w(q.EV)
+    + """, newest AS (SELECT DISTINCT trading_day FROM ev ORDER BY 1 DESC LIMIT 3)
+SELECT symbol, max(seq) AS max_seq FROM ev WHERE trading_day IN (FROM newest) AND seq IS NOT NULL GROUP BY 1""",
+)
+def i15_persisted_seqs(spark, sf_dir):
+    """The highest seqs that a stream's batches raise as they are stored, after one of them was replayed."""
+    ingest.streaming_session(spark)
+    ticks = derived.event_ticks(spark, sf_dir)
+    stream = _landed(spark, ticks, "landing", "recv_ts_ms")
+    store, check = TickStore(spark, shared_folder(spark, "store")), shared_folder(spark, "checkpoint")
+    _finish(ingest.load_ticks(stream, store, check, wait=None))
+    store.append_ticks(ticks.where("ingest_ordinal % 2 = 0"), load=ingest.load_name(check), epoch=1)
+    store.append_ticks(ticks.limit(0))
+    store.drop_old_versions()
+    return store.persisted_seqs(recent=3)
+
+
+# four steps of six hours each day; what a step may collide with among the steps before
+LOOKED_AT_SQL = """, st AS (SELECT *, recv_ts_ms // 21600000 % 4 AS step FROM ev),
+kept AS (SELECT DISTINCT ON (trading_day, symbol, coalesce(seq::VARCHAR, concat_ws('|', ts_ms, price, volume, turnover, CASE WHEN price IS NULL THEN ingest_ordinal END))) *
+  FROM st ORDER BY step, recv_ts_ms, ingest_ordinal),
+r AS (SELECT step, trading_day, symbol, min(seq) AS low, max(seq) AS high,
+    min(ts_ms) FILTER (seq IS NULL) AS first, max(ts_ms) FILTER (seq IS NULL) AS last FROM st GROUP BY ALL)
+SELECT r.step, count(k.symbol) AS looked_at
+FROM r LEFT JOIN kept k ON k.step < r.step AND k.trading_day = r.trading_day AND k.symbol = r.symbol
+  AND (k.seq BETWEEN low AND high OR (k.seq IS NULL AND k.ts_ms BETWEEN first AND last))
+GROUP BY 1"""
+
+
+@query("i2_rows_looked_at", q.w(q.RESENT) + LOOKED_AT_SQL)
+def i2_rows_looked_at(spark, sf_dir):
+    """Stored rows that the loads of a day's four quarters compare themselves with: not those of the day."""
+    ticks = derived.event_ticks(spark, sf_dir, resent=True)
+    store = TickStore(spark, shared_folder(spark, "store"))
+    looked = []
+    for step in range(4):
+        batch = ticks.where(F.floor(F.col("recv_ts_ms") / 21_600_000) % 4 == step)
+        looked.append((step, store.colliding(batch).count()))
+        store.append_ticks(batch, load="quarters", epoch=step)
+    return spark.createDataFrame(looked, "step long, looked_at long")

@@ -60,6 +60,21 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     files.delete(place, True)
 
 
+def touch(spark: SparkSession, path: str) -> None:
+    """Create an empty file if there is none."""
+    place, files = _file_system(spark, path)
+    if not files.exists(place):
+        files.create(place).close()
+
+
+def listed(spark: SparkSession, path: str) -> dict[str, int]:
+    """The names in a folder with their modification times in milliseconds; nothing if it is absent."""
+    place, files = _file_system(spark, path)
+    if not files.exists(place):
+        return {}
+    return {x.getPath().getName(): x.getModificationTime() for x in files.listStatus(place)}
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new folder below the cluster's ``spark.checkpoint.dir``.
 

@@ -1,7 +1,13 @@
 """Day-partitioned Parquet tables: ticks, gaps, daily quality, manifest.
 
-Loads are idempotent on the row keys, and a named load marks its batches, so a load repeated after a lost
-executor, a failed job or a replayed micro-batch adds nothing. One writer per table is assumed.
+Loads are idempotent on the row keys, and every load marks its batches, so a load repeated after a lost
+executor, a failed job or a replayed micro-batch adds nothing. A mark is an empty file of its own, never
+replaced. One writer per table is assumed.
+
+An insert-or-ignore looks only at stored rows that a batch can collide with: the range of seqs, and of times
+of seq-less rows, of each of its symbols is pushed down to the files' statistics, so what a micro-batch reads
+follows from the batch and not from the day. The highest seq per day and symbol is a table of its own, raised
+by each batch, in versions of which the last published one counts.
 """
 
 from __future__ import annotations
@@ -16,9 +22,13 @@ from pyspark.sql import types as T
 
 from ..operators import dedupe
 from ..schema import DAILY_QUALITY, GAPS, MANIFEST, TICKS, conform, empty
-from ..session import delete_folder, path_exists
+from ..session import delete_folder, listed, path_exists, touch
 
-LOADS = "load string, epoch bigint, done boolean"
+#: A batch of more days and symbols than this is bounded by one range for all of them.
+MOST_RANGES = 256
+#: Batches of a load whose marks are kept, and versions of a day's highest seqs.
+KEPT_MARKS = 8
+BASELINE = "trading_day string, version bigint, symbol string, max_seq bigint"
 ROWS_PER_FILE = 4_000_000  # keeps files near 100 MB, so a checksum task can hold one
 
 
@@ -83,6 +93,10 @@ class TickStore:
     def quality_path(self) -> str:
         return f"{self.root}/daily_quality"
 
+    @property
+    def baseline_path(self) -> str:
+        return f"{self.root}/baseline"
+
     @property
     def manifest_path(self) -> str:
         return f"{self.root}/manifest"
@@ -114,6 +128,27 @@ class TickStore:
         days = batch.select("trading_day").distinct()
         return table.join(days, "trading_day", "left_semi")
 
+    def colliding(self, batch: DataFrame) -> DataFrame:
+        """Stored ticks whose key a row of the batch may have: within the seqs and times that the batch has
+        for their day and symbol. Files and pages beyond them are not read."""
+        rows = batch.where(dedupe.storable(batch))
+        alone = F.when(F.col("seq").isNull(), F.col("ts_ms"))
+        ranges = [F.min("seq").alias("low"), F.max("seq").alias("high"), F.min(alone).alias("first"), F.max(alone).alias("last")]
+        found = rows.groupBy("trading_day", "symbol").agg(*ranges).limit(MOST_RANGES + 1).collect()
+        if len(found) > MOST_RANGES:
+            found = [dict(trading_day=None, symbol=None, **rows.agg(*ranges).first().asDict())]
+        near = F.lit(False)
+        for r in found:
+            within = F.lit(False)
+            if r["low"] is not None:
+                within = within | F.col("seq").between(r["low"], r["high"])
+            if r["first"] is not None:
+                within = within | (F.col("seq").isNull() & F.col("ts_ms").between(r["first"], r["last"]))
+            if r["symbol"] is not None:
+                within = (F.col("trading_day") == r["trading_day"]) & (F.col("symbol") == r["symbol"]) & within
+            near = near | within
+        return self._stored(self.ticks().where(near), batch)
+
     def append_ticks(
         self,
         batch: DataFrame,
@@ -127,45 +162,122 @@ class TickStore:
         marked as done adds nothing, and one that was begun is compared row by row, so that rows which
         equal no other are not added twice.
         """
-        state = self._begin(load, epoch) if load is not None else "new"
+        load, epoch = (load, epoch) if load is not None else ("unnamed", self._next_epoch("unnamed"))
+        state, since = self._begin(load, epoch)
         if state == "done":
             return LoadResult(batch.count(), 0)
         if self.has_ticks():
-            stored = self._stored(self.ticks(), batch)
-            fresh = dedupe.new_ticks(batch, stored, arrival)
+            fresh = dedupe.new_ticks(batch, self.colliding(batch), arrival)
             if state == "begun":
-                fresh = dedupe.without_copies(fresh, stored)
+                fresh = dedupe.without_copies(fresh, self._written_since(since, batch))
         else:
             fresh = dedupe.dedupe_ticks(batch, arrival)
         written = Observation()
         fresh = conform(fresh, TICKS).observe(written, F.count(F.lit(1)).alias("n"))
         write_days(fresh, self.ticks_path, sort=("symbol", "ts_ms"))
-        if load is not None:
-            self._mark(load, epoch, done=True)
+        self._raise_baseline(batch)
+        self._mark(load, epoch, "done")
         try:
             inserted = written.get["n"]
         except Py4JJavaError:  # a plan found to be empty while it ran was dropped, and its count too
             inserted = 0
         return LoadResult(batch.count(), inserted)
 
-    def _mark(self, load: str, epoch: int, done: bool) -> None:
-        """The newest batch of a load, one row that is replaced."""
-        row = self.spark.createDataFrame([(load, epoch, done)], LOADS).coalesce(1)
-        row.write.mode("overwrite").parquet(f"{self.root}/loads/{load}/{'done' if done else 'begun'}")
-
-    def _begin(self, load: str, epoch: int) -> str:
-        """``done``, ``begun`` or ``new``; marks the batch as begun."""
-        marks = {}
-        for kind in ("done", "begun"):
-            found = _found(self.spark, f"{self.root}/loads/{load}/{kind}", LOADS)
-            row = None if found is None else found.first()
-            marks[kind] = -1 if row is None else row["epoch"]
-        if epoch <= marks["done"]:
-            return "done"
-        if epoch == marks["begun"]:
-            return "begun"
-        self._mark(load, epoch, done=False)
-        return "new"
+    def _written_since(self, since: int, batch: DataFrame) -> DataFrame:
+        """Rows of files written since a mark, of the batch's days."""
+        rows = self.ticks().withColumn("_at", F.unix_millis("_metadata.file_modification_time"))
+        return self._stored(rows.where(F.col("_at") >= since).drop("_at"), batch)
+
+    def _mark(self, load: str, epoch: int, kind: str) -> None:
+        """A mark of a batch; those of batches long done go."""
+        folder = f"{self.root}/loads/{load}"
+        touch(self.spark, f"{folder}/{epoch:019d}.{kind}")
+        if kind == "done":
+            for name in listed(self.spark, folder):
+                if int(name.partition(".")[0]) <= epoch - KEPT_MARKS:
+                    delete_folder(self.spark, f"{folder}/{name}")
+
+    def _marks(self, load: str) -> dict[str, dict[int, int]]:
+        """Epochs of a load's marks with their times, by kind."""
+        marks: dict[str, dict[int, int]] = {"begun": {}, "done": {}}
+        for name, at in listed(self.spark, f"{self.root}/loads/{load}").items():
+            epoch, _, kind = name.partition(".")
+            marks[kind][int(epoch)] = at
+        return marks
+
+    def _next_epoch(self, load: str) -> int:
+        marks = self._marks(load)
+        return max([-1, *marks["begun"], *marks["done"]]) + 1
+
+    def _begin(self, load: str, epoch: int) -> tuple[str, int]:
+        """``done``, ``begun`` or ``new``, and when the batch was begun; marks it as begun."""
+        marks = self._marks(load)
+        if epoch <= max(marks["done"], default=-1):
+            return "done", 0
+        if epoch in marks["begun"]:
+            return "begun", marks["begun"][epoch]
+        self._mark(load, epoch, "begun")
+        return "new", 0
+
+    def unfinished(self) -> bool:
+        """Whether some load ended within a batch that has not been repeated."""
+        for load in listed(self.spark, f"{self.root}/loads"):
+            marks = self._marks(load)
+            if max(marks["begun"], default=-1) > max(marks["done"], default=-1):
+                return True
+        return False
+
+    def _published(self) -> int:
+        names = listed(self.spark, f"{self.root}/baseline_versions")
+        return max((int(name) for name in names), default=-1)
+
+    def _versions(self, rows: DataFrame, upto: int) -> DataFrame:
+        """Each day's newest published highest seqs."""
+        rows = rows.where(F.col("version") <= upto)
+        newest = rows.groupBy("trading_day").agg(F.max("version").alias("version"))
+        rows = rows.join(newest, ["trading_day", "version"], "left_semi")
+        # a version that was written in part before a failure is written again beside that part
+        return rows.groupBy("trading_day", "symbol").agg(F.max("max_seq").alias("max_seq"))
+
+    def _raise_baseline(self, batch: DataFrame) -> None:
+        """Raise the highest seq per day and symbol by a batch; only its days get a new version."""
+        version = self._published()
+        raised = batch.where(dedupe.storable(batch)).groupBy("trading_day", "symbol").agg(
+            F.max("seq").alias("max_seq")
+        )
+        stored = _found(self.spark, self.baseline_path, BASELINE)
+        if stored is not None:
+            before = self._stored(self._versions(stored, version), raised)
+            raised = raised.unionByName(before).groupBy("trading_day", "symbol").agg(F.max("max_seq").alias("max_seq"))
+        out = raised.withColumn("version", F.lit(version + 1)).hint("rebalance", "trading_day")
+        out.write.mode("append").partitionBy("trading_day", "version").parquet(self.baseline_path)
+        touch(self.spark, f"{self.root}/baseline_versions/{version + 1:019d}")
+        for name in listed(self.spark, f"{self.root}/baseline_versions"):
+            if int(name) <= version + 1 - KEPT_MARKS:
+                delete_folder(self.spark, f"{self.root}/baseline_versions/{name}")
+
+    def highest_seqs(self, days: Sequence[str] | None = None) -> DataFrame:
+        """``trading_day, symbol, max_seq`` as the loads maintain it; NULL where no tick has a seq. After a
+        load that ended within a batch it is taken from the ticks, until the batch is repeated."""
+        stored = None if self.unfinished() else _found(self.spark, self.baseline_path, BASELINE)
+        if stored is None:
+            return self.ticks(days).groupBy("trading_day", "symbol").agg(F.max("seq").alias("max_seq"))
+        return self._versions(self._days(stored, days), self._published())
+
+    def persisted_seqs(self, recent: int = 3) -> DataFrame:
+        """The highest stored seq per symbol over the newest days, from the maintained table."""
+        from ..operators.stats import recent_max_seq
+
+        return recent_max_seq(self.highest_seqs().withColumnRenamed("max_seq", "seq"), None, recent=recent)
+
+    def drop_old_versions(self) -> None:
+        """Delete versions of the highest seqs that a newer published one of their day replaces."""
+        upto = self._published()
+        for day in listed(self.spark, self.baseline_path):
+            found = [n for n in listed(self.spark, f"{self.baseline_path}/{day}") if n.startswith("version=")]
+            numbers = sorted(int(n.partition("=")[2]) for n in found)
+            for number in [n for n in numbers if n <= upto][:-2]:
+                delete_folder(self.spark, f"{self.baseline_path}/{day}/version={number}")
 
     def compact_days(self, days: Sequence[str]) -> None:
         """Rewrite the many small files of streamed days as few. Rows are copied aside first, so a run

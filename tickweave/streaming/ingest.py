@@ -37,6 +37,11 @@ def paced(writer: DataStreamWriter, wait: str | None) -> DataStreamWriter:
     return writer.trigger(availableNow=True) if wait is None else writer.trigger(processingTime=wait)
 
 
+def load_name(checkpoint: str) -> str:
+    """The name that the batches of a checkpoint are marked by."""
+    return hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
+
+
 def load_ticks(
     ticks: DataFrame,
     store: TickStore,
@@ -52,7 +57,7 @@ def load_ticks(
     are dropped first. ``observer`` hears the counts of each committed batch.
     """
 
-    load_id = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
+    load_id = load_name(checkpoint)
 
     def load(batch: DataFrame, epoch: int) -> None:
         if "ingest_ordinal" not in batch.columns:
@@ -63,6 +68,8 @@ def load_ticks(
             if poll_baseline_days is not None:
                 rows = drop_old_polled(batch, store, poll_baseline_days)
             result = store.append_ticks(rows, load=load_id, epoch=epoch)
+            if epoch % 100 == 99:
+                store.drop_old_versions()
         finally:
             batch.unpersist()
         if observer is not None:
@@ -74,9 +81,7 @@ def load_ticks(
 
 def drop_old_polled(batch: DataFrame, store: TickStore, days: int) -> DataFrame:
     """Push and backfill rows as they are; polled rows only above what is stored already."""
-    from ..operators.stats import recent_max_seq
-
-    baseline = recent_max_seq(store.ticks(), None, recent=days)
+    baseline = store.persisted_seqs(days)
     polled = F.col("push_type") == "poll"
     flagged = dedupe.flag_polled(batch.where(polled), baseline)
     kept = flagged.where("outcome = 'kept'").drop("outcome")
