@@ -347,3 +347,37 @@ def test_files_are_sorted(store, make_ticks):
         table = pq.read_table(path, columns=["symbol", "ts_ms"]).to_pydict()
         pairs = list(zip(table["symbol"], table["ts_ms"]))
         assert pairs == sorted(pairs)
+
+
+def test_retention_opens_no_file_of_days_that_stay(store, make_ticks, spark):
+    """Files of the newest days are spoilt: whoever opened one would fail."""
+    import glob
+
+    days = ["20260213", "20260216", "20260217", "20260218"]
+    for day in days:
+        store.append_ticks(make_ticks([tick("A", day, hk_ms(day, "10:00:00") + i, i) for i in range(4)]))
+    root = shared_folder(spark, "archive")
+    archive.archive_days(store, root, QualityParams(), T0)
+    store.append_ticks(make_ticks([tick("A", days[1], hk_ms(days[1], "11:00:00"), 77)]))
+    for day in days[2:]:
+        for path in glob.glob(f"{store.ticks_path}/trading_day={day}/*.parquet"):
+            with open(path, "wb") as file:
+                file.write(b"spoilt")
+    assert [r[0] for r in archive.expired_stored_days(store, root, 2).collect()] == [days[0]]
+
+
+def test_day_prints_read_each_file_once(store, make_ticks, spark):
+    import glob
+
+    rows = [tick("A", D, T0 + i, i) for i in range(5)]
+    store.append_ticks(make_ticks(rows[:3]))
+    first = store.day_prints([D]).first()
+    assert (first["ticks_count"], first["max_ts_ms"]) == (3, T0 + 2)
+    for path in glob.glob(f"{store.ticks_path}/trading_day={D}/*.parquet"):
+        with open(path, "wb") as file:
+            file.write(b"spoilt")  # its figures are known
+    other = TickStore(spark, shared_folder(spark, "store"))
+    other.append_ticks(make_ticks(rows[3:]))
+    assert store.day_prints([D]).first() == first
+    assert other.day_prints([D]).first()["ticks_count"] == 2
+    assert store.day_prints(["20250101"]).count() == 0 and store.day_prints([]).count() == 0

@@ -2,23 +2,29 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..params import QualityParams
-from ..schema import CHECKSUMS, MANIFEST, TICK_COLUMNS, TICKS, conform
+from ..schema import CHECKSUMS, MANIFEST, TICKS, conform
 from ..session import delete_folder
 
 
 def _fingerprint(ticks: DataFrame) -> DataFrame:
     """Per day: count, largest time, and an order-free sum of row hashes."""
-    return ticks.groupBy("trading_day").agg(
-        F.count(F.lit(1)).alias("ticks_count"),
-        F.max("ts_ms").alias("max_ts_ms"),
-        F.sum(F.xxhash64(*TICK_COLUMNS).cast("decimal(20,0)")).cast("string").alias("content_hash"),
-    )
+    from ..sources.store import row_sums
+
+    sums = row_sums(ticks, "trading_day")
+    return sums.withColumn("content_hash", F.col("row_hashes").cast("string")).drop("row_hashes")
+
+
+def archived_prints(spark: SparkSession, root: str, days: Sequence[str] | None = None) -> DataFrame:
+    """Fingerprints of archived days; each archived file is read once for them."""
+    from ..sources.store import file_sums
+
+    return file_sums(spark, f"{root}/ticks", f"{root}/file_prints", days)
 
 
 def archived_ticks(spark: SparkSession, root: str) -> DataFrame:
@@ -62,8 +68,11 @@ def verify_checksums(
 
 def verify(source: DataFrame, archived: DataFrame) -> DataFrame:
     """Archived days read back and compared with the source: count, largest time, row hashes."""
-    src = _fingerprint(source)
-    arc = _fingerprint(archived)
+    return compare_prints(_fingerprint(source), _fingerprint(archived))
+
+
+def compare_prints(src: DataFrame, arc: DataFrame) -> DataFrame:
+    """Fingerprints of archived days with ``verify_ok``: whether those of the source are the same."""
     want = src.select(
         "trading_day", *[F.col(c).alias(f"_{c}") for c in src.columns if c != "trading_day"]
     )
@@ -99,10 +108,8 @@ def archive_days(
     ticks = store.ticks(days)
     write_days(ticks, f"{root}/ticks", sort=("symbol", "ts_ms"), mode="overwrite", codec=codec)
     write_days(checksums(spark, root, days), f"{root}/checksums", sort=("file",), mode="overwrite")
-    copied = archived_ticks(spark, root)
-    if days is not None:
-        copied = copied.where(F.col("trading_day").isin(list(days)))
-    checked = verify(ticks, copied)
+    # the source's fingerprints are kept by the store, so the source is read for the copy and the report
+    checked = compare_prints(store.day_prints(days), archived_prints(spark, root, days))
     report = daily_report(ticks, store.gaps(days), params, now_ms)
     summary = report.select(
         "trading_day", "total_rows", "start_ts_ms", "end_ts_ms", "hard_gaps_total",
@@ -136,7 +143,7 @@ def verified_days(days: DataFrame, manifest: DataFrame) -> DataFrame:
     return days.join(manifest.where("verify_ok").select("trading_day"), "trading_day", "left_semi")
 
 
-def unchanged_days(ticks: DataFrame, manifest: DataFrame) -> DataFrame:
+def unchanged_days(prints: DataFrame, manifest: DataFrame) -> DataFrame:
     """Days whose stored rows are, now, those that were archived and verified: count, largest time and
     row hashes."""
     marks = ["ticks_count", "max_ts_ms", "content_hash"]
@@ -144,39 +151,60 @@ def unchanged_days(ticks: DataFrame, manifest: DataFrame) -> DataFrame:
     same = F.lit(True)
     for name in marks:
         same = same & F.col(name).eqNullSafe(F.col(f"_{name}"))
-    return _fingerprint(ticks).join(archived, "trading_day").where(same).select("trading_day")
+    return prints.join(archived, "trading_day").where(same).select("trading_day")
+
+
+def older_days(days: DataFrame, manifest: DataFrame, keep_days: int) -> list[str]:
+    """Names beyond the newest ``keep_days`` that are archived and verified; one name per day."""
+    days = days.select("trading_day").distinct().where(F.col("trading_day").rlike(r"^\d{8}$"))
+    rank = F.row_number().over(Window.orderBy(F.col("trading_day").desc()))
+    older = days.withColumn("_rank", rank).where(F.col("_rank") > max(0, keep_days)).drop("_rank")
+    return sorted(r[0] for r in verified_days(older, manifest).collect())
 
 
 def expired_days(
-    ticks: DataFrame, manifest: DataFrame, keep_days: int, root: str | None = None
+    ticks: DataFrame,
+    manifest: DataFrame,
+    keep_days: int,
+    root: str | None = None,
+    prints: Callable[[list[str]], DataFrame] | None = None,
 ) -> DataFrame:
     """Days beyond the newest ``keep_days`` that are archived as they are now. Selecting only; deleting
     is up to the caller.
 
     A day that got rows since its archive is not selected. With the archive's ``root``, every recorded
-    file of the day has to be there and to have its checksum.
+    file of the day has to be there and to have its checksum. Only days that may go are looked into:
+    ``prints`` gives their fingerprints (``TickStore.day_prints``, which reads new files only); without it
+    the ticks of those days are read.
     """
-    days = (
-        ticks.select("trading_day").distinct().where(F.col("trading_day").rlike(r"^\d{8}$"))
-    )
-    # one row per day
-    rank = F.row_number().over(Window.orderBy(F.col("trading_day").desc()))
-    older = days.withColumn("_rank", rank).where(F.col("_rank") > max(0, keep_days)).drop("_rank")
-    older = older.join(unchanged_days(ticks, manifest), "trading_day", "left_semi")
+    spark = ticks.sparkSession
+    names = older_days(ticks, manifest, keep_days)
+    found = prints(names) if prints else _fingerprint(ticks.where(F.col("trading_day").isin(names)))
+    older = unchanged_days(found, manifest).where(F.col("trading_day").isin(names))
     if root is None:
         return older
-    names = [r[0] for r in older.collect()]  # one per day, so that only their files are read
-    checked = verify_checksums(ticks.sparkSession, root, names).groupBy("trading_day")
+    checked = verify_checksums(spark, root, names).groupBy("trading_day")
     intact = checked.agg(F.bool_and("checksum_ok").alias("_ok")).where("_ok")
     return older.join(intact.select("trading_day"), "trading_day", "left_semi")
 
 
+def expired_stored_days(store, root: str, keep_days: int) -> DataFrame:
+    """``expired_days`` of a store from names and kept fingerprints: of the ticks, only files of days that
+    may go and that no fingerprint covers yet are read."""
+    from ..sources.store import day_files
+
+    names = day_files(store.spark, store.ticks_path).select(
+        F.regexp_extract("path", r"trading_day=([^/]+)", 1).alias("trading_day")
+    )
+    return expired_days(names, store.manifest(), keep_days, root, store.day_prints)
+
+
 def delete_expired(store, manifest: DataFrame, keep_days: int, root: str) -> list[str]:
     """Delete the day folders chosen by ``expired_days`` and name them. Opt-in: nothing else deletes.
 
     Only day names are brought to the driver; a day is one folder below the tick table.
     """
-    chosen = expired_days(store.ticks(), manifest, keep_days, root)
+    chosen = expired_days(store.ticks(), manifest, keep_days, root, store.day_prints)
     days = sorted(r[0] for r in chosen.collect())
     for day in days:
         delete_folder(store.spark, f"{store.ticks_path}/trading_day={day}")

@@ -82,7 +82,7 @@ def archive(
 ) -> tuple[DataFrame, DataFrame]:
     """The manifest, and the days that may be retired; nothing is deleted here."""
     manifest = archive_ops.archive_days(store, root, params, now_ms, days)
-    return manifest, archive_ops.expired_days(store.ticks(), manifest, keep_days, root)
+    return manifest, archive_ops.expired_days(store.ticks(), manifest, keep_days, root, store.day_prints)
 
 
 def logs(

@@ -9,7 +9,7 @@ from ..operators import archive, dedupe, export, gaps, quality, stats
 from ..schema import GAPS
 from ..session import shared_folder
 from ..sources import calendar, derived, feed
-from ..sources.store import TickStore
+from ..sources.store import TickStore, row_sums
 from . import sqltext as q
 from .catalog import query
 
@@ -269,6 +269,40 @@ def a14_retention_after_late_rows(spark, sf_dir):
     return archive.expired_days(store.ticks(), store.manifest(), keep_days=3, root=root)
 
 
+@query(
+    "a14_retention_from_fingerprints",
+    q.w(q.EV)
+    + """, n AS (SELECT trading_day, row_number() OVER (ORDER BY trading_day DESC) AS rn
+  FROM (SELECT DISTINCT trading_day FROM ev))
+SELECT trading_day FROM n WHERE rn > 5 AND trading_day::INTEGER % 3 <> 0""",
+)
+def a14_retention_from_fingerprints(spark, sf_dir):
+    """Retention by names and kept fingerprints, after some days got rows in new files."""
+    store, root = _archived(spark, sf_dir)
+    late = derived.event_ticks(spark, sf_dir).where("CAST(trading_day AS INT) % 3 = 0 AND seq IS NOT NULL")
+    store.append_ticks(late.withColumn("seq", F.col("seq") + 10_000_000))
+    return archive.expired_stored_days(store, root, keep_days=5)
+
+
+@query(
+    "a14_fingerprints_by_file",
+    q.w(q.EV) + "SELECT trading_day, count(*) AS ticks_count, max(ts_ms) AS max_ts_ms, TRUE AS same FROM ev GROUP BY 1",
+)
+def a14_fingerprints_by_file(spark, sf_dir):
+    """Fingerprints added up from files, of days that came in two goes and were rewritten in one file
+    between: equal to those of the rows."""
+    ticks = derived.event_ticks(spark, sf_dir)
+    store = TickStore(spark, shared_folder(spark, "store"))
+    store.append_ticks(ticks.where("ingest_ordinal % 4 = 0"))
+    store.day_prints()
+    days = sorted(r[0] for r in store.ticks().select("trading_day").distinct().collect())
+    store.compact_days(days[::2])
+    store.append_ticks(ticks.where("ingest_ordinal % 4 <> 0"))
+    whole = row_sums(store.ticks(), "trading_day").select("trading_day", F.col("row_hashes").cast("string").alias("whole"))
+    found = store.day_prints().join(whole, "trading_day")
+    return found.select("trading_day", "ticks_count", "max_ts_ms", (F.col("content_hash") == F.col("whole")).alias("same"))
+
+
 @query(
     "d8_verified_days",
     q.w(q.EV)

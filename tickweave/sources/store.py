@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import dedupe
-from ..schema import DAILY_QUALITY, GAPS, MANIFEST, TICKS, conform, empty
+from ..schema import DAILY_QUALITY, GAPS, MANIFEST, TICK_COLUMNS, TICKS, conform, empty
 from ..session import delete_folder, listed, path_exists, touch
 
 #: A batch of more days and symbols than this is bounded by one range for all of them.
@@ -29,6 +29,10 @@ MOST_RANGES = 256
 #: Batches of a load whose marks are kept, and versions of a day's highest seqs.
 KEPT_MARKS = 8
 BASELINE = "trading_day string, version bigint, symbol string, max_seq bigint"
+FILE_PRINTS = "trading_day string, file string, ticks_count bigint, max_ts_ms bigint, row_hashes decimal(38,0)"
+#: So many files are opened by name; more are found among those of their days.
+MOST_FILES = 500
+_FILE = r"(trading_day=[^/]+/[^/]+)$"
 ROWS_PER_FILE = 4_000_000  # keeps files near 100 MB, so a checksum task can hold one
 
 
@@ -97,6 +101,10 @@ class TickStore:
     def baseline_path(self) -> str:
         return f"{self.root}/baseline"
 
+    @property
+    def prints_path(self) -> str:
+        return f"{self.root}/file_prints"
+
     @property
     def manifest_path(self) -> str:
         return f"{self.root}/manifest"
@@ -279,6 +287,14 @@ class TickStore:
             for number in [n for n in numbers if n <= upto][:-2]:
                 delete_folder(self.spark, f"{self.baseline_path}/{day}/version={number}")
 
+    def day_prints(self, days: Sequence[str] | None = None) -> DataFrame:
+        """Per day: rows, largest time and the sum of row hashes, added up from a table of the day's files.
+
+        A file never changes, so each is read once for this, whoever asks first; files that went since
+        do not count. What is listed are names, of these days only.
+        """
+        return file_sums(self.spark, self.ticks_path, self.prints_path, days)
+
     def compact_days(self, days: Sequence[str]) -> None:
         """Rewrite the many small files of streamed days as few. Rows are copied aside first, so a run
         that fails can be repeated; no load may write to these days meanwhile."""
@@ -335,6 +351,45 @@ def day_files(spark: SparkSession, path: str, days: Sequence[str] | None = None)
     return spark.createDataFrame([], nothing)
 
 
+def row_sums(ticks: DataFrame, *keys: str) -> DataFrame:
+    """Rows, largest time and an order-free sum of row hashes per key; sums of parts add up."""
+    return ticks.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("ticks_count"),
+        F.max("ts_ms").alias("max_ts_ms"),
+        F.sum(F.xxhash64(*TICK_COLUMNS).cast("decimal(20,0)")).cast("decimal(38,0)").alias("row_hashes"),
+    )
+
+
+def file_sums(spark: SparkSession, path: str, kept: str, days: Sequence[str] | None = None) -> DataFrame:
+    """``row_sums`` per day of a tick table, from the sums per file kept in the table ``kept``. Files that it
+    lacks are read, and added to it."""
+    files = day_files(spark, path, days).select(F.regexp_extract("path", _FILE, 1).alias("file"))
+    prints = _found(spark, kept, FILE_PRINTS)
+    known = files.limit(0) if prints is None else prints.select("file")
+    fresh = files.join(known, "file", "left_anti")
+    names = [r["file"] for r in fresh.limit(MOST_FILES + 1).collect()]
+    if names:
+        if len(names) <= MOST_FILES:
+            rows = spark.read.schema(TICKS).option("basePath", path).parquet(*[f"{path}/{name}" for name in names])
+        else:
+            rows = read_table(spark, path, TICKS)
+            rows = rows if days is None else rows.where(F.col("trading_day").isin(list(days)))
+        rows = rows.withColumn("file", F.regexp_extract(F.col("_metadata.file_path"), _FILE, 1))
+        if len(names) > MOST_FILES:
+            rows = rows.join(fresh, "file", "left_semi")
+        row_sums(rows, "trading_day", "file").coalesce(1).write.mode("append").parquet(kept)
+        prints = _found(spark, kept, FILE_PRINTS)
+    if prints is None:
+        prints = spark.createDataFrame([], FILE_PRINTS)
+    # two writers may both have added a file
+    each = prints.join(files, "file", "left_semi").dropDuplicates(["file"])
+    return each.groupBy("trading_day").agg(
+        F.sum("ticks_count").alias("ticks_count"),
+        F.max("max_ts_ms").alias("max_ts_ms"),
+        F.sum("row_hashes").cast("string").alias("content_hash"),
+    )
+
+
 def footprint(spark: SparkSession, path: str, days: Sequence[str] | None = None) -> DataFrame:
     """Files and bytes per trading day, from a file listing; no file content is read."""
     files = day_files(spark, path, days).select("path", "length")
