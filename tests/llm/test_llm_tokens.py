@@ -73,6 +73,33 @@ def test_code_lengths_are_limited_and_best():
         huffman.code_lengths(np.ones(20), 4)
 
 
+@pytest.mark.parametrize("limit", [16, 17, 18, 20, 24, 28])
+def test_long_codes_come_back(limit):
+    """Counts that grow like Fibonacci numbers have codes as long as the limit allows."""
+    counts = np.ones(limit + 3, dtype=np.int64)
+    for i in range(2, len(counts)):
+        counts[i] = counts[i - 1] + counts[i - 2]
+    book = huffman.Codebook(huffman.code_lengths(counts, limit))
+    assert book.bits == limit
+    source = np.random.default_rng(limit)
+    blocks = [source.integers(0, len(counts), n).astype(np.uint32) for n in (1, 700, 0, 257)]
+    coded = [book.encode(ids) for ids in blocks]
+    back = book.decode([c[0] for c in coded], [c[1] for c in coded], np.array([len(b) for b in blocks]))
+    assert (back == np.concatenate(blocks)).all()
+
+
+def test_vocabularies_beyond_the_limit_take_longer_codes():
+    counts = np.ones(70_000, dtype=np.int64)
+    assert huffman.least_limit(counts) == 17 and huffman.least_limit(counts[: 1 << 16]) == 16
+    book = huffman.Codebook(huffman.code_lengths(counts, huffman.least_limit(counts)))
+    ids = np.arange(70_000, dtype=np.uint32)[::-1].copy()
+    bits, marks = book.encode(ids)
+    assert (book.decode([bits], [marks], np.array([len(ids)])) == ids).all()
+    assert huffman.least_limit(np.zeros(5)) == huffman.LIMIT
+    with pytest.raises(ValueError):
+        huffman.Codebook(np.array([29, 29]))
+
+
 def round_trip(spark, frame, folder, **settings):
     name, cut, vocabulary, end = WORD
     token_files.write(

@@ -10,10 +10,18 @@ import numpy as np
 
 LIMIT = 16
 EVERY = 256
+#: A code has no more bits than this: the decoding table has an entry for every value of so many bits.
+MOST_BITS = 28
+PAD = 5
+
+
+def least_limit(counts: np.ndarray, limit: int = LIMIT) -> int:
+    """The limit, or the least higher one that has codes for all symbols that occur."""
+    return max(limit, int(np.count_nonzero(counts) - 1).bit_length() if np.any(counts) else 0)
 
 
 def code_lengths(counts: np.ndarray, limit: int = LIMIT) -> np.ndarray:
-    """Bits of each symbol's code; 0 for symbols that never occur."""
+    """Bits of each symbol's code, ``limit`` at most; 0 for symbols that never occur."""
     lengths = np.zeros(len(counts), dtype=np.uint8)
     used = np.flatnonzero(counts)
     if len(used) < 2:
@@ -49,6 +57,8 @@ class Codebook:
     def __init__(self, lengths: np.ndarray):
         self.lengths = lengths.astype(np.uint8)
         self.bits = max(int(lengths.max(initial=1)), 1)
+        if self.bits > MOST_BITS:
+            raise ValueError(f"codes have at most {MOST_BITS} bits")
         order = np.lexsort((np.arange(len(lengths)), lengths))
         order = order[lengths[order] > 0]
         size = lengths[order].astype(np.int64)
@@ -88,8 +98,8 @@ class Codebook:
         out = np.zeros(total, dtype=np.uint32)
         if not total:
             return out
-        data = np.frombuffer(b"".join(b + b"\0\0\0\0" for b in blocks), np.uint8)
-        base = np.cumsum([0, *[8 * len(b) + 32 for b in blocks[:-1]]])
+        data = np.frombuffer(b"".join(b + bytes(PAD) for b in blocks), np.uint8)
+        base = np.cumsum([0, *[8 * (len(b) + PAD) for b in blocks[:-1]]])
         places = [len(m) for m in marks]
         bit = np.concatenate(marks) + np.repeat(base, places)
         block = np.repeat(np.arange(len(blocks)), places)
@@ -99,16 +109,18 @@ class Codebook:
         left = np.minimum(sizes[block] - nth, EVERY)
         order = np.argsort(-left, kind="stable")
         bit, target, left = bit[order], target[order], left[order]
-        mask, shift = (1 << self.bits) - 1, 24 - self.bits
+        # a code may begin at any bit of a byte, so it spans up to 7 bits more than it has
+        wide = -(-(self.bits + 7) // 8)
+        mask, shift = (1 << self.bits) - 1, 8 * wide - self.bits
         for turn in range(EVERY):
             lanes = int(np.searchsorted(-left, -turn, side="left"))
             if not lanes:
                 break
             bit, target = bit[:lanes], target[:lanes]
             byte = bit >> 3
-            window = (
-                (data[byte].astype(np.int64) << 16) | (data[byte + 1].astype(np.int64) << 8) | data[byte + 2]
-            )
+            window = data[byte].astype(np.int64)
+            for more in range(1, wide):
+                window = (window << 8) | data[byte + more]
             code = (window >> (shift - (bit & 7))) & mask
             out[target + turn] = self.symbol[code]
             bit = bit + self.step[code]

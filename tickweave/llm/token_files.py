@@ -87,14 +87,16 @@ def write(
     documents: DataFrame, path: str, work: str, tokenizer: str, vocabulary: int, cut: str, end_id: int,
     partition_bytes: int = PARTITION_BYTES, block_ids: int = BLOCK_IDS, limit: int = huffman.LIMIT,
 ) -> None:
-    """Write a corpus folder to ``path``; ``work`` is an empty shared folder."""
+    """Write a corpus folder to ``path``; ``work`` is an empty shared folder. Codes have at most ``limit``
+    bits, or as many more as the number of different ids takes."""
     spark = documents.sparkSession
     kind = id_kind(vocabulary)
     width = partitions_for(spark, documents, "text", partition_bytes)
     plain = tokenized(documents, tokenizer, cut, end_id, kind, width)
     plain.write.option("compression", "zstd").parquet(f"{work}/ids")
     plain = spark.read.parquet(f"{work}/ids")
-    book = huffman.Codebook(huffman.code_lengths(id_counts(plain, kind, vocabulary), limit))
+    counts = id_counts(plain, kind, vocabulary)
+    book = huffman.Codebook(huffman.code_lengths(counts, huffman.least_limit(counts, limit)))
     ends = plain.groupBy("part").agg(F.sum("n_tokens").alias("n")).orderBy("part").collect()
     base, total = {}, 0  # one entry per partition
     for part, n in ends:
