@@ -9,24 +9,41 @@ from tickweave.llm import decontaminate, jaccard, language, line_dedup, packing
 from tickweave.llm.queries import id_remainder, table, tokenizer_file
 from tickweave.session import shared_folder
 
-#: A document is rejected by language ID if its best language has less posterior weight than this.
-LEAST_LANGUAGE_SCORE = 0.3
+#: A document is rejected by language ID if its best language is so little above chance, on a scale from
+#: 0, where all learned languages have equal posterior weight, to 1. A text that switches evenly between two
+#: of three and more languages lies above it, one that holds words of all alike does not. Of two languages
+#: the better one never has less than half, so then only texts without a letter go.
+LEAST_ABOVE_CHANCE = 0.2
+EVEN_SWITCH = 0.45
+
+
+def least_language_score(languages: int) -> float:
+    """The posterior weight that the best of so many languages has to have."""
+    chance = 1 / max(languages, 1)
+    return min(chance + LEAST_ABOVE_CHANCE * (1 - chance), max(EVEN_SWITCH, chance))
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents without a letter and those of no clear language; fill a missing ``lang``."""
+    """Drop documents without a letter (null and empty texts among them) and those of no clear language;
+    fill a missing ``lang``. Without any labelled document all go, since no language is known; repeated
+    rows are judged alike, and an empty table stays empty."""
+    languages = docs.filter("text IS NOT NULL").agg(F.count_distinct("lang")).first()[0]
     seen = F.col("lang_pred") != language.UNDETERMINED
     kept = language.with_language(docs, id_remainder(4) == 2).filter(
-        seen & (F.col("score") >= LEAST_LANGUAGE_SCORE)
+        seen & (F.col("score") >= least_language_score(languages))
     )
     return kept.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*docs.columns)
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop recurring lines from the texts, also those that just two documents share; every document stays,
-    and copies of a whole document are left to the next stage."""
+    """Drop recurring lines from the texts, also those that just two documents share; copies of a whole
+    document in two are left to the next stage. A document that loses all its words by that goes, since
+    each of its lines is held by another; one that had none before stays, as do rows without id, and
+    repeated rows lose the same lines."""
     cleaned = line_dedup.drop_recurring(docs, shared_folder(spark, "line-dedup"), pairs=True)
-    return cleaned.withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
+    emptied = (F.col("n_dropped") > 0) & ~F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    kept = cleaned.filter(~emptied)
+    return kept.withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,13 +55,14 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents that hold a passage of a benchmark item."""
+    """Drop documents that hold a passage of a benchmark item; texts without words and all documents of an
+    empty benchmark stay."""
     found = decontaminate.with_contamination(docs, table(spark, sf_dir, "benchmark"), window=10)
     return found.filter("NOT contaminated").select(*docs.columns)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents in sequences of 1024 ids."""
+    """Pieces of the documents in sequences of 1024 ids; an empty text is a piece of its end alone."""
     return packing.pack(
         docs, shared_folder(spark, "packing"), tokenizer_file("byte_bpe_50k.json"),
         vocabulary=50_257, cut="spaced", end_id=0,
