@@ -27,3 +27,4 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 def load_all() -> None:
     from . import ingest_queries, quality_queries, stat_queries  # noqa: F401
     from . import health_queries, micro_queries, scalar_queries, stream_queries  # noqa: F401
+    from . import command_queries  # noqa: F401  its checks build on those of the others

@@ -11,9 +11,9 @@ from ..session import path_exists, shared_folder
 from ..sources import derived
 from ..sources.rows_source import stream_rows
 from ..sources.store import TickStore, footprint
-from ..streaming import decision_stream, feature_stream, gap_stream, ingest
+from ..streaming import decision_stream, feature_stream, gap_slices, gap_stream, ingest
 from . import sqltext as q
-from .catalog import query
+from .catalog import CHECKS, query
 from .health_queries import DEDUPE_SQL, P as HEALTH_PARAMS
 from .micro_queries import (
     COOLDOWN_SEC,
@@ -510,3 +510,25 @@ def i2_rows_looked_at(spark, sf_dir):
         looked.append((step, store.colliding(batch).count()))
         store.append_ticks(batch, load="quarters", epoch=step)
     return spark.createDataFrame(looked, "step long, looked_at long")
+
+
+@query("i3_gaps_by_slices", CHECKS["i3_stream_gaps"])
+def i3_gaps_by_slices(spark, sf_dir):
+    """Live gaps with a symbol's micro-batch cut into slices equal the batch form."""
+    ingest.streaming_session(spark)
+    stream = _landed(spark, derived.event_ticks(spark, sf_dir), "landing", "ts_ms")
+    store = TickStore(spark, shared_folder(spark, "store"))
+    _finish(gap_slices.load_gaps_by_slices(stream, store, GAP_PARAMS, shared_folder(spark, "checkpoint"), wait=None))
+    return store.gaps().drop("detected_at_ms", "meta_json")
+
+
+@query("i5_late_by_slices", CHECKS["i5_late_ticks"])
+def i5_late_by_slices(spark, sf_dir):
+    """The same with every third tick first: late ticks change no gap found before."""
+    ingest.streaming_session(spark)
+    ticks = derived.event_ticks(spark, sf_dir)
+    mixed = ticks.withColumn("step", F.floor(F.col("ingest_ordinal") / 2) % 3)
+    store = TickStore(spark, shared_folder(spark, "store"))
+    stream = _landed(spark, mixed, "landing", "step")
+    _finish(gap_slices.load_gaps_by_slices(stream, store, GAP_PARAMS, shared_folder(spark, "checkpoint"), wait=None))
+    return store.gaps().select("symbol", "gap_start_ts_ms", "gap_end_ts_ms")
