@@ -207,6 +207,24 @@ def test_log_lines_of_files_are_ordered_by_time(spark, tmp_path):
     assert logs.between(logs.read_logs(spark, str(folder)), "2024-01-02").count() == 3
 
 
+def test_lines_without_a_time_stay_behind_their_message(spark, tmp_path):
+    from tickweave.sources import logs
+
+    (tmp_path / "a.log").write_text("no time yet\n2024-01-02 00:00:01 ERROR failed\nTraceback\n  at once\n2024-01-02 00:00:05 x\n")
+    (tmp_path / "b.log").write_text("2024-01-02 00:00:03 health sid=1\nmore of it\n2024-01-02 00:00:04 y\n")
+    lines = [r["line"] for r in logs.read_logs(spark, str(tmp_path)).orderBy("ord").collect()]
+    assert lines == [
+        "no time yet", "2024-01-02 00:00:01 ERROR failed", "Traceback", "  at once",
+        "2024-01-02 00:00:03 health sid=1", "more of it", "2024-01-02 00:00:04 y", "2024-01-02 00:00:05 x",
+    ]
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16")  # blocks shorter than some lines
+    try:
+        assert [r["line"] for r in logs.read_logs(spark, str(tmp_path)).orderBy("ord").collect()] == lines
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 def test_feed_stream_from_json(spark, tmp_path):
     ingest.streaming_session(spark)
     (tmp_path / "in").mkdir()

@@ -567,13 +567,9 @@ def d6_holiday_lookup(spark, sf_dir):
         F.count(F.lit(1)).alias("rows")
     )
     listed = calendar.parse_holidays(_holiday_lines(spark, sf_dir))
-    marks = listed.select(F.substr("trading_day", F.lit(5)).alias("md")).distinct()
-    joined = days.withColumn("md", F.substr("trading_day", F.lit(5))).join(
-        marks.withColumn("is_holiday", F.lit(True)), "md", "left"
-    )
-    return joined.select(
-        "trading_day", "rows", F.coalesce("is_holiday", F.lit(False)).alias("is_holiday")
-    )
+    # the list names days of other years
+    shifted = listed.select(F.concat(F.lit("2024"), F.substr("trading_day", F.lit(5))).alias("trading_day"))
+    return calendar.with_holidays(days, "trading_day", shifted)
 
 
 def _seen_and_persisted(spark, sf_dir):

@@ -36,18 +36,22 @@ def merge_holidays(file_days: DataFrame, inline: Sequence[str] = ()) -> DataFram
     return file_days.select("trading_day").union(parse_holidays(given)).distinct()
 
 
+def with_holidays(df: DataFrame, day: str, holidays: DataFrame, name: str = "is_holiday") -> DataFrame:
+    """Adds whether the day is one of the holidays, by a left join that the planner gives its form."""
+    listed = holidays.select(F.col("trading_day").alias("_holiday")).distinct()
+    joined = df.join(listed, F.col(day) == F.col("_holiday"), "left")
+    return joined.withColumn(name, F.col("_holiday").isNotNull()).drop("_holiday")
+
+
 def with_market_state(
     df: DataFrame, ts_ms: str, holidays: DataFrame | None = None, tz: str = DEFAULT_TZ
 ) -> DataFrame:
     """Adds local ``market_day``, ``market_mode``, ``is_trading_day`` and ``is_trading_session``.
-
-    Holidays are a left join; the planner picks its form.
     """
     out = df.withColumn("market_day", clock.trading_day(ts_ms, tz))
     holiday = None
     if holidays is not None:
-        days = holidays.select(F.col("trading_day").alias("market_day"), F.lit(True).alias("_h"))
-        out = out.join(days, "market_day", "left")
+        out = with_holidays(out, "market_day", holidays, "_h")
         holiday = F.col("_h")
     out = out.withColumns(
         {

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text
@@ -17,16 +17,28 @@ def line_time(line) -> Column:
 
 def read_logs(spark: SparkSession, path: str) -> DataFrame:
     """Non-empty lines with their ``time`` and an ``ord`` that orders them: by time, then by file name
-    and by position in the file. Lines without a time of their own come before all others."""
-    place = F.struct(
-        F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id()
-    )
-    time = line_time(F.col("value"))
-    return (
-        spark.read.text(path)
-        .select(F.struct(time, place).alias("ord"), time.alias("time"), F.col("value").alias("line"))
-        .where(F.trim("line") != "")
+    and by position in the file. A line without a time of its own, as of a traceback, is ordered behind the
+    last line of its file that has one; before the first such line, before all others.
+
+    A file is looked through block by block, as Spark reads it; what a block needs from before is one time.
+    """
+    block = ["_file", "_block"]
+    rows = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_n"),
+        line_time(F.col("value")).alias("time"),
+        F.col("value").alias("line"),
     )
+    upto = Window.partitionBy(*block).orderBy("_n").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ends = rows.groupBy(*block).agg(F.max_by("time", F.when(F.col("time").isNotNull(), F.col("_n"))).alias("_end"))
+    before = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    ends = ends.select(*block, F.last("_end", ignorenulls=True).over(before).alias("_carried"))
+    placed = rows.withColumn("_own", F.last("time", ignorenulls=True).over(upto)).join(ends, block)
+    at = F.coalesce("_own", "_carried").alias("time")
+    return placed.select(
+        F.struct(at, F.struct(*block, "_n").alias("place")).alias("ord"), "time", "line"
+    ).where(F.trim("line") != "")
 
 
 def between(lines: DataFrame, since: str | None = None, until: str | None = None) -> DataFrame:
