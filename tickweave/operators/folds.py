@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -267,23 +267,38 @@ def _none(value):
     return None if value is None or value != value else value
 
 
+#: The column types that folds give.
+_ARROW = {"boolean": pa.bool_(), "string": pa.string(), "bigint": pa.int64()}
+
+
+def _values(column: pa.Array) -> list:
+    """Python values; a missing number is None."""
+    values = column.to_pylist()
+    return [_none(v) for v in values] if pa.types.is_floating(column.type) else values
+
+
 def fold_partition(
-    fold, keys: Sequence[str], time: str, columns: Sequence[str], result_names: Sequence[str]
-) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
-    """A ``mapInPandas`` function over rows sorted by key and time; the state outlives a batch."""
+    fold, keys: Sequence[str], time: str
+) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A ``mapInArrow`` function over rows sorted by key and time; the state outlives a batch. The rows
+    themselves pass as they are, and only what the fold looks at becomes Python values."""
+    results = [part.split() for part in fold.result.split(",")]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, state = None, None
-        for pdf in batches:
-            key_values = list(zip(*[pdf[k] for k in keys]))
-            args = list(zip(*[pdf[f] for f in fold.fields])) if fold.fields else [()] * len(pdf)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            read = [list(zip(*[_values(batch.column(c)) for c in names])) for names in (keys, fold.fields) if names]
+            args = read[1] if fold.fields else [()] * batch.num_rows
             outs = []
-            for key, at, row in zip(key_values, pdf[time], args):
+            for key, at, row in zip(read[0], batch.column(time).to_pylist(), args):
                 if key != current:
                     current, state = key, fold.start()
-                outs.append(fold.step(state, int(at), tuple(_none(v) for v in row)))
-            extra = pd.DataFrame(outs, columns=list(result_names), index=pdf.index)
-            yield pd.concat([pdf[list(columns)], extra], axis=1)
+                outs.append(fold.step(state, at, row))
+            found = [pa.array(values, _ARROW[kind]) for values, (_, kind) in zip(zip(*outs), results)]
+            names = [*batch.schema.names, *(name for name, _ in results)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *found], names=names)
 
     return run
 
@@ -292,11 +307,9 @@ def apply_fold(
     df: DataFrame, fold, keys: Sequence[str], time: str, ties: Sequence[str] = ()
 ) -> DataFrame:
     """Run a fold over each key's rows in time order, adding its result columns."""
-    names = [part.split()[0] for part in fold.result.split(",")]
     base = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
     ordered = df.repartition(*keys).sortWithinPartitions(*keys, time, *ties)
-    run = fold_partition(fold, keys, time, df.columns, names)
-    return ordered.mapInPandas(run, f"{base}, {fold.result}")
+    return ordered.mapInArrow(fold_partition(fold, list(keys), time), f"{base}, {fold.result}")
 
 
 ALERT_KEYS = ["instance", "fingerprint"]
