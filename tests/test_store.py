@@ -257,6 +257,16 @@ def test_highest_seqs_are_raised_by_every_batch(store, make_ticks, spark):
     assert found(TickStore(spark, shared_folder(spark, "none")).highest_seqs()) == {}
 
 
+def test_highest_seqs_after_a_lost_batch_without_a_name(store, make_ticks):
+    lost = LostOnce(store.spark, store.root)
+    with pytest.raises(Lost):
+        lost.append_ticks(make_ticks([tick("A", D, T0, 7)]))
+    assert store.unfinished() and store.persisted_seqs().first()["max_seq"] == 7
+    store.append_ticks(make_ticks([tick("A", D, T0 + 1, 2), tick("B", D, T0, 1)]))
+    assert not store.unfinished()
+    assert {r["symbol"]: r["max_seq"] for r in store.highest_seqs().collect()} == {"A": 7, "B": 1}
+
+
 def test_marks_of_old_batches_go_and_the_newest_stay(store, make_ticks):
     for epoch in range(12):
         store.append_ticks(make_ticks([tick("A", D, T0, epoch)]), load="x", epoch=epoch)

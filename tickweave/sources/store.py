@@ -170,7 +170,10 @@ class TickStore:
         marked as done adds nothing, and one that was begun is compared row by row, so that rows which
         equal no other are not added twice.
         """
-        load, epoch = (load, epoch) if load is not None else ("unnamed", self._next_epoch("unnamed"))
+        torn: list[int] = []
+        if load is None:
+            load, torn = "unnamed", self._torn("unnamed")
+            epoch = self._next_epoch(load)
         state, since = self._begin(load, epoch)
         if state == "done":
             return LoadResult(batch.count(), 0)
@@ -183,8 +186,10 @@ class TickStore:
         written = Observation()
         fresh = conform(fresh, TICKS).observe(written, F.count(F.lit(1)).alias("n"))
         write_days(fresh, self.ticks_path, sort=("symbol", "ts_ms"))
-        self._raise_baseline(batch)
-        self._mark(load, epoch, "done")
+        # nobody repeats a batch without a name: what a lost one left is taken from the ticks
+        self._raise_baseline(self.ticks() if torn else batch)
+        for done in [*torn, epoch]:
+            self._mark(load, done, "done")
         try:
             inserted = written.get["n"]
         except Py4JJavaError:  # a plan found to be empty while it ran was dropped, and its count too
@@ -213,6 +218,11 @@ class TickStore:
             marks[kind][int(epoch)] = at
         return marks
 
+    def _torn(self, load: str) -> list[int]:
+        """Batches of a load that were begun and not done."""
+        marks = self._marks(load)
+        return sorted(set(marks["begun"]) - set(marks["done"]))
+
     def _next_epoch(self, load: str) -> int:
         marks = self._marks(load)
         return max([-1, *marks["begun"], *marks["done"]]) + 1
@@ -229,11 +239,7 @@ class TickStore:
 
     def unfinished(self) -> bool:
         """Whether some load ended within a batch that has not been repeated."""
-        for load in listed(self.spark, f"{self.root}/loads"):
-            marks = self._marks(load)
-            if max(marks["begun"], default=-1) > max(marks["done"], default=-1):
-                return True
-        return False
+        return any(self._torn(load) for load in listed(self.spark, f"{self.root}/loads"))
 
     def _published(self) -> int:
         names = listed(self.spark, f"{self.root}/baseline_versions")
