@@ -132,3 +132,20 @@ def test_evidence_text(make_ticks):
         f'{{"prev_ts_ms":{t[2]},"curr_ts_ms":{t[3]},"gap_threshold_sec":10.0,'
         '"active_window_sec":300,"active_min_ticks":3,"active_count":4,"session":"09:30-12:00"}'
     )
+
+
+def test_trailing_count_takes_one_pass(make_ticks):
+    """No frame starts at a moving bound, which counts a busy slice anew for each of its points; a time
+    just a window before the current one counts, an earlier one does not."""
+    import re
+
+    params = dataclasses.replace(P, active_window_sec=10, slice_ms=10_000)
+    start = hk_ms(DAY, "10:00:00")
+    times = [start + x for x in (0, 1, 2500, 9_999, 10_000, 10_000, 10_001, 12_500, 19_999, 20_002)]
+    points = gaps.tick_points(make_ticks([tick("A", DAY, t, i) for i, t in enumerate(times)]), params)
+    plan = points._jdf.queryExecution().analyzed().toString()
+    begins = re.findall(r"specifiedwindowframe\(RangeFrame, ([^,]+),", plan)
+    assert begins and set(begins) == {"unboundedpreceding$()"}
+    got = {r.ts_ms: r.active_count for r in points.collect()}
+    own = sorted(set(times))
+    assert got == {t: sum(t - 10_000 <= x <= t for x in own) for t in own}

@@ -48,11 +48,14 @@ def tick_points(
     part = Window.partitionBy(*scope, "_slice")
     prev = F.lag("ts_ms").over(part.orderBy("ts_ms", "trading_day"))
     fresh = F.col("_prev").isNull() | (F.col("_prev") < F.col("ts_ms"))
-    trailing = part.orderBy("ts_ms").rangeBetween(-window_ms, Window.currentRow)
+    # two running counts, each one pass; a frame that starts at -window_ms is counted anew for each row
+    upto = part.orderBy("ts_ms").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    before = part.orderBy("ts_ms").rangeBetween(Window.unboundedPreceding, -window_ms - 1)
+    distinct_times = F.count_if(F.col("_fresh"))
     counted = (
         spread.withColumn("_prev", prev)
         .withColumn("_fresh", fresh)
-        .withColumn("active_count", F.count_if(F.col("_fresh")).over(trailing))
+        .withColumn("active_count", distinct_times.over(upto) - distinct_times.over(before))
         .where((F.col("_slice") == F.col("_own")) & F.col("_fresh"))
     )
     if params.active_min_ticks <= 1:
