@@ -113,3 +113,42 @@ def test_added_spans_match_a_direct_search(spark):
                 kept.append((score, a, b))
         found = [s.split(":") for s in r["spans"].split(",") if s.startswith("format")]
         assert [(int(a), int(b)) for _, a, b in found] == sorted((a, b) for _, a, b in kept)
+
+
+def test_long_pieces_are_searched_whole(spark):
+    """Runs of many separators: every candidate counts, as in a search of one by one."""
+    source = random.Random(12)
+    make = lambda n, c="0123456789abcdef": "".join(source.choice(c) for _ in range(n))
+    code = lambda: "-".join(make(6, "ABCDEFGHIJKLMNOPQRSTUVWXYZ") for _ in range(4))
+    formats = [automata.Automaton([code().encode() for _ in range(300)]).tables]
+    formats.append(automata.Automaton([f"{make(5)}.{make(source.randrange(5, 60), 'ghijk_./0123456789')}".encode() for _ in range(300)]).tables)
+    others = automata.Automaton([f"{make(3, 'ghijkl')}/{make(4, 'mnopq')}.{make(3)}".encode() for _ in range(300)]).tables
+    seen = 0
+    for margin in (12.0, 0.0, -5.0):
+        for _ in range(40):
+            parts = [source.choice([code, lambda: make(5), lambda: make(4, "mnopq"), lambda: make(9, "ghijk_./0123456789"), lambda: ""])() for _ in range(30)]
+            value = "".join(p + source.choice("=/.+_-") for p in parts).encode()
+            begins, ends = secrets._bounds(value)
+            scored = []
+            for a in begins:
+                for b in ends:
+                    if b - a >= secrets.MIN_CANDIDATE:
+                        ratio = max(automata.log_likelihood(f, value[a:b], known_only=True) for f in formats)
+                        ratio -= automata.log_likelihood(others, value[a:b])
+                        if ratio >= margin:
+                            scored.append((-ratio, a, b))
+            want = [(a, b, -ratio) for a, _, b, ratio in secrets._best(scored)]
+            assert [(a, b, ratio) for ratio, a, b in secrets.long_piece(value, formats, others, margin)] == want
+            seen += len(want)
+    assert seen > 200
+
+
+def test_value_of_several_parts_inside_a_long_path(spark):
+    source = random.Random(4)
+    key = lambda: "-".join("".join(source.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZ") for _ in range(6)) for _ in range(4))
+    rows = [(i, f"token={key()} was used on host{i}.example.com in 10.0.{i % 250}.17 by administrators") for i in range(400)]
+    hidden = key()
+    text = f"see a/b/c/d/e/f/g/h/i/{hidden}/j/k/l/m for it"
+    got = secrets.find_secrets(spark.createDataFrame([*rows, (1000, text)], "doc_id long, text string"))
+    spans = got.filter("doc_id = 1000").first()["spans"].split(",")
+    assert [text[int(a) : int(b)] for _, a, b in (s.split(":") for s in spans)] == [hidden]

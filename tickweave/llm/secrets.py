@@ -4,7 +4,8 @@ Base spans come from three patterns. Grammar inference then learns formats: a bo
 values of each kind is a labelled set of credentials, from which a probabilistic automaton is inferred;
 another one is inferred from a sample of runs that no pattern matched. What base spans leave of a run of
 credential characters is a candidate, and so is what lies behind and between its ``=``, ``/``, ``.``, ``+``,
-``_`` and ``-``: a key name or a path before a value spoils no score. All are scored by the log-likelihood
+``_`` and ``-``, from any part to any later one: a key name or a path before a value spoils no score. All
+are scored by the log-likelihood
 ratio of the best format whose every step they take against the others; of overlapping ones the best is
 taken, and those of at least ``margin`` are added as kind ``format``.
 
@@ -21,6 +22,7 @@ import hashlib
 import re
 from bisect import bisect_left
 from collections.abc import Iterator
+from heapq import heapify, heappop, heappush
 from math import inf
 
 import numpy as np
@@ -41,7 +43,8 @@ ASSIGN_VALUE, ACCESS_LENGTH, HEX_LENGTH = 12, 18, 16
 
 FORMAT = "format"
 MIN_CANDIDATE = 12
-#: Up to so many separators all parts of a piece are scored, of neighbouring parts as well.
+#: Up to so many separators the parts of a piece are scored one by one; those of pieces with more, just as
+#: completely, side by side (``long_piece``).
 MANY_PARTS = 12
 SEPARATOR = re.compile(rb"[=/.+_-]")
 #: At most so many distinct values of each kind, and of other runs, are learned from: those of the
@@ -55,6 +58,7 @@ _HEX_DIGIT = np.zeros(256, dtype=bool)
 _HEX_DIGIT[48:58] = _HEX_DIGIT[97:103] = True
 _RUN = np.zeros(256, dtype=bool)
 _RUN[list(automata.SYMBOL)] = True
+_TO_SYMBOL = bytes(automata.SYMBOL.get(byte, 0) for byte in range(256))
 
 
 def _runs(data: np.ndarray, offsets: np.ndarray, members: np.ndarray, least: int):
@@ -117,19 +121,109 @@ class Scan:
         if end - start >= MIN_CANDIDATE:
             yield text, start, end
 
-    def candidates(self) -> Iterator[tuple[int, int, int, bytes]]:
+    def candidates(self, many: list[tuple[int, int, bytes]]) -> Iterator[tuple[int, int, int, bytes]]:
         """Text, start, end and value of every piece and of its parts between separators, from each part to
-        each later one where a piece has few, else of single parts and of what begins or ends the piece."""
+        each later one. Pieces of more than ``MANY_PARTS`` separators go to ``many`` instead, as text, start
+        and value."""
         for text, start, end in self.pieces():
             base = int(self.offsets[text])
             value = self.raw[base + start : base + end]
-            cuts = [m.start() for m in SEPARATOR.finditer(value)]
-            begins, ends = [0, *(c + 1 for c in cuts)], [*cuts, len(value)]
+            begins, ends = _bounds(value)
+            if len(begins) > MANY_PARTS + 1:
+                many.append((text, start, value))
+                continue
             for i, a in enumerate(begins):
-                last = range(i, len(ends)) if len(cuts) <= MANY_PARTS or not i else {i, len(ends) - 1}
-                for j in sorted(last):
-                    if ends[j] - a >= MIN_CANDIDATE:
-                        yield text, start + a, start + ends[j], value[a : ends[j]]
+                for b in ends[i:]:
+                    if b - a >= MIN_CANDIDATE:
+                        yield text, start + a, start + b, value[a:b]
+
+
+def _bounds(value: bytes) -> tuple[list[int], list[int]]:
+    """Where the parts of a piece begin and end."""
+    cuts = [m.start() for m in SEPARATOR.finditer(value)]
+    return [0, *(c + 1 for c in cuts)], [*cuts, len(value)]
+
+
+def long_piece(
+    value: bytes, formats: list[tuple], others: tuple, margin: float
+) -> list[tuple[float, int, int]]:
+    """What ``_best`` keeps of all candidates of a piece, as (-ratio, start, end), without scoring each pair
+    of a begin and an end.
+
+    All begins run through the automata side by side. Of runs of candidate length that meet in the same
+    states only the best goes on, as the rest of their way is the same; so each end has its best begin
+    after one pass. Once a span is kept, the ends behind it are run anew with begins behind it, as far as
+    runs from before its end were still under way.
+    """
+    symbols = value.translate(_TO_SYMBOL)
+    begins, ends = (set(x) for x in _bounds(value))
+    steps, logs, stops = others
+    best: dict[int, tuple[float, int, int]] = {}
+    oldest: dict[int, int] = {}  # by end: the first begin still under way there
+
+    def step(state: tuple, run: tuple, symbol: int) -> tuple[tuple, tuple] | None:
+        (f, one, other), (_, total, plain, start) = state, run
+        total += formats[f][1][one][symbol]
+        one = formats[f][0][one][symbol]
+        if one == len(formats[f][0]) - 1:
+            return None
+        plain += logs[other][symbol]
+        return (f, one, steps[other][symbol]), (plain - total, total, plain, start)
+
+    def meet(runs: dict[tuple, tuple], state: tuple, run: tuple) -> None:
+        held = runs.get(state)
+        if held is None or (run[0], run[3]) < (held[0], held[3]):
+            runs[state] = run
+
+    def pass_over(first: int, last: int) -> Iterator[tuple[float, int, int]]:
+        """Set the best spans of ends up to ``last`` that begin at ``first`` or later; give the new ones."""
+        runs: dict[tuple, tuple] = {}
+        young: list[tuple[tuple, tuple]] = []  # shorter than a candidate: not to be left out yet
+        for at in range(first, last + 1):
+            while young and at - young[0][1][3] >= MIN_CANDIDATE:
+                meet(runs, *young.pop(0))
+            if at in ends:
+                if oldest.get(at, -1) >= first > 0:
+                    return
+                oldest[at] = min([r[3] for r in runs.values()] + [r[3] for _, r in young[:1]], default=at)
+                found = min(
+                    (
+                        ((plain + stops[other]) - (total + formats[f][2][one]), start, at)
+                        for (f, one, other), (_, total, plain, start) in runs.items()
+                    ),
+                    default=None,
+                )
+                if found and -found[0] >= margin:
+                    best[at] = found
+                    yield found
+                else:
+                    best.pop(at, None)
+            if at == last:
+                return
+            if at in begins:
+                young += [((f, 0, 0), (0.0, 0.0, 0.0, at)) for f in range(len(formats))]
+            symbol = symbols[at]
+            young = [x for x in (step(state, run, symbol) for state, run in young) if x]
+            moved, runs = runs, {}
+            for state, run in moved.items():
+                if (on := step(state, run, symbol)) is not None:
+                    meet(runs, *on)
+
+    heap = list(pass_over(0, len(value)))
+    heapify(heap)
+    kept: list[tuple[int, int, float]] = []
+    while heap:
+        found = heappop(heap)
+        ratio, start, end = found
+        if best.get(end) != found:
+            continue
+        place = bisect_left(kept, (start,))
+        kept.insert(place, (start, end, ratio))
+        for at in range(start + 1, end + 1):
+            best.pop(at, None)
+        for new in pass_over(end, kept[place + 1][0] if place + 1 < len(kept) else len(value)):
+            heappush(heap, new)
+    return [(ratio, start, end) for start, end, ratio in kept]
 
 
 def _samples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -192,7 +286,8 @@ def _scanned(formats: list[tuple], others: tuple | None, margin: float):
         found = Scan(part)
         scored: dict[int, list[tuple[float, int, int]]] = {}
         known: dict[bytes, float] = {}  # words recur within a slice
-        for text, start, end, value in found.candidates() if formats else ():
+        many: list[tuple[int, int, bytes]] = []
+        for text, start, end, value in found.candidates(many) if formats else ():
             ratio = known.get(value)
             if ratio is None:
                 ratio = max(automata.log_likelihood(f, value, known_only=True) for f in formats)
@@ -201,6 +296,12 @@ def _scanned(formats: list[tuple], others: tuple | None, margin: float):
                 known[value] = ratio
             if ratio >= margin:
                 scored.setdefault(text, []).append((-ratio, start, end))
+        whole: dict[bytes, list[tuple[float, int, int]]] = {}
+        for text, start, value in many:
+            if value not in whole:
+                whole[value] = long_piece(value, formats, others, margin)
+            for ratio, a, b in whole[value]:
+                scored.setdefault(text, []).append((ratio, start + a, start + b))
         added = {text: _best(spans) for text, spans in scored.items()}
         points = np.concatenate([[0], np.cumsum((found.data & 0xC0) != 0x80)])
         rows = {"n": [], "base": [], "all": [], "score": []}
