@@ -76,3 +76,23 @@ def test_packed_numbers_come_back():
     values = np.array([0, 1, 255, 256, 1 << 40, (1 << 56) - 1], dtype=np.uint64)
     assert lm.unsqueezed(lm.squeezed(values)).tolist() == values.tolist()
     assert len(lm.unsqueezed(lm.squeezed(values[:0]))) == 0
+
+
+def test_requests_hold_no_places():
+    """The n-grams of a request and their counts are those of the walk, without an array of where they stand."""
+    import numpy as np
+    import pyarrow as pa
+
+    texts = ["a b a b c", None, "", "c b a", "a b a b c", "x"]
+    batch = pa.record_batch(
+        {
+            "doc_id": pa.array(range(len(texts)), pa.int64()),
+            "held_out": pa.array([False, False, True, True, False, False]),
+            "text": pa.array(texts, pa.string()),
+        }
+    )
+    for rows in (batch, batch.slice(0, 0)):
+        whole, counted = lm.Grams(rows, 3), lm.Grams(rows, 3, places=False)
+        assert not counted.which and not counted.first
+        for one, other in zip(whole.keys + whole.counts, counted.keys + counted.counts, strict=True):
+            assert one.dtype == other.dtype and np.array_equal(one, other)

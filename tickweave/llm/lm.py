@@ -66,9 +66,13 @@ def _row_texts(documents: pa.StructArray) -> pa.RecordBatch:
 
 
 class Grams:
-    """The tokens of some texts: words, then one end; and the distinct n-grams that end at each token."""
+    """The tokens of some texts: words, then one end; and the distinct n-grams that end at each token.
 
-    def __init__(self, batch: pa.RecordBatch, order: int):
+    Without ``places`` only the n-grams with their counts are kept, not where they stand: a request and a
+    count need no more.
+    """
+
+    def __init__(self, batch: pa.RecordBatch, order: int, places: bool = True):
         hashes, counts = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
         for part in W.slices(batch, "text"):
             found = W.batch_words(part, "text", W.SPACED)
@@ -95,6 +99,11 @@ class Grams:
                 key = W.mix(before * W.U64(2 * n + 1) + token)
             whole = np.flatnonzero(self.at >= n - 2)  # the mark before a text stands for a word
             short = key[whole] >> W.U64(64 - KEY_BITS)
+            if not places:
+                keys, counts = _counted(short, train[whole])
+                self.keys.append(keys)
+                self.counts.append(counts)
+                continue
             keys, first, which = np.unique(short, return_index=True, return_inverse=True)
             self.keys.append(keys)
             self.counts.append(np.bincount(which, train[whole], len(keys)).astype(np.int32))
@@ -104,6 +113,18 @@ class Grams:
             self.which.append(placed)
 
 
+def _counted(keys: np.ndarray, train: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys, ascending, and how often each is marked; the mark is sorted along as the lowest bit,
+    so no array of places is made."""
+    marked = keys << W.U64(1)
+    marked |= train
+    marked.sort()
+    marks = (marked & W.U64(1)).astype(np.int32)
+    marked >>= W.U64(1)
+    begins = np.flatnonzero(np.diff(marked, prepend=~marked[:1]))
+    return marked[begins], np.add.reduceat(marks, begins, dtype=np.int32) if len(begins) else marks
+
+
 class Automaton:
     """The part of the automaton that some texts reach.
 
@@ -190,7 +211,7 @@ def _types(shards: int):
         for batch in batches:
             batch = batch.filter(pc.invert(batch.column("held_out")))
             for part in W.slices(batch, "text", CHUNK_BYTES):
-                grams = Grams(part, 1)
+                grams = Grams(part, 1, places=False)
                 pool.append((grams.keys[0], grams.counts[0]))
                 size += len(pool[-1][0])
                 if size > 1 << 21:
@@ -241,8 +262,11 @@ def _request(order: int, shards: int):
     def request(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
-                grams = Grams(_row_texts(batch.column("documents")[row].values), order)
-                yield from _requests(batch.column("chunk")[row].as_py(), grams.keys, grams.counts, shards)
+                grams = Grams(_row_texts(batch.column("documents")[row].values), order, places=False)
+                keys, counts = grams.keys, grams.counts
+                del grams  # the tokens are not held while the requests go out
+                yield from _requests(batch.column("chunk")[row].as_py(), keys, counts, shards)
+                del keys, counts
 
     return request
 
