@@ -131,6 +131,29 @@ def test_large_cluster_of_near_copies(spark, folder):
     assert len({c for _, c in want.values()}) < 300
 
 
+def test_replicated_rows_are_not_broadcast(spark, folder, monkeypatch):
+    """Their size is unknown to the planner, which takes them for as few as went in."""
+    base, joined = random.Random(4).getrandbits(62), []
+    prints = sorted({base ^ (1 << i) ^ (1 << j) for i in range(9) for j in range(9)})
+    rows = spark.createDataFrame([(i, f"t{p}") for i, p in enumerate(prints)], "doc_id long, text string")
+    join = type(rows).join
+
+    def recorded(left, right, on=None, how=None):
+        out = join(left, right, on, how)
+        joined.append((on, out))
+        return out
+
+    monkeypatch.setattr(type(rows), "join", recorded)
+    signed = spark.createDataFrame([(p,) for p in prints], "print long")
+    simhash.links(signed, folder("links"), 4, 8).collect()
+    simhash.near_duplicates(rows, folder("all")).collect()
+    assert {on for on, _ in joined} >= {"anchor", "word", "a", "b"}
+    for on, frame in joined:
+        if on in ("anchor", "word", "a", "b"):
+            plan = frame._jdf.queryExecution().executedPlan().toString()
+            assert "SortMergeJoin" in next(line for line in plan.splitlines() if "Join" in line), on
+
+
 def test_odd_documents(odd_documents, no_documents, folder):
     rows = [(r["doc_id"], r["text"]) for r in odd_documents.collect()]
     got = simhash.near_duplicates(odd_documents, folder("a")).collect()

@@ -14,7 +14,8 @@ def _stars(edges: DataFrame, larger: bool) -> DataFrame:
     else:
         sides = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     least = sides.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("root"))
-    joined = sides.join(least, "a")
+    # written edges compress well, so their files look small enough to broadcast when the rows are not
+    joined = sides.hint("merge").join(least, "a")
     if larger:
         hung = joined.filter("b > a").select(F.col("b").alias("a"), F.col("root").alias("b"))
     else:

@@ -182,7 +182,8 @@ def links(prints: DataFrame, work: str, bits: int = 4, group_limit: int = GROUP_
     spark = prints.sparkSession
     rows = prints.mapInArrow(_replicated, "anchor long, print long")
     sizes = rows.groupBy("anchor").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
-    rows.join(sizes, "anchor").write.parquet(f"{work}/members")
+    # the planner takes replicated rows for as few as went in, so the joins are told not to broadcast
+    rows.hint("merge").join(sizes, "anchor").write.parquet(f"{work}/members")
     members = spark.read.parquet(f"{work}/members")
     groups = members.filter(F.col("size") <= group_limit).groupBy("anchor")
     groups = groups.agg(F.sort_array(F.collect_list("print")).alias("prints"))
@@ -192,7 +193,7 @@ def links(prints: DataFrame, work: str, bits: int = 4, group_limit: int = GROUP_
     if not dense.isEmpty():
         near = dense.mapInArrow(_ball(bits // 2), "word long, print long")
         heads = near.groupBy("word").agg(F.min("print").alias("head"), F.max("print").alias("last"))
-        hung = near.join(heads.filter("head < last").select("word", "head"), "word")
+        hung = near.hint("merge").join(heads.filter("head < last").select("word", "head"), "word")
         hung = hung.filter("print <> head").select(F.col("head").alias("a"), F.col("print").alias("b"))
         found = found.unionByName(hung.distinct())
     return found
@@ -215,7 +216,7 @@ def near_duplicates(
     own = known.groupBy("doc_id").agg(F.min("print").alias("a"), F.max("print").alias("z")).filter("a < z")
     own = known.join(own, "doc_id").filter("a < print").select("a", F.col("print").alias("b"))
     ends = [distinct.select(F.col("print").alias(c), F.col("id").alias(f"{c}_id")) for c in ("a", "b")]
-    edges = found.unionByName(own).join(ends[0], "a").join(ends[1], "b")
+    edges = found.unionByName(own).hint("merge").join(ends[0], "a").hint("merge").join(ends[1], "b")
     edges = edges.select(F.col("a_id").alias("a"), F.col("b_id").alias("b"))
     labels = components(edges, f"{work}/components").withColumnRenamed("node", "id")
     label = distinct.join(labels, "id", "left").select("print", F.coalesce("component", "id").alias("component"))
