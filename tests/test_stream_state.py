@@ -130,3 +130,48 @@ def test_rows_are_admitted_by_number_over_files_and_restarts(spark, tmp_path):
     assert sorted(r["n"] for r in spark.read.parquet(out).collect()) == list(range(45))
     with pytest.raises(ValueError):
         rows_source.RowsReader(schema, {"path": landing, "ledger": f"{check}/other", "maxRows": "0"})
+
+
+def repeats_in_steps(spark, make_ticks, steps, **settings):
+    """The ids that ``drop_recent_repeats`` keeps of each step, and how many states are held at the end."""
+    landing, check, out = (shared_folder(spark, name) for name in ("landing", "checkpoint", "kept"))
+    ingest.streaming_session(spark)
+    for i, rows in enumerate(steps):
+        frame = make_ticks(rows).coalesce(1)
+        frame.write.parquet(f"{landing}/{i}")
+        stream = spark.readStream.schema(frame.schema).option("recursiveFileLookup", "true").parquet(landing)
+        kept = ingest.drop_recent_repeats(stream, **settings)
+        writer = kept.writeStream.format("parquet").option("checkpointLocation", check).trigger(availableNow=True)
+        writer.start(out).awaitTermination()
+    state = spark.read.format("statestore").option("path", check).option("stateVarName", "fold").load()
+    return sorted(r["ingest_ordinal"] for r in spark.read.parquet(out).collect()), state.count()
+
+
+def test_repeats_of_ten_minutes_share_a_state(spark, make_ticks):
+    """Keys that differ in any part, a missing one included, are told apart within it, and each ends by itself."""
+    start = T0 // 600_000 * 600_000
+
+    def row(i, at, recv, **more):
+        return tick("A", D, start + at, None, recv_ts_ms=start + recv, **more) | {"ingest_ordinal": i}
+
+    first = [row(i, i * 1000, i * 1000) for i in range(100)]
+    first += [row(100, 0, 0, price=None), row(101, 0, 1, price=None), row(102, 0, 0, volume=7), row(103, 0, 600_000)]
+    again = [row(200 + i, i * 1000, 600_000 + i * 2000) for i in range(5)]
+    kept, states = repeats_in_steps(spark, make_ticks, [first, again])
+    # the first key comes again at its horizon, the others behind theirs
+    assert kept == [*range(100), 100, 102, 201, 202, 203, 204] and states == 1
+
+
+def test_a_shared_state_ends_key_by_key(spark, make_ticks):
+    start = T0 // 600_000 * 600_000
+
+    def row(i, at, recv):
+        return tick("A", D, start + at, None, recv_ts_ms=start + recv) | {"ingest_ordinal": i}
+
+    first, open_still = row(0, 0, 0), row(1, 1000, 500_000)
+    later = tick("B", D, start + 9_000_000, None, recv_ts_ms=start + 700_000) | {"ingest_ordinal": 2}
+    end = tick("B", D, start + 9_900_000, None, recv_ts_ms=start + 5_000_000) | {"ingest_ordinal": 6}
+    # behind the watermark the first key is forgotten, the second is not
+    steps = [[first, open_still], [later], [row(3, 5000, 700_000)], [row(4, 0, 100), row(5, 1000, 400_000)], [end], [end]]
+    kept, states = repeats_in_steps(spark, make_ticks, steps, late_ms=0)
+    assert kept == [0, 1, 2, 3, 4, 6] and states == 1

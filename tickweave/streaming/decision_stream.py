@@ -6,7 +6,7 @@ import json
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -80,6 +80,45 @@ class FoldProcessor(StatefulProcessor):
         pass
 
 
+class CellProcessor(FoldProcessor):
+    """The same for many keys in one state, where a key of its own would have few rows: what a key costs in
+    calls and frames, a cell costs once. ``fold_key`` names the key of a row. With ``closing`` the cell's timer is
+    that of the key that ends first, so each key ends when it would on its own; the fold says when."""
+
+    def _until(self, states: dict, last: int | None = None) -> int | None:
+        return min((self.fold.until(state) for state in states.values()), default=None)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        stored = self.state.get()
+        states = json.loads(stored[0]) if stored else {}
+        pdf = pd.concat(list(rows)).sort_values(self.order, kind="stable")
+        fields = self.fold.fields
+        args = list(zip(*[pdf[f] for f in fields])) if fields else [()] * len(pdf)
+        outs = []
+        for own, at, row in zip(pdf["fold_key"], pdf[self.order[0]], args):
+            if own not in states:
+                states[own] = self.fold.start()
+            outs.append(self.fold.step(states[own], int(at), tuple(_none(v) for v in row)))
+        until = self._until(states) if self.closing else None
+        if self.closing:
+            self.timer.move(stored[1] if stored else None, until)
+        self.state.update((json.dumps(states), until))
+        yield pd.concat([pdf[self.columns], self._results(outs, pdf.index)], axis=1)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        passed = max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs() - 1)
+        stored = self.state.get()
+        states = json.loads(stored[0]) if stored else {}
+        states = {own: state for own, state in states.items() if self.fold.until(state) > passed}
+        if states:
+            until = self._until(states)
+            self.timer.move(None, until)
+            self.state.update((json.dumps(states), until))
+        else:
+            self.state.clear()
+        yield pd.DataFrame(columns=[*self.columns, *self._results([], None).columns])
+
+
 def stream_fold(
     df: DataFrame,
     fold,
@@ -89,20 +128,32 @@ def stream_fold(
     ttl_ms: int | None = None,
     late_ms: int | None = None,
     keep_ms: int | None = None,
+    cell: Column | None = None,
 ) -> DataFrame:
     """Run a fold over a stream. With ``late_ms`` the state of keys ends by a watermark on ``time`` that
-    trails it by so much; rows that are later than that are decided like any other."""
+    trails it by so much; rows that are later than that are decided like any other. Keys with the same
+    ``cell``, a number that follows from the key, share one state."""
     base = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
-    closing = late_ms is not None
+    closing, columns, kind = late_ms is not None, df.columns, FoldProcessor
+    if cell is not None:
+        # as text a key is exact: a missing part is left out, and both zeros are one
+        parts = [(F.col(k) + F.lit(0.0)) if t in ("double", "float") else F.col(k) for k, t in _types(df, keys)]
+        named = F.to_json(F.struct(*(part.alias(str(i)) for i, part in enumerate(parts))))
+        df, keys, kind = df.withColumns({"fold_cell": cell, "fold_key": named}), ["fold_cell"], CellProcessor
     if closing:
         df = on_event_time(df, time, late_ms)
-    processor = FoldProcessor(fold, time, ties, df.columns, ttl_ms, closing, keep_ms)
+    processor = kind(fold, time, ties, columns, ttl_ms, closing, keep_ms)
     mode = "EventTime" if closing else "None" if ttl_ms is None else "ProcessingTime"
     return df.groupBy(*keys).transformWithStateInPandas(
         processor, f"{base}, {fold.result}", outputMode="Append", timeMode=mode
     )
 
 
+def _types(df: DataFrame, columns: Sequence[str]) -> list[tuple[str, str]]:
+    kinds = dict(df.dtypes)
+    return [(c, kinds[c]) for c in columns]
+
+
 def stream_alerts(alerts: DataFrame, params: HealthParams) -> DataFrame:
     return stream_fold(
         named_alerts(alerts), AlertFold(params), ALERT_KEYS, "created_at_ms", ["ord"]
